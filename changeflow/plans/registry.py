@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeflow.plans import cdc
+from changeflow.plans import cdc, observability
 
-QUERIES = {**cdc.QUERIES}
-ORACLE = {**cdc.ORACLE}
+QUERIES = {**cdc.QUERIES, **observability.QUERIES}
+ORACLE = {**cdc.ORACLE, **observability.ORACLE}
