@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeflow.plans import cdc, observability
+from changeflow.plans import cdc, observability, streams
 
-QUERIES = {**cdc.QUERIES, **observability.QUERIES}
-ORACLE = {**cdc.ORACLE, **observability.ORACLE}
+QUERIES = {**cdc.QUERIES, **observability.QUERIES, **streams.QUERIES}
+ORACLE = {**cdc.ORACLE, **observability.ORACLE, **streams.ORACLE}

@@ -83,3 +83,15 @@ def exists(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    fs, s = _fs(spark, src)
+    d = _jvm(spark).org.apache.hadoop.fs.Path(dst)
+    fs.mkdirs(d.getParent())
+    return bool(fs.rename(s, d))
+
+
+def set_mtime(spark: SparkSession, path: str, mtime_ms: int) -> None:
+    fs, p = _fs(spark, path)
+    fs.setTimes(p, mtime_ms, -1)
