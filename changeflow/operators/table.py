@@ -59,6 +59,7 @@ class TableState:
     deltas: list[int] = field(default_factory=list)
     commits: list[tuple[int, list[str]]] = field(default_factory=list)
     cleans: list[int] = field(default_factory=list)
+    written: dict[int, set[str]] = field(default_factory=dict)
     schema: T.StructType | None = None
 
     @property
@@ -82,24 +83,41 @@ def _merge_schema(a: T.StructType | None, b: T.StructType) -> T.StructType:
     return T.StructType(list(a.fields) + [f for f in b.fields if f.name not in names])
 
 
+# Marker bodies never change once written (a replay rewrites identical
+# content), so they are read once per (path, size, mtime).
+_MARKERS: dict[tuple[str, int, int], dict] = {}
+
+
+def _marker_body(spark: SparkSession, path: str, size: int, mtime: int) -> dict:
+    key = (path, size, mtime)
+    if key not in _MARKERS:
+        _MARKERS[key] = fs.read_json(spark, path)
+    return _MARKERS[key]
+
+
 def read_state(spark: SparkSession, spec: TableSpec) -> TableState:
-    """Fold the timeline markers into the current table state (metadata only)."""
+    """Fold the timeline markers into the current table state (metadata only).
+
+    One directory listing per call; marker bodies are cached.
+    """
     state = TableState()
-    entries = sorted(n for n, _, _, is_dir in fs.list_dir(spark, _timeline(spec)) if not is_dir)
+    entries = sorted((n, size, mtime) for n, size, mtime, is_dir in fs.list_dir(spark, _timeline(spec)) if not is_dir)
     deltas = set()
-    for name in entries:
+    for name, size, mtime in entries:
         if name.startswith("."):
             continue
         num, _, action = name.partition(".")
         if not num.isdigit():
             continue
-        body = fs.read_json(spark, f"{_timeline(spec)}/{name}")
+        body = _marker_body(spark, f"{_timeline(spec)}/{name}", size, mtime)
         if "schema" in body:
             state.schema = _merge_schema(state.schema, T.StructType.fromJson(json.loads(body["schema"])))
         if action == "deltacommit":
             deltas.add(int(num))
         elif action == "commit":
+            written = body.get("written", body.get("partitions", []))
             state.commits.append((int(num), list(body.get("partitions", []))))
+            state.written[int(num)] = set(written)
         elif action == "clean":
             state.cleans.append(int(num))
     state.deltas = sorted(deltas)
@@ -171,6 +189,11 @@ def _base_partitions(state: TableState, as_of: int | None) -> dict[str, int]:
     return latest
 
 
+def _written_partitions(spark: SparkSession, path: str, partition: str) -> list[str]:
+    return sorted(n.split("=", 1)[1] for n, _, _, is_dir in fs.list_dir(spark, path)
+                  if is_dir and n.startswith(f"{partition}="))
+
+
 def _base_version(state: TableState, as_of: int | None) -> int:
     vs = [v for v, _ in state.commits if as_of is None or v <= as_of]
     return vs[-1] if vs else -1
@@ -185,9 +208,11 @@ def read_base(spark: SparkSession, spec: TableSpec, state: TableState, as_of: in
     """
     schema = _with_partition(state.schema, spec, "v")
     parts = _base_partitions(state, as_of)
+    # Partition values are folder names as written (escaped, null as the
+    # default-partition name). A partition rewritten to no rows (all keys
+    # moved away) has no folder and is not read.
     paths = [f"{spec.root}/base/v={v}/{spec.partition}={p}" for p, v in sorted(parts.items())
-             if only is None or p in only]
-    paths = [p for p in paths if fs.exists(spark, p)]
+             if (only is None or p in only) and p in state.written.get(v, ())]
     if not paths:
         return _empty(spark, schema)
     return spark.read.schema(schema).option("basePath", f"{spec.root}/base").parquet(*paths)
@@ -241,9 +266,7 @@ def _touched_partitions(spark: SparkSession, spec: TableSpec, state: TableState,
                         deltas: DataFrame) -> set[str]:
     touched = set()
     for b in batches:
-        for name, _, _, is_dir in fs.list_dir(spark, f"{spec.root}/deltas/batch_id={b}"):
-            if is_dir and name.startswith(f"{spec.partition}="):
-                touched.add(name.split("=", 1)[1])
+        touched |= set(_written_partitions(spark, f"{spec.root}/deltas/batch_id={b}", spec.partition))
     if spec.key_scope == "global" and state.commits:
         # A key that moved to another dt must leave its old partition: find the
         # base partitions that hold any key of the new batches (semi join).
@@ -274,9 +297,11 @@ def compact(spark: SparkSession, spec: TableSpec, state: TableState | None = Non
     # One writer task per (dt, bucket): bounded files per partition, and a hot
     # dt is spread over num_buckets tasks.
     out = merged.repartition(F.col(spec.partition), F.col(BUCKET))
-    out.write.mode("overwrite").partitionBy(spec.partition).parquet(f"{spec.root}/base/v={version}")
+    path = f"{spec.root}/base/v={version}"
+    out.write.mode("overwrite").partitionBy(spec.partition).parquet(path)
     fs.write_json(spark, _marker(spec, version, "commit"),
-                  {"version": version, "partitions": sorted(touched), "schema": state.schema.json()})
+                  {"version": version, "partitions": sorted(touched),
+                   "written": _written_partitions(spark, path, spec.partition), "schema": state.schema.json()})
     return read_state(spark, spec)
 
 

@@ -39,19 +39,21 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc_messages(_events(spark, sf_dir))
 
 
-def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def routed(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
     msgs = messages(spark, sf_dir)
+    if batch is not None:
+        msgs = msgs.filter(F.col("b") == batch)
     return route(parse_messages(msgs).withColumn("b", F.col("offset") % NUM_BATCHES))
 
 
-def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lake_rows(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
     """Good rows as lake rows (+ position), with the batch column ``b``."""
-    r = routed(spark, sf_dir)
+    r = routed(spark, sf_dir, batch)
     return project_rows(r.filter(F.col("route") == "good")).withColumn("b", F.col("kafka_offset") % NUM_BATCHES)
 
 
-def delete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = routed(spark, sf_dir)
+def delete_rows(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
+    r = routed(spark, sf_dir, batch)
     return project_rows(r.filter(F.col("reason") == "delete")).withColumn("b", F.col("kafka_offset") % NUM_BATCHES)
 
 
@@ -79,18 +81,15 @@ def build_table(spark: SparkSession, sf_dir: str, variant: str = "default", batc
         if key in _BUILT:
             return _BUILT[key]
         spec = TableSpec(root=scratch_dir(spark, f"table-{variant}"), **spec_kw)
-        rows = lake_rows(spark, sf_dir)
-        dels = delete_rows(spark, sf_dir) if spec.deletes == "apply" else None
-        extra = spec_kw.get("order", ())
-        if "ts_hour" in extra:
-            rows = rows.withColumn("ts_hour", F.date_trunc("hour", "ts"))
         order = list(range(batches)) + ([replay] if replay is not None else [])
         for b in order:
-            batch = rows.filter(F.col("b") == b).drop("b")
+            batch = lake_rows(spark, sf_dir, b).drop("b")
+            if "ts_hour" in spec.order:
+                batch = batch.withColumn("ts_hour", F.date_trunc("hour", "ts"))
             if variant == "evolve" and b >= 5:
                 ev = _events(spark, sf_dir).select(F.col("event_id").alias("kafka_offset"), "props")
                 batch = batch.join(ev, "kafka_offset", "left")
-            d = dels.filter(F.col("b") == b).drop("b") if dels is not None else None
+            d = delete_rows(spark, sf_dir, b).drop("b") if spec.deletes == "apply" else None
             tbl.apply_changes(spark, spec, tbl.change_batch(batch, d), b)
         _BUILT[key] = spec
         return spec

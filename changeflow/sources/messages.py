@@ -53,15 +53,21 @@ def parse_messages(msgs: DataFrame, schema: T.StructType = ENVELOPE_SCHEMA) -> D
 
     ``from_json`` is permissive: unknown fields are ignored and wrong-typed
     scalars become null, so a bad message never fails the job.
+
+    The parse is produced by a one-element ``explode``: predicates on
+    ``parsed`` (the route filters) cannot be pushed below a generator, so the
+    JSON is parsed once per message instead of once per predicate reference,
+    while predicates on broker columns (offset, partition) still reach the scan.
     """
+    text = F.col("value").cast("string")
     return msgs.select(
         F.col("key").cast("string").alias("kafka_key"),
-        F.col("value").cast("string").alias("json_str"),
+        text.alias("json_str"),
         "topic",
         "partition",
         "offset",
         F.col("timestamp").alias("kafka_timestamp"),
-        F.from_json(F.col("value").cast("string"), schema).alias("parsed"),
+        F.explode(F.array(F.from_json(text, schema))).alias("parsed"),
     )
 
 
