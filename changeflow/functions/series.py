@@ -93,6 +93,18 @@ def increase(samples: DataFrame, range_s: int, kind: str = "counter", chunk_s: i
     )
 
 
+def _grid(bounds: DataFrame, keys: list[str], step_s: int, chunk_s: int) -> DataFrame:
+    """Grid points lo, lo+step, ... ≤ hi per series, generated in two steps
+    (chunks, then points within a chunk) so no single row expands into a
+    whole series' time span."""
+    per_chunk = max(1, chunk_s // step_s) * step_s
+    starts = bounds.select(*keys, "hi", F.explode(F.sequence(
+        F.col("lo"), F.col("hi"), F.lit(per_chunk).cast("bigint"))).alias("c0"))
+    starts = starts.repartition(*keys, "c0")
+    end = F.least(F.col("hi"), F.col("c0") + per_chunk - step_s)
+    return starts.select(*keys, F.explode(F.sequence(F.col("c0"), end, F.lit(step_s).cast("bigint"))).alias("t"))
+
+
 def instant(samples: DataFrame, step_s: int, lookback_s: int = 300, start: Column | None = None,
             end: Column | None = None, chunk_s: int = DEFAULT_CHUNK_S) -> DataFrame:
     """WIN-4: value of each series on an evaluation grid of ``step_s`` seconds.
@@ -108,7 +120,8 @@ def instant(samples: DataFrame, step_s: int, lookback_s: int = 300, start: Colum
     bounds = df.groupBy(*keys).agg(F.min("t").alias("t0"), F.max("t").alias("t1"))
     lo = F.ceil(F.col("t0") / step_s) * step_s if start is None else start
     hi = F.col("t1") + lookback_s if end is None else end
-    grid = bounds.select(*keys, F.explode(F.sequence(lo.cast("bigint"), hi.cast("bigint"), F.lit(step_s).cast("bigint"))).alias("t"))
+    grid = _grid(bounds.select(*keys, lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi")), keys,
+                 step_s, chunk_s)
     rows = df.select(*keys, "t", "value", F.lit(False).alias("is_grid")).unionByName(
         grid.select(*keys, "t", F.lit(None).cast("double").alias("value"), F.lit(True).alias("is_grid")))
     ch = _chunked(rows, chunk_s, lookback_s)

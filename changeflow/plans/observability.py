@@ -61,6 +61,13 @@ def q_checkpoint_offsets(spark, sf_dir):
     return _consumed(spark, sf_dir)
 
 
+def q_checkpoint_offsets_committed(spark, sf_dir):
+    """X11: consumed offsets from the newest *committed* batch (commits for 3..9)."""
+    files = FX.checkpoint_files(_msgs(spark, sf_dir))
+    commits = files.select("file_name").filter(F.expr("try_cast(file_name AS INT)") <= 9)
+    return O.checkpoint_offsets(O.committed_only(files, commits), FX.TOPIC)
+
+
 def q_lag_per_partition(spark, sf_dir):
     return O.consumer_lag(_consumed(spark, sf_dir), _latest(spark, sf_dir))
 
@@ -190,6 +197,7 @@ QUERIES = {
     "offsets_latest": q_offsets_latest,
     "offsets_latest_total": q_offsets_latest_total,
     "checkpoint_offsets": q_checkpoint_offsets,
+    "checkpoint_offsets_committed": q_checkpoint_offsets_committed,
     "lag_per_partition": q_lag_per_partition,
     "lag_total": q_lag_total,
     "timeline_counts": q_timeline_counts,
@@ -302,6 +310,9 @@ ORACLE = {
     "offsets_latest": _w(EV) + f"SELECT '{TOPIC}' AS topic, part AS partition, max(event_id) + 1 AS latest_offset FROM ev GROUP BY part",
     "offsets_latest_total": _w(EV, LATEST) + f"SELECT '{TOPIC}' AS topic, sum(lo) AS latest_total, count(*) AS partition_count FROM latest",
     "checkpoint_offsets": _w(EV, CONSUMED) + f"SELECT 10 AS batch_id, '{TOPIC}' AS topic, partition, co AS offset FROM consumed",
+    "checkpoint_offsets_committed": _w(EV) + f"""SELECT 9 AS batch_id, '{TOPIC}' AS topic, CAST(part AS VARCHAR) AS partition,
+       max(event_id) + 1 AS offset FROM ev WHERE b <= 6 GROUP BY part
+UNION ALL SELECT 9, '{TOPIC}', '99', 5""",
     "lag_per_partition": _w(EV, LATEST, CONSUMED, LAG) + "SELECT partition, batch_id, lag FROM lagp",
     "lag_total": _w(EV, LATEST, CONSUMED, LAG) + "SELECT sum(lag) AS lag_total, max(batch_id) AS last_batch_written FROM lagp",
     "timeline_counts": _w(HOURS) + TIMELINE_COUNTS,

@@ -6,10 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_checkpoint_files(spark: SparkSession, checkpoint_dir: str) -> DataFrame:
-    """(file_name, text) of every file under ``<checkpoint>/offsets`` (one row per file)."""
-    return (spark.read.option("wholetext", "true").text(f"{checkpoint_dir.rstrip('/')}/offsets")
-            .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")))
+def read_checkpoint_files(spark: SparkSession, checkpoint_dir: str, consumed_from: str = "offsets") -> DataFrame:
+    """(file_name, text) of every file under ``<checkpoint>/offsets`` (one row per file).
+
+    ``consumed_from="offsets"`` (the reference) takes the newest *planned*
+    batch, which may not be written yet; ``"commits"`` keeps only batches
+    that also have a file under ``commits/`` (finished batches).
+    """
+    root = checkpoint_dir.rstrip("/")
+    files = (spark.read.option("wholetext", "true").text(f"{root}/offsets")
+             .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")))
+    if consumed_from == "commits":
+        done = spark.read.option("wholetext", "true").text(f"{root}/commits").select(
+            F.col("_metadata.file_name").alias("file_name"))
+        files = committed_only(files, done)
+    return files
+
+
+def committed_only(files: DataFrame, commit_names: DataFrame) -> DataFrame:
+    """Offsets files whose batch also has a commit file."""
+    return files.join(commit_names.select("file_name").distinct(), "file_name", "left_semi")
 
 
 def checkpoint_offsets(files: DataFrame, topic: str) -> DataFrame:

@@ -85,3 +85,12 @@ def start_apply(stream: DataFrame, spec: TableSpec, checkpoint: str, outputs: Ou
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
     return writer.start()
+
+
+def await_any(spark, timeout_s: float | None = None) -> None:
+    """STR-6: block until any active query ends (or fails), like the reference's
+    ``awaitAnyTermination``; with one query this is that query's lifetime."""
+    if timeout_s is None:
+        spark.streams.awaitAnyTermination()
+    else:
+        spark.streams.awaitAnyTermination(timeout_s)
