@@ -94,8 +94,11 @@ SEED = [
 ]
 
 
-def seed_rows(spark: SparkSession, now: _dt.datetime) -> DataFrame:
-    """SRC-10: the seed batch, ids 1..10, delivery = today + n days, defaults applied."""
+def seed_rows(spark: SparkSession, now: str | _dt.datetime) -> DataFrame:
+    """SRC-10: the seed batch, ids 1..10, delivery = today + n days, defaults applied.
+
+    ``now`` is best given as ``'yyyy-MM-dd HH:mm:ss'`` text (read in the
+    session time zone)."""
     rows = [(i + 1, *r) for i, r in enumerate(SEED)]
     df = spark.createDataFrame(rows, "id bigint, tracking_id string, shipper_name string, shipper_city string, "
                                      "customer_name string, customer_city string, weight_kg string, status string, "

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +15,13 @@ from changeflow.sources import listing as L
 from changeflow.sources import offsets as O
 from changeflow.sources.progress import progress_metrics
 
-NOW = _dt.datetime(2024, 2, 1, 0, 0, 0)
-NOW_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
+NOW = "2024-02-01 00:00:00"
+NOW_SQL = f"TIMESTAMP '{NOW}'"
 
 
 def _now():
+    # A SQL literal read in the session time zone (UTC), not a Python
+    # datetime, which PySpark would convert with the process time zone.
     return F.lit(NOW).cast("timestamp")
 
 

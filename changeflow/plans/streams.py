@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,7 +121,7 @@ def q_dq_constraints(spark, sf_dir):
     return violations(snap, "id").groupBy("rule", "column").agg(F.count(F.lit(1)).alias("n_violations"))
 
 
-SEED_NOW = _dt.datetime(2024, 2, 1, 9, 30, 0)
+SEED_NOW = "2024-02-01 09:30:00"
 
 
 def q_cdc_seed(spark, sf_dir):
