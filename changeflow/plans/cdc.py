@@ -144,8 +144,9 @@ def q_cdc_project(spark, sf_dir):
 
 
 def q_cdc_precombine(spark, sf_dir):
-    rows = lake_rows(spark, sf_dir).filter(F.col("b") == 3).drop("b")
-    return out_cols(precombine(rows, ["dt", "tracking_id"], ["ts", "kafka_partition", "kafka_offset"]))
+    """In-batch precombine of every batch: latest row per (batch, dt, key)."""
+    rows = lake_rows(spark, sf_dir)
+    return out_cols(precombine(rows, ["b", "dt", "tracking_id"], ["ts", "kafka_partition", "kafka_offset"]), "b")
 
 
 def q_cdc_upsert(spark, sf_dir):
@@ -211,11 +212,13 @@ def q_cdc_point_update(spark, sf_dir):
 
 
 def q_mor_snapshot(spark, sf_dir):
-    return out_cols(tbl.snapshot_view(spark, build_table(spark, sf_dir, "mor", batches=9)))
+    """All 10 batches, compaction every 3: base covers batches 0..8, batch 9 is a delta."""
+    return out_cols(tbl.snapshot_view(spark, build_table(spark, sf_dir, "mor", min_deltas=3)))
 
 
 def q_mor_read_optimized(spark, sf_dir):
-    return out_cols(tbl.read_optimized_view(spark, build_table(spark, sf_dir, "mor", batches=9)))
+    """Same table: the read-optimised view shows only what compaction folded in."""
+    return out_cols(tbl.read_optimized_view(spark, build_table(spark, sf_dir, "mor", min_deltas=3)))
 
 
 def q_mor_compact(spark, sf_dir):
@@ -364,7 +367,10 @@ FROM ev WHERE cls IN ('delete', 'unflagged')""",
        count(*) AS n
 FROM ev GROUP BY ALL""",
     "cdc_project": _with(EV, LAKE) + f"SELECT {OUT} FROM lake WHERE cls = 'good'",
-    "cdc_precombine": _with(EV, LAKE) + _latest("cls = 'good' AND b = 3", "dt, tracking_id"),
+    "cdc_precombine": _with(EV, LAKE) + f"""SELECT {OUT}, b FROM (
+  SELECT *, row_number() OVER (PARTITION BY b, dt, tracking_id
+                               ORDER BY ts_ms DESC, kafka_partition DESC, kafka_offset DESC) AS rn
+  FROM lake WHERE cls = 'good') WHERE rn = 1""",
     "cdc_upsert": _with(EV, LAKE) + _latest("cls = 'good'", "dt, tracking_id"),
     "cdc_upsert_global": _with(EV, LAKE) + _latest("cls = 'good'", "tracking_id"),
     "cdc_upsert_replay": _with(EV, LAKE) + _latest("cls = 'good'", "dt, tracking_id"),
@@ -383,8 +389,8 @@ SELECT id, tracking_id, shipper_name, shipper_city, customer_name, customer_city
        'DELIVERED' AS status, 'Delhi' AS current_location, estimated_delivery, 'u' AS cdc_operation,
        {UPDATE_TS_MS} AS ts_ms, '2024-01-31' AS dt
 FROM ({_latest("cls = 'good'", 'tracking_id')}) WHERE tracking_id = '{POINT_KEY}'""",
-    "mor_snapshot": _with(EV, LAKE) + _latest("cls = 'good' AND b <= 8", "dt, tracking_id"),
-    "mor_read_optimized": _with(EV, LAKE) + _latest("cls = 'good' AND b <= 7", "dt, tracking_id"),
+    "mor_snapshot": _with(EV, LAKE) + _latest("cls = 'good'", "dt, tracking_id"),
+    "mor_read_optimized": _with(EV, LAKE) + _latest("cls = 'good' AND b <= 8", "dt, tracking_id"),
     "mor_compact": _with(EV, LAKE) + """, v AS (SELECT * FROM (VALUES (1), (3), (5), (7), (9)) t(version)),
 touched AS (SELECT DISTINCT v.version, dt FROM v JOIN lake ON lake.b IN (v.version - 1, v.version)
             WHERE cls = 'good')

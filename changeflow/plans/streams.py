@@ -20,20 +20,32 @@ from changeflow.streaming.apply import Outputs, start_apply
 STREAM_TIMEOUT_S = 900
 
 
-def write_message_files(spark: SparkSession, sf_dir: str, root: str, batches: list[int]) -> None:
-    """Replay files of the change log: one parquet file per fixture batch, in
-    batch order (modification times are set so the file source sees them in
-    that order)."""
+ROWS_PER_FILE = 1_000_000
+
+
+def files_per_batch(spark: SparkSession, sf_dir: str) -> int:
+    """Files per replay batch: at most ``ROWS_PER_FILE`` messages per file."""
+    n = read_table(spark, sf_dir, "events").count()
+    return max(1, -(-n // (NUM_BATCHES * ROWS_PER_FILE)))
+
+
+def write_message_files(spark: SparkSession, sf_dir: str, root: str, batches: list[int],
+                        n_files: int | None = None) -> int:
+    """Replay files of the change log: ``n_files`` parquet files per fixture
+    batch, written in parallel and given modification times in batch order,
+    so a file source with ``maxFilesPerTrigger = n_files`` reads one fixture
+    batch per trigger. Returns ``n_files``."""
+    n_files = n_files or files_per_batch(spark, sf_dir)
     msgs = messages(spark, sf_dir)
     for b in batches:
         stage = f"{root}/_stage/{b}"
-        # Test fixture only: one file per fixture batch so that a file-count
-        # trigger limit maps to whole batches.
-        msgs.filter(F.col("b") == b).drop("b", "cls").repartition(1).write.mode("overwrite").parquet(stage)
-        part = [n for n, _, _, d in fs.list_dir(spark, stage) if n.startswith("part-") and not d][0]
-        dst = f"{root}/src/{b:05d}.parquet"
-        fs.rename(spark, f"{stage}/{part}", dst)
-        fs.set_mtime(spark, dst, 1_700_000_000_000 + b * 1000)
+        msgs.filter(F.col("b") == b).drop("b", "cls").repartition(n_files).write.mode("overwrite").parquet(stage)
+        parts = sorted(n for n, _, _, d in fs.list_dir(spark, stage) if n.startswith("part-") and not d)
+        for i, part in enumerate(parts):
+            dst = f"{root}/src/{b:05d}-{i:05d}.parquet"
+            fs.rename(spark, f"{stage}/{part}", dst)
+            fs.set_mtime(spark, dst, 1_700_000_000_000 + b * 1_000_000 + i)
+    return n_files
 
 
 def run_stream(spark: SparkSession, root: str, spec: TableSpec, files_per_trigger: int) -> None:
@@ -56,13 +68,13 @@ def streamed(spark: SparkSession, sf_dir: str, variant: str) -> tuple[str, Table
     root = scratch_dir(spark, f"stream-{variant}")
     spec = TableSpec(root=f"{root}/table")
     if variant == "restart":
-        write_message_files(spark, sf_dir, root, list(range(5)))
-        run_stream(spark, root, spec, 1)
-        write_message_files(spark, sf_dir, root, list(range(5, NUM_BATCHES)))
-        run_stream(spark, root, spec, 1)
+        n = write_message_files(spark, sf_dir, root, list(range(5)))
+        run_stream(spark, root, spec, n)
+        write_message_files(spark, sf_dir, root, list(range(5, NUM_BATCHES)), n)
+        run_stream(spark, root, spec, n)
     else:
-        write_message_files(spark, sf_dir, root, list(range(NUM_BATCHES)))
-        run_stream(spark, root, spec, 2 if variant == "rate" else 1)
+        n = write_message_files(spark, sf_dir, root, list(range(NUM_BATCHES)))
+        run_stream(spark, root, spec, 2 * n if variant == "rate" else n)
     with _LOCK:
         _BUILT[key] = (root, spec)
     return root, spec
