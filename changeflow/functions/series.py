@@ -93,6 +93,42 @@ def increase(samples: DataFrame, range_s: int, kind: str = "counter", chunk_s: i
     )
 
 
+def range_at_grid(samples: DataFrame, range_s: int, step_s: int, kind: str = "counter",
+                  chunk_s: int = DEFAULT_CHUNK_S) -> DataFrame:
+    """WIN-1 / WIN-2 evaluated on the step grid, as a rule engine does.
+
+    At each grid time t the samples in ``(t - range_s, t]`` give
+    ``increase`` (reset-corrected for counters) and ``rate`` = increase /
+    (last − first sample time in range). Grid points with fewer than two
+    samples in range yield nothing. Returns (metric, series, t, ts,
+    increase, rate).
+    """
+    df = with_series(samples)
+    keys = _keys(df)
+    bounds = df.groupBy(*keys).agg(F.min("t").alias("t0"), F.max("t").alias("t1"))
+    grid = _grid(bounds.select(*keys, (F.ceil(F.col("t0") / step_s) * step_s).cast("bigint").alias("lo"),
+                               (F.col("t1") + range_s).cast("bigint").alias("hi")), keys, step_s, chunk_s)
+    rows = df.select(*keys, "t", "value", F.lit(False).alias("is_grid")).unionByName(
+        grid.select(*keys, "t", F.lit(None).cast("double").alias("value"), F.lit(True).alias("is_grid")))
+    ch = _chunked(rows, chunk_s, range_s)
+    part = Window.partitionBy(*keys, "chunk").orderBy("t", "is_grid")
+    prev = F.last("value", ignorenulls=True).over(part.rowsBetween(Window.unboundedPreceding, -1))
+    if kind == "counter":
+        d = F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") >= prev, F.col("value") - prev).otherwise(F.col("value"))
+    else:
+        d = F.coalesce(F.col("value") - prev, F.lit(0.0))
+    ch = ch.withColumn("_d", F.when(~F.col("is_grid"), d))
+    frame = Window.partitionBy(*keys, "chunk").orderBy("t").rangeBetween(-(range_s - 1), 0)
+    st = F.when(~F.col("is_grid"), F.col("t"))
+    out = ch.select(*keys, "t", "own", "is_grid",
+                    (F.sum("_d").over(frame) - F.first("_d", ignorenulls=True).over(frame)).alias("_inc"),
+                    F.count("_d").over(frame).alias("_n"),
+                    (F.last(st, ignorenulls=True).over(frame) - F.first(st, ignorenulls=True).over(frame)).alias("_cov"))
+    out = out.filter(F.col("own") & F.col("is_grid") & (F.col("_n") >= 2))
+    return out.select(*keys, "t", F.timestamp_seconds("t").alias("ts"), F.col("_inc").alias("increase"),
+                      (F.col("_inc") / F.col("_cov")).alias("rate"))
+
+
 def _grid(bounds: DataFrame, keys: list[str], step_s: int, chunk_s: int) -> DataFrame:
     """Grid points lo, lo+step, ... ≤ hi per series, generated in two steps
     (chunks, then points within a chunk) so no single row expands into a

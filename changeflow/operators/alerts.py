@@ -3,8 +3,8 @@
 Rules are data: a name, severity, component, hold and a builder that turns
 samples into the condition's instant vector on the evaluation grid. Instant
 vectors are (t, metric, series, value); a comparison keeps the rows that
-satisfy it, like PromQL's filtering comparisons. Range functions are taken at
-sample times and then carried onto the grid like any other sample.
+satisfy it, like PromQL's filtering comparisons. Range functions are
+evaluated at the grid times over ``(t - range, t]`` (no extrapolation).
 """
 
 from __future__ import annotations
@@ -38,9 +38,8 @@ class Vectors:
         return self._grid(S.select_metric(self.samples, pattern))
 
     def _range(self, name: str, range_s: int, what: str) -> DataFrame:
-        r = S.increase(self.samples.filter(F.col("metric") == name), range_s)
-        vals = r.filter(F.col(what).isNotNull()).select("ts", "metric", "series", "t", F.col(what).alias("value"))
-        return self._grid(vals)
+        r = S.range_at_grid(self.samples.filter(F.col("metric") == name), range_s, self.step_s)
+        return r.select("ts", "metric", "series", "t", F.col(what).alias("value"))
 
     def increase(self, name: str, range_s: int) -> DataFrame:
         return self._range(name, range_s, "increase")

@@ -92,3 +92,22 @@ def test_and_on_empty_rhs(spark):
     assert S.and_series(a, b, on=[]).count() == 0
     assert S.and_series(a, S.with_series(_samples(spark, [("z", 0, 1)])), on=[]).count() == 1
     assert S.and_series(a, S.with_series(_samples(spark, [("z", 0, 1)]))).count() == 0
+
+
+def test_range_at_grid_matches_brute_force(spark):
+    step, r = 10, 30
+    t0 = int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
+    got = {(row["series"], row["t"] - t0): (row["increase"], row["rate"])
+           for row in S.range_at_grid(_samples(spark, ROWS), r, step).collect()}
+    df = pd.DataFrame(ROWS, columns=["p", "t", "v"])
+    want = {}
+    for p, g in df.groupby("p"):
+        g = g.sort_values("t")
+        for gt in range(int(g.t.min() + step - 1) // step * step, int(g.t.max()) + r + 1, step):
+            w = g[(g.t > gt - r) & (g.t <= gt)]
+            if len(w) < 2:
+                continue
+            vs = list(w.v)
+            inc = sum((b - a) if b >= a else b for a, b in zip(vs, vs[1:]))
+            want[(f"p={p}", gt)] = (inc, inc / (w.t.max() - w.t.min()))
+    assert got == want
