@@ -95,19 +95,58 @@ def _marker_body(spark: SparkSession, path: str, size: int, mtime: int) -> dict:
     return _MARKERS[key]
 
 
+def _fold(state: TableState, upto: int) -> TableState:
+    """The part of ``state`` at or before marker ``upto``, minus what no reader
+    needs: deltas folded into the base, and base partitions superseded by a
+    newer version. Its size is bounded by the number of partitions."""
+    latest = _base_partitions(state, upto)
+    out = TableState(schema=state.schema, cleans=[c for c in state.cleans if c <= upto][-1:])
+    for v, parts in state.commits:
+        if v > upto:
+            continue
+        keep = [p for p in parts if latest.get(p) == v]
+        if keep or v == upto:
+            out.commits.append((v, keep))
+            out.written[v] = set(state.written.get(v, ())) & set(keep)
+    return out
+
+
+def _state_body(state: TableState, upto: int) -> dict:
+    return {"upto": upto, "deltas": state.deltas,
+            "commits": [[v, parts, sorted(state.written.get(v, ()))] for v, parts in state.commits],
+            "cleans": state.cleans, "schema": state.schema.json() if state.schema else None}
+
+
+def _state_from(body: dict) -> TableState:
+    st = TableState(deltas=list(body["deltas"]), cleans=list(body["cleans"]))
+    for v, parts, written in body["commits"]:
+        st.commits.append((v, list(parts)))
+        st.written[v] = set(written)
+    if body.get("schema"):
+        st.schema = T.StructType.fromJson(json.loads(body["schema"]))
+    return st
+
+
 def read_state(spark: SparkSession, spec: TableSpec) -> TableState:
     """Fold the timeline markers into the current table state (metadata only).
 
-    One directory listing per call; marker bodies are cached.
+    One directory listing per call; marker bodies are cached. Cleaning folds
+    old markers into a ``<n>.state`` file, so the listing stays bounded by
+    the retained commits rather than growing with every batch.
     """
-    state = TableState()
     entries = sorted((n, size, mtime) for n, size, mtime, is_dir in fs.list_dir(spark, _timeline(spec)) if not is_dir)
-    deltas = set()
+    snapshots = [(n, size, mtime) for n, size, mtime in entries if n.endswith(".state") and n.split(".")[0].isdigit()]
+    state, upto = TableState(), -1
+    if snapshots:
+        n, size, mtime = snapshots[-1]
+        body = _marker_body(spark, f"{_timeline(spec)}/{n}", size, mtime)
+        state, upto = _state_from(body), body["upto"]
+    deltas = set(state.deltas)
     for name, size, mtime in entries:
         if name.startswith("."):
             continue
         num, _, action = name.partition(".")
-        if not num.isdigit():
+        if not num.isdigit() or action == "state" or int(num) <= upto:
             continue
         body = _marker_body(spark, f"{_timeline(spec)}/{name}", size, mtime)
         if "schema" in body:
@@ -336,14 +375,33 @@ def expired_versions(spark: SparkSession, spec: TableSpec, retain: int = 2) -> D
 
 
 def clean(spark: SparkSession, spec: TableSpec, retain: int = 2, dry_run: bool = True) -> DataFrame:
-    """Delete what ``expired_versions`` lists (guarded by ``dry_run``) and mark it."""
+    """Delete what ``expired_versions`` lists (guarded by ``dry_run``) and mark it.
+
+    After deleting, the timeline up to the oldest retained commit is folded
+    into one ``<n>.state`` file and those markers are removed; superseded
+    state files go too. The path list is bounded by partitions × versions.
+    """
     expired = expired_versions(spark, spec, retain)
-    if not dry_run:
-        paths = [r["path"] for r in expired.select("path").toLocalIterator()]
-        for p in paths:
-            fs.delete(spark, p)
-        state = read_state(spark, spec)
-        fs.write_json(spark, _marker(spec, state.version, "clean"), {"deleted": len(paths)})
+    if dry_run:
+        return expired
+    paths = [r["path"] for r in expired.select("path").toLocalIterator()]
+    for p in paths:
+        fs.delete(spark, p)
+    for parent in sorted({p.rsplit("/", 1)[0] for p in paths}):
+        if not any(is_dir for _, _, _, is_dir in fs.list_dir(spark, parent)):
+            fs.delete(spark, parent)
+    state = read_state(spark, spec)
+    fs.write_json(spark, _marker(spec, state.version, "clean"), {"deleted": len(paths)})
+    commits = [v for v, _ in state.commits]
+    if len(commits) > retain:
+        oldest = commits[-retain]
+        fs.write_json(spark, _marker(spec, oldest, "state"), _state_body(_fold(state, oldest), oldest))
+        for name, _, _, is_dir in fs.list_dir(spark, _timeline(spec)):
+            num, _, action = name.partition(".")
+            if is_dir or not num.isdigit():
+                continue
+            if (action == "state" and int(num) < oldest) or (action != "state" and int(num) <= oldest):
+                fs.delete(spark, f"{_timeline(spec)}/{name}")
     return expired
 
 

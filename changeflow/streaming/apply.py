@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.routing import dead_letters, project_rows, route
-from changeflow.operators.table import TableSpec, apply_changes, change_batch
+from changeflow.operators.table import TableSpec, apply_changes, change_batch, clean
 from changeflow.sources.messages import parse_messages
 
 
@@ -30,6 +30,7 @@ class Outputs:
     dlq_topic: str | None = None
     bootstrap_servers: str | None = None
     tombstones: str = "dead_letter"  # or "skip": NULL-value messages are not kept
+    retain_commits: int | None = None  # clean after each compaction, keeping this many commits
 
 
 def routed_branches(batch: DataFrame, spec: TableSpec, tombstones: str = "dead_letter"):
@@ -56,7 +57,9 @@ def batch_writer(spec: TableSpec, outputs: Outputs):
         routed, changes, dead, dropped = routed_branches(batch, spec, outputs.tombstones)
         routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            apply_changes(spark, spec, changes, batch_id)
+            state = apply_changes(spark, spec, changes, batch_id)
+            if outputs.retain_commits and state.version == batch_id:
+                clean(spark, spec, outputs.retain_commits, dry_run=False)
             if outputs.dlq_format == "kafka":
                 (dead.write.format("kafka")
                  .option("kafka.bootstrap.servers", outputs.bootstrap_servers)

@@ -123,3 +123,26 @@ def test_partition_filter_prunes(spark, tmp_table):
     plan = view._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-01-02" in plan
     assert view.count() == 1
+
+
+def test_clean_folds_timeline(spark, tmp_table):
+    from changeflow.sources import fs
+
+    spec = TableSpec(root=tmp_table, min_deltas=1)
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    for b in range(8):
+        d = days[b % 3] if b < 6 else days[0]
+        tbl.apply_changes(spark, spec, _batch(spark, [(f"K{b % 4}", f"s{b}", _t(1 + b % 3, b), d, 0, b)]), b)
+    before = _rows(tbl.snapshot_view(spark, spec))
+    tbl.clean(spark, spec, retain=2, dry_run=False)
+    names = [n for n, _, _, _ in fs.list_dir(spark, f"{tmp_table}/_timeline")]
+    assert any(n.endswith(".state") for n in names)
+    assert len([n for n in names if n.endswith(".deltacommit")]) <= 2
+    assert _rows(tbl.snapshot_view(spark, spec)) == before
+    assert _rows(tbl.read_optimized_view(spark, spec)) == before
+    # Keep writing after the fold: state and new markers combine.
+    tbl.apply_changes(spark, spec, _batch(spark, [("K9", "new", _t(3, 59), days[2], 0, 99)]), 8)
+    assert len(_rows(tbl.snapshot_view(spark, spec))) == len(before) + 1
+    tbl.clean(spark, spec, retain=2, dry_run=False)
+    assert len(_rows(tbl.snapshot_view(spark, spec))) == len(before) + 1
+    assert tbl.read_state(spark, spec).version == 8
