@@ -201,7 +201,7 @@ def firing(cond: DataFrame, hold_s: int, step_s: int, chunk_s: int = DEFAULT_CHU
 
 
 def and_series(a: DataFrame, b: DataFrame, on: Sequence[str] | None = None) -> DataFrame:
-    """JOIN-3 / JOIN-4: PromQL ``a and b`` (match on time + labels) or ``a and on(...) b``.
+    """JOIN-3 / JOIN-4: rule-language ``a and b`` (match on time + labels) or ``a and on(...) b``.
 
     ``on=None`` matches the label set; ``on=[]`` matches time only (keep a
     whenever any b sample exists at that time).

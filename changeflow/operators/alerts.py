@@ -3,7 +3,7 @@
 Rules are data: a name, severity, component, hold and a builder that turns
 samples into the condition's instant vector on the evaluation grid. Instant
 vectors are (t, metric, series, value); a comparison keeps the rows that
-satisfy it, like PromQL's filtering comparisons. Range functions are
+satisfy it, like rule-language filtering comparisons. Range functions are
 evaluated at the grid times over ``(t - range, t]`` (no extrapolation).
 """
 

@@ -43,7 +43,12 @@ def scrape_totals(scrapes: DataFrame, now: Column) -> DataFrame:
 
 def pipeline_metrics(now: Column, messages: DataFrame, checkpoint_files: DataFrame, topic: str,
                      status: DataFrame, listing: DataFrame, table_prefix: str, scrapes: DataFrame) -> DataFrame:
-    """All 22 metrics at ``now`` as samples."""
+    """All 22 metrics at ``now`` as samples.
+
+    Fixed values: the metric names below (prefix ``pipeline_``) are the
+    reference's exported names, so rules and panels written against them work
+    unchanged.
+    """
     latest = O.latest_offsets(messages).filter(F.col("topic") == topic)
     totals = O.offset_totals(latest)
     lag = O.consumer_lag(O.checkpoint_offsets(checkpoint_files, topic), latest)

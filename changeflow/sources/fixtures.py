@@ -294,7 +294,7 @@ def scrape_history(events: DataFrame) -> DataFrame:
 def scrape_log(events: DataFrame) -> DataFrame:
     """Exporter scrapes per event hour: (ts, errors, duration_s).
 
-    errors = MySQL down + task state missing (failed requests); duration =
+    errors = database down + task state missing (failed requests); duration =
     events in the hour / 10 seconds.
     """
     h = events.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("ts")).agg(
