@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from changeflow.operators import table as tbl
 from changeflow.operators.latest import precombine
 from changeflow.operators.routing import (
-    bucket_of, dead_letters, latest_sorted, peek, point_lookup, project_rows, route,
+    bucket_of, latest_sorted, peek, point_lookup, project_rows, route,
 )
 from changeflow.operators.table import TableSpec
 from changeflow.session import prepare, scratch_dir

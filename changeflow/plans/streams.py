@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators import table as tbl
 from changeflow.operators.latest import precombine
 from changeflow.operators.quality import apply_defaults, violations
 from changeflow.operators.table import TableSpec
-from changeflow.plans.cdc import _BUILT, _LOCK, EV, LAKE, OUT, _events, _latest, _with, lake_rows, messages, out_cols
+from changeflow.plans.cdc import _BUILT, _LOCK, EV, LAKE, _latest, _with, lake_rows, messages, out_cols
 from changeflow.session import scratch_dir
 from changeflow.sources import fs
 from changeflow.sources.diff import snapshot_diff

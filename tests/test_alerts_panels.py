@@ -1,6 +1,5 @@
 """Alert rules and panels end to end on the scrape history of sf0.001."""
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from changeflow.functions import series as S
