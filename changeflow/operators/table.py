@@ -188,11 +188,18 @@ def apply_changes(spark: SparkSession, spec: TableSpec, batch: DataFrame, batch_
                   compact_after: bool = True) -> TableState:
     """TBL-1 / TBL-5: precombine one batch and publish it as delta ``batch_id``.
 
-    ``batch`` holds lake rows with position columns and ``_is_delete``. Under
+    Batch ids must increase; re-applying an existing batch id is a replay
+    and yields the same state. ``batch`` holds lake rows with position
+    columns and ``_is_delete``. Under
     ``deletes="ignore"`` delete rows are discarded before the write. The
     in-batch precombine is a partial + final aggregate (skew-safe); the write
     is one file per (task, dt), which compaction later packs.
     """
+    before = read_state(spark, spec)
+    if batch_id <= before.version and batch_id not in before.deltas:
+        # Readers skip batches at or below the compacted version, so a new
+        # batch there would be lost. Batch ids must increase (a stream's do).
+        raise ValueError(f"batch {batch_id} is not after compacted version {before.version}")
     if DELETE_FLAG not in batch.columns:
         batch = batch.withColumn(DELETE_FLAG, F.lit(False))
     if spec.deletes == "ignore":

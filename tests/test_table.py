@@ -171,11 +171,24 @@ def test_fold_order_independent_on_change_log(spark, tmp_table):
 
     sf = "/root/testdata/sf0.001"
     spec = TableSpec(root=tmp_table, min_deltas=3)
-    for b in [7, 2, 9, 0, 5, 1, 8, 3, 6, 4]:
-        tbl.apply_changes(spark, spec, tbl.change_batch(cdc.lake_rows(spark, sf, b).drop("b")), b)
+    # Batch ids increase with arrival (as in a stream); the data arrives shuffled.
+    for i, b in enumerate([7, 2, 9, 0, 5, 1, 8, 3, 6, 4]):
+        tbl.apply_changes(spark, spec, tbl.change_batch(cdc.lake_rows(spark, sf, b).drop("b")), i)
     one_shot = precombine(cdc.lake_rows(spark, sf).drop("b"), ["dt", "tracking_id"],
                           ["ts", "kafka_partition", "kafka_offset"])
     cols = ["dt", "tracking_id", "status", "kafka_offset"]
     got = sorted(tuple(r) for r in tbl.snapshot_view(spark, spec).select(*cols).collect())
     assert got == sorted(tuple(r) for r in one_shot.select(*cols).collect())
     assert len(got) == 383
+
+
+def test_stale_batch_id_is_rejected(spark, tmp_table):
+    import pytest
+
+    spec = TableSpec(root=tmp_table, min_deltas=1)
+    tbl.apply_changes(spark, spec, _batch(spark, [("A", "s1", _t(1), "2024-01-01", 0, 1)]), 5)
+    with pytest.raises(ValueError):
+        tbl.apply_changes(spark, spec, _batch(spark, [("B", "s1", _t(1), "2024-01-01", 0, 2)]), 3)
+    # Replaying an already folded batch is allowed (idempotent).
+    tbl.apply_changes(spark, spec, _batch(spark, [("A", "s1", _t(1), "2024-01-01", 0, 1)]), 5)
+    assert tbl.snapshot_view(spark, spec).count() == 1
