@@ -15,7 +15,7 @@ from changeflow.sources import fs
 from changeflow.sources.diff import snapshot_diff
 from changeflow.sources.fixtures import NUM_BATCHES, read_table
 from changeflow.sources.messages import MessageSource, read_messages
-from changeflow.streaming.apply import Outputs, start_apply
+from changeflow.streaming.apply import Outputs, finish_apply, start_apply
 
 STREAM_TIMEOUT_S = 900
 
@@ -48,11 +48,12 @@ def write_message_files(spark: SparkSession, sf_dir: str, root: str, batches: li
     return n_files
 
 
-def run_stream(spark: SparkSession, root: str, spec: TableSpec, files_per_trigger: int) -> None:
+def run_stream(spark: SparkSession, root: str, spec: TableSpec, files_per_trigger: int,
+               compaction: str = "inline") -> None:
     src = read_messages(spark, MessageSource(f"{root}/src", format="parquet", max_per_trigger=files_per_trigger))
-    q = start_apply(src, spec, f"{root}/checkpoint", Outputs(f"{root}/dlq", f"{root}/dropped"),
-                    available_now=True)
-    q.awaitTermination(STREAM_TIMEOUT_S)
+    q = start_apply(src, spec, f"{root}/checkpoint",
+                    Outputs(f"{root}/dlq", f"{root}/dropped", compaction=compaction), available_now=True)
+    finish_apply(q, STREAM_TIMEOUT_S)
     if q.isActive:
         q.stop()
         raise TimeoutError("stream did not finish")

@@ -10,6 +10,8 @@ between write and checkpoint commit) produces the same state.
 
 from __future__ import annotations
 
+import threading
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.routing import dead_letters, project_rows, route
-from changeflow.operators.table import TableSpec, apply_changes, change_batch, clean
+from changeflow.operators.table import TableSpec, apply_changes, change_batch, clean, compact, read_state
 from changeflow.sources.messages import parse_messages
 
 
@@ -31,6 +33,7 @@ class Outputs:
     bootstrap_servers: str | None = None
     tombstones: str = "dead_letter"  # or "skip": NULL-value messages are not kept
     retain_commits: int | None = None  # clean after each compaction, keeping this many commits
+    compaction: str = "inline"  # "inline" (deterministic), "async" (background, overlaps batches), "off"
 
 
 def routed_branches(batch: DataFrame, spec: TableSpec, tombstones: str = "dead_letter"):
@@ -49,17 +52,65 @@ def routed_branches(batch: DataFrame, spec: TableSpec, tombstones: str = "dead_l
     return routed, change_batch(good, deletes), dead, dropped
 
 
-def batch_writer(spec: TableSpec, outputs: Outputs):
+class Compactor:
+    """Table maintenance after each batch: inline, or on one background thread.
+
+    Async mode mirrors an asynchronous compactor: a compaction (then a clean,
+    if configured) starts when enough batches are pending and none is running;
+    the stream keeps writing deltas meanwhile (new batch ids are always above
+    the version being compacted, so they stay pending). ``drain`` waits and
+    then compacts whatever is still pending, so the final state does not
+    depend on timing.
+    """
+
+    def __init__(self, spec: TableSpec, outputs: Outputs, spark=None):
+        self.spec, self.outputs, self.spark = spec, outputs, spark
+        self._pool = ThreadPoolExecutor(max_workers=1) if outputs.compaction == "async" else None
+        self._future: Future | None = None
+        self._lock = threading.Lock()
+
+    def _maintain(self, spark) -> None:
+        state = read_state(spark, self.spec)
+        if len([b for b in state.deltas if b > state.version]) >= self.spec.min_deltas:
+            compact(spark, self.spec, state)
+            if self.outputs.retain_commits:
+                clean(spark, self.spec, self.outputs.retain_commits, dry_run=False)
+
+    def after_batch(self, spark) -> None:
+        if self.outputs.compaction == "off" or not self.spec.min_deltas:
+            return
+        if self._pool is None:
+            self._maintain(spark)
+            return
+        with self._lock:
+            if self._future is not None and not self._future.done():
+                return
+            if self._future is not None:
+                self._future.result()  # surface a failed compaction
+            self._future = self._pool.submit(self._maintain, spark)
+
+    def drain(self, spark=None) -> None:
+        spark = spark or self.spark
+        if self._pool is not None:
+            with self._lock:
+                if self._future is not None:
+                    self._future.result()
+                self._future = None
+        if self.outputs.compaction != "off" and self.spec.min_deltas:
+            self._maintain(spark)
+
+
+def batch_writer(spec: TableSpec, outputs: Outputs, compactor: Compactor | None = None):
     """The ``foreachBatch`` function: apply changes, write dead letters and drops."""
+    compactor = compactor or Compactor(spec, outputs)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         routed, changes, dead, dropped = routed_branches(batch, spec, outputs.tombstones)
         routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            state = apply_changes(spark, spec, changes, batch_id)
-            if outputs.retain_commits and state.version == batch_id:
-                clean(spark, spec, outputs.retain_commits, dry_run=False)
+            apply_changes(spark, spec, changes, batch_id, compact_after=False)
+            compactor.after_batch(spark)
             if outputs.dlq_format == "kafka":
                 (dead.write.format("kafka")
                  .option("kafka.bootstrap.servers", outputs.bootstrap_servers)
@@ -74,20 +125,40 @@ def batch_writer(spec: TableSpec, outputs: Outputs):
     return write
 
 
+_COMPACTORS: dict[str, Compactor] = {}
+
+
 def start_apply(stream: DataFrame, spec: TableSpec, checkpoint: str, outputs: Outputs,
                 trigger: str | None = "30 seconds", available_now: bool = False,
                 name: str | None = None) -> StreamingQuery:
-    """Start the change-apply query (append mode, own checkpoint)."""
+    """Start the change-apply query (append mode, own checkpoint).
+
+    Call ``finish_apply(query)`` after the query ends to wait for background
+    maintenance (async compaction)."""
+    compactor = Compactor(spec, outputs, stream.sparkSession)
     writer = (stream.writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(batch_writer(spec, outputs)))
+              .foreachBatch(batch_writer(spec, outputs, compactor)))
     if name:
         writer = writer.queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    query = writer.start()
+    _COMPACTORS[query.id] = compactor
+    return query
+
+
+def finish_apply(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for the query to end, then drain its table maintenance."""
+    if timeout_s is None:
+        query.awaitTermination()
+    else:
+        query.awaitTermination(timeout_s)
+    compactor = _COMPACTORS.pop(query.id, None)
+    if compactor is not None and not query.isActive:
+        compactor.drain()
 
 
 def await_any(spark, timeout_s: float | None = None) -> None:

@@ -8,7 +8,7 @@ from changeflow.plans import streams
 from changeflow.session import scratch_dir
 from changeflow.sources import fs
 from changeflow.sources.messages import MessageSource, read_messages
-from changeflow.streaming.apply import Outputs, start_apply
+from changeflow.streaming.apply import Outputs, finish_apply, start_apply
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,7 +20,7 @@ def test_stream_with_cleaning(spark):
     src = read_messages(spark, MessageSource(f"{root}/src", max_per_trigger=n))
     q = start_apply(src, spec, f"{root}/ckpt", Outputs(f"{root}/dlq", f"{root}/dropped", retain_commits=2),
                     available_now=True)
-    q.awaitTermination(600)
+    finish_apply(q, 600)
     assert q.exception() is None
     state = tbl.read_state(spark, spec)
     assert state.version == 9
@@ -33,3 +33,14 @@ def test_stream_with_cleaning(spark):
     dropped = spark.read.parquet(f"{root}/dropped")
     assert dropped.groupBy("reason").count().orderBy("reason").collect()[0]["count"] == 20
     assert dropped.filter(F.col("reason").isin("delete", "unflagged")).count() == 40
+
+
+def test_async_compaction_same_result(spark):
+    root = scratch_dir(spark, "stream-async")
+    n = streams.write_message_files(spark, SF, root, list(range(10)))
+    spec = TableSpec(root=f"{root}/table")
+    streams.run_stream(spark, root, spec, n, compaction="async")
+    state = tbl.read_state(spark, spec)
+    assert len([b for b in state.deltas if b > state.version]) < spec.min_deltas
+    assert tbl.snapshot_view(spark, spec).count() == 383
+    assert tbl.read_optimized_view(spark, spec).count() <= 383
