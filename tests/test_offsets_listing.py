@@ -73,6 +73,7 @@ def test_file_classes(spark):
     inv = L.file_inventory(files).first()
     assert (inv["data_files_total"], inv["base_files_total"], inv["log_files_total"], inv["table_size_bytes"]) == (5, 2, 2, 30)
     assert L.file_groups(files).first()["file_groups_total"] == 2
+    assert L.file_groups(files, approx_rsd=0.05).first()["file_groups_total"] == 2
 
 
 def test_list_files_sees_hidden(spark, tmp_table):
