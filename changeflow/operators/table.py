@@ -340,9 +340,11 @@ def compact(spark: SparkSession, spec: TableSpec, state: TableState | None = Non
     touched = _touched_partitions(spark, spec, state, pending, deltas)
     base = read_base(spark, spec, state, only=touched).select(*cols)
     merged = precombine(base.unionByName(deltas), spec.merge_keys, spec.order)
-    # One writer task per (dt, bucket): bounded files per partition, and a hot
-    # dt is spread over num_buckets tasks.
-    out = merged.repartition(F.col(spec.partition), F.col(BUCKET))
+    # Cluster by (dt, bucket): bounded files per partition and a hot dt is
+    # spread over num_buckets tasks. ``rebalance`` (rather than repartition)
+    # lets AQE split an oversized (dt, bucket) and merge small ones, so file
+    # sizes stay even under skew.
+    out = merged.hint("rebalance", spec.partition, BUCKET)
     path = f"{spec.root}/base/v={version}"
     out.write.mode("overwrite").partitionBy(spec.partition).parquet(path)
     fs.write_json(spark, _marker(spec, version, "commit"),
