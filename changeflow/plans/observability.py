@@ -13,7 +13,7 @@ from changeflow.plans.cdc import EV, _events, messages
 from changeflow.sources import fixtures as FX
 from changeflow.sources import listing as L
 from changeflow.sources import offsets as O
-from changeflow.sources.progress import progress_metrics
+from changeflow.sources.progress import latest_from_progress, progress_metrics, progress_offsets
 
 NOW = "2024-02-01 00:00:00"
 NOW_SQL = f"TIMESTAMP '{NOW}'"
@@ -102,6 +102,14 @@ def q_progress_metrics(spark, sf_dir):
     return progress_metrics(FX.progress_lines(_msgs(spark, sf_dir)))
 
 
+def q_progress_offsets(spark, sf_dir):
+    return progress_offsets(FX.progress_lines(_msgs(spark, sf_dir)))
+
+
+def q_progress_latest(spark, sf_dir):
+    return latest_from_progress(progress_offsets(FX.progress_lines(_msgs(spark, sf_dir))))
+
+
 def all_metrics(spark, sf_dir) -> DataFrame:
     ev = _events(spark, sf_dir)
     msgs = _msgs(spark, sf_dir)
@@ -206,6 +214,8 @@ QUERIES = {
     "file_inventory": q_file_inventory,
     "file_groups": q_file_groups,
     "progress_metrics": q_progress_metrics,
+    "progress_offsets": q_progress_offsets,
+    "progress_latest": q_progress_latest,
     "metrics_all": q_metrics_all,
     "ts_increase": q_ts_increase,
     "ts_rate": q_ts_rate,
@@ -322,6 +332,14 @@ UNION ALL SELECT 9, '{TOPIC}', '99', 5""",
     "file_groups": _w(FILES) + FILE_GROUPS,
     "progress_metrics": """SELECT event_id % 10 AS batch_id, count(*) * 7 AS trigger_ms, count(*) / 30.0 AS input_rows_per_second
 FROM events GROUP BY 1""",
+    "progress_offsets": _w(EV, "bp AS (SELECT b, part, max(event_id) AS mx FROM ev GROUP BY b, part)",
+                           "hw AS (SELECT part, max(event_id) + 1 AS hw FROM ev GROUP BY part)") + f"""
+SELECT bb.b AS batch_id, '{TOPIC}' AS topic, CAST(bb.part AS VARCHAR) AS partition,
+       (SELECT max(mx) FROM bp WHERE bp.part = bb.part AND bp.b <= bb.b) + 1 AS end_offset, hw.hw AS latest_offset,
+       greatest(0, hw.hw - ((SELECT max(mx) FROM bp WHERE bp.part = bb.part AND bp.b <= bb.b) + 1)) AS lag
+FROM bp bb JOIN hw USING (part)""",
+    "progress_latest": _w(EV) + f"""SELECT '{TOPIC}' AS topic, CAST(part AS VARCHAR) AS partition,
+       max(event_id) + 1 AS latest_offset FROM ev GROUP BY part""",
     "metrics_all": METRICS_ALL,
     "ts_increase": _w(EV, HOURLY, _rate_cte("r", "produced", 10_800)) + "SELECT series, t, v AS value, increase FROM r",
     "ts_rate": _w(EV, HOURLY, _rate_cte("r", "produced", 10_800)) + "SELECT series, t, rate FROM r",

@@ -220,14 +220,34 @@ def component_status(events: DataFrame) -> DataFrame:
 
 
 def progress_lines(msgs: DataFrame) -> DataFrame:
-    """Streaming progress as JSON text, one line per batch (``value`` column)."""
+    """Streaming progress as JSON text, one line per batch (``value`` column).
+
+    Batch b reports its duration, input rate, and a broker source whose
+    ``endOffset`` is what was consumed after batch b and whose
+    ``latestOffset`` is the topic's high watermark.
+    """
+    from pyspark.sql import Window
+
     per = msgs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    bp = msgs.groupBy("b", "partition").agg(F.max("offset").alias("mx"))
+    w = Window.partitionBy("partition").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    hw = msgs.groupBy("partition").agg((F.max("offset") + 1).alias("hw"))
+    run = bp.withColumn("consumed", F.max("mx").over(w) + 1).join(hw, "partition")
+    offs = run.groupBy("b").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("partition").cast("string"), "consumed"))).alias("end"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("partition").cast("string"), "hw"))).alias("latest"))
+    src = F.struct(
+        F.lit(f"KafkaV2[Subscribe[{TOPIC}]]").alias("description"),
+        F.create_map(F.lit(TOPIC), F.col("end")).alias("endOffset"),
+        F.create_map(F.lit(TOPIC), F.col("latest")).alias("latestOffset"),
+        F.col("n").alias("numInputRows"))
     doc = F.struct(
         F.col("b").alias("batchId"),
         F.struct((F.col("n") * 7).alias("triggerExecution"), (F.col("n") * 5).alias("addBatch")).alias("durationMs"),
         (F.col("n") / F.lit(30.0)).alias("inputRowsPerSecond"),
+        F.array(src).alias("sources"),
     )
-    return per.select(F.to_json(doc).alias("value"))
+    return per.join(offs, "b").select(F.to_json(doc).alias("value"))
 
 
 def hourly_samples(events: DataFrame) -> DataFrame:

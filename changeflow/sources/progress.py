@@ -29,3 +29,36 @@ def progress_samples(progress: DataFrame, app: str = "app", query: str = "query"
         F.struct(F.lit(base + "triggerExecution_Value").alias("metric"), F.col("trigger_ms").cast("double").alias("value")),
         F.struct(F.lit(base + "inputRate_total_Value").alias("metric"), F.col("input_rows_per_second").alias("value")),
     )).alias("s")).select("ts", "s.metric", empty.alias("labels"), "s.value")
+
+
+SOURCES_SCHEMA = ("batchId bigint, sources array<struct<description:string, startOffset:string, "
+                  "endOffset:string, latestOffset:string, numInputRows:bigint>>")
+OFFSETS = "map<string,map<string,bigint>>"
+
+
+def progress_offsets(lines: DataFrame, text_col: str = "value") -> DataFrame:
+    """Per batch and source partition: consumed (end) and available (latest)
+    offsets from progress records, and their difference as lag.
+
+    Broker sources report ``{topic: {partition: offset}}`` for ``endOffset``
+    and ``latestOffset``; this reads the high watermark the consumer itself
+    saw, so no topic scan is needed for latest offsets or lag. Sources with
+    other offset formats (files) yield no rows.
+    Returns (batch_id, topic, partition, end_offset, latest_offset, lag).
+    """
+    p = lines.select(F.from_json(F.col(text_col), SOURCES_SCHEMA).alias("p")).filter(F.col("p").isNotNull())
+    src = p.select(F.col("p.batchId").alias("batch_id"), F.explode("p.sources").alias("s")).select(
+        "batch_id", F.from_json("s.endOffset", OFFSETS).alias("end"),
+        F.from_json("s.latestOffset", OFFSETS).alias("latest"))
+    topics = src.select("batch_id", "latest", F.explode("end").alias("topic", "parts"))
+    rows = topics.select("batch_id", "topic", "latest", F.explode("parts").alias("partition", "end_offset"))
+    latest = F.try_element_at(F.try_element_at("latest", F.col("topic")), F.col("partition"))
+    return rows.select("batch_id", "topic", "partition", "end_offset", latest.alias("latest_offset"),
+                       F.greatest(F.lit(0), latest - F.col("end_offset")).alias("lag"))
+
+
+def latest_from_progress(offsets: DataFrame) -> DataFrame:
+    """SRC-7 from the consumer's side: newest reported high watermark per
+    (topic, partition), as (topic, partition, latest_offset)."""
+    return offsets.groupBy("topic", "partition").agg(
+        F.max_by("latest_offset", "batch_id").alias("latest_offset"))
