@@ -262,6 +262,19 @@ def q_catalog_register(spark, sf_dir):
     return spark.sql("SELECT tracking_id, dt, status, current_location FROM shipments_mor_rt")
 
 
+def q_table_timeline_counts(spark, sf_dir):
+    """The timeline metrics run on this library's own table (10 batches, compaction every 2)."""
+    from changeflow.sources import listing as L
+
+    spec = build_table(spark, sf_dir)
+    from changeflow.sources import fs
+
+    timeline = L.parse_timeline(L.list_files(spark, spec.root), fs.qualify(spark, f"{spec.root}/_timeline"))
+    return L.timeline_counts(timeline).join(
+        L.inflight_count(L.timeline_instants(timeline))).select(
+        "deltacommit_count", "commit_count", "clean_count", "inflight_operations")
+
+
 def q_flagship(spark, sf_dir):
     """README's query on the snapshot: one-shot latest-wins, sorted by key."""
     rows = lake_rows(spark, sf_dir).drop("b")
@@ -296,6 +309,7 @@ QUERIES = {
     "bucket_assign": q_bucket_assign,
     "catalog_register": q_catalog_register,
     "cdc_latest_sorted": q_flagship,
+    "table_timeline_counts": q_table_timeline_counts,
 }
 
 # ---------------------------------------------------------------------------
@@ -417,6 +431,7 @@ FROM ({_latest("cls = 'good'", 'dt, tracking_id')}) ORDER BY tracking_id, dt""",
 WHERE cls IN ('tombstone', 'malformed', 'nokey') ORDER BY part, event_id LIMIT 10""",
     "catalog_register": _with(EV, LAKE) + f"""SELECT tracking_id, dt, status, current_location
 FROM ({_latest("cls = 'good'", 'dt, tracking_id')})""",
+    "table_timeline_counts": "SELECT 10 AS deltacommit_count, 5 AS commit_count, 0 AS clean_count, 0 AS inflight_operations",
     "cdc_latest_sorted": _with(EV, LAKE) + f"""SELECT tracking_id, dt, status, current_location
 FROM ({_latest("cls = 'good'", 'dt, tracking_id')}) ORDER BY tracking_id, dt""",
 }

@@ -95,3 +95,9 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
 def set_mtime(spark: SparkSession, path: str, mtime_ms: int) -> None:
     fs, p = _fs(spark, path)
     fs.setTimes(p, mtime_ms, -1)
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified form of ``path`` (scheme included), as listings report it."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()

@@ -85,19 +85,24 @@ def inflight_count(instants: DataFrame) -> DataFrame:
     return instants.agg(F.count_if("truly_inflight").alias("inflight_operations"))
 
 
-def classify_files(listing: DataFrame, table_prefix: str) -> DataFrame:
+def classify_files(listing: DataFrame, table_prefix: str, timeline_dir: str = ".hoodie",
+                   ignore_names: str | None = None) -> DataFrame:
     """SRC-9 / FN-9 / FN-10: data files under the table with kind and file group.
 
-    Excludes the timeline folder and partition metadata. ``kind``: ``log`` for
+    Excludes the timeline folder (``timeline_dir``), partition metadata and
+    names matching ``ignore_names`` (e.g. commit-protocol files of a plain
+    parquet table). ``kind``: ``log`` for
     any name starting with "." (reference rule), ``base`` for ``*.parquet``,
     else ``other`` (counted in the total only). File group = text before the
     first "_" (leading "." dropped), null when there is no "_".
     """
     prefix = table_prefix.rstrip("/") + "/"
     files = listing.filter(F.col("path").startswith(prefix)
-                           & ~F.col("path").contains("/.hoodie/")
+                           & ~F.col("path").contains(f"/{timeline_dir}/")
                            & ~F.col("path").endswith(".hoodie_partition_metadata"))
     name = base_name(F.col("path"))
+    if ignore_names:
+        files = files.filter(~name.rlike(ignore_names))
     kind = (F.when(name.startswith("."), F.lit("log"))
             .when(name.endswith(".parquet"), F.lit("base")).otherwise(F.lit("other")))
     group = (F.when(kind == "log", F.nullif(F.regexp_extract(name, r"^\.([^_]+)_", 1), F.lit("")))

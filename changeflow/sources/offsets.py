@@ -14,10 +14,11 @@ def read_checkpoint_files(spark: SparkSession, checkpoint_dir: str, consumed_fro
     that also have a file under ``commits/`` (finished batches).
     """
     root = checkpoint_dir.rstrip("/")
-    files = (spark.read.option("wholetext", "true").text(f"{root}/offsets")
+    # ``wholetext`` must be the keyword: ``text()`` would override the option.
+    files = (spark.read.text(f"{root}/offsets", wholetext=True)
              .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")))
     if consumed_from == "commits":
-        done = spark.read.option("wholetext", "true").text(f"{root}/commits").select(
+        done = spark.read.text(f"{root}/commits", wholetext=True).select(
             F.col("_metadata.file_name").alias("file_name"))
         files = committed_only(files, done)
     return files

@@ -44,3 +44,20 @@ def test_async_compaction_same_result(spark):
     assert len([b for b in state.deltas if b > state.version]) < spec.min_deltas
     assert tbl.snapshot_view(spark, spec).count() == 383
     assert tbl.read_optimized_view(spark, spec).count() <= 383
+
+
+def test_read_real_checkpoint(spark):
+    """The offsets reader on a checkpoint Spark wrote (file source offsets)."""
+    from changeflow.sources import offsets as O
+
+    root = scratch_dir(spark, "stream-ckpt")
+    n = streams.write_message_files(spark, SF, root, list(range(3)))
+    streams.run_stream(spark, root, TableSpec(root=f"{root}/table"), n)
+    files = O.read_checkpoint_files(spark, f"{root}/checkpoint")
+    assert sorted(r["file_name"] for r in files.collect()) == ["0", "1", "2"]
+    done = O.read_checkpoint_files(spark, f"{root}/checkpoint", consumed_from="commits")
+    assert done.count() == 3
+    text = files.filter(F.col("file_name") == "2").first()["text"]
+    assert len(text.strip().split("\n")) >= 3
+    # A file source records {"logOffset": n}: no broker topic map, so no rows.
+    assert O.checkpoint_offsets(files, "any").count() == 0
