@@ -192,6 +192,22 @@ def q_alerts_all(spark, sf_dir):
         "alert", "severity", "component", "series", "t", "active_since", "state")
 
 
+def _one_rule(spark, sf_dir, name):
+    rule = next(r for r in A.RULES if r.name == name)
+    return A.evaluate(FX.scrape_history(_events(spark, sf_dir)), [rule]).select(
+        "alert", "series", "t", "active_since", "state")
+
+
+def q_alert_rule_instant(spark, sf_dir):
+    """PipelineStalled end to end: instant grid, threshold, 2-minute hold."""
+    return _one_rule(spark, sf_dir, "PipelineStalled")
+
+
+def q_alert_rule_range(spark, sf_dir):
+    """ProducerConsumerRateDivergence end to end: rate over 2m at grid times, hold 3m."""
+    return _one_rule(spark, sf_dir, "ProducerConsumerRateDivergence")
+
+
 def q_panels_all(spark, sf_dir):
     samples = FX.scrape_history(_events(spark, sf_dir)).cache()
     out = None
@@ -226,6 +242,8 @@ QUERIES = {
     "alert_hold": q_alert_hold,
     "alert_and": q_alert_and,
     "alert_and_on": q_alert_and_on,
+    "alert_rule_instant": q_alert_rule_instant,
+    "alert_rule_range": q_alert_rule_range,
     "alerts_all": q_alerts_all,
     "panels_all": q_panels_all,
 }
@@ -365,6 +383,37 @@ WHERE rp.rate IS NOT NULL AND ra.rate IS NOT NULL""",
                      "r AS (SELECT *, max(start) OVER (PARTITION BY series ORDER BY t ROWS UNBOUNDED PRECEDING) AS since FROM st)")
     + """SELECT series, t, since AS active_since,
        CASE WHEN t - since >= 7200 THEN 'firing' ELSE 'pending' END AS state FROM r WHERE active""",
+    "alert_rule_instant": _w(
+        "ticks AS (SELECT (epoch_us(ts) // 1000000) // 15 * 15 AS t, max(event_id) AS i FROM events GROUP BY 1)",
+        "s AS (SELECT t, CAST((i % 40) * 15 AS DOUBLE) AS v FROM ticks)",
+        "b AS (SELECT min(t) AS t0, max(t) AS t1 FROM s)",
+        "g AS (SELECT unnest(range(CAST(ceil(t0 / 30.0) * 30 AS BIGINT), t1 + 300 + 1, 30)) AS t FROM b)",
+        "u AS (SELECT t, v, false AS is_grid FROM s UNION ALL SELECT t, NULL, true FROM g)",
+        """x AS (SELECT t, is_grid, last_value(v IGNORE NULLS) OVER (ORDER BY t
+                RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) AS v FROM u)""",
+        "c AS (SELECT t FROM x WHERE is_grid AND v IS NOT NULL AND v > 300)",
+        """st AS (SELECT t, CASE WHEN lag(t) OVER (ORDER BY t) IS NULL OR t - lag(t) OVER (ORDER BY t) > 30
+                 THEN t END AS start FROM c)""",
+        "r AS (SELECT t, max(start) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING) AS since FROM st)")
+    + """SELECT 'PipelineStalled' AS alert, '' AS series, t, since AS active_since,
+       CASE WHEN t - since >= 120 THEN 'firing' ELSE 'pending' END AS state FROM r""",
+    "alert_rule_range": _w(
+        "ticks AS (SELECT (epoch_us(ts) // 1000000) // 15 * 15 AS t, max(value) AS x FROM events GROUP BY 1)",
+        "s AS (SELECT t, CAST(floor(x * 40000) AS DOUBLE) AS v FROM ticks)",
+        "b AS (SELECT min(t) AS t0, max(t) AS t1 FROM s)",
+        "g AS (SELECT unnest(range(CAST(ceil(t0 / 30.0) * 30 AS BIGINT), t1 + 120 + 1, 30)) AS t FROM b)",
+        """d AS (SELECT t, CASE WHEN lag(v) OVER (ORDER BY t) IS NULL THEN 0
+                 WHEN v >= lag(v) OVER (ORDER BY t) THEN v - lag(v) OVER (ORDER BY t) ELSE v END AS d FROM s)""",
+        "u AS (SELECT t, d, false AS is_grid FROM d UNION ALL SELECT t, NULL, true FROM g)",
+        """f AS (SELECT t, is_grid, sum(d) OVER w - first_value(d IGNORE NULLS) OVER w AS inc, count(d) OVER w AS n,
+                 max(CASE WHEN NOT is_grid THEN t END) OVER w - min(CASE WHEN NOT is_grid THEN t END) OVER w AS cov
+               FROM u WINDOW w AS (ORDER BY t RANGE BETWEEN 119 PRECEDING AND CURRENT ROW))""",
+        "c AS (SELECT t FROM f WHERE is_grid AND n >= 2 AND inc / cov > 10000)",
+        """st AS (SELECT t, CASE WHEN lag(t) OVER (ORDER BY t) IS NULL OR t - lag(t) OVER (ORDER BY t) > 30
+                 THEN t END AS start FROM c)""",
+        "r AS (SELECT t, max(start) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING) AS since FROM st)")
+    + """SELECT 'ProducerConsumerRateDivergence' AS alert, '' AS series, t, since AS active_since,
+       CASE WHEN t - since >= 180 THEN 'firing' ELSE 'pending' END AS state FROM r""",
     "alert_and": _w(EV, HOURLY) + """SELECT series, t, produced AS value FROM s
 WHERE produced > 20 AND acked > 10""",
     "alert_and_on": _w(EV, HOURLY) + """SELECT series, t, produced AS value FROM s
