@@ -208,6 +208,11 @@ def q_alert_rule_range(spark, sf_dir):
     return _one_rule(spark, sf_dir, "ProducerConsumerRateDivergence")
 
 
+def q_panel_lag(spark, sf_dir):
+    """Panel 22 end to end: lag on a 15 s grid with its threshold colours."""
+    return PN.panel(FX.scrape_history(_events(spark, sf_dir)), 22).select("panel", "t", "series", "value", "status")
+
+
 def q_panels_all(spark, sf_dir):
     samples = FX.scrape_history(_events(spark, sf_dir)).cache()
     out = None
@@ -245,6 +250,7 @@ QUERIES = {
     "alert_rule_instant": q_alert_rule_instant,
     "alert_rule_range": q_alert_rule_range,
     "alerts_all": q_alerts_all,
+    "panel_lag": q_panel_lag,
     "panels_all": q_panels_all,
 }
 
@@ -414,6 +420,17 @@ WHERE rp.rate IS NOT NULL AND ra.rate IS NOT NULL""",
         "r AS (SELECT t, max(start) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING) AS since FROM st)")
     + """SELECT 'ProducerConsumerRateDivergence' AS alert, '' AS series, t, since AS active_since,
        CASE WHEN t - since >= 180 THEN 'firing' ELSE 'pending' END AS state FROM r""",
+    "panel_lag": _w(
+        "ticks AS (SELECT (epoch_us(ts) // 1000000) // 15 * 15 AS t, max(value) AS x FROM events GROUP BY 1)",
+        "s AS (SELECT t, CAST(floor(x * 40000) AS DOUBLE) AS v FROM ticks)",
+        "b AS (SELECT min(t) AS t0, max(t) AS t1 FROM s)",
+        "g AS (SELECT unnest(range(CAST(ceil(t0 / 15.0) * 15 AS BIGINT), t1 + 300 + 1, 15)) AS t FROM b)",
+        "u AS (SELECT t, v, false AS is_grid FROM s UNION ALL SELECT t, NULL, true FROM g)",
+        """x AS (SELECT t, is_grid, last_value(v IGNORE NULLS) OVER (ORDER BY t
+                RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) AS v FROM u)""")
+    + """SELECT 22 AS panel, t, '' AS series, v AS value,
+       CASE WHEN v >= 5000000 THEN 'red' WHEN v >= 500000 THEN 'yellow' ELSE 'green' END AS status
+FROM x WHERE is_grid AND v IS NOT NULL""",
     "alert_and": _w(EV, HOURLY) + """SELECT series, t, produced AS value FROM s
 WHERE produced > 20 AND acked > 10""",
     "alert_and_on": _w(EV, HOURLY) + """SELECT series, t, produced AS value FROM s

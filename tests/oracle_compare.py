@@ -46,11 +46,12 @@ def compare(spark_df, con, sql: str) -> dict:
     dcols = [d[0] for d in rel.description]
     drows = rel.fetchall()
     sc, dc = canon(srows, scols), canon(drows, dcols)
+    s_set, d_set = set(sc), set(dc)
     return {
         "rows_spark": len(srows), "rows_oracle": len(drows),
         "cols_match": sorted(scols) == sorted(dcols),
         "values_match": hashlib.sha256("\n".join(sc).encode()).hexdigest()
         == hashlib.sha256("\n".join(dc).encode()).hexdigest(),
         "spark_cols": scols, "oracle_cols": dcols,
-        "diff_sample": [x for x in sc if x not in set(dc)][:3] + ["|"] + [x for x in dc if x not in set(sc)][:3],
+        "diff_sample": [x for x in sc if x not in d_set][:3] + ["|"] + [x for x in dc if x not in s_set][:3],
     }
