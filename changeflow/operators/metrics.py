@@ -41,31 +41,41 @@ def scrape_totals(scrapes: DataFrame, now: Column) -> DataFrame:
                  F.round(F.max_by("duration_s", "ts"), 2).alias("duration_s"))
 
 
-def pipeline_metrics(now: Column, messages: DataFrame, checkpoint_files: DataFrame, topic: str,
-                     status: DataFrame, listing: DataFrame, table_prefix: str, scrapes: DataFrame) -> DataFrame:
-    """All 22 metrics at ``now`` as samples.
-
-    Fixed values: the metric names below (prefix ``pipeline_``) are the
-    reference's exported names, so rules and panels written against them work
-    unchanged.
-    """
-    latest = O.latest_offsets(messages).filter(F.col("topic") == topic)
-    totals = O.offset_totals(latest)
-    lag = O.consumer_lag(O.checkpoint_offsets(checkpoint_files, topic), latest)
-    lag_tot = O.lag_total(lag)
-    timeline = L.parse_timeline(listing, table_prefix + "/.hoodie")
-    files = L.classify_files(listing, table_prefix)
-    parts = [
-        as_samples(totals, now, {"latest_total": P + "kafka_topic_latest_offset",
-                                 "partition_count": P + "kafka_partition_count"}),
+def offset_metrics(now: Column, latest: DataFrame, consumed: DataFrame | None) -> list[DataFrame]:
+    """M-1..6 from latest offsets (topic, partition, latest_offset) and consumed
+    offsets (batch_id, topic, partition, offset)."""
+    out = [
+        as_samples(O.offset_totals(latest), now, {"latest_total": P + "kafka_topic_latest_offset",
+                                                  "partition_count": P + "kafka_partition_count"}),
         as_samples(latest, now, {"latest_offset": P + "kafka_partition_offset"}, label="partition"),
-        as_samples(lag_tot, now, {"lag_total": P + "spark_consumer_lag_total",
-                                  "last_batch_written": P + "spark_last_batch_written"}),
-        as_samples(lag, now, {"lag": P + "spark_consumer_lag_per_partition"}, label="partition"),
+    ]
+    if consumed is not None:
+        lag = O.consumer_lag(consumed, latest)
+        out += [
+            as_samples(O.lag_total(lag), now, {"lag_total": P + "spark_consumer_lag_total",
+                                               "last_batch_written": P + "spark_last_batch_written"}),
+            as_samples(lag, now, {"lag": P + "spark_consumer_lag_per_partition"}, label="partition"),
+        ]
+    return out
+
+
+def status_metrics(now: Column, status: DataFrame) -> list[DataFrame]:
+    """M-7..9 from a status table (ts, component, state)."""
+    return [
         as_samples(indicator(status, "connector", "RUNNING", now), now, {"value": P + "debezium_connector_running"}),
         as_samples(indicator(status, "task", "RUNNING", now), now, {"value": P + "debezium_task_running"}),
         as_samples(indicator(status, "mysql", "OK", now), now, {"value": P + "mysql_reachable"}),
-        as_samples(L.commit_age(timeline, now), now, {"commit_age_seconds": P + "hudi_last_commit_age_seconds"}),
+    ]
+
+
+def table_metrics(now: Column, listing: DataFrame, table_prefix: str, timeline_dir: str = ".hoodie",
+                  ignore_names: str | None = None, age_from_mtime: bool = False) -> list[DataFrame]:
+    """M-10..19 from an object listing of the table."""
+    timeline = L.parse_timeline(listing, f"{table_prefix.rstrip('/')}/{timeline_dir}")
+    files = L.classify_files(listing, table_prefix, timeline_dir, ignore_names)
+    return [
+        as_samples(L.commit_age(timeline, now, age_from_mtime), now,
+                   {"commit_age_seconds": P + "hudi_last_commit_age_seconds"}),
         as_samples(L.timeline_counts(timeline), now, {"deltacommit_count": P + "hudi_deltacommit_count",
                                                       "commit_count": P + "hudi_commit_count",
                                                       "clean_count": P + "hudi_clean_count"}),
@@ -76,11 +86,30 @@ def pipeline_metrics(now: Column, messages: DataFrame, checkpoint_files: DataFra
                                                   "base_files_total": P + "hudi_base_files_total",
                                                   "table_size_bytes": P + "hudi_table_size_bytes"}),
         as_samples(L.file_groups(files), now, {"file_groups_total": P + "hudi_file_groups_total"}),
-        as_samples(scrape_totals(scrapes, now), now, {"errors_total": P + "exporter_scrape_errors_total",
-                                                      "last_scrape_ts": P + "exporter_last_scrape_timestamp",
-                                                      "duration_s": P + "exporter_scrape_duration_seconds"}),
     ]
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def pipeline_metrics(now: Column, messages: DataFrame, checkpoint_files: DataFrame, topic: str,
+                     status: DataFrame, listing: DataFrame, table_prefix: str, scrapes: DataFrame) -> DataFrame:
+    """All 22 metrics at ``now`` as samples.
+
+    Fixed values: the metric names (prefix ``pipeline_``) are the
+    reference's exported names, so rules and panels written against them work
+    unchanged.
+    """
+    latest = O.latest_offsets(messages).filter(F.col("topic") == topic)
+    consumed = O.checkpoint_offsets(checkpoint_files, topic)
+    parts = (offset_metrics(now, latest, consumed) + status_metrics(now, status)
+             + table_metrics(now, listing, table_prefix)
+             + [as_samples(scrape_totals(scrapes, now), now,
+                           {"errors_total": P + "exporter_scrape_errors_total",
+                            "last_scrape_ts": P + "exporter_last_scrape_timestamp",
+                            "duration_s": P + "exporter_scrape_duration_seconds"})])
+    return union_all(parts)

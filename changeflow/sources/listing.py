@@ -60,9 +60,12 @@ def instant_time(instant: Column) -> Column:
     return F.try_to_timestamp(F.substring(instant, 1, 14), F.lit("yyyyMMddHHmmss"))
 
 
-def commit_age(timeline: DataFrame, now: Column) -> DataFrame:
-    """AGG-7 / AGG-13: seconds since the newest deltacommit/commit, −1 if none."""
-    t = instant_time(F.col("instant"))
+def commit_age(timeline: DataFrame, now: Column, use_mtime: bool = False) -> DataFrame:
+    """AGG-7 / AGG-13: seconds since the newest deltacommit/commit, −1 if none.
+
+    The commit time is parsed from the instant name; ``use_mtime`` takes the
+    marker's modification time instead (timelines named by batch number)."""
+    t = F.col("mtime") if use_mtime else instant_time(F.col("instant"))
     latest = timeline.filter(F.col("suffix").isin("deltacommit", "commit")).agg(F.max(t).alias("latest"))
     age = ((F.unix_micros(now) - F.unix_micros("latest")) / F.lit(1_000_000)).cast("bigint")
     return latest.select("latest", F.coalesce(age, F.lit(-1).cast("bigint")).alias("commit_age_seconds"))

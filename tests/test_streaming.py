@@ -75,3 +75,22 @@ def test_job_entry_point(spark):
     spec = TableSpec(root=f"{root}/table")
     assert tbl.snapshot_view(spark, spec).count() == 383
     assert spark.read.parquet(f"{root}/dlq").count() == 60
+
+
+def test_metrics_job_on_streamed_table(spark):
+    """A scrape of the table written by the stream: timeline and file metrics."""
+    from changeflow.operators import metrics_job
+
+    root = scratch_dir(spark, "stream-metrics")
+    n = streams.write_message_files(spark, SF, root, list(range(4)))
+    streams.run_stream(spark, root, TableSpec(root=f"{root}/table"), n)
+    out = f"{root}/samples"
+    metrics_job.main(["--table", f"{root}/table", "--samples", out])
+    got = {r["metric"]: r["value"] for r in spark.read.parquet(out).collect()}
+    assert got["pipeline_hudi_deltacommit_count"] == 4
+    assert got["pipeline_hudi_commit_count"] == 2
+    assert got["pipeline_hudi_inflight_operations"] == 0
+    assert got["pipeline_hudi_data_files_total"] > 0
+    assert got["pipeline_hudi_log_files_total"] == 0
+    assert got["pipeline_hudi_table_size_bytes"] > 0
+    assert 0 <= got["pipeline_hudi_last_commit_age_seconds"] < 3600
