@@ -164,10 +164,6 @@ def read_state(spark: SparkSession, spec: TableSpec) -> TableState:
     return state
 
 
-def _data_schema(state: TableState) -> T.StructType:
-    return T.StructType([f for f in state.schema.fields if f.name != PARTITION_FIELD])
-
-
 def _with_partition(schema: T.StructType, spec: TableSpec, extra: str) -> T.StructType:
     fields = [f for f in schema.fields if f.name != spec.partition]
     return T.StructType(fields + [
