@@ -33,6 +33,7 @@ from changeflow.operators.routing import bucket_of
 from changeflow.schemas import NUM_BUCKETS, PARTITION_FIELD, RECORD_KEY
 from changeflow.sources import fs
 
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a null partition value
 DELETE_FLAG = "_is_delete"
 BUCKET = "_bucket"
 INTERNAL = (DELETE_FLAG, BUCKET)
@@ -315,7 +316,8 @@ def _touched_partitions(spark: SparkSession, spec: TableSpec, state: TableState,
         moved = (read_base(spark, spec, state)
                  .join(deltas.select(spec.key).distinct(), spec.key, "left_semi")
                  .select(spec.partition).distinct())
-        touched |= {r[0] for r in moved.toLocalIterator() if r[0] is not None}
+        # Folder names: a null value lives in Spark's default partition folder.
+        touched |= {DEFAULT_PARTITION if r[0] is None else r[0] for r in moved.toLocalIterator()}
     return touched
 
 

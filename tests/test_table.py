@@ -192,3 +192,11 @@ def test_stale_batch_id_is_rejected(spark, tmp_table):
     # Replaying an already folded batch is allowed (idempotent).
     tbl.apply_changes(spark, spec, _batch(spark, [("A", "s1", _t(1), "2024-01-01", 0, 1)]), 5)
     assert tbl.snapshot_view(spark, spec).count() == 1
+
+
+def test_global_scope_moves_key_out_of_null_partition(spark, tmp_table):
+    spec = TableSpec(root=tmp_table, key_scope="global", min_deltas=1)
+    tbl.apply_changes(spark, spec, _batch(spark, [("A", "nots", None, None, 0, 1)]), 0)
+    tbl.apply_changes(spark, spec, _batch(spark, [("A", "timed", _t(2), "2024-01-02", 0, 2)]), 1)
+    assert _rows(tbl.read_optimized_view(spark, spec)) == [("2024-01-02", "A", "timed")]
+    assert _rows(tbl.snapshot_view(spark, spec)) == [("2024-01-02", "A", "timed")]
