@@ -208,6 +208,11 @@ def q_alert_rule_range(spark, sf_dir):
     return _one_rule(spark, sf_dir, "ProducerConsumerRateDivergence")
 
 
+def q_alert_rule_and(spark, sf_dir):
+    """DebeziumTaskFailed end to end: two instant vectors joined by ``and``, hold 1m."""
+    return _one_rule(spark, sf_dir, "DebeziumTaskFailed")
+
+
 def q_panel_lag(spark, sf_dir):
     """Panel 22 end to end: lag on a 15 s grid with its threshold colours."""
     return PN.panel(FX.scrape_history(_events(spark, sf_dir)), 22).select("panel", "t", "series", "value", "status")
@@ -249,6 +254,7 @@ QUERIES = {
     "alert_and_on": q_alert_and_on,
     "alert_rule_instant": q_alert_rule_instant,
     "alert_rule_range": q_alert_rule_range,
+    "alert_rule_and": q_alert_rule_and,
     "alerts_all": q_alerts_all,
     "panel_lag": q_panel_lag,
     "panels_all": q_panels_all,
@@ -420,6 +426,22 @@ WHERE rp.rate IS NOT NULL AND ra.rate IS NOT NULL""",
         "r AS (SELECT t, max(start) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING) AS since FROM st)")
     + """SELECT 'ProducerConsumerRateDivergence' AS alert, '' AS series, t, since AS active_since,
        CASE WHEN t - since >= 180 THEN 'firing' ELSE 'pending' END AS state FROM r""",
+    "alert_rule_and": _w(
+        "ticks AS (SELECT (epoch_us(ts) // 1000000) // 15 * 15 AS t FROM events GROUP BY 1)",
+        """s AS (SELECT t, CASE WHEN hour(make_timestamp(t * 1000000)) % 13 = 2 THEN 0.0 ELSE 1.0 END AS task,
+                 CASE WHEN hour(make_timestamp(t * 1000000)) % 11 = 4 THEN 0.0 ELSE 1.0 END AS conn FROM ticks)""",
+        "b AS (SELECT min(t) AS t0, max(t) AS t1 FROM s)",
+        "g AS (SELECT unnest(range(CAST(ceil(t0 / 30.0) * 30 AS BIGINT), t1 + 300 + 1, 30)) AS t FROM b)",
+        "u AS (SELECT t, task, conn, false AS is_grid FROM s UNION ALL SELECT t, NULL, NULL, true FROM g)",
+        """x AS (SELECT t, is_grid,
+                 last_value(task IGNORE NULLS) OVER w AS task, last_value(conn IGNORE NULLS) OVER w AS conn
+               FROM u WINDOW w AS (ORDER BY t RANGE BETWEEN 300 PRECEDING AND CURRENT ROW))""",
+        "c AS (SELECT t FROM x WHERE is_grid AND task = 0 AND conn = 1)",
+        """st AS (SELECT t, CASE WHEN lag(t) OVER (ORDER BY t) IS NULL OR t - lag(t) OVER (ORDER BY t) > 30
+                 THEN t END AS start FROM c)""",
+        "r AS (SELECT t, max(start) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING) AS since FROM st)")
+    + """SELECT 'DebeziumTaskFailed' AS alert, '' AS series, t, since AS active_since,
+       CASE WHEN t - since >= 60 THEN 'firing' ELSE 'pending' END AS state FROM r""",
     "panel_lag": _w(
         "ticks AS (SELECT (epoch_us(ts) // 1000000) // 15 * 15 AS t, max(value) AS x FROM events GROUP BY 1)",
         "s AS (SELECT t, CAST(floor(x * 40000) AS DOUBLE) AS v FROM ticks)",
