@@ -107,9 +107,31 @@ def condition(samples: DataFrame, rule: Rule, step_s: int = EVAL_STEP_S, lookbac
     return rule.build(v).select(F.lit(rule.name).alias("alert"), "series", "t", "value", F.lit(True).alias("active"))
 
 
+MAX_RANGE_S = 600  # longest range any rule uses
+
+
 def evaluate(samples: DataFrame, rules: list[Rule] = RULES, step_s: int = EVAL_STEP_S,
-             lookback_s: int = LOOKBACK_S) -> DataFrame:
-    """All rules → (alert, severity, component, series, ts, value, active_since, state)."""
+             lookback_s: int = LOOKBACK_S, start: str | None = None, end: str | None = None) -> DataFrame:
+    """All rules → (alert, severity, component, series, ts, value, active_since, state).
+
+    With ``start``/``end`` ('yyyy-MM-dd HH:mm:ss', session time zone) only
+    that window is evaluated: samples are read from ``start`` minus the
+    longest hold, lookback and range (a time filter that reaches the
+    samples scan), and rows before ``start`` are dropped. States inside the
+    window are exact; ``active_since`` of a run that began before the margin
+    is reported as the margin's first evaluation.
+    """
+    if start is not None or end is not None:
+        margin = max(r.hold_s for r in rules) + lookback_s + MAX_RANGE_S + step_s
+        cond = F.lit(True)
+        if start is not None:
+            cond = cond & (F.col("ts") >= F.lit(start).cast("timestamp") - F.expr(f"INTERVAL {margin} SECONDS"))
+        if end is not None:
+            cond = cond & (F.col("ts") <= F.lit(end).cast("timestamp"))
+        out = evaluate(samples.filter(cond), rules, step_s, lookback_s)
+        if start is not None:
+            out = out.filter(F.col("ts") >= F.lit(start).cast("timestamp"))
+        return out
     out = None
     for rule in rules:
         st = S.firing(condition(samples, rule, step_s, lookback_s), rule.hold_s, step_s, keys=["alert", "series"])

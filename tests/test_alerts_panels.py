@@ -58,3 +58,12 @@ def test_regex_selector_anchored(spark):
     s = spark.createDataFrame([("xmetrics_app_a_driver_spark_streaming_q_triggerExecution_Value",),
                                ("metrics_app_a_driver_spark_streaming_q_triggerExecution_Value",)], "metric string")
     assert S.select_metric(s, "metrics_app_.*_triggerExecution_Value").count() == 1
+
+
+def test_windowed_evaluation_matches_full(spark):
+    samples = _history(spark).cache()
+    rules = [r for r in A.RULES if r.name in ("PipelineStalled", "ProducerConsumerRateDivergence")]
+    full = A.evaluate(samples, rules).filter(F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp"))
+    win = A.evaluate(samples, rules, start="2024-01-20 00:00:00")
+    key = ["alert", "t", "state"]
+    assert sorted(tuple(r) for r in win.select(*key).collect()) == sorted(tuple(r) for r in full.select(*key).collect())
