@@ -112,9 +112,23 @@ PANELS = [
 ]
 
 
-def panel(samples: DataFrame, pid: int, step_s: int = 15, lookback_s: int = 300) -> DataFrame:
-    """(panel, ts, series, value, status, text) of one panel."""
+def panel(samples: DataFrame, pid: int, step_s: int = 15, lookback_s: int = 300,
+          start: str | None = None, end: str | None = None) -> DataFrame:
+    """(panel, ts, series, value, status, text) of one panel.
+
+    ``start``/``end`` ('yyyy-MM-dd HH:mm:ss') restrict it to a dashboard time
+    range; samples are read from ``start`` minus lookback and the longest
+    range, so values at the window's edge are the same as unrestricted."""
     spec = next(p for p in PANELS if p.pid == pid)
+    if start is not None or end is not None:
+        cond = F.lit(True)
+        if start is not None:
+            margin = lookback_s + 120 + step_s
+            cond = cond & (F.col("ts") >= F.lit(start).cast("timestamp") - F.expr(f"INTERVAL {margin} SECONDS"))
+        if end is not None:
+            cond = cond & (F.col("ts") <= F.lit(end).cast("timestamp"))
+        out = panel(samples.filter(cond), pid, step_s, lookback_s)
+        return out.filter(F.col("ts") >= F.lit(start).cast("timestamp")) if start is not None else out
     df = spec.build(Vectors(samples, step_s, lookback_s))
     status = threshold_status(F.col("value"), spec.base, spec.steps) if spec.base else F.lit(None).cast("string")
     text = value_text(F.col("value"), spec.mapping) if spec.mapping else F.lit(None).cast("string")

@@ -67,3 +67,15 @@ def test_windowed_evaluation_matches_full(spark):
     win = A.evaluate(samples, rules, start="2024-01-20 00:00:00")
     key = ["alert", "t", "state"]
     assert sorted(tuple(r) for r in win.select(*key).collect()) == sorted(tuple(r) for r in full.select(*key).collect())
+
+
+def test_panel_window_matches_full(spark):
+    samples = _history(spark).cache()
+    for pid in (22, 13):
+        full = PN.panel(samples, pid).filter(F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp"))
+        full = full.filter(F.col("ts") <= F.lit("2024-01-22 00:00:00").cast("timestamp"))
+        win = PN.panel(samples, pid, start="2024-01-20 00:00:00", end="2024-01-22 00:00:00")
+        key = ["t", "series", "value", "status"]
+        a = sorted(tuple(r) for r in win.select(*key).collect())
+        b = sorted(tuple(r) for r in full.select(*key).collect())
+        assert a == b and len(a) > 0
