@@ -46,12 +46,16 @@ def select_metric(samples: DataFrame, pattern: str) -> DataFrame:
 
 
 def _chunked(df: DataFrame, chunk_s: int, halo_s: int) -> DataFrame:
-    """Each row in its own chunk (``own``) plus a copy in the next chunk if it
-    lies within ``halo_s`` of that chunk's start."""
+    """Each row in its own chunk (``own``) plus a copy in every later chunk
+    whose start lies within ``halo_s`` after it (one copy when the halo is
+    shorter than a chunk, as with the defaults)."""
     c = F.floor(F.col("t") / F.lit(chunk_s))
+    later = -(-halo_s // chunk_s)  # chunks a halo can reach
     copies = F.array(
         F.struct(c.alias("chunk"), F.lit(True).alias("own")),
-        F.when(F.col("t") >= (c + 1) * chunk_s - halo_s, F.struct((c + 1).alias("chunk"), F.lit(False).alias("own"))),
+        *[F.when(F.col("t") >= (c + j) * chunk_s - halo_s,
+                 F.struct((c + j).alias("chunk"), F.lit(False).alias("own")))
+          for j in range(1, later + 1)],
     )
     return df.select("*", F.explode(copies).alias("_c")).filter(F.col("_c").isNotNull()) \
         .select("*", F.col("_c.chunk").alias("chunk"), F.col("_c.own").alias("own")).drop("_c")
