@@ -76,3 +76,38 @@ def test_firing_matches_brute_force(spark, points, hold_s, step_s, chunk_s):
             want.append((t, start, "firing" if t - start >= hold_s else "pending"))
         prev = (t, a)
     assert got == want
+
+
+table_rows_st = st.lists(st.tuples(
+    st.sampled_from(["A", "B", "C"]),             # key
+    st.one_of(st.none(), st.integers(0, 9)),      # ts seconds
+    st.sampled_from(["2024-01-01", "2024-01-02"]),  # dt
+    st.booleans(),                                # delete
+), min_size=1, max_size=12)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=table_rows_st, scope=st.sampled_from(["partition", "global"]))
+def test_table_with_deletes_matches_brute_force(spark, rows, scope):
+    from changeflow.operators import table as tbl
+    from changeflow.operators.table import TableSpec
+    from changeflow.session import scratch_dir
+
+    spec = TableSpec(root=scratch_dir(spark, "prop"), key_scope=scope, deletes="apply", min_deltas=2)
+    schema = "tracking_id string, status string, ts timestamp, dt string, kafka_partition int, kafka_offset bigint"
+    full = [(k, f"s{i}", None if t is None else T0 + dt.timedelta(seconds=t), d, 0, i, dl)
+            for i, (k, t, d, dl) in enumerate(rows)]
+    for b in range(3):
+        part = [r for r in full if r[5] % 3 == b]
+        good = spark.createDataFrame([r[:6] for r in part if not r[6]], schema)
+        dels = spark.createDataFrame([r[:6] for r in part if r[6]], schema)
+        tbl.apply_changes(spark, spec, tbl.change_batch(good, dels), b)
+    got = sorted((r["dt"], r["tracking_id"], r["kafka_offset"]) for r in tbl.snapshot_view(spark, spec).collect())
+    best = {}
+    for k, _, ts, d, p, o, dl in full:
+        g = (d, k) if scope == "partition" else k
+        order = (-1 if ts is None else (ts - T0).total_seconds(), p, o)
+        if g not in best or order > best[g][0]:
+            best[g] = (order, (d, k, o), dl)
+    want = sorted(v[1] for v in best.values() if not v[2])
+    assert got == want
