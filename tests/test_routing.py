@@ -68,3 +68,14 @@ def test_dead_letters_keep_original_text(spark):
     dl = {r["key"]: r["value"] for r in dead_letters(route(parse_messages(_msgs(spark)))).collect()}
     assert dl["tombstone"] is None
     assert dl["malformed"] == '{"payload": {"id": 1'
+
+
+def test_json_parsed_once_in_plan(spark):
+    """Route predicates must not be pushed below the parse (one from_json)."""
+    from changeflow.plans import cdc
+
+    df = cdc.lake_rows(spark, "/root/testdata/sf0.001", batch=3)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+    # The batch filter on the broker offset still reaches the scan.
+    assert "DataFilters: [isnotnull(event_id" in plan and "% 10) = 3)" in plan
