@@ -42,3 +42,10 @@ def test_fold_in_any_order_equals_one_shot(spark):
 def test_column_order_kept(spark):
     df = spark.createDataFrame([("a", _t(1), 0, 1, "x")], SCHEMA)
     assert precombine(df, ["k"], ["ts"]).columns == df.columns
+
+
+def test_partial_aggregate_before_shuffle(spark):
+    """The hot-key guarantee: a partial aggregate runs before the exchange."""
+    df = spark.createDataFrame([("a", _t(1), 0, 1, "x")] * 3, SCHEMA)
+    plan = precombine(df, ["k"], ["ts", "p", "o"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_max") > plan.index("Exchange")  # partial sits below the exchange
