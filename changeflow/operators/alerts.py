@@ -37,15 +37,18 @@ class Vectors:
     def regex(self, pattern: str) -> DataFrame:
         return self._grid(S.select_metric(self.samples, pattern))
 
-    def _range(self, name: str, range_s: int, what: str) -> DataFrame:
-        r = S.range_at_grid(self.samples.filter(F.col("metric") == name), range_s, self.step_s)
+    def _range(self, name: str, range_s: int, what: str, kind: str) -> DataFrame:
+        r = S.range_at_grid(self.samples.filter(F.col("metric") == name), range_s, self.step_s, kind)
         return r.select("ts", "metric", "series", "t", F.col(what).alias("value"))
 
-    def increase(self, name: str, range_s: int) -> DataFrame:
-        return self._range(name, range_s, "increase")
+    def increase(self, name: str, range_s: int, kind: str = "counter") -> DataFrame:
+        return self._range(name, range_s, "increase", kind)
 
-    def rate(self, name: str, range_s: int) -> DataFrame:
-        return self._range(name, range_s, "rate")
+    def rate(self, name: str, range_s: int, kind: str = "counter") -> DataFrame:
+        """``kind="counter"`` treats drops as resets (the reference applies this
+        to consumer lag, a gauge; SURVEY X13); ``kind="gauge"`` is the sound
+        choice for gauges."""
+        return self._range(name, range_s, "rate", kind)
 
     @staticmethod
     def cmp(df: DataFrame, op: str, x: float) -> DataFrame:

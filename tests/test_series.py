@@ -111,3 +111,11 @@ def test_range_at_grid_matches_brute_force(spark):
             inc = sum((b - a) if b >= a else b for a, b in zip(vs, vs[1:]))
             want[(f"p={p}", gt)] = (inc, inc / (w.t.max() - w.t.min()))
     assert got == want
+
+
+def test_gauge_rate_can_be_negative(spark):
+    s = _samples(spark, [("a", 0, 10), ("a", 10, 4)])
+    t0 = int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
+    g = {r["t"] - t0: r["rate"] for r in S.range_at_grid(s, 30, 10, kind="gauge").collect()}
+    c = {r["t"] - t0: r["rate"] for r in S.range_at_grid(s, 30, 10, kind="counter").collect()}
+    assert g[10] == -0.6 and c[10] == 0.4
