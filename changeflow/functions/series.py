@@ -138,6 +138,9 @@ def _grid(bounds: DataFrame, keys: list[str], step_s: int, chunk_s: int) -> Data
     (chunks, then points within a chunk) so no single row expands into a
     whole series' time span."""
     per_chunk = max(1, chunk_s // step_s) * step_s
+    # A series whose first grid point lies after its last (e.g. one sample and
+    # a lookback shorter than the step) has no grid points.
+    bounds = bounds.filter(F.col("lo") <= F.col("hi"))
     starts = bounds.select(*keys, "hi", F.explode(F.sequence(
         F.col("lo"), F.col("hi"), F.lit(per_chunk).cast("bigint"))).alias("c0"))
     starts = starts.repartition(*keys, "c0")

@@ -111,3 +111,21 @@ def test_table_with_deletes_matches_brute_force(spark, rows, scope):
             best[g] = (order, (d, k, o), dl)
     want = sorted(v[1] for v in best.values() if not v[2])
     assert got == want
+
+
+@SETTINGS
+@given(points=series_st, step_s=st.sampled_from([5, 10, 30]), lookback_s=st.integers(1, 90),
+       chunk_s=st.sampled_from([13, 40, 86_400]))
+def test_instant_matches_brute_force(spark, points, step_s, lookback_s, chunk_s):
+    pts = sorted(points)
+    data = [(T0 + dt.timedelta(seconds=t), "m", {"p": "x"}, float(v)) for t, v in pts]
+    df = spark.createDataFrame(data, "ts timestamp, metric string, labels map<string,string>, value double")
+    t0 = int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
+    got = {r["t"] - t0: r["value"] for r in S.instant(df, step_s, lookback_s, chunk_s=chunk_s).collect()}
+    want = {}
+    lo = -(-(t0 + pts[0][0]) // step_s) * step_s - t0
+    for g in range(lo, pts[-1][0] + lookback_s + 1, step_s):
+        inside = [v for t, v in pts if g - lookback_s <= t <= g]
+        if inside:
+            want[g] = float(inside[-1])
+    assert got == want
