@@ -224,9 +224,10 @@ def pack(docs: DataFrame, path: str | None = None, ranks: str | None = None, cap
     kind = "length long, ranges array<struct<low:long,high:long,first:long,each:int,at:int>>"
     ranges = spark.createDataFrame(places, kind)
     ahead = F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    begins = sizes.select("length", "bucket", F.coalesce(ahead, F.lit(0)).alias("ahead")).join(F.broadcast(ranges), "length")
+    begins = sizes.select("length", "bucket", F.coalesce(ahead, F.lit(0)).alias("ahead"))
     nth = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1
-    numbered = bucketed.withColumn("nth", nth).join(F.broadcast(begins), ["length", "bucket"]).withColumn("number", F.col("nth") + F.col("ahead"))
+    numbered = (bucketed.withColumn("nth", nth).join(F.broadcast(begins), ["length", "bucket"]).withColumn("number", F.col("nth") + F.col("ahead"))
+                .join(F.broadcast(ranges), "length"))
     here = F.filter("ranges", lambda r: (r["low"] <= F.col("number")) & (F.col("number") < r["high"]))[0]
     done = numbered.withColumn("r", here).withColumn("k", F.col("number") - F.col("r.low"))
     return done.select("doc_id", "piece", "start", "length", "ids_crc32",
