@@ -174,6 +174,68 @@ def instant(samples: DataFrame, step_s: int, lookback_s: int = 300, start: Colum
     return out.select(*keys, F.timestamp_seconds("t").alias("ts"), "t", F.col("v").alias("value"))
 
 
+def inc_name(range_s: int, kind: str) -> str:
+    return f"increase_{range_s}_{kind}"
+
+
+def rate_name(range_s: int, kind: str) -> str:
+    return f"rate_{range_s}_{kind}"
+
+
+def grid_points(samples: DataFrame, step_s: int, lookback_s: int, ranges: Sequence[tuple[int, str]] = (),
+                reach: Column | None = None, chunk_s: int = DEFAULT_CHUNK_S) -> DataFrame:
+    """WIN-1, WIN-2 and WIN-4 for all series in one pass over the samples.
+
+    One row per (metric, series, grid time t) that some sample reaches:
+    ``value`` is the newest sample in ``[t - lookback_s, t]`` (null if there is
+    none), and for each (range, kind) in ``ranges`` the reset-corrected
+    ``increase_*`` and the ``rate_*`` over ``(t - range, t]`` (null with fewer
+    than two samples in range). ``reach`` limits, per metric, how many seconds
+    after a sample its grid points go on; by default the longest of all.
+
+    A sample makes the grid points up to the next sample or the end of its
+    reach, so sparse series cost what their samples cost and not their time
+    span. A range needs the samples' running sum at its newest and its oldest
+    sample only.
+    """
+    df = with_series(samples)
+    longest = max([lookback_s, *(r - 1 for r, _ in ranges)])
+    df = df.select("metric", "series", "t", "value", (F.lit(longest) if reach is None else reach).alias("_reach"))
+    ch = _chunked(df, chunk_s, longest)
+    part = Window.partitionBy("metric", "series", "chunk")
+    by_time = part.orderBy("t", "value")
+    prev = F.lag("value").over(by_time)
+    deltas = {
+        "counter": F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") >= prev, F.col("value") - prev).otherwise(F.col("value")),
+        "gauge": F.coalesce(F.col("value") - prev, F.lit(0.0)),
+    }
+    kinds = sorted({k for _, k in ranges})
+    ch = ch.select("*", F.lead("t").over(by_time).alias("_next"), F.row_number().over(by_time).alias("_i"),
+                   *[deltas[k].alias(f"_d_{k}") for k in kinds])
+    run = by_time.rowsBetween(Window.unboundedPreceding, 0)
+    ch = ch.select("*", *[F.sum(f"_d_{k}").over(run).alias(f"_sum_{k}") for k in kinds])
+    lo = F.ceil(F.greatest(F.col("t"), F.col("chunk") * chunk_s) / F.lit(step_s)) * step_s
+    hi = F.least(F.coalesce(F.col("_next") - 1, F.col("t") + F.col("_reach")), F.col("t") + F.col("_reach"), (F.col("chunk") + 1) * chunk_s - 1)
+    lo, hi = lo.cast("bigint"), hi.cast("bigint")
+    grid = F.when(lo <= hi, F.sequence(lo, hi, F.lit(step_s).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+    at = F.concat(F.array(F.struct(F.lit(False).alias("grid"), F.col("t").alias("at"))),
+                  F.transform(grid, lambda x: F.struct(F.lit(True).alias("grid"), x.alias("at"))))
+    rows = ch.select("*", F.explode(at).alias("_p"))
+    rows = rows.select("metric", "series", "chunk", "value", "_i", F.col("t").alias("_t"), *[f"_sum_{k}" for k in kinds],
+                       F.col("_p.grid").alias("_grid"), F.col("_p.at").alias("t"))
+    first = F.struct("_i", "_t", *[f"_sum_{k}" for k in kinds])
+    for r in sorted({r for r, _ in ranges}):
+        frame = part.orderBy("t").rangeBetween(-(r - 1), 0)
+        rows = rows.withColumn(f"_first_{r}", F.min(F.when(~F.col("_grid"), first)).over(frame))
+    out = rows.filter("_grid")
+    cols = [F.when(F.col("t") - F.col("_t") <= lookback_s, F.col("value")).alias("value")]
+    for r, k in ranges:
+        two = F.col(f"_first_{r}._i") < F.col("_i")
+        inc = F.col(f"_sum_{k}") - F.col(f"_first_{r}._sum_{k}")
+        cols += [F.when(two, inc).alias(inc_name(r, k)), F.when(two, F.try_divide(inc, F.col("_t") - F.col(f"_first_{r}._t"))).alias(rate_name(r, k))]
+    return out.select("metric", "series", "t", *cols)
+
+
 def firing(cond: DataFrame, hold_s: int, step_s: int, chunk_s: int = DEFAULT_CHUNK_S,
            keys: Sequence[str] | None = None) -> DataFrame:
     """WIN-3: alert state of a condition that must hold for ``hold_s`` seconds.
@@ -226,5 +288,5 @@ def combine(a: DataFrame, b: DataFrame, op: str, name: str = "value") -> DataFra
 
 
 def clamp_min(x: Column, n: float) -> Column:
-    """FN-13."""
-    return F.greatest(x, F.lit(n))
+    """FN-13; null stays null (``greatest`` alone would skip it)."""
+    return F.when(x.isNotNull(), F.greatest(x, F.lit(n)))

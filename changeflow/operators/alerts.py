@@ -1,144 +1,203 @@
 """The 13 alert rules as DataFrame jobs over metric samples (§2.13, WIN-3).
 
-Rules are data: a name, severity, component, hold and a builder that turns
-samples into the condition's instant vector on the evaluation grid. Instant
-vectors are (t, metric, series, value); a comparison keeps the rows that
-satisfy it, like rule-language filtering comparisons. Range functions are
-evaluated at the grid times over ``(t - range, t]`` (no extrapolation).
+Rules are data: a name, severity, component, hold and one or two terms. A term
+compares an instant value, an ``increase`` or a ``rate`` of a metric with a
+limit. All rules are evaluated together: one pass computes the values of all
+metrics on the grid, an explode gives the active (rule, series, time) rows, and
+one pass over their union gives the states.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.functions import series as S
 
 EVAL_STEP_S = 30
 LOOKBACK_S = 300
+P = "pipeline_"
 
 
-class Vectors:
-    """Instant-vector builders bound to one samples table and grid."""
-
-    def __init__(self, samples: DataFrame, step_s: int = EVAL_STEP_S, lookback_s: int = LOOKBACK_S):
-        self.samples = S.with_series(samples)
-        self.step_s, self.lookback_s = step_s, lookback_s
+@dataclass(frozen=True)
+class Value:
+    """A value of a metric at a grid time: ``instant``, or ``increase`` / ``rate`` over a range.
 
-    def _grid(self, df: DataFrame) -> DataFrame:
-        return S.instant(df, self.step_s, self.lookback_s)
+    ``kind="counter"`` treats drops as resets (the reference applies this to
+    consumer lag, a gauge; SURVEY X13); ``kind="gauge"`` is the sound choice
+    for gauges. A ``regex`` names several metrics, whose series stay apart.
+    """
 
-    def metric(self, name: str) -> DataFrame:
-        return self._grid(self.samples.filter(F.col("metric") == name))
+    metric: str
+    fn: str = "instant"
+    range_s: int = 0
+    kind: str = "counter"
+    regex: bool = False
 
-    def regex(self, pattern: str) -> DataFrame:
-        return self._grid(S.select_metric(self.samples, pattern))
+    def column(self) -> Column:
+        names = {"instant": "value", "increase": S.inc_name(self.range_s, self.kind), "rate": S.rate_name(self.range_s, self.kind)}
+        return F.col(names[self.fn])
 
-    def _range(self, name: str, range_s: int, what: str, kind: str) -> DataFrame:
-        r = S.range_at_grid(self.samples.filter(F.col("metric") == name), range_s, self.step_s, kind)
-        return r.select("ts", "metric", "series", "t", F.col(what).alias("value"))
+    def of(self, metric: Column) -> Column:
+        return metric.rlike(f"^(?:{self.metric})$") if self.regex else metric == self.metric
 
-    def increase(self, name: str, range_s: int, kind: str = "counter") -> DataFrame:
-        return self._range(name, range_s, "increase", kind)
+    def reach(self, lookback_s: int) -> int:
+        """Seconds after a sample during which it still gives this value."""
+        return lookback_s if self.fn == "instant" else self.range_s - 1
 
-    def rate(self, name: str, range_s: int, kind: str = "counter") -> DataFrame:
-        """``kind="counter"`` treats drops as resets (the reference applies this
-        to consumer lag, a gauge; SURVEY X13); ``kind="gauge"`` is the sound
-        choice for gauges."""
-        return self._range(name, range_s, "rate", kind)
 
-    @staticmethod
-    def cmp(df: DataFrame, op: str, x: float) -> DataFrame:
-        ops = {">": F.col("value") > x, "<": F.col("value") < x, "==": F.col("value") == x,
-               ">=": F.col("value") >= x, "<=": F.col("value") <= x, "!=": F.col("value") != x}
-        return df.filter(ops[op])
+@dataclass(frozen=True)
+class Term:
+    value: Value
+    op: str
+    limit: float
 
-    @staticmethod
-    def and_(a: DataFrame, b: DataFrame, on: list[str] | None = None) -> DataFrame:
-        return S.and_series(a, b, on)
+    def holds(self, x: Column) -> Column:
+        ops = {">": x > self.limit, "<": x < self.limit, "==": x == self.limit, ">=": x >= self.limit, "<=": x <= self.limit, "!=": x != self.limit}
+        return F.coalesce(ops[self.op], F.lit(False))
 
 
 @dataclass(frozen=True)
 class Rule:
+    """``term`` must hold for ``hold_s`` seconds; with ``also``, on the series (or, ``on_time``, on any series) where that holds too."""
+
     name: str
     severity: str
     component: str
     hold_s: int
-    build: Callable[[Vectors], DataFrame]
+    term: Term
+    also: Term | None = None
+    on_time: bool = False
 
 
-P = "pipeline_"
 # The reference's 13 rules (name, severity, component, hold,
 # condition and threshold), in file order.
 RULES = [
-    Rule("PipelineStalled", "critical", "spark", 120,
-         lambda v: v.cmp(v.metric(P + "hudi_last_commit_age_seconds"), ">", 300)),
-    Rule("DebeziumConnectorDown", "critical", "debezium", 60,
-         lambda v: v.cmp(v.metric(P + "debezium_connector_running"), "==", 0)),
-    Rule("DebeziumTaskFailed", "critical", "debezium", 60,
-         lambda v: v.and_(v.cmp(v.metric(P + "debezium_task_running"), "==", 0),
-                          v.cmp(v.metric(P + "debezium_connector_running"), "==", 1))),
-    Rule("MySQLUnreachable", "critical", "mysql", 60,
-         lambda v: v.cmp(v.metric(P + "mysql_reachable"), "==", 0)),
-    Rule("HudiInflightOpsStuck", "critical", "hudi", 300,
-         lambda v: v.cmp(v.metric(P + "hudi_inflight_operations"), ">", 5)),
-    Rule("ConsumerLagExploding", "critical", "spark", 120,
-         lambda v: v.cmp(v.metric(P + "spark_consumer_lag_total"), ">", 10_000_000)),
-    Rule("ConsumerLagGrowing", "warning", "spark", 180,
-         lambda v: v.cmp(v.metric(P + "spark_consumer_lag_total"), ">", 1_000_000)),
-    Rule("ProducerConsumerRateDivergence", "warning", "spark", 180,
-         lambda v: v.cmp(v.rate(P + "spark_consumer_lag_total", 120), ">", 10_000)),
-    Rule("CompactionLagging", "warning", "hudi", 300,
-         lambda v: v.and_(v.cmp(v.metric(P + "hudi_log_files_total"), ">", 50),
-                          v.cmp(v.metric(P + "hudi_commit_count"), "<", 1), on=[])),
-    Rule("KafkaIngestionStalled", "warning", "kafka", 300,
-         lambda v: v.cmp(v.increase(P + "kafka_topic_latest_offset", 300), "==", 0)),
-    Rule("HudiTableGrowingFast", "warning", "hudi", 600,
-         lambda v: v.cmp(v.increase(P + "hudi_table_size_bytes", 600), ">", 5_368_709_120)),
+    Rule("PipelineStalled", "critical", "spark", 120, Term(Value(P + "hudi_last_commit_age_seconds"), ">", 300)),
+    Rule("DebeziumConnectorDown", "critical", "debezium", 60, Term(Value(P + "debezium_connector_running"), "==", 0)),
+    Rule("DebeziumTaskFailed", "critical", "debezium", 60, Term(Value(P + "debezium_task_running"), "==", 0),
+         Term(Value(P + "debezium_connector_running"), "==", 1)),
+    Rule("MySQLUnreachable", "critical", "mysql", 60, Term(Value(P + "mysql_reachable"), "==", 0)),
+    Rule("HudiInflightOpsStuck", "critical", "hudi", 300, Term(Value(P + "hudi_inflight_operations"), ">", 5)),
+    Rule("ConsumerLagExploding", "critical", "spark", 120, Term(Value(P + "spark_consumer_lag_total"), ">", 10_000_000)),
+    Rule("ConsumerLagGrowing", "warning", "spark", 180, Term(Value(P + "spark_consumer_lag_total"), ">", 1_000_000)),
+    Rule("ProducerConsumerRateDivergence", "warning", "spark", 180, Term(Value(P + "spark_consumer_lag_total", "rate", 120), ">", 10_000)),
+    Rule("CompactionLagging", "warning", "hudi", 300, Term(Value(P + "hudi_log_files_total"), ">", 50),
+         Term(Value(P + "hudi_commit_count"), "<", 1), on_time=True),
+    Rule("KafkaIngestionStalled", "warning", "kafka", 300, Term(Value(P + "kafka_topic_latest_offset", "increase", 300), "==", 0)),
+    Rule("HudiTableGrowingFast", "warning", "hudi", 600, Term(Value(P + "hudi_table_size_bytes", "increase", 600), ">", 5_368_709_120)),
     Rule("SparkBatchOverrun", "warning", "spark", 120,
-         lambda v: v.cmp(v.regex("metrics_app_.*_driver_spark_streaming_.*_triggerExecution_Value"), ">", 60_000)),
-    Rule("ExporterScrapeErrors", "warning", "monitoring", 300,
-         lambda v: v.cmp(v.increase(P + "exporter_scrape_errors_total", 300), ">", 10)),
+         Term(Value("metrics_app_.*_driver_spark_streaming_.*_triggerExecution_Value", regex=True), ">", 60_000)),
+    Rule("ExporterScrapeErrors", "warning", "monitoring", 300, Term(Value(P + "exporter_scrape_errors_total", "increase", 300), ">", 10)),
 ]
 
 
-def condition(samples: DataFrame, rule: Rule, step_s: int = EVAL_STEP_S, lookback_s: int = LOOKBACK_S) -> DataFrame:
-    v = Vectors(samples, step_s, lookback_s)
-    return rule.build(v).select(F.lit(rule.name).alias("alert"), "series", "t", "value", F.lit(True).alias("active"))
-
-
-MAX_RANGE_S = 600  # longest range any rule uses
-
+def points(samples: DataFrame, values: Sequence[Value], step_s: int, lookback_s: int, chunk_s: int) -> DataFrame:
+    """All ``values`` on the grid in one pass; only their metrics are read."""
+    name = F.col("metric")
+    wanted, reach = F.lit(False), F.lit(0)
+    for v in values:
+        wanted = wanted | v.of(name)
+        reach = F.greatest(reach, F.when(v.of(name), F.lit(v.reach(lookback_s))).otherwise(F.lit(0)))
+    ranges = sorted({(v.range_s, v.kind) for v in values if v.fn != "instant"})
+    return S.grid_points(samples.filter(wanted), step_s, lookback_s, ranges, reach, chunk_s)
+
+
+def beside(grid: DataFrame, values: Sequence[Value]) -> tuple[DataFrame, dict[Value, Column]]:
+    """Values of several metrics beside one another, one row for (t, series)."""
+    names = {v: f"_v{i}" for i, v in enumerate(dict.fromkeys(values))}
+    some = grid.filter(F.col("metric").isin(sorted({v.metric for v in names})))
+    rows = some.groupBy("t", "series").agg(*[F.max(F.when(v.of(F.col("metric")), v.column())).alias(n) for v, n in names.items()])
+    return rows, {v: F.col(n) for v, n in names.items()}
+
+
+def conditions(samples: DataFrame, rules: Sequence[Rule], step_s: int = EVAL_STEP_S, lookback_s: int = LOOKBACK_S,
+               chunk_s: int = S.DEFAULT_CHUNK_S) -> DataFrame:
+    """(alert, metric, series, t, value, active) where a rule's condition holds."""
+    terms = [t for r in rules for t in (r.term, r.also) if t is not None]
+    grid = points(samples, [t.value for t in terms], step_s, lookback_s, chunk_s)
+    single, double = [r for r in rules if r.also is None], [r for r in rules if r.also is not None]
+    parts = []
+
+    def exploded(df: DataFrame, hits: list[Column]) -> DataFrame:
+        return df.select("*", F.explode(F.array_compact(F.array(*hits))).alias("_h")).select(
+            "_h.alert", "_h.metric", "series", "t", "_h.value", F.lit(True).alias("active"))
+
+    def hit(rule: Rule, metric: Column, value: Column, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(rule.name).alias("alert"), metric.alias("metric"), value.alias("value")))
+
+    if single:
+        parts.append(exploded(grid, [hit(r, F.col("metric"), r.term.value.column(),
+                                         r.term.value.of(F.col("metric")) & r.term.holds(r.term.value.column())) for r in single]))
+    if double:
+        rows, col = beside(grid, [t.value for r in double for t in (r.term, r.also)])
+        anywhere = {r: f"_any{i}" for i, r in enumerate(double) if r.on_time}
+        rows = rows.select("*", *[F.max(r.also.holds(col[r.also.value])).over(Window.partitionBy("t")).alias(n) for r, n in anywhere.items()])
+        parts.append(exploded(rows, [hit(r, F.lit(r.term.value.metric), col[r.term.value], r.term.holds(col[r.term.value])
+                                         & (F.col(anywhere[r]) if r.on_time else r.also.holds(col[r.also.value]))) for r in double]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
-def evaluate(samples: DataFrame, rules: list[Rule] = RULES, step_s: int = EVAL_STEP_S,
-             lookback_s: int = LOOKBACK_S, start: str | None = None, end: str | None = None) -> DataFrame:
-    """All rules → (alert, severity, component, series, ts, value, active_since, state).
 
-    With ``start``/``end`` ('yyyy-MM-dd HH:mm:ss', session time zone) only
-    that window is evaluated: samples are read from ``start`` minus the
-    longest hold, lookback and range (a time filter that reaches the
-    samples scan), and rows before ``start`` are dropped. States inside the
-    window are exact; ``active_since`` of a run that began before the margin
-    is reported as the margin's first evaluation.
+def condition(samples: DataFrame, rule: Rule, step_s: int = EVAL_STEP_S, lookback_s: int = LOOKBACK_S) -> DataFrame:
+    return conditions(samples, [rule], step_s, lookback_s)
+
+
+def read_window(samples: DataFrame, start: Column | None, end: Column | None) -> DataFrame:
+    """Samples between two times; a ``date`` column, if there is one, prunes partitions."""
+    cond = F.lit(True)
+    for limit, low in ((start, True), (end, False)):
+        if limit is not None:
+            cond = cond & (F.col("ts") >= limit if low else F.col("ts") <= limit)
+            if "date" in samples.columns:
+                day = F.col("date").cast("date")
+                cond = cond & (day >= limit.cast("date") if low else day <= limit.cast("date"))
+    return samples.filter(cond)
+
+
+def evaluate(samples: DataFrame, rules: Sequence[Rule] = tuple(RULES), step_s: int = EVAL_STEP_S, lookback_s: int = LOOKBACK_S,
+             start: str | None = None, end: str | None = None, chunk_s: int = S.DEFAULT_CHUNK_S) -> DataFrame:
+    """All rules → (alert, severity, component, metric, series, ts, t, value, active_since, state).
+
+    With ``start``/``end`` ('yyyy-MM-dd HH:mm:ss', session time zone) the rows
+    in between are those of a full evaluation, ``active_since`` included:
+    samples are read from before ``start`` by the longest reach of any term
+    (the filter reaches the scan), and if a run is already active at the first
+    evaluation, from further back, four times as far each time, until its
+    start is found or the samples begin. Samples after ``end`` aren't read and
+    no row lies after it.
     """
-    if start is not None or end is not None:
-        margin = max(r.hold_s for r in rules) + lookback_s + MAX_RANGE_S + step_s
-        cond = F.lit(True)
-        if start is not None:
-            cond = cond & (F.col("ts") >= F.lit(start).cast("timestamp") - F.expr(f"INTERVAL {margin} SECONDS"))
-        if end is not None:
-            cond = cond & (F.col("ts") <= F.lit(end).cast("timestamp"))
-        out = evaluate(samples.filter(cond), rules, step_s, lookback_s)
-        if start is not None:
-            out = out.filter(F.col("ts") >= F.lit(start).cast("timestamp"))
-        return out
-    out = None
-    for rule in rules:
-        st = S.firing(condition(samples, rule, step_s, lookback_s), rule.hold_s, step_s, keys=["alert", "series"])
-        st = st.select("alert", F.lit(rule.severity).alias("severity"), F.lit(rule.component).alias("component"),
-                       "series", F.timestamp_seconds("t").alias("ts"), "t", "value", "active_since", "state")
-        out = st if out is None else out.unionByName(st)
-    return out
+    if start is None:
+        out = _states(samples if end is None else read_window(samples, None, F.lit(end).cast("timestamp")), rules, step_s, lookback_s, chunk_s)
+        return out if end is None else out.filter(F.col("ts") <= F.lit(end).cast("timestamp"))
+    reach = max(t.value.reach(lookback_s) for r in rules for t in (r.term, r.also) if t is not None)
+    back = max(r.hold_s for r in rules) + 2 * step_s
+    spark = samples.sparkSession
+    first = spark.sql(f"SELECT unix_seconds(TIMESTAMP '{start}') AS t").first()["t"]
+    until = None if end is None else F.lit(end).cast("timestamp")
+    while True:
+        begin = -(-(first - back) // step_s) * step_s  # the first evaluation
+        mine = read_window(samples, F.timestamp_seconds(F.lit(begin - reach)), until)
+        out = _states(mine, rules, step_s, lookback_s, chunk_s, begin).filter(F.col("t") >= first)
+        out = out if until is None else out.filter(F.col("ts") <= until)
+        cut = out.filter(F.col("active_since") == begin).limit(1).count()
+        if not cut or not samples.filter(F.col("ts") < F.timestamp_seconds(F.lit(begin - reach))).limit(1).count():
+            return out
+        back *= 4
+
+
+def _states(samples: DataFrame, rules: Sequence[Rule], step_s: int, lookback_s: int, chunk_s: int, begin: int | None = None) -> DataFrame:
+    active = conditions(samples, rules, step_s, lookback_s, chunk_s)
+    if begin is not None:  # values before it may lack samples
+        active = active.filter(F.col("t") >= begin)
+    states = S.firing(active, 0, step_s, chunk_s, keys=["alert", "metric", "series"])
+    spec = F.create_map(*[x for r in rules for x in (F.lit(r.name), F.struct(F.lit(r.severity).alias("severity"), F.lit(r.component).alias("component"),
+                                                                            F.lit(r.hold_s).alias("hold_s")))])
+    states = states.withColumn("_r", spec[F.col("alert")])
+    return states.select("alert", "_r.severity", "_r.component", "metric", "series", F.timestamp_seconds("t").alias("ts"), "t", "value", "active_since",
+                         F.when(F.col("t") - F.col("active_since") >= F.col("_r.hold_s"), F.lit("firing")).otherwise(F.lit("pending")).alias("state"))

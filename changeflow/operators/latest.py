@@ -1,10 +1,10 @@
 """AGG-1 / TBL-5: latest row per key by an ordering (latest-wins, precombine).
 
-Implemented as a grouped ``max`` over struct(order, values), not a window:
-the aggregate runs partially on the map side, so a hot key (one that holds a
-large share of all rows) is reduced to one row per input partition before
-the shuffle instead of being sorted in a single task. (``max`` of one nested
-struct measured ~15% faster than ``max_by`` with two structs on lineitem.)
+Implemented as a grouped ``max_by``, not a window: the aggregate runs
+partially on the map side, so a hot key (one that holds a large share of all
+rows) is reduced to one row per input partition before the shuffle instead of
+being sorted in a single task. Only the order columns are compared, so values
+may be of any type, maps included.
 """
 
 from __future__ import annotations
@@ -24,6 +24,6 @@ def precombine(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     """
     keys = list(keys)
     values = [c for c in df.columns if c not in keys]
-    winner = F.max(F.struct(F.struct(*order).alias("o"), F.struct(*values).alias("v"))).alias("_w")
-    out = {c: F.col(c) for c in keys} | {c: F.col(f"_w.v.{c}").alias(c) for c in values}
+    winner = F.max_by(F.struct(*values), F.struct(*order)).alias("_w")
+    out = {c: F.col(c) for c in keys} | {c: F.col(f"_w.{c}").alias(c) for c in values}
     return df.groupBy(*keys).agg(winner).select(*[out[c] for c in df.columns])

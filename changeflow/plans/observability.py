@@ -13,10 +13,12 @@ from changeflow.plans.cdc import EV, _events, messages
 from changeflow.sources import fixtures as FX
 from changeflow.sources import listing as L
 from changeflow.sources import offsets as O
-from changeflow.sources.progress import latest_from_progress, progress_metrics, progress_offsets
+from changeflow.sources.progress import latest_from_progress, progress_metrics, progress_offsets, progress_samples
 
 NOW = "2024-02-01 00:00:00"
 NOW_SQL = f"TIMESTAMP '{NOW}'"
+WINDOW = ("2024-01-14 18:10:00", "2024-01-15 18:10:00")
+PANEL_WINDOW = ("2024-01-15 12:07:00", "2024-01-15 13:07:00")
 
 
 def _now():
@@ -76,6 +78,14 @@ def q_lag_total(spark, sf_dir):
     return O.lag_total(O.consumer_lag(_consumed(spark, sf_dir), _latest(spark, sf_dir)))
 
 
+def q_lag_two_topics(spark, sf_dir):
+    """JOIN-1 where two topics share partition numbers: both consumers' lag, each against its own topic."""
+    files = FX.checkpoint_files(_msgs(spark, sf_dir))
+    own = O.checkpoint_offsets(files, FX.TOPIC).unionByName(O.checkpoint_offsets(files, FX.OTHER_TOPIC))
+    other = _latest(spark, sf_dir).select(F.lit(FX.OTHER_TOPIC).alias("topic"), "partition", (F.col("latest_offset") + 100).alias("latest_offset"))
+    return O.consumer_lag(own, _latest(spark, sf_dir).unionByName(other))
+
+
 def q_timeline_counts(spark, sf_dir):
     return L.timeline_counts(_timeline(spark, sf_dir))
 
@@ -99,7 +109,12 @@ def q_file_groups(spark, sf_dir):
 
 
 def q_progress_metrics(spark, sf_dir):
-    return progress_metrics(FX.progress_lines(_msgs(spark, sf_dir)))
+    return progress_metrics(FX.progress_lines(_msgs(spark, sf_dir))).select("batch_id", "trigger_ms", "input_rows_per_second")
+
+
+def q_progress_samples(spark, sf_dir):
+    s = progress_samples(progress_metrics(FX.progress_lines(_msgs(spark, sf_dir))), "app1", "q")
+    return s.select(F.unix_seconds("ts").alias("t"), "metric", "value")
 
 
 def q_progress_offsets(spark, sf_dir):
@@ -187,15 +202,20 @@ def q_alert_and_on(spark, sf_dir):
     return S.and_series(_produced_gt(spark, sf_dir, 20), b, on=[]).select("series", "t", "value")
 
 
+def _history(spark, sf_dir):
+    return FX.scrape_history(_events(spark, sf_dir))
+
+
 def q_alerts_all(spark, sf_dir):
-    return A.evaluate(FX.scrape_history(_events(spark, sf_dir))).select(
-        "alert", "severity", "component", "series", "t", "active_since", "state")
+    """All 13 rules end to end, as one row per run of a condition."""
+    return A.evaluate(_history(spark, sf_dir)).groupBy("alert", "severity", "component", "metric", "series", "active_since").agg(
+        F.max("t").alias("last_t"), F.count(F.lit(1)).alias("n"), F.sum((F.col("state") == "firing").cast("bigint")).alias("n_firing"),
+        F.max("value").alias("max_value"))
 
 
 def _one_rule(spark, sf_dir, name):
     rule = next(r for r in A.RULES if r.name == name)
-    return A.evaluate(FX.scrape_history(_events(spark, sf_dir)), [rule]).select(
-        "alert", "series", "t", "active_since", "state")
+    return A.evaluate(_history(spark, sf_dir), [rule]).select("alert", "metric", "series", "t", "active_since", "state")
 
 
 def q_alert_rule_instant(spark, sf_dir):
@@ -213,18 +233,27 @@ def q_alert_rule_and(spark, sf_dir):
     return _one_rule(spark, sf_dir, "DebeziumTaskFailed")
 
 
+def q_alert_window(spark, sf_dir):
+    """All rules over one day: the rows that a full evaluation has there."""
+    return A.evaluate(_history(spark, sf_dir), start=WINDOW[0], end=WINDOW[1]).select(
+        "alert", "metric", "series", "t", "value", "active_since", "state")
+
+
 def q_panel_lag(spark, sf_dir):
     """Panel 22 end to end: lag on a 15 s grid with its threshold colours."""
-    return PN.panel(FX.scrape_history(_events(spark, sf_dir)), 22).select("panel", "t", "series", "value", "status")
+    return PN.panel(_history(spark, sf_dir), 22).select("panel", "t", "metric", "series", "value", "status")
 
 
 def q_panels_all(spark, sf_dir):
-    samples = FX.scrape_history(_events(spark, sf_dir)).cache()
-    out = None
-    for p in PN.PANELS:
-        x = PN.panel(samples, p.pid).select("panel", "t", "series", "value", "status", "text")
-        out = x if out is None else out.unionByName(x)
-    return out
+    """All 18 panels end to end, as hourly figures for each line, colour and text."""
+    return PN.panels(_history(spark, sf_dir)).groupBy("panel", "metric", "series", "status", "text", F.floor(F.col("t") / 3600).alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("min_value"), F.max("value").alias("max_value"))
+
+
+def q_panel_window(spark, sf_dir):
+    """All panels over one hour of the dashboard."""
+    return PN.panels(_history(spark, sf_dir), start=PANEL_WINDOW[0], end=PANEL_WINDOW[1]).select(
+        "panel", "metric", "series", "t", "value", "status", "text")
 
 
 QUERIES = {
@@ -234,12 +263,14 @@ QUERIES = {
     "checkpoint_offsets_committed": q_checkpoint_offsets_committed,
     "lag_per_partition": q_lag_per_partition,
     "lag_total": q_lag_total,
+    "lag_two_topics": q_lag_two_topics,
     "timeline_counts": q_timeline_counts,
     "timeline_inflight": q_timeline_inflight,
     "commit_age": q_commit_age,
     "file_inventory": q_file_inventory,
     "file_groups": q_file_groups,
     "progress_metrics": q_progress_metrics,
+    "progress_samples": q_progress_samples,
     "progress_offsets": q_progress_offsets,
     "progress_latest": q_progress_latest,
     "metrics_all": q_metrics_all,
@@ -256,8 +287,10 @@ QUERIES = {
     "alert_rule_range": q_alert_rule_range,
     "alert_rule_and": q_alert_rule_and,
     "alerts_all": q_alerts_all,
+    "alert_window": q_alert_window,
     "panel_lag": q_panel_lag,
     "panels_all": q_panels_all,
+    "panel_window": q_panel_window,
 }
 
 # ---------------------------------------------------------------------------
@@ -268,7 +301,7 @@ HOURS = "hours AS (SELECT DISTINCT date_trunc('hour', ts) AS h FROM events)"
 LATEST = "latest AS (SELECT part, max(event_id) + 1 AS lo FROM ev GROUP BY part)"
 CONSUMED = """consumed AS (SELECT CAST(part AS VARCHAR) AS partition, max(event_id) + 1 AS co FROM ev
              WHERE b <= 7 GROUP BY part UNION ALL SELECT '99', 5)"""
-LAG = """lagp AS (SELECT c.partition, 10 AS batch_id, greatest(0, coalesce(l.lo, 0) - c.co) AS lag
+LAG = f"""lagp AS (SELECT '{TOPIC}' AS topic, c.partition, 10 AS batch_id, greatest(0, coalesce(l.lo, 0) - c.co) AS lag
         FROM consumed c LEFT JOIN latest l ON CAST(l.part AS VARCHAR) = c.partition)"""
 INSTANTS = """inst AS (
   SELECT strftime(h, '%Y%m%d%H%M%S') || '000' AS instant, CASE WHEN hour(h) % 7 = 3 THEN 2 ELSE 3 END AS n_suffixes,
@@ -346,6 +379,103 @@ UNION ALL SELECT 'pipeline_exporter_scrape_errors_total', NULL, CAST(sum(errors)
 UNION ALL SELECT 'pipeline_exporter_last_scrape_timestamp', NULL, CAST(epoch(h) AS DOUBLE) FROM lasth
 UNION ALL SELECT 'pipeline_exporter_scrape_duration_seconds', NULL, round(n / 10.0, 2) FROM lastn"""
 
+# Alerts and panels over the scrape history: each rule's values by an as-of
+# join and a range join on its own grid, and its runs by gaps.
+
+_HOUR = "hour(make_timestamp(s * 1000000))"
+_DAY = "day(make_timestamp(s * 1000000))"
+SAMPLES_SQL = {
+    "kafka_topic_latest_offset": "i + 1", "spark_consumer_lag_total": "floor(x * 40000)", "hudi_last_commit_age_seconds": "(i % 40) * 15",
+    "debezium_connector_running": f"CASE WHEN {_HOUR} % 11 = 4 THEN 0 ELSE 1 END",
+    "debezium_task_running": f"CASE WHEN {_HOUR} % 13 = 2 THEN 0 ELSE 1 END", "mysql_reachable": f"CASE WHEN {_HOUR} % 19 = 7 THEN 0 ELSE 1 END",
+    "hudi_deltacommit_count": "floor(i / 3.0)", "hudi_commit_count": f"CASE WHEN {_DAY} <= 3 THEN 0 ELSE {_DAY} END",
+    "hudi_clean_count": "floor(i / 12.0)", "hudi_inflight_operations": "i % 9", "hudi_log_files_total": "i % 120",
+    "hudi_base_files_total": "i % 380", "hudi_table_size_bytes": "i * 200000000", "exporter_scrape_errors_total": "floor(i / 7.0)",
+}
+APPS_SQL = {"metrics_app_app1_driver_spark_streaming_q_triggerExecution_Value": "x * 200",
+            "metrics_app_app2_driver_spark_streaming_q_triggerExecution_Value": "120000 - x * 200",
+            "metrics_app_app1_driver_spark_streaming_q_inputRate_total_Value": "x"}
+TICKS = f"""ticks AS (SELECT (epoch_us(ts) // 1000000) // 15 * 15 AS s, CAST(user_id % {FX.ENTITIES} AS VARCHAR) AS pipeline,
+       max(event_id) AS i, max(value) AS x, max(user_id) AS u FROM events GROUP BY 1, 2)"""
+SAMPLES = "samples AS (" + "\nUNION ALL ".join(
+    f"SELECT '{m}' AS metric, 'pipeline=' || pipeline AS series, s AS t, CAST({e} AS DOUBLE) AS v FROM ticks"
+    for m, e in [*((A.P + k, e) for k, e in SAMPLES_SQL.items()), *APPS_SQL.items()]) + f"""
+UNION ALL SELECT '{A.P}spark_consumer_lag_per_partition', 'partition=' || (u % 4) || ',pipeline=' || pipeline, s, CAST(floor(x * 10000) AS DOUBLE) FROM ticks)"""
+DELTAS = """deltas AS (SELECT *, CASE WHEN lag(v) OVER w IS NULL THEN 0 WHEN v >= lag(v) OVER w THEN v - lag(v) OVER w ELSE v END AS d
+       FROM samples WINDOW w AS (PARTITION BY metric, series ORDER BY t))"""
+
+
+def _value_sql(v: A.Value, step: int) -> str:
+    """(metric, series, t, value) of one value on its grid."""
+    mine = f"regexp_full_match(metric, '{v.metric}')" if v.regex else f"metric = '{v.metric}'"
+    reach = v.reach(A.LOOKBACK_S)
+    grid = f"""(SELECT DISTINCT metric, series, unnest(range(CAST(ceil(t / {step}.0) * {step} AS BIGINT), t + {reach} + 1, {step})) AS t
+        FROM samples WHERE {mine})"""
+    if v.fn == "instant":
+        return f"""SELECT g.metric, g.series, g.t, d.v AS value FROM {grid} g ASOF JOIN (SELECT * FROM deltas WHERE {mine}) d
+        ON g.metric = d.metric AND g.series = d.series AND g.t >= d.t"""
+    value = "sum(d.d) - arg_min(d.d, d.t)"
+    if v.fn == "rate":
+        value = f"({value}) / (max(d.t) - min(d.t))"
+    return f"""SELECT g.metric, g.series, g.t, {value} AS value FROM {grid} g JOIN (SELECT * FROM deltas WHERE {mine}) d
+        ON g.metric = d.metric AND g.series = d.series AND d.t > g.t - {v.range_s} AND d.t <= g.t GROUP BY ALL HAVING count(*) >= 2"""
+
+
+def _term_sql(t: A.Term) -> str:
+    op = {"==": "=", "!=": "<>"}.get(t.op, t.op)
+    return f"SELECT * FROM ({_value_sql(t.value, A.EVAL_STEP_S)}) WHERE value {op} {t.limit}"
+
+
+def _rule_sql(r: A.Rule) -> str:
+    also = ""
+    if r.also is not None:
+        on = "b.t = a.t" if r.on_time else "b.t = a.t AND b.series = a.series"
+        also = f" WHERE EXISTS (SELECT 1 FROM ({_term_sql(r.also)}) b WHERE {on})"
+    return f"""SELECT '{r.name}' AS alert, '{r.severity}' AS severity, '{r.component}' AS component, {r.hold_s} AS hold, a.*
+      FROM ({_term_sql(r.term)}) a{also}"""
+
+
+def alerts_sql(rules) -> str:
+    """CTEs up to ``states``: every active row of the rules with its run's start and state."""
+    return _w(TICKS, SAMPLES, DELTAS, "active AS (" + "\nUNION ALL ".join(map(_rule_sql, rules)) + ")",
+              f"""starts AS (SELECT *, CASE WHEN coalesce(t - lag(t) OVER w > {A.EVAL_STEP_S}, true) THEN t END AS begin
+                   FROM active WINDOW w AS (PARTITION BY alert, metric, series ORDER BY t))""",
+              "runs AS (SELECT *, max(begin) OVER (PARTITION BY alert, metric, series ORDER BY t ROWS UNBOUNDED PRECEDING) AS active_since FROM starts)",
+              "states AS (SELECT *, CASE WHEN t - active_since >= hold THEN 'firing' ELSE 'pending' END AS state FROM runs)")
+
+
+def _one_rule_sql(name: str) -> str:
+    return alerts_sql([r for r in A.RULES if r.name == name]) + "SELECT alert, metric, series, t, active_since, state FROM states"
+
+
+def _panel_sql(p: PN.Panel) -> str:
+    parts = []
+    for line in p.lines:
+        values = [_value_sql(v, PN.PANEL_STEP_S) for v in line.values]
+        if line.of is None:
+            name = f"'{line.legend}'" if line.legend else "metric"
+            parts.append(f"SELECT {name} AS metric, series, t, value FROM ({values[0]})")
+        elif len(values) == 2:
+            parts.append(f"""SELECT '{line.legend}' AS metric, a.series, a.t, greatest(a.value - b.value, 0) AS value
+            FROM ({values[0]}) a JOIN ({values[1]}) b USING (series, t)""")
+        else:
+            parts.append(f"""SELECT '{line.legend}' AS metric, a.series, a.t, a.value / greatest(b.value - c.value, 1) / 60 AS value
+            FROM ({values[0]}) a JOIN ({values[1]}) b USING (series, t) JOIN ({values[2]}) c USING (series, t)""")
+    steps = "".join(f"WHEN value >= {x} THEN '{c}' " for x, c in reversed(p.steps))
+    status = f"CASE {steps}ELSE '{p.base}' END" if p.base else "NULL"
+    text = "CASE value " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in p.mapping.items()) + " END" if p.mapping else "NULL"
+    return f"""SELECT {p.pid} AS panel, metric, series, t, value, CAST({status} AS VARCHAR) AS status, CAST({text} AS VARCHAR) AS text
+      FROM ({' UNION ALL '.join(parts)})"""
+
+
+def panels_sql(specs) -> str:
+    return _w(TICKS, SAMPLES, DELTAS, "shown AS (" + "\nUNION ALL ".join(map(_panel_sql, specs)) + ")")
+
+
+def _within(window: tuple[str, str]) -> str:
+    return f"t BETWEEN epoch(TIMESTAMP '{window[0]}') AND epoch(TIMESTAMP '{window[1]}')"
+
+
 ORACLE = {
     "offsets_latest": _w(EV) + f"SELECT '{TOPIC}' AS topic, part AS partition, max(event_id) + 1 AS latest_offset FROM ev GROUP BY part",
     "offsets_latest_total": _w(EV, LATEST) + f"SELECT '{TOPIC}' AS topic, sum(lo) AS latest_total, count(*) AS partition_count FROM latest",
@@ -353,8 +483,10 @@ ORACLE = {
     "checkpoint_offsets_committed": _w(EV) + f"""SELECT 9 AS batch_id, '{TOPIC}' AS topic, CAST(part AS VARCHAR) AS partition,
        max(event_id) + 1 AS offset FROM ev WHERE b <= 6 GROUP BY part
 UNION ALL SELECT 9, '{TOPIC}', '99', 5""",
-    "lag_per_partition": _w(EV, LATEST, CONSUMED, LAG) + "SELECT partition, batch_id, lag FROM lagp",
-    "lag_total": _w(EV, LATEST, CONSUMED, LAG) + "SELECT sum(lag) AS lag_total, max(batch_id) AS last_batch_written FROM lagp",
+    "lag_per_partition": _w(EV, LATEST, CONSUMED, LAG) + "SELECT topic, partition, batch_id, lag FROM lagp",
+    "lag_total": _w(EV, LATEST, CONSUMED, LAG) + "SELECT topic, sum(lag) AS lag_total, max(batch_id) AS last_batch_written FROM lagp GROUP BY topic",
+    "lag_two_topics": _w(EV, LATEST, CONSUMED, LAG) + f"""SELECT topic, partition, batch_id, lag FROM lagp
+UNION ALL SELECT '{FX.OTHER_TOPIC}', '0', 10, (SELECT lo + 100 - 42 FROM latest WHERE part = 0)""",
     "timeline_counts": _w(HOURS) + TIMELINE_COUNTS,
     "timeline_inflight": _w(HOURS, INSTANTS) + "SELECT instant, n_suffixes, truly_inflight FROM inst",
     "commit_age": _w(HOURS, INSTANTS) + COMMIT_AGE,
@@ -362,6 +494,9 @@ UNION ALL SELECT 9, '{TOPIC}', '99', 5""",
     "file_groups": _w(FILES) + FILE_GROUPS,
     "progress_metrics": """SELECT event_id % 10 AS batch_id, count(*) * 7 AS trigger_ms, count(*) / 30.0 AS input_rows_per_second
 FROM events GROUP BY 1""",
+    "progress_samples": _w("p AS (SELECT event_id % 10 AS b, count(*) AS n FROM events GROUP BY 1)") + """
+SELECT 1706745600 + 60 * b AS t, 'metrics_app_app1_driver_spark_streaming_q_triggerExecution_Value' AS metric, CAST(n * 7 AS DOUBLE) AS value FROM p
+UNION ALL SELECT 1706745600 + 60 * b, 'metrics_app_app1_driver_spark_streaming_q_inputRate_total_Value', n / 30.0 FROM p""",
     "progress_offsets": _w(EV, "bp AS (SELECT b, part, max(event_id) AS mx FROM ev GROUP BY b, part)",
                            "hw AS (SELECT part, max(event_id) + 1 AS hw FROM ev GROUP BY part)") + f"""
 SELECT bb.b AS batch_id, '{TOPIC}' AS topic, CAST(bb.part AS VARCHAR) AS partition,
@@ -395,64 +530,16 @@ WHERE rp.rate IS NOT NULL AND ra.rate IS NOT NULL""",
                      "r AS (SELECT *, max(start) OVER (PARTITION BY series ORDER BY t ROWS UNBOUNDED PRECEDING) AS since FROM st)")
     + """SELECT series, t, since AS active_since,
        CASE WHEN t - since >= 7200 THEN 'firing' ELSE 'pending' END AS state FROM r WHERE active""",
-    "alert_rule_instant": _w(
-        "ticks AS (SELECT (epoch_us(ts) // 1000000) // 15 * 15 AS t, max(event_id) AS i FROM events GROUP BY 1)",
-        "s AS (SELECT t, CAST((i % 40) * 15 AS DOUBLE) AS v FROM ticks)",
-        "b AS (SELECT min(t) AS t0, max(t) AS t1 FROM s)",
-        "g AS (SELECT unnest(range(CAST(ceil(t0 / 30.0) * 30 AS BIGINT), t1 + 300 + 1, 30)) AS t FROM b)",
-        "u AS (SELECT t, v, false AS is_grid FROM s UNION ALL SELECT t, NULL, true FROM g)",
-        """x AS (SELECT t, is_grid, last_value(v IGNORE NULLS) OVER (ORDER BY t
-                RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) AS v FROM u)""",
-        "c AS (SELECT t FROM x WHERE is_grid AND v IS NOT NULL AND v > 300)",
-        """st AS (SELECT t, CASE WHEN lag(t) OVER (ORDER BY t) IS NULL OR t - lag(t) OVER (ORDER BY t) > 30
-                 THEN t END AS start FROM c)""",
-        "r AS (SELECT t, max(start) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING) AS since FROM st)")
-    + """SELECT 'PipelineStalled' AS alert, '' AS series, t, since AS active_since,
-       CASE WHEN t - since >= 120 THEN 'firing' ELSE 'pending' END AS state FROM r""",
-    "alert_rule_range": _w(
-        "ticks AS (SELECT (epoch_us(ts) // 1000000) // 15 * 15 AS t, max(value) AS x FROM events GROUP BY 1)",
-        "s AS (SELECT t, CAST(floor(x * 40000) AS DOUBLE) AS v FROM ticks)",
-        "b AS (SELECT min(t) AS t0, max(t) AS t1 FROM s)",
-        "g AS (SELECT unnest(range(CAST(ceil(t0 / 30.0) * 30 AS BIGINT), t1 + 120 + 1, 30)) AS t FROM b)",
-        """d AS (SELECT t, CASE WHEN lag(v) OVER (ORDER BY t) IS NULL THEN 0
-                 WHEN v >= lag(v) OVER (ORDER BY t) THEN v - lag(v) OVER (ORDER BY t) ELSE v END AS d FROM s)""",
-        "u AS (SELECT t, d, false AS is_grid FROM d UNION ALL SELECT t, NULL, true FROM g)",
-        """f AS (SELECT t, is_grid, sum(d) OVER w - first_value(d IGNORE NULLS) OVER w AS inc, count(d) OVER w AS n,
-                 max(CASE WHEN NOT is_grid THEN t END) OVER w - min(CASE WHEN NOT is_grid THEN t END) OVER w AS cov
-               FROM u WINDOW w AS (ORDER BY t RANGE BETWEEN 119 PRECEDING AND CURRENT ROW))""",
-        "c AS (SELECT t FROM f WHERE is_grid AND n >= 2 AND inc / cov > 10000)",
-        """st AS (SELECT t, CASE WHEN lag(t) OVER (ORDER BY t) IS NULL OR t - lag(t) OVER (ORDER BY t) > 30
-                 THEN t END AS start FROM c)""",
-        "r AS (SELECT t, max(start) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING) AS since FROM st)")
-    + """SELECT 'ProducerConsumerRateDivergence' AS alert, '' AS series, t, since AS active_since,
-       CASE WHEN t - since >= 180 THEN 'firing' ELSE 'pending' END AS state FROM r""",
-    "alert_rule_and": _w(
-        "ticks AS (SELECT (epoch_us(ts) // 1000000) // 15 * 15 AS t FROM events GROUP BY 1)",
-        """s AS (SELECT t, CASE WHEN hour(make_timestamp(t * 1000000)) % 13 = 2 THEN 0.0 ELSE 1.0 END AS task,
-                 CASE WHEN hour(make_timestamp(t * 1000000)) % 11 = 4 THEN 0.0 ELSE 1.0 END AS conn FROM ticks)""",
-        "b AS (SELECT min(t) AS t0, max(t) AS t1 FROM s)",
-        "g AS (SELECT unnest(range(CAST(ceil(t0 / 30.0) * 30 AS BIGINT), t1 + 300 + 1, 30)) AS t FROM b)",
-        "u AS (SELECT t, task, conn, false AS is_grid FROM s UNION ALL SELECT t, NULL, NULL, true FROM g)",
-        """x AS (SELECT t, is_grid,
-                 last_value(task IGNORE NULLS) OVER w AS task, last_value(conn IGNORE NULLS) OVER w AS conn
-               FROM u WINDOW w AS (ORDER BY t RANGE BETWEEN 300 PRECEDING AND CURRENT ROW))""",
-        "c AS (SELECT t FROM x WHERE is_grid AND task = 0 AND conn = 1)",
-        """st AS (SELECT t, CASE WHEN lag(t) OVER (ORDER BY t) IS NULL OR t - lag(t) OVER (ORDER BY t) > 30
-                 THEN t END AS start FROM c)""",
-        "r AS (SELECT t, max(start) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING) AS since FROM st)")
-    + """SELECT 'DebeziumTaskFailed' AS alert, '' AS series, t, since AS active_since,
-       CASE WHEN t - since >= 60 THEN 'firing' ELSE 'pending' END AS state FROM r""",
-    "panel_lag": _w(
-        "ticks AS (SELECT (epoch_us(ts) // 1000000) // 15 * 15 AS t, max(value) AS x FROM events GROUP BY 1)",
-        "s AS (SELECT t, CAST(floor(x * 40000) AS DOUBLE) AS v FROM ticks)",
-        "b AS (SELECT min(t) AS t0, max(t) AS t1 FROM s)",
-        "g AS (SELECT unnest(range(CAST(ceil(t0 / 15.0) * 15 AS BIGINT), t1 + 300 + 1, 15)) AS t FROM b)",
-        "u AS (SELECT t, v, false AS is_grid FROM s UNION ALL SELECT t, NULL, true FROM g)",
-        """x AS (SELECT t, is_grid, last_value(v IGNORE NULLS) OVER (ORDER BY t
-                RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) AS v FROM u)""")
-    + """SELECT 22 AS panel, t, '' AS series, v AS value,
-       CASE WHEN v >= 5000000 THEN 'red' WHEN v >= 500000 THEN 'yellow' ELSE 'green' END AS status
-FROM x WHERE is_grid AND v IS NOT NULL""",
+    "alert_rule_instant": _one_rule_sql("PipelineStalled"),
+    "alert_rule_range": _one_rule_sql("ProducerConsumerRateDivergence"),
+    "alert_rule_and": _one_rule_sql("DebeziumTaskFailed"),
+    "alerts_all": alerts_sql(A.RULES) + """SELECT alert, severity, component, metric, series, active_since, max(t) AS last_t, count(*) AS n,
+       count(*) FILTER (state = 'firing') AS n_firing, max(value) AS max_value FROM states GROUP BY ALL""",
+    "alert_window": alerts_sql(A.RULES) + f"SELECT alert, metric, series, t, value, active_since, state FROM states WHERE {_within(WINDOW)}",
+    "panel_lag": panels_sql([p for p in PN.PANELS if p.pid == 22]) + "SELECT panel, t, metric, series, value, status FROM shown",
+    "panels_all": panels_sql(PN.PANELS) + """SELECT panel, metric, series, status, text, t // 3600 AS hour, count(*) AS n,
+       min(value) AS min_value, max(value) AS max_value FROM shown GROUP BY ALL""",
+    "panel_window": panels_sql(PN.PANELS) + f"SELECT panel, metric, series, t, value, status, text FROM shown WHERE {_within(PANEL_WINDOW)}",
     "alert_and": _w(EV, HOURLY) + """SELECT series, t, produced AS value FROM s
 WHERE produced > 20 AND acked > 10""",
     "alert_and_on": _w(EV, HOURLY) + """SELECT series, t, produced AS value FROM s

@@ -110,6 +110,7 @@ def cdc_messages(events: DataFrame) -> DataFrame:
 # Observability inputs (FIXTURES.md E-G), derived from the change log.
 
 CONSUMED_BATCHES = 8  # the consumer has finished batches 0..7
+PROGRESS_START = 1_706_745_600  # 2024-02-01 00:00:00
 STRAY_PARTITION = "99"  # consumed but unknown to the broker side
 TABLE_PREFIX = "lake/shipments_mor"
 
@@ -222,7 +223,7 @@ def component_status(events: DataFrame) -> DataFrame:
 def progress_lines(msgs: DataFrame) -> DataFrame:
     """Streaming progress as JSON text, one line per batch (``value`` column).
 
-    Batch b reports its duration, input rate, and a broker source whose
+    Batch b begins b minutes after ``PROGRESS_START`` and reports its duration, input rate, and a broker source whose
     ``endOffset`` is what was consumed after batch b and whose
     ``latestOffset`` is the topic's high watermark.
     """
@@ -243,6 +244,7 @@ def progress_lines(msgs: DataFrame) -> DataFrame:
         F.col("n").alias("numInputRows"))
     doc = F.struct(
         F.col("b").alias("batchId"),
+        F.date_format(F.timestamp_seconds(F.lit(PROGRESS_START) + 60 * F.col("b")), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
         F.struct((F.col("n") * 7).alias("triggerExecution"), (F.col("n") * 5).alias("addBatch")).alias("durationMs"),
         (F.col("n") / F.lit(30.0)).alias("inputRowsPerSecond"),
         F.array(src).alias("sources"),
@@ -274,41 +276,55 @@ def hourly_samples(events: DataFrame) -> DataFrame:
     )).alias("s")).select("ts", "s.metric", "labels", "s.value")
 
 
+ENTITIES = 50  # pipelines that the scrape history tells apart
+
+
 def scrape_history(events: DataFrame) -> DataFrame:
-    """Pipeline metric samples, one scrape per event (time floored to 15 s).
+    """Samples of all 22 pipeline metrics and two driver metrics, by pipeline.
 
-    Each metric is a fixed function of the event; counters grow with
-    ``event_id``. Feeds the alert rules and panels end to end.
+    A pipeline (label ``pipeline``, by user) is scraped at each of its events
+    (time floored to 15 s), so samples grow with ``events``. Each metric is a
+    fixed function of the event; counters grow with ``event_id``. Feeds the
+    alert rules and panels end to end. One scan, one explode.
     """
-    e = events.select(F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 15) * 15).alias("ts"),
-                      "event_id", "value", "user_id")
-    t = e.groupBy("ts").agg(F.max("event_id").alias("i"), F.max("value").alias("x"), F.max("user_id").alias("u"))
+    e = events.select((F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 15) * 15).alias("s"),
+                      (F.col("user_id") % ENTITIES).cast("string").alias("pipeline"), "event_id", "value", "user_id")
+    t = e.groupBy("s", "pipeline").agg(F.max("event_id").alias("i"), F.max("value").alias("x"), F.max("user_id").alias("u"))
+    t = t.withColumn("ts", F.timestamp_seconds("s"))
     hr, day = F.hour("ts"), F.dayofmonth("ts")
     i, x = F.col("i"), F.col("x")
     p = "pipeline_"
     metrics = [
         (p + "kafka_topic_latest_offset", i + 1),
+        (p + "kafka_partition_count", F.lit(4)),
         (p + "spark_consumer_lag_total", F.floor(x * 40_000)),
+        (p + "spark_last_batch_written", F.floor(i / 10)),
         (p + "hudi_last_commit_age_seconds", (i % 40) * 15),
         (p + "debezium_connector_running", F.when(hr % 11 == 4, 0).otherwise(1)),
         (p + "debezium_task_running", F.when(hr % 13 == 2, 0).otherwise(1)),
         (p + "mysql_reachable", F.when(hr % 19 == 7, 0).otherwise(1)),
+        (p + "hudi_deltacommit_count", F.floor(i / 3)),
+        (p + "hudi_commit_count", F.when(day <= 3, 0).otherwise(day)),
+        (p + "hudi_clean_count", F.floor(i / 12)),
         (p + "hudi_inflight_operations", i % 9),
+        (p + "hudi_data_files_total", i % 500),
         (p + "hudi_log_files_total", i % 120),
-        (p + "hudi_commit_count", F.when(day <= 3, 0).otherwise(day)),
+        (p + "hudi_base_files_total", i % 380),
         (p + "hudi_table_size_bytes", i * 200_000_000),
+        (p + "hudi_file_groups_total", F.lit(16)),
         (p + "exporter_scrape_errors_total", F.floor(i / 7)),
+        (p + "exporter_last_scrape_timestamp", F.col("s")),
+        (p + "exporter_scrape_duration_seconds", x / 100),
         ("metrics_app_app1_driver_spark_streaming_q_triggerExecution_Value", x * 200),
+        ("metrics_app_app2_driver_spark_streaming_q_triggerExecution_Value", 120_000 - x * 200),
         ("metrics_app_app1_driver_spark_streaming_q_inputRate_total_Value", x),
     ]
-    empty = F.create_map().cast("map<string,string>")
-    rows = t.select("ts", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("metric"), empty.alias("labels"), v.cast("double").alias("value"))
-        for n, v in metrics])).alias("s")).select("ts", "s.metric", "s.labels", "s.value")
-    per_part = t.select("ts", F.lit(p + "spark_consumer_lag_per_partition").alias("metric"),
-                        F.create_map(F.lit("partition"), (F.col("u") % 4).cast("string")).alias("labels"),
-                        F.floor(x * 10_000).cast("double").alias("value"))
-    return rows.unionByName(per_part)
+    whole = F.create_map(F.lit("pipeline"), F.col("pipeline"))
+    part = F.create_map(F.lit("pipeline"), F.col("pipeline"), F.lit("partition"), (F.col("u") % 4).cast("string"))
+    split = [(p + "spark_consumer_lag_per_partition", F.floor(x * 10_000)), (p + "kafka_partition_offset", i + 1)]
+    return t.select("ts", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric"), labels.alias("labels"), v.cast("double").alias("value"))
+        for labels, some in ((whole, metrics), (part, split)) for n, v in some])).alias("s")).select("ts", "s.metric", "s.labels", "s.value")
 
 
 def scrape_log(events: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def list_files_recursive(spark: SparkSession, path: str) -> list[tuple[str, int,
 
 
 def write_json(spark: SparkSession, path: str, body: dict) -> None:
-    """Write a small JSON document atomically (temp file, then rename)."""
+    """Write a small JSON document: to a temp file, then renamed over ``path``; raises if the rename fails."""
     fs, p = _fs(spark, path)
     jvm = _jvm(spark)
     tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), "." + p.getName() + ".tmp")
@@ -55,9 +55,12 @@ def write_json(spark: SparkSession, path: str, body: dict) -> None:
         out.write(bytearray(json.dumps(body, sort_keys=True).encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri(), conf).rename(
+        fs.makeQualified(tmp), fs.makeQualified(p), options)
 
 
 def read_json(spark: SparkSession, path: str) -> dict:
@@ -75,21 +78,18 @@ def read_json(spark: SparkSession, path: str) -> dict:
     return json.loads("\n".join(lines))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Move ``src`` to ``dst``; raises if the file system refuses."""
     fs, s = _fs(spark, src)
     d = _jvm(spark).org.apache.hadoop.fs.Path(dst)
     fs.mkdirs(d.getParent())
-    return bool(fs.rename(s, d))
+    if not fs.rename(s, d):
+        raise OSError(f"rename failed: {src} -> {dst}")
 
 
 def set_mtime(spark: SparkSession, path: str, mtime_ms: int) -> None:

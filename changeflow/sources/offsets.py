@@ -63,19 +63,20 @@ def offset_totals(latest: DataFrame) -> DataFrame:
 
 
 def consumer_lag(consumed: DataFrame, latest: DataFrame) -> DataFrame:
-    """JOIN-1: lag per consumed partition = max(0, latest − consumed), missing latest = 0.
+    """JOIN-1: lag per consumed topic partition = max(0, latest − consumed), missing latest = 0.
 
-    Partitions only present on the latest side are not counted (left join).
-    ``latest`` has one row per topic partition; the planner broadcasts it
-    when its measured size is under the broadcast threshold.
+    Matched on (topic, partition): topics share partition numbers. Partitions
+    only present on the latest side are not counted (left join). ``latest`` has
+    one row per topic partition; the planner broadcasts it when its measured
+    size is under the broadcast threshold.
     """
-    lat = latest.select(F.col("partition").cast("string").alias("partition"), "latest_offset")
-    con = consumed.select(F.col("partition").cast("string").alias("partition"), "offset", "batch_id")
-    j = con.join(lat, "partition", "left")
-    return j.select("partition", "batch_id",
+    lat = latest.select("topic", F.col("partition").cast("string").alias("partition"), "latest_offset")
+    con = consumed.select("topic", F.col("partition").cast("string").alias("partition"), "offset", "batch_id")
+    j = con.join(lat, ["topic", "partition"], "left")
+    return j.select("topic", "partition", "batch_id",
                     F.greatest(F.lit(0), F.coalesce("latest_offset", F.lit(0)) - F.col("offset")).alias("lag"))
 
 
 def lag_total(lag: DataFrame) -> DataFrame:
-    """AGG-4 / AGG-14: Σ lag and the last batch written."""
-    return lag.agg(F.sum("lag").alias("lag_total"), F.max("batch_id").alias("last_batch_written"))
+    """AGG-4 / AGG-14: per topic, Σ lag and the last batch written."""
+    return lag.groupBy("topic").agg(F.sum("lag").alias("lag_total"), F.max("batch_id").alias("last_batch_written"))

@@ -9,23 +9,25 @@ PROGRESS_SCHEMA = "batchId bigint, durationMs map<string,bigint>, inputRowsPerSe
 
 
 def progress_metrics(lines: DataFrame, text_col: str = "value") -> DataFrame:
-    """(batch_id, trigger_ms, input_rows_per_second) from progress JSON lines.
+    """(batch_id, ts, trigger_ms, input_rows_per_second) from progress JSON lines.
 
     ``trigger_ms`` is ``durationMs.triggerExecution``: the batch duration the
-    batch-overrun rule and panel watch.
+    batch-overrun rule and panel watch. ``ts`` is when the trigger began.
     """
     p = lines.select(F.from_json(F.col(text_col), PROGRESS_SCHEMA).alias("p")).filter(F.col("p").isNotNull())
-    return p.select(F.col("p.batchId").alias("batch_id"),
+    return p.select(F.col("p.batchId").alias("batch_id"), F.try_to_timestamp("p.timestamp").alias("ts"),
                     F.try_element_at("p.durationMs", F.lit("triggerExecution")).alias("trigger_ms"),
                     F.col("p.inputRowsPerSecond").alias("input_rows_per_second"))
 
 
 def progress_samples(progress: DataFrame, app: str = "app", query: str = "query") -> DataFrame:
-    """Progress rows as samples named like the driver's streaming gauges."""
+    """Progress rows as samples named like the driver's streaming gauges, at the time their trigger began.
+
+    Records without a time can't be placed and give no sample.
+    """
     empty = F.create_map().cast("map<string,string>")
     base = f"metrics_app_{app}_driver_spark_streaming_{query}_"
-    ts = F.col("ts") if "ts" in progress.columns else F.timestamp_seconds(F.col("batch_id"))
-    return progress.select(ts.alias("ts"), F.explode(F.array(
+    return progress.filter(F.col("ts").isNotNull()).select("ts", F.explode(F.array(
         F.struct(F.lit(base + "triggerExecution_Value").alias("metric"), F.col("trigger_ms").cast("double").alias("value")),
         F.struct(F.lit(base + "inputRate_total_Value").alias("metric"), F.col("input_rows_per_second").alias("value")),
     )).alias("s")).select("ts", "s.metric", empty.alias("labels"), "s.value")

@@ -31,7 +31,8 @@ def test_short_newest_file_gives_nothing(spark):
 
 
 def test_lag_left_join(spark):
-    consumed = spark.createDataFrame([(1, "0", 5), (1, "1", 9), (1, "7", 4)], "batch_id bigint, partition string, offset bigint")
+    consumed = spark.createDataFrame([(1, TOPIC, "0", 5), (1, TOPIC, "1", 9), (1, TOPIC, "7", 4)],
+                                     "batch_id bigint, topic string, partition string, offset bigint")
     latest = spark.createDataFrame([(TOPIC, 0, 8), (TOPIC, 1, 9), (TOPIC, 2, 100)], "topic string, partition int, latest_offset bigint")
     lag = {r["partition"]: r["lag"] for r in O.consumer_lag(consumed, latest).collect()}
     assert lag == {"0": 3, "1": 0, "7": 0}
