@@ -1,11 +1,10 @@
-"""Source-table constraints as a data-quality report (TBL-9), defaults (TBL-10), seed rows (SRC-10)."""
+"""Source-table constraints as a data-quality report (TBL-9) and defaults (TBL-10)."""
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.schemas import DEFAULT_STATUS, STATUS_VALUES
@@ -53,21 +52,19 @@ def _check(c: Constraint) -> Column:
 def violations(df: DataFrame, key: str, rules: list[Constraint] = SHIPMENT_CONSTRAINTS) -> DataFrame:
     """One row per (row key, rule, column) that breaks a constraint.
 
-    Row rules are one ``when`` per rule, exploded; UNIQUE is a grouped count
-    (partial aggregation, so a heavily duplicated value is not one task)
-    joined back to the rows.
+    One ``when`` per rule, exploded together. A UNIQUE rule joins the values
+    that occur more than once: their counts are partially aggregated, and the
+    join's large side can be split, so a heavily duplicated value is not one
+    task's work.
     """
-    row_rules = [c for c in rules if c.rule != "unique"]
-    tags = F.array_compact(F.array(*[
-        F.when(_check(c), F.struct(F.lit(c.rule).alias("rule"), F.lit(c.column).alias("column")))
-        for c in row_rules]))
-    out = df.select(F.col(key).alias("row_key"), F.explode(tags).alias("v")).select("row_key", "v.rule", "v.column")
+    rows = df
     for c in (c for c in rules if c.rule == "unique"):
-        dup = df.groupBy(c.column).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-        rows = df.join(dup.select(c.column), c.column, "left_semi").select(
-            F.col(key).alias("row_key"), F.lit("unique").alias("rule"), F.lit(c.column).alias("column"))
-        out = out.unionByName(rows)
-    return out
+        often = df.groupBy(c.column).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+        rows = rows.join(often.select(c.column, F.lit(True).alias(f"_dup_{c.column}")), c.column, "left")
+    tags = F.array_compact(F.array(*[
+        F.when(F.col(f"_dup_{c.column}") if c.rule == "unique" else _check(c), F.struct(F.lit(c.rule).alias("rule"), F.lit(c.column).alias("column")))
+        for c in rules]))
+    return rows.select(F.col(key).alias("row_key"), F.explode(tags).alias("v")).select("row_key", "v.rule", "v.column")
 
 
 def apply_defaults(df: DataFrame, now: Column) -> DataFrame:
@@ -76,33 +73,3 @@ def apply_defaults(df: DataFrame, now: Column) -> DataFrame:
     for c in ("created_at", "updated_at"):
         out = out.withColumn(c, F.coalesce(F.col(c), now) if c in df.columns else now)
     return out
-
-
-# The source database's ten seed shipments (key, shipper, shipper
-# city, customer, customer city, weight, status, location, days to delivery).
-SEED = [
-    ("SHP-10001", "Acme Electronics", "Mumbai", "Rahul Sharma", "Delhi", "2.50", "PICKED_UP", "Mumbai Warehouse", 3),
-    ("SHP-10002", "Fresh Foods Co", "Bangalore", "Priya Patel", "Chennai", "5.00", "IN_TRANSIT", "Bangalore Hub", 2),
-    ("SHP-10003", "BookWorld", "Delhi", "Amit Kumar", "Kolkata", "1.20", "AT_HUB", "Kolkata Hub", 1),
-    ("SHP-10004", "StyleStore", "Pune", "Sneha Reddy", "Hyderabad", "0.80", "OUT_FOR_DELIVERY", "Hyderabad Local", 0),
-    ("SHP-10005", "TechGadgets", "Chennai", "Vikram Singh", "Mumbai", "3.30", "DELIVERED", "Mumbai - Delivered", 0),
-    ("SHP-10006", "HomeDecor Plus", "Hyderabad", "Anita Desai", "Pune", "12.00", "IN_TRANSIT", "Solapur Transit", 2),
-    ("SHP-10007", "PharmaCare", "Kolkata", "Rajesh Gupta", "Bangalore", "0.50", "PICKED_UP", "Kolkata Warehouse", 4),
-    ("SHP-10008", "AutoParts Hub", "Jaipur", "Suresh Yadav", "Delhi", "8.50", "AT_HUB", "Delhi Hub", 1),
-    ("SHP-10009", "GreenGrocers", "Lucknow", "Meera Nair", "Bangalore", "4.00", "IN_TRANSIT", "Nagpur Transit", 3),
-    ("SHP-10010", "FashionFirst", "Mumbai", "Deepak Joshi", "Jaipur", "1.50", "PICKED_UP", "Mumbai Warehouse", 3),
-]
-
-
-def seed_rows(spark: SparkSession, now: str | _dt.datetime) -> DataFrame:
-    """SRC-10: the seed batch, ids 1..10, delivery = today + n days, defaults applied.
-
-    ``now`` is best given as ``'yyyy-MM-dd HH:mm:ss'`` text (read in the
-    session time zone)."""
-    rows = [(i + 1, *r) for i, r in enumerate(SEED)]
-    df = spark.createDataFrame(rows, "id bigint, tracking_id string, shipper_name string, shipper_city string, "
-                                     "customer_name string, customer_city string, weight_kg string, status string, "
-                                     "current_location string, days int")
-    ts = F.lit(now).cast("timestamp")
-    out = df.withColumn("estimated_delivery", F.date_add(F.to_date(ts), F.col("days"))).drop("days")
-    return apply_defaults(out, ts)

@@ -78,8 +78,8 @@ def dropped_rows(routed: DataFrame) -> DataFrame:
 
 
 def bucket_of(key: Column, n: int = NUM_BUCKETS) -> Column:
-    """TBL-2: hash bucket of the record key (Spark's murmur3, not the table library's)."""
-    return F.pmod(F.hash(key), F.lit(n))
+    """TBL-2: hash bucket of the record key, by the first 32 bits of its MD5 (so any engine can compute it)."""
+    return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint"), F.lit(n)).cast("int")
 
 
 def point_lookup(view: DataFrame, key_value: str, key: str = RECORD_KEY) -> DataFrame:

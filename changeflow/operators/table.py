@@ -12,8 +12,8 @@ Layout under ``root``::
     _timeline/<V>.clean                  files expired after version V
 
 A writer publishes data first and the marker second, so readers never see a
-half-written batch or base. Writes are replay-safe: re-applying batch N
-overwrites ``deltas/batch_id=N`` with the same rows.
+half-written batch or base. A published batch is never written again: its
+replay changes nothing.
 
 Latest-wins everywhere uses the same total order: larger ``ts`` wins, ties go
 to the larger (kafka_partition, kafka_offset); rows with a null ``ts`` lose.
@@ -61,12 +61,17 @@ class TableState:
     commits: list[tuple[int, list[str]]] = field(default_factory=list)
     cleans: list[int] = field(default_factory=list)
     written: dict[int, set[str]] = field(default_factory=dict)
+    delta_parts: dict[int, list[str]] = field(default_factory=dict)  # partitions of each delta
+    folded: list[list[int]] = field(default_factory=list)  # ranges of batch ids whose deltas are gone
     schema: T.StructType | None = None
 
     @property
     def version(self) -> int:
         return self.commits[-1][0] if self.commits else -1
 
+    def applied(self, batch_id: int) -> bool:
+        return batch_id in self.deltas or any(a <= batch_id <= b for a, b in self.folded)
+
 
 def _timeline(spec: TableSpec) -> str:
     return f"{spec.root}/_timeline"
@@ -77,23 +82,28 @@ def _marker(spec: TableSpec, n: int, action: str) -> str:
 
 
 def _merge_schema(a: T.StructType | None, b: T.StructType) -> T.StructType:
-    """Additive reconcile (TBL-6): keep every known field, append new ones."""
+    """Additive reconcile (TBL-6): keep every known field, append new ones; a field never changes its type."""
     if a is None:
         return b
+    known = {f.name: f.dataType for f in a.fields}
+    changed = [f"{f.name}: {known[f.name].simpleString()} -> {f.dataType.simpleString()}"
+               for f in b.fields if f.name in known and known[f.name] != f.dataType]
+    if changed:
+        raise ValueError(f"columns changed their type: {', '.join(changed)}")
     names = {f.name for f in a.fields}
     return T.StructType(list(a.fields) + [f for f in b.fields if f.name not in names])
 
 
-# Marker bodies never change once written (a replay rewrites identical
-# content), so they are read once per (path, size, mtime).
-_MARKERS: dict[tuple[str, int, int], dict] = {}
+# Marker bodies never change once written, so they are read once per (path,
+# size, mtime). The cache of a table holds what its last listing held.
+_MARKERS: dict[str, dict[tuple[str, int, int], dict]] = {}
 
 
-def _marker_body(spark: SparkSession, path: str, size: int, mtime: int) -> dict:
-    key = (path, size, mtime)
-    if key not in _MARKERS:
-        _MARKERS[key] = fs.read_json(spark, path)
-    return _MARKERS[key]
+def _marker_bodies(spark: SparkSession, spec: TableSpec, entries: list[tuple[str, int, int]]) -> dict[str, dict]:
+    old = _MARKERS.get(spec.root, {})
+    new = {e: old[e] if e in old else fs.read_json(spark, f"{_timeline(spec)}/{e[0]}") for e in entries}
+    _MARKERS[spec.root] = new
+    return {name: body for (name, _, _), body in new.items()}
 
 
 def _fold(state: TableState, upto: int) -> TableState:
@@ -101,7 +111,8 @@ def _fold(state: TableState, upto: int) -> TableState:
     needs: deltas folded into the base, and base partitions superseded by a
     newer version. Its size is bounded by the number of partitions."""
     latest = _base_partitions(state, upto)
-    out = TableState(schema=state.schema, cleans=[c for c in state.cleans if c <= upto][-1:])
+    out = TableState(schema=state.schema, cleans=[c for c in state.cleans if c <= upto][-1:],
+                     folded=_joined([*state.folded, *([b, b] for b in state.deltas if b <= upto)]))
     for v, parts in state.commits:
         if v > upto:
             continue
@@ -112,14 +123,25 @@ def _fold(state: TableState, upto: int) -> TableState:
     return out
 
 
+def _joined(ranges: list[list[int]]) -> list[list[int]]:
+    """Ranges in order, neighbours joined: one range for a stream's batches, however many."""
+    out: list[list[int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
 def _state_body(state: TableState, upto: int) -> dict:
     return {"upto": upto, "deltas": state.deltas,
             "commits": [[v, parts, sorted(state.written.get(v, ()))] for v, parts in state.commits],
-            "cleans": state.cleans, "schema": state.schema.json() if state.schema else None}
+            "cleans": state.cleans, "folded": state.folded, "schema": state.schema.json() if state.schema else None}
 
 
 def _state_from(body: dict) -> TableState:
-    st = TableState(deltas=list(body["deltas"]), cleans=list(body["cleans"]))
+    st = TableState(deltas=list(body["deltas"]), cleans=list(body["cleans"]), folded=[list(r) for r in body.get("folded", [])])
     for v, parts, written in body["commits"]:
         st.commits.append((v, list(parts)))
         st.written[v] = set(written)
@@ -133,31 +155,36 @@ def read_state(spark: SparkSession, spec: TableSpec) -> TableState:
 
     One directory listing per call; marker bodies are cached. Cleaning folds
     old markers into a ``<n>.state`` file, so the listing stays bounded by
-    the retained commits rather than growing with every batch.
+    the retained commits rather than growing with every batch. A marker that a
+    concurrent clean folds away between listing and reading means that the
+    listing is out of date: it is taken anew.
     """
-    entries = sorted((n, size, mtime) for n, size, mtime, is_dir in fs.list_dir(spark, _timeline(spec)) if not is_dir)
-    snapshots = [(n, size, mtime) for n, size, mtime in entries if n.endswith(".state") and n.split(".")[0].isdigit()]
+    while True:
+        entries = sorted((n, size, mtime) for n, size, mtime, is_dir in fs.list_dir(spark, _timeline(spec))
+                         if not is_dir and n.split(".")[0].isdigit())
+        snapshots = [e for e in entries if e[0].endswith(".state")][-1:]
+        try:
+            bodies = _marker_bodies(spark, spec, snapshots + [e for e in entries if not e[0].endswith(".state")])
+        except fs.Missing:
+            continue
+        break
     state, upto = TableState(), -1
     if snapshots:
-        n, size, mtime = snapshots[-1]
-        body = _marker_body(spark, f"{_timeline(spec)}/{n}", size, mtime)
+        body = bodies.pop(snapshots[0][0])
         state, upto = _state_from(body), body["upto"]
     deltas = set(state.deltas)
-    for name, size, mtime in entries:
-        if name.startswith("."):
-            continue
+    for name, body in sorted(bodies.items()):
         num, _, action = name.partition(".")
-        if not num.isdigit() or action == "state" or int(num) <= upto:
+        if int(num) <= upto:
             continue
-        body = _marker_body(spark, f"{_timeline(spec)}/{name}", size, mtime)
         if "schema" in body:
             state.schema = _merge_schema(state.schema, T.StructType.fromJson(json.loads(body["schema"])))
         if action == "deltacommit":
             deltas.add(int(num))
+            state.delta_parts[int(num)] = body["partitions"]
         elif action == "commit":
-            written = body.get("written", body.get("partitions", []))
-            state.commits.append((int(num), list(body.get("partitions", []))))
-            state.written[int(num)] = set(written)
+            state.commits.append((int(num), list(body["partitions"])))
+            state.written[int(num)] = set(body["written"])
         elif action == "clean":
             state.cleans.append(int(num))
     state.deltas = sorted(deltas)
@@ -185,15 +212,20 @@ def apply_changes(spark: SparkSession, spec: TableSpec, batch: DataFrame, batch_
                   compact_after: bool = True) -> TableState:
     """TBL-1 / TBL-5: precombine one batch and publish it as delta ``batch_id``.
 
-    Batch ids must increase; re-applying an existing batch id is a replay
-    and yields the same state. ``batch`` holds lake rows with position
+    Batch ids must increase. A batch that is already applied, folded into the
+    base or not, is a replay and changes nothing: a published delta is never
+    written again, and one whose marker is missing is written whole. A batch
+    with a column of another type than the table's is refused before anything
+    is published. ``batch`` holds lake rows with position
     columns and ``_is_delete``. Under
     ``deletes="ignore"`` delete rows are discarded before the write. The
     in-batch precombine is a partial + final aggregate (skew-safe); the write
     is one file per (task, dt), which compaction later packs.
     """
     before = read_state(spark, spec)
-    if batch_id <= before.version and batch_id not in before.deltas:
+    if before.applied(batch_id):
+        return before
+    if batch_id <= before.version:
         # Readers skip batches at or below the compacted version, so a new
         # batch there would be lost. Batch ids must increase (a stream's do).
         raise ValueError(f"batch {batch_id} is not after compacted version {before.version}")
@@ -202,14 +234,16 @@ def apply_changes(spark: SparkSession, spec: TableSpec, batch: DataFrame, batch_
     if spec.deletes == "ignore":
         batch = batch.filter(~F.col(DELETE_FLAG))
     pre = precombine(batch, spec.merge_keys, spec.order).withColumn(BUCKET, bucket_of(F.col(spec.key), spec.num_buckets))
+    _merge_schema(before.schema, pre.schema)  # raises on a changed type
     path = f"{spec.root}/deltas/batch_id={batch_id}"
     pre.write.mode("overwrite").partitionBy(spec.partition).parquet(path)
     fs.write_json(spark, _marker(spec, batch_id, "deltacommit"),
-                  {"batch_id": batch_id, "schema": pre.schema.json()})
+                  {"batch_id": batch_id, "partitions": _written_partitions(spark, path, spec.partition), "schema": pre.schema.json()})
     state = read_state(spark, spec)
     if compact_after and spec.min_deltas and len(_pending(state)) >= spec.min_deltas:
         compact(spark, spec, state)
         state = read_state(spark, spec)
+    refresh_views(spark, spec)
     return state
 
 
@@ -307,9 +341,7 @@ def read_optimized_view(spark: SparkSession, spec: TableSpec, as_of_batch: int |
 
 def _touched_partitions(spark: SparkSession, spec: TableSpec, state: TableState, batches: list[int],
                         deltas: DataFrame) -> set[str]:
-    touched = set()
-    for b in batches:
-        touched |= set(_written_partitions(spark, f"{spec.root}/deltas/batch_id={b}", spec.partition))
+    touched = {p for b in batches for p in state.delta_parts[b]}
     if spec.key_scope == "global" and state.commits:
         # A key that moved to another dt must leave its old partition: find the
         # base partitions that hold any key of the new batches (semi join).
@@ -348,37 +380,38 @@ def compact(spark: SparkSession, spec: TableSpec, state: TableState | None = Non
     fs.write_json(spark, _marker(spec, version, "commit"),
                   {"version": version, "partitions": sorted(touched),
                    "written": _written_partitions(spark, path, spec.partition), "schema": state.schema.json()})
+    refresh_views(spark, spec)
     return read_state(spark, spec)
 
 
+def commit_table(spark: SparkSession, spec: TableSpec, state: TableState | None = None) -> DataFrame:
+    """(kind, version, dt, path): what each live commit wrote, as the markers name it.
+
+    One row per commit and partition, bounded by the retained commits.
+    """
+    state = state or read_state(spark, spec)
+    rows = [("base", v, p, f"{spec.root}/base/v={v}/{spec.partition}={p}") for v, parts in state.commits for p in parts]
+    rows += [("delta", b, p, f"{spec.root}/deltas/batch_id={b}/{spec.partition}={p}") for b in state.deltas for p in state.delta_parts.get(b, ())]
+    return spark.createDataFrame(rows, "kind string, version bigint, dt string, path string")
+
+
 def expired_versions(spark: SparkSession, spec: TableSpec, retain: int = 2) -> DataFrame:
-    """TBL-4: files no longer needed by the last ``retain`` commits.
+    """TBL-4: files no longer needed by the last ``retain`` commits, as (kind, version, dt, path).
 
-    A base partition version is needed if some retained commit reads it; a
-    delta batch is needed if it is newer than the oldest retained commit.
-    Returns (kind, version, dt, path); deleting them is a separate step.
+    A retained commit reads, for each partition, the newest base version up to
+    itself; base rows that no retained commit reads are expired, and so are
+    deltas up to the oldest retained commit. Deleting them is a separate step.
     """
     state = read_state(spark, spec)
-    schema = "kind string, version bigint, dt string, path string"
-    commits = [v for v, _ in state.commits]
-    if len(commits) <= retain:
-        return spark.createDataFrame([], schema)
-    kept_versions = commits[-retain:]
-    needed = set()
-    for v in kept_versions:
-        needed |= {(p, pv) for p, pv in _base_partitions(state, v).items()}
-    rows = []
-    for v, parts in state.commits:
-        for p in parts:
-            if (p, v) not in needed:
-                rows.append(("base", v, p, f"{spec.root}/base/v={v}/{spec.partition}={p}"))
-    oldest = kept_versions[0]
-    for b in state.deltas:
-        if b <= oldest:
-            for name, _, _, is_dir in fs.list_dir(spark, f"{spec.root}/deltas/batch_id={b}"):
-                if is_dir and name.startswith(f"{spec.partition}="):
-                    rows.append(("delta", b, name.split("=", 1)[1], f"{spec.root}/deltas/batch_id={b}/{name}"))
-    return spark.createDataFrame(rows, schema)
+    table = commit_table(spark, spec, state)
+    kept = [v for v, _ in state.commits][-retain:] if len(state.commits) > retain else []
+    if not kept:
+        return table.limit(0)
+    base = table.filter("kind = 'base'")
+    readers = base.withColumn("reader", F.explode(F.array(*[F.lit(v) for v in kept]))).filter("version <= reader")
+    needed = readers.groupBy("reader", "dt").agg(F.max("version").alias("version")).select("version", "dt").distinct()
+    return base.join(needed, ["version", "dt"], "left_anti").select(*table.columns).unionByName(
+        table.filter((F.col("kind") == "delta") & (F.col("version") <= kept[0])))
 
 
 def clean(spark: SparkSession, spec: TableSpec, retain: int = 2, dry_run: bool = True) -> DataFrame:
@@ -409,19 +442,27 @@ def clean(spark: SparkSession, spec: TableSpec, retain: int = 2, dry_run: bool =
                 continue
             if (action == "state" and int(num) < oldest) or (action != "state" and int(num) <= oldest):
                 fs.delete(spark, f"{_timeline(spec)}/{name}")
+    refresh_views(spark, spec)
     return expired
 
 
-def reconcile(df: DataFrame, table_schema: T.StructType) -> DataFrame:
-    """TBL-6: align a batch to the table schema; new columns are kept (additive)."""
-    have = set(df.columns)
-    cols = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in table_schema.fields]
-    known = {f.name for f in table_schema.fields}
-    return df.select(*cols, *[c for c in df.columns if c not in known])
+# Views by (application, table root): a commit points them at its own files.
+_VIEWS: dict[tuple[str, str], set[str]] = {}
 
 
 def register_table(spark: SparkSession, spec: TableSpec, name: str) -> None:
-    """SNK-4 / TBL-8: expose ``<name>_rt`` (snapshot) and ``<name>_ro`` views."""
-    snapshot_view(spark, spec).createOrReplaceTempView(f"{name}_rt")
-    read_optimized_view(spark, spec).createOrReplaceTempView(f"{name}_ro")
+    """SNK-4 / TBL-8: expose ``<name>_rt`` (snapshot) and ``<name>_ro`` views.
+
+    A view reads the files of one state, so every commit and clean that this
+    application makes registers its views again. Another application calls
+    ``refresh_views`` before it queries.
+    """
+    _VIEWS.setdefault((spark.sparkContext.applicationId, spec.root), set()).add(name)
+    refresh_views(spark, spec)
+
+
+def refresh_views(spark: SparkSession, spec: TableSpec) -> None:
+    """Point the registered views of a table at its newest commit."""
+    for name in _VIEWS.get((spark.sparkContext.applicationId, spec.root), ()):
+        snapshot_view(spark, spec).createOrReplaceTempView(f"{name}_rt")
+        read_optimized_view(spark, spec).createOrReplaceTempView(f"{name}_ro")

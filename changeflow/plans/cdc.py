@@ -11,6 +11,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow.operators import table as tbl
 from changeflow.operators.latest import precombine
@@ -18,6 +19,7 @@ from changeflow.operators.routing import (
     bucket_of, latest_sorted, peek, point_lookup, project_rows, route,
 )
 from changeflow.operators.table import TableSpec
+from changeflow.schemas import NUM_BUCKETS
 from changeflow.session import prepare, scratch_dir
 from changeflow.sources.fixtures import NUM_BATCHES, cdc_messages, read_table
 from changeflow.sources.messages import parse_messages
@@ -35,8 +37,24 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
 
+_STAGED: dict[tuple[str, str], tuple[str, T.StructType]] = {}
+_STAGE_LOCK = threading.Lock()
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc_messages(_events(spark, sf_dir))
+    """The change log as broker messages, encoded once per session and data
+    directory and kept by batch, so that queries read messages and don't
+    make them; a batch filter prunes to that batch's folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _STAGE_LOCK:
+        if key not in _STAGED:
+            path = scratch_dir(spark, "messages")
+            msgs = cdc_messages(_events(spark, sf_dir))
+            msgs.write.partitionBy("b").parquet(path)
+            _STAGED[key] = path, msgs.schema
+    prepare(spark)
+    path, schema = _STAGED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def routed(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
@@ -253,8 +271,7 @@ def q_dlq_peek(spark, sf_dir):
 
 def q_bucket_assign(spark, sf_dir):
     view = tbl.snapshot_view(spark, build_table(spark, sf_dir), internal=True)
-    return view.select("tracking_id", "dt", "_bucket").withColumn(
-        "bucket_check", bucket_of(F.col("tracking_id")) == F.col("_bucket"))
+    return view.select("tracking_id", "dt", F.col("_bucket").alias("bucket"))
 
 
 def q_catalog_register(spark, sf_dir):
@@ -263,16 +280,9 @@ def q_catalog_register(spark, sf_dir):
 
 
 def q_table_timeline_counts(spark, sf_dir):
-    """The timeline metrics run on this library's own table (10 batches, compaction every 2)."""
-    from changeflow.sources import listing as L
-
-    spec = build_table(spark, sf_dir)
-    from changeflow.sources import fs
-
-    timeline = L.parse_timeline(L.list_files(spark, spec.root), fs.qualify(spark, f"{spec.root}/_timeline"))
-    return L.timeline_counts(timeline).join(
-        L.inflight_count(L.timeline_instants(timeline))).select(
-        "deltacommit_count", "commit_count", "clean_count", "inflight_operations")
+    """The table's own commits (10 batches, compaction every 2): partitions that each one wrote."""
+    commits = tbl.commit_table(spark, build_table(spark, sf_dir))
+    return commits.groupBy("kind", "version").agg(F.count(F.lit(1)).alias("n_partitions"))
 
 
 def q_flagship(spark, sf_dir):
@@ -431,7 +441,11 @@ FROM ({_latest("cls = 'good'", 'dt, tracking_id')}) ORDER BY tracking_id, dt""",
 WHERE cls IN ('tombstone', 'malformed', 'nokey') ORDER BY part, event_id LIMIT 10""",
     "catalog_register": _with(EV, LAKE) + f"""SELECT tracking_id, dt, status, current_location
 FROM ({_latest("cls = 'good'", 'dt, tracking_id')})""",
-    "table_timeline_counts": "SELECT 10 AS deltacommit_count, 5 AS commit_count, 0 AS clean_count, 0 AS inflight_operations",
+    "table_timeline_counts": _with(EV, LAKE) + """SELECT 'delta' AS kind, CAST(b AS BIGINT) AS version, count(DISTINCT dt) AS n_partitions
+FROM lake WHERE cls = 'good' GROUP BY b
+UNION ALL SELECT 'base', CAST(b // 2 * 2 + 1 AS BIGINT), count(DISTINCT dt) FROM lake WHERE cls = 'good' GROUP BY b // 2""",
+    "bucket_assign": _with(EV, LAKE) + f"""SELECT DISTINCT tracking_id, dt, CAST(('0x' || substr(md5(tracking_id), 1, 8))::BIGINT % {NUM_BUCKETS} AS INTEGER) AS bucket
+FROM lake WHERE cls = 'good'""",
     "cdc_latest_sorted": _with(EV, LAKE) + f"""SELECT tracking_id, dt, status, current_location
 FROM ({_latest("cls = 'good'", 'dt, tracking_id')}) ORDER BY tracking_id, dt""",
 }

@@ -10,6 +10,7 @@ from changeflow.operators.latest import precombine
 from changeflow.operators.quality import apply_defaults, violations
 from changeflow.operators.table import TableSpec
 from changeflow.plans.cdc import _BUILT, _LOCK, EV, LAKE, _latest, _with, lake_rows, messages, out_cols
+from changeflow.schemas import STATUS_VALUES
 from changeflow.session import scratch_dir
 from changeflow.sources import fs
 from changeflow.sources.diff import snapshot_diff
@@ -17,25 +18,15 @@ from changeflow.sources.fixtures import NUM_BATCHES, read_table
 from changeflow.sources.messages import MessageSource, read_messages
 from changeflow.streaming.apply import Outputs, finish_apply, start_apply
 
-STREAM_TIMEOUT_S = 900
-
-
-ROWS_PER_FILE = 1_000_000
-
-
-def files_per_batch(spark: SparkSession, sf_dir: str) -> int:
-    """Files per replay batch: at most ``ROWS_PER_FILE`` messages per file."""
-    n = read_table(spark, sf_dir, "events").count()
-    return max(1, -(-n // (NUM_BATCHES * ROWS_PER_FILE)))
+FILES_PER_BATCH = 4  # replay files of one batch
 
 
 def write_message_files(spark: SparkSession, sf_dir: str, root: str, batches: list[int],
-                        n_files: int | None = None) -> int:
+                        n_files: int = FILES_PER_BATCH) -> int:
     """Replay files of the change log: ``n_files`` parquet files per fixture
     batch, written in parallel and given modification times in batch order,
     so a file source with ``maxFilesPerTrigger = n_files`` reads one fixture
     batch per trigger. Returns ``n_files``."""
-    n_files = n_files or files_per_batch(spark, sf_dir)
     msgs = messages(spark, sf_dir)
     for b in batches:
         stage = f"{root}/_stage/{b}"
@@ -50,15 +41,11 @@ def write_message_files(spark: SparkSession, sf_dir: str, root: str, batches: li
 
 def run_stream(spark: SparkSession, root: str, spec: TableSpec, files_per_trigger: int,
                compaction: str = "inline") -> None:
-    src = read_messages(spark, MessageSource(f"{root}/src", format="parquet", max_per_trigger=files_per_trigger))
+    src = read_messages(spark, MessageSource(f"{root}/src", format="parquet", max_files_per_trigger=files_per_trigger))
+    # All deltas stay: queries read them by batch.
     q = start_apply(src, spec, f"{root}/checkpoint",
-                    Outputs(f"{root}/dlq", f"{root}/dropped", compaction=compaction), available_now=True)
-    finish_apply(q, STREAM_TIMEOUT_S)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+                    Outputs(f"{root}/dlq", f"{root}/dropped", compaction=compaction, retain_commits=None), available_now=True)
+    finish_apply(q)
 
 
 def streamed(spark: SparkSession, sf_dir: str, variant: str) -> tuple[str, TableSpec]:
@@ -131,6 +118,11 @@ def q_snapshot_diff_counts(spark, sf_dir):
 def q_dq_constraints(spark, sf_dir):
     rows = lake_rows(spark, sf_dir).drop("b")
     snap = precombine(rows, ["dt", "tracking_id"], ["ts", "kafka_partition", "kafka_offset"])
+    i = F.col("id")
+    snap = snap.withColumns({  # rows that break the rules which the change log keeps
+        "customer_city": F.when(i % 17 != 0, F.col("customer_city")),
+        "shipper_name": F.when(i % 19 == 0, F.repeat("shipper_name", 20)).otherwise(F.col("shipper_name")),
+        "weight_kg": F.when(i % 23 == 0, F.concat("weight_kg", F.lit("5"))).otherwise(F.col("weight_kg"))})
     return violations(snap, "id").groupBy("rule", "column").agg(F.count(F.lit(1)).alias("n_violations"))
 
 
@@ -141,8 +133,7 @@ def q_cdc_seed(spark, sf_dir):
     """One new shipment per customer, with the source defaults applied."""
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    statuses = F.array(*[F.lit(s) for s in ("PICKED_UP", "IN_TRANSIT", "AT_HUB", "OUT_FOR_DELIVERY",
-                                            "DELIVERED", "RETURNED", "FAILED_DELIVERY")])
+    statuses = F.array(*[F.lit(s) for s in STATUS_VALUES])
     now = F.lit(SEED_NOW).cast("timestamp")
     rows = c.select(
         k.alias("id"),
@@ -167,6 +158,7 @@ QUERIES = {
     "cdc_seed": q_cdc_seed,
 }
 
+STATES_SQL = ", ".join(f"'{x}'" for x in STATUS_VALUES)
 DIFF = """b AS (SELECT * FROM orders WHERE o_orderkey % 7 <> 0),
 a AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
              o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 11 <> 0),
@@ -188,15 +180,19 @@ FROM ev WHERE cls IN ('delete', 'unflagged')""",
 FROM lake WHERE cls = 'good' GROUP BY b // 2""",
     "snapshot_diff": "WITH " + DIFF + "\nSELECT * FROM d WHERE op IS NOT NULL",
     "snapshot_diff_counts": "WITH " + DIFF + "\nSELECT op, count(*) AS n FROM d WHERE op IS NOT NULL GROUP BY op",
-    "dq_constraints": _with(EV, LAKE) + f"""SELECT 'domain' AS rule, 'status' AS column, count(*) AS n_violations
+    "dq_constraints": _with(EV, LAKE, f"latest AS ({_latest("cls = 'good'", 'dt, tracking_id')})") + f"""
+SELECT 'not_null' AS rule, 'customer_city' AS column, count(*) AS n_violations FROM latest WHERE id % 17 = 0
+UNION ALL SELECT 'max_length', 'shipper_name', count(*) FROM latest WHERE id % 19 = 0
+UNION ALL SELECT 'decimal', 'weight_kg', count(*) FROM latest WHERE id % 23 = 0
+UNION ALL SELECT 'domain' AS rule, 'status' AS column, count(*) AS n_violations
 FROM ({_latest("cls = 'good'", 'dt, tracking_id')}) WHERE status NOT IN
-  ('PICKED_UP','IN_TRANSIT','AT_HUB','OUT_FOR_DELIVERY','DELIVERED','RETURNED','FAILED_DELIVERY')
+  ({STATES_SQL})
 UNION ALL
 SELECT 'unique', 'tracking_id', count(*) FROM ({_latest("cls = 'good'", 'dt, tracking_id')}) x
 WHERE tracking_id IN (SELECT tracking_id FROM ({_latest("cls = 'good'", 'dt, tracking_id')}) GROUP BY 1 HAVING count(*) > 1)""",
-    "cdc_seed": """SELECT c_custkey AS id, 'SHP-' || CAST(c_custkey + 10000 AS VARCHAR) AS tracking_id,
+    "cdc_seed": f"""SELECT c_custkey AS id, 'SHP-' || CAST(c_custkey + 10000 AS VARCHAR) AS tracking_id,
        CASE WHEN c_custkey % 3 = 0 THEN 'PICKED_UP'
-            ELSE (['PICKED_UP','IN_TRANSIT','AT_HUB','OUT_FOR_DELIVERY','DELIVERED','RETURNED','FAILED_DELIVERY'])[c_custkey % 7 + 1] END AS status,
+            ELSE ([{STATES_SQL}])[c_custkey % 7 + 1] END AS status,
        strftime(DATE '2024-02-01' + CAST(c_custkey % 5 AS INTEGER), '%Y-%m-%d') AS estimated_delivery,
        CAST(epoch(TIMESTAMP '2024-02-01 09:30:00') AS BIGINT) AS created_s,
        CAST(epoch(TIMESTAMP '2024-02-01 09:30:00') AS BIGINT) AS updated_s

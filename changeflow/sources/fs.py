@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -63,9 +64,19 @@ def write_json(spark: SparkSession, path: str, body: dict) -> None:
         fs.makeQualified(tmp), fs.makeQualified(p), options)
 
 
+class Missing(FileNotFoundError):
+    """A metadata file that is gone."""
+
+
 def read_json(spark: SparkSession, path: str) -> dict:
+    """A small JSON document; raises ``Missing`` if there is none."""
     fs, p = _fs(spark, path)
-    stream = fs.open(p)
+    try:
+        stream = fs.open(p)
+    except Py4JJavaError as e:
+        if "FileNotFoundException" in str(e.java_exception.getClass().getName()):
+            raise Missing(path) from None
+        raise
     try:
         reader = _jvm(spark).java.io.BufferedReader(_jvm(spark).java.io.InputStreamReader(stream, "UTF-8"))
         lines = []

@@ -25,7 +25,8 @@ class MessageSource:
     bootstrap_servers: str | None = None
     starting_offsets: str = "earliest"
     fail_on_data_loss: bool = False
-    max_per_trigger: int | None = 2_000_000
+    max_per_trigger: int | None = 2_000_000  # offsets, for a broker
+    max_files_per_trigger: int | None = None  # files, for a file source
 
 
 def read_messages(spark: SparkSession, source: MessageSource) -> DataFrame:
@@ -42,9 +43,8 @@ def read_messages(spark: SparkSession, source: MessageSource) -> DataFrame:
             reader = reader.option("maxOffsetsPerTrigger", str(source.max_per_trigger))
         return reader.load()
     reader = reader.schema(MESSAGE_SCHEMA)
-    if source.max_per_trigger:
-        # A file source limits files, not offsets, per micro-batch.
-        reader = reader.option("maxFilesPerTrigger", str(source.max_per_trigger))
+    if source.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(source.max_files_per_trigger))
     return reader.load(source.path_or_topic)
 
 

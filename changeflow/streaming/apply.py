@@ -32,7 +32,7 @@ class Outputs:
     dlq_topic: str | None = None
     bootstrap_servers: str | None = None
     tombstones: str = "dead_letter"  # or "skip": NULL-value messages are not kept
-    retain_commits: int | None = None  # clean after each compaction, keeping this many commits
+    retain_commits: int | None = 2  # clean after each compaction, keeping this many commits; None keeps all
     compaction: str = "inline"  # "inline" (deterministic), "async" (background, overlaps batches), "off"
 
 
@@ -110,7 +110,6 @@ def batch_writer(spec: TableSpec, outputs: Outputs, compactor: Compactor | None
         routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             apply_changes(spark, spec, changes, batch_id, compact_after=False)
-            compactor.after_batch(spark)
             if outputs.dlq_format == "kafka":
                 (dead.write.format("kafka")
                  .option("kafka.bootstrap.servers", outputs.bootstrap_servers)
@@ -121,6 +120,8 @@ def batch_writer(spec: TableSpec, outputs: Outputs, compactor: Compactor | None
                 dropped.write.mode("overwrite").parquet(f"{outputs.dropped_path}/batch_id={batch_id}")
         finally:
             routed.unpersist()
+        # Only now: a failing compaction must not hold back the batch's outputs.
+        compactor.after_batch(spark)
 
     return write
 
@@ -150,21 +151,33 @@ def start_apply(stream: DataFrame, spec: TableSpec, checkpoint: str, outputs: Ou
     return query
 
 
-def finish_apply(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait for the query to end, then drain its table maintenance."""
-    if timeout_s is None:
-        query.awaitTermination()
-    else:
-        query.awaitTermination(timeout_s)
+def finish_apply(query: StreamingQuery, timeout_s: float | None = None, progress: str | None = None,
+                 poll_s: float = 30.0) -> None:
+    """Wait for the query to end (or for ``timeout_s``), then drain its table maintenance.
+
+    With ``progress``, the query's progress records (SRC-12) are appended there
+    as JSON lines while it runs; ``sources.progress`` reads them.
+    """
+    waited, seen = 0.0, -1
+    while query.isActive and (timeout_s is None or waited < timeout_s):
+        step = poll_s if timeout_s is None else min(poll_s, timeout_s - waited)
+        query.awaitTermination(step)
+        waited += step
+        seen = _append_progress(query, progress, seen)
+    _append_progress(query, progress, seen)
     compactor = _COMPACTORS.pop(query.id, None)
     if compactor is not None and not query.isActive:
+        if query.exception() is not None:
+            raise query.exception()
         compactor.drain()
 
 
-def await_any(spark, timeout_s: float | None = None) -> None:
-    """STR-6: block until any active query ends (or fails), like the reference's
-    ``awaitAnyTermination``; with one query this is that query's lifetime."""
-    if timeout_s is None:
-        spark.streams.awaitAnyTermination()
-    else:
-        spark.streams.awaitAnyTermination(timeout_s)
+def _append_progress(query: StreamingQuery, folder: str | None, seen: int) -> int:
+    """Append the records of batches after ``seen``; at most the last hundred that the query keeps."""
+    if folder is None:
+        return seen
+    new = [p for p in query.recentProgress if p.batchId > seen and p.numInputRows]
+    if new:
+        spark = _COMPACTORS[query.id].spark
+        spark.createDataFrame([(p.json,) for p in new], "value string").coalesce(1).write.mode("append").text(folder)
+    return max([seen, *(p.batchId for p in new)])

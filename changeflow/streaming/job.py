@@ -32,7 +32,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--source", required=True, help="topic, or folder of message files")
     p.add_argument("--source-format", default="kafka")
     p.add_argument("--bootstrap-servers", default=None)
-    p.add_argument("--max-per-trigger", type=int, default=2_000_000)
+    p.add_argument("--max-per-trigger", type=int, default=2_000_000, help="offsets in a batch, for a broker")
+    p.add_argument("--max-files-per-trigger", type=int, default=None, help="files in a batch, for a folder")
+    p.add_argument("--progress", default=None, help="folder that the query's progress records are appended to")
     p.add_argument("--trigger", default="30 seconds")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--key-scope", choices=["partition", "global"], default="partition")
@@ -49,7 +51,7 @@ def main(argv: list[str] | None = None) -> None:
     a = parse_args(argv)
     spark = prepare(SparkSession.builder.appName("changeflow-apply").getOrCreate())
     source = MessageSource(a.source, format=a.source_format, bootstrap_servers=a.bootstrap_servers,
-                           max_per_trigger=a.max_per_trigger)
+                           max_per_trigger=a.max_per_trigger, max_files_per_trigger=a.max_files_per_trigger)
     spec = TableSpec(root=a.table, key_scope=a.key_scope, deletes=a.deletes, min_deltas=a.compact_every)
     outputs = Outputs(a.dlq, a.dropped, dlq_format=a.dlq_format,
                       dlq_topic=a.dlq if a.dlq_format == "kafka" else None,
@@ -57,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
                       retain_commits=a.retain_commits, compaction=a.compaction)
     query = start_apply(read_messages(spark, source), spec, a.checkpoint, outputs,
                         trigger=a.trigger, available_now=a.available_now, name="changeflow-apply")
-    finish_apply(query)
+    finish_apply(query, progress=a.progress)
 
 
 if __name__ == "__main__":

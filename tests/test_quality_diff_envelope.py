@@ -1,8 +1,8 @@
-"""Constraint report, defaults, seed rows, snapshot diff, envelope, reject branches."""
+"""Constraint report, defaults, snapshot diff, envelope, reject branches."""
 
 from pyspark.sql import functions as F
 
-from changeflow.operators.quality import Constraint, apply_defaults, seed_rows, violations
+from changeflow.operators.quality import Constraint, apply_defaults, violations
 from changeflow.operators.table import TableSpec
 from changeflow.schemas import ROW_COLUMNS
 from changeflow.sources.diff import snapshot_diff
@@ -26,15 +26,10 @@ def test_violations(spark):
                    (3, "not_null", "status"), (3, "not_null", "tracking_id")]
 
 
-def test_defaults_and_seed(spark):
+def test_defaults(spark):
     df = spark.createDataFrame([("A", None), ("B", "DELIVERED")], "tracking_id string, status string")
     out = {r["tracking_id"]: r["status"] for r in apply_defaults(df, F.current_timestamp()).collect()}
     assert out == {"A": "PICKED_UP", "B": "DELIVERED"}
-    seed = seed_rows(spark, "2024-02-01 09:30:00")
-    assert seed.count() == 10
-    assert seed.select("status").distinct().count() == 5
-    row = seed.filter(F.col("tracking_id") == "SHP-10007").first()
-    assert str(row["estimated_delivery"]) == "2024-02-05"
 
 
 def test_snapshot_diff_null_safe(spark):

@@ -77,5 +77,5 @@ def test_json_parsed_once_in_plan(spark):
     df = cdc.lake_rows(spark, "/root/testdata/sf0.001", batch=3)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
-    # The batch filter on the broker offset still reaches the scan.
-    assert "DataFilters: [isnotnull(event_id" in plan and "% 10) = 3)" in plan
+    # The batch filter prunes to one folder.
+    assert "PartitionFilters: [isnotnull(b" in plan

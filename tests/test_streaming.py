@@ -17,7 +17,7 @@ def test_stream_with_cleaning(spark):
     root = scratch_dir(spark, "stream-clean")
     n = streams.write_message_files(spark, SF, root, list(range(10)))
     spec = TableSpec(root=f"{root}/table")
-    src = read_messages(spark, MessageSource(f"{root}/src", max_per_trigger=n))
+    src = read_messages(spark, MessageSource(f"{root}/src", max_files_per_trigger=n))
     q = start_apply(src, spec, f"{root}/ckpt", Outputs(f"{root}/dlq", f"{root}/dropped", retain_commits=2),
                     available_now=True)
     finish_apply(q, 600)

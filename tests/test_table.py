@@ -112,8 +112,95 @@ def test_schema_reconcile(spark, tmp_table):
     tbl.apply_changes(spark, spec, b, 1)
     got = {r["tracking_id"]: r["extra"] for r in tbl.snapshot_view(spark, spec).collect()}
     assert got == {"A": None, "B": "x"}
-    aligned = tbl.reconcile(spark.createDataFrame([("C",)], "tracking_id string"), tbl.read_state(spark, spec).schema)
-    assert "extra" in aligned.columns and "status" in aligned.columns
+
+
+def test_changed_type_is_refused_before_publishing(spark, tmp_table):
+    import pytest
+
+    spec = TableSpec(root=tmp_table)
+    row = [("A", "s1", _t(1), "2024-01-01", 0, 1)]
+    tbl.apply_changes(spark, spec, _batch(spark, row).withColumn("extra", F.lit(1)), 0)
+    with pytest.raises(ValueError, match="extra: int -> string"):
+        tbl.apply_changes(spark, spec, _batch(spark, row).withColumn("extra", F.lit("x")), 1)
+    assert tbl.read_state(spark, spec).deltas == [0]
+    assert tbl.snapshot_view(spark, spec).first()["extra"] == 1
+
+
+def test_replay_after_clean_changes_nothing(spark, tmp_table):
+    spec = TableSpec(root=tmp_table, min_deltas=1)
+    batches = [_batch(spark, [("A", f"s{b}", _t(1, b), "2024-01-01", 0, b)]) for b in range(6)]
+    for b, rows in enumerate(batches):
+        tbl.apply_changes(spark, spec, rows, b)
+    tbl.clean(spark, spec, retain=1, dry_run=False)
+    before = _rows(tbl.snapshot_view(spark, spec))
+    for b in (5, 0, 3):
+        tbl.apply_changes(spark, spec, batches[b], b)
+    assert _rows(tbl.snapshot_view(spark, spec)) == before
+    assert tbl.read_state(spark, spec).folded == [[0, 5]]
+
+
+def test_published_delta_is_not_written_again(spark, tmp_table):
+    from changeflow.sources import fs
+
+    spec = TableSpec(root=tmp_table, min_deltas=0)
+    rows = _batch(spark, [("A", "s1", _t(1), "2024-01-01", 0, 1)])
+    tbl.apply_changes(spark, spec, rows, 0)
+    files = sorted(fs.list_files_recursive(spark, f"{tmp_table}/deltas"))
+    tbl.apply_changes(spark, spec, rows, 0)
+    assert sorted(fs.list_files_recursive(spark, f"{tmp_table}/deltas")) == files
+
+
+def test_failed_rename_raises(spark, tmp_table):
+    import pytest
+
+    from changeflow.sources import fs
+
+    fs.write_json(spark, f"{tmp_table}/x.json", {"a": 1})
+    fs.write_json(spark, f"{tmp_table}/x.json", {"a": 2})
+    assert fs.read_json(spark, f"{tmp_table}/x.json") == {"a": 2}
+    with pytest.raises(Exception):
+        fs.rename(spark, f"{tmp_table}/missing", f"{tmp_table}/there")
+    fs.write_json(spark, f"{tmp_table}/folder/y.json", {})
+    with pytest.raises(Exception):  # a folder with files in it can't be replaced by a marker
+        fs.write_json(spark, f"{tmp_table}/folder", {})
+
+
+def test_views_survive_compaction_and_clean(spark, tmp_table):
+    spec = TableSpec(root=tmp_table, min_deltas=1)
+    tbl.apply_changes(spark, spec, _batch(spark, [("A", "s0", _t(1), "2024-01-01", 0, 0)]), 0)
+    tbl.register_table(spark, spec, "kept")
+    for b in range(1, 6):
+        tbl.apply_changes(spark, spec, _batch(spark, [("A", f"s{b}", _t(1, b), "2024-01-01", 0, b)]), b)
+        tbl.clean(spark, spec, retain=2, dry_run=False)
+    assert spark.sql("SELECT status FROM kept_rt").first()["status"] == "s5"
+    assert spark.sql("SELECT status FROM kept_ro").first()["status"] == "s5"
+
+
+def test_async_clean_beside_a_writer(spark, tmp_table):
+    """Maintenance on another thread while batches are written: nothing is lost."""
+    import threading
+
+    spec = TableSpec(root=tmp_table, min_deltas=0)
+    stop, failed = threading.Event(), []
+
+    def maintain():
+        while not stop.is_set():
+            try:
+                tbl.compact(spark, spec)
+                tbl.clean(spark, spec, retain=1, dry_run=False)
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+                return
+
+    tbl.apply_changes(spark, spec, _batch(spark, [("K0", "s", _t(1), "2024-01-01", 0, 0)]), 0)
+    t = threading.Thread(target=maintain)
+    t.start()
+    for b in range(1, 10):
+        tbl.apply_changes(spark, spec, _batch(spark, [(f"K{b}", "s", _t(1, b), f"2024-01-0{1 + b % 3}", 0, b)]), b)
+    stop.set()
+    t.join()
+    assert not failed
+    assert sorted(r[1] for r in _rows(tbl.snapshot_view(spark, spec))) == [f"K{b}" for b in range(10)]
 
 
 def test_partition_filter_prunes(spark, tmp_table):
