@@ -91,15 +91,15 @@ def split_budget(nodes: DataFrame, parents: list[str], level: str) -> DataFrame:
 def leaf_budgets(leaves: DataFrame, budget_ratio: float, max_epochs: int, weights) -> DataFrame:
     """(domain, lang, source, tokens, docs, budget): budgets from the root down; one row for each leaf in, so small tables."""
     levels = list(LEVELS)
-    caps = leaves.withColumn("cap", F.col("tokens").cast("double") * max_epochs)
-    whole = leaves.agg((F.sum("tokens").cast("double") * budget_ratio).alias("parent_budget"))
     above = None
     for i, level in enumerate(levels):
-        nodes = caps.groupBy(*levels[:i + 1]).agg(F.sum("cap").alias("cap")).withColumn("weight", _weight(level, weights))
+        nodes = leaves.groupBy(*levels[:i + 1]).agg(F.sum("tokens").alias("t"))
         if above is None:
-            nodes = nodes.crossJoin(F.broadcast(whole))  # one row
+            everything = F.sum("t").over(Window.partitionBy(F.lit(0)))  # of one row for a domain
+            nodes = nodes.withColumn("parent_budget", everything.cast("double") * budget_ratio)
         else:
             nodes = nodes.join(above, [*levels[:i]])
+        nodes = nodes.withColumn("cap", F.col("t").cast("double") * max_epochs).withColumn("weight", _weight(level, weights)).drop("t")
         above = split_budget(nodes, levels[:i], level).select(*levels[:i + 1], F.col("budget").alias("parent_budget"))
     return leaves.join(above.withColumnRenamed("parent_budget", "budget"), levels)
 
