@@ -41,6 +41,13 @@ def scrape_totals(scrapes: DataFrame, now: Column) -> DataFrame:
                  F.round(F.max_by("duration_s", "ts"), 2).alias("duration_s"))
 
 
+def scrape_samples(now: Column, scrapes: DataFrame) -> DataFrame:
+    """M-20..22 as samples."""
+    return as_samples(scrape_totals(scrapes, now), now, {"errors_total": P + "exporter_scrape_errors_total",
+                                                         "last_scrape_ts": P + "exporter_last_scrape_timestamp",
+                                                         "duration_s": P + "exporter_scrape_duration_seconds"})
+
+
 def offset_metrics(now: Column, latest: DataFrame, consumed: DataFrame | None) -> list[DataFrame]:
     """M-1..6 from latest offsets (topic, partition, latest_offset) and consumed
     offsets (batch_id, topic, partition, offset)."""
@@ -108,8 +115,5 @@ def pipeline_metrics(now: Column, messages: DataFrame, checkpoint_files: DataFra
     consumed = O.checkpoint_offsets(checkpoint_files, topic)
     parts = (offset_metrics(now, latest, consumed) + status_metrics(now, status)
              + table_metrics(now, listing, table_prefix)
-             + [as_samples(scrape_totals(scrapes, now), now,
-                           {"errors_total": P + "exporter_scrape_errors_total",
-                            "last_scrape_ts": P + "exporter_last_scrape_timestamp",
-                            "duration_s": P + "exporter_scrape_duration_seconds"})])
+             + [scrape_samples(now, scrapes)])
     return union_all(parts)

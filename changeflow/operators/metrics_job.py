@@ -6,8 +6,8 @@
 
 One run = one scrape: the table is listed (timeline and data files), the
 newest offsets file of the checkpoint gives consumed offsets, and progress
-records (JSON lines written from ``query.lastProgress``) give the high
-watermarks, so no topic is scanned. Samples are appended partitioned by
+records (JSON lines that ``streaming.job --progress`` appends) give the high
+watermarks and the newest trigger's duration, so no topic is scanned. Samples are appended partitioned by
 date; the alert rules and panels read them back.
 """
 
@@ -23,22 +23,34 @@ from changeflow.session import prepare
 from changeflow.sources import listing as L
 from changeflow.sources import offsets as O
 from changeflow.sources import fs
-from changeflow.sources.progress import latest_from_progress, progress_offsets
+from changeflow.sources.progress import latest_from_progress, progress_metrics, progress_offsets, progress_samples
 
 # Commit-protocol files of a plain parquet table are not data files.
 PARQUET_TABLE_IGNORE = r"^(_SUCCESS|\..*\.crc)$"
 
 
 def scrape(spark: SparkSession, table: str, checkpoint: str | None, progress: str | None,
-           topic: str | None, now=None) -> DataFrame:
+           topic: str | None, now=None, status: DataFrame | None = None, scrapes: DataFrame | None = None,
+           app: str = "app", query: str = "query") -> DataFrame:
+    """One sample of each metric whose input is given: the table's folder (M-10..19), progress records and
+    checkpoint (M-1..6), a status table (ts, component, state) (M-7..9), a scrape log (ts, errors, duration_s) (M-20..22)."""
     now = now if now is not None else F.current_timestamp()
     listing = L.list_files(spark, table)
     parts = M.table_metrics(now, listing, fs.qualify(spark, table), "_timeline", PARQUET_TABLE_IGNORE,
                             age_from_mtime=True)
+    if progress:
+        # The newest trigger, at its own time: what the batch-overrun rule watches.
+        batches = progress_metrics(spark.read.text(progress))
+        newest = batches.agg(F.max_by(F.struct(*batches.columns), "batch_id").alias("b")).select("b.*")
+        parts.append(progress_samples(newest, app, query))
     if progress and topic:
         latest = latest_from_progress(progress_offsets(spark.read.text(progress))).filter(F.col("topic") == topic)
         consumed = O.checkpoint_offsets(O.read_checkpoint_files(spark, checkpoint), topic) if checkpoint else None
         parts += M.offset_metrics(now, latest, consumed)
+    if status is not None:
+        parts += M.status_metrics(now, status)
+    if scrapes is not None:
+        parts.append(M.scrape_samples(now, scrapes))
     return M.union_all(parts)
 
 
@@ -49,9 +61,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--checkpoint", default=None)
     p.add_argument("--progress", default=None, help="folder of progress JSON lines")
     p.add_argument("--topic", default=None)
+    p.add_argument("--status", default=None, help="parquet folder of observed component states")
+    p.add_argument("--scrapes", default=None, help="parquet folder of the scrape log")
     a = p.parse_args(argv)
     spark = prepare(SparkSession.builder.appName("changeflow-metrics").getOrCreate())
-    samples = scrape(spark, a.table, a.checkpoint, a.progress, a.topic)
+    samples = scrape(spark, a.table, a.checkpoint, a.progress, a.topic,
+                     status=spark.read.parquet(a.status) if a.status else None, scrapes=spark.read.parquet(a.scrapes) if a.scrapes else None)
     samples.withColumn("date", F.to_date("ts")).write.mode("append").partitionBy("date").parquet(a.samples)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions import series as S
 from changeflow.operators import alerts as A
+from changeflow.operators import history as H
 from changeflow.operators import metrics as M
 from changeflow.operators import panels as PN
 from changeflow.plans.cdc import EV, _events, messages
@@ -136,6 +137,31 @@ def q_metrics_all(spark, sf_dir):
     return all_metrics(spark, sf_dir).select("metric", F.col("labels")["partition"].alias("partition"), "value")
 
 
+HISTORY_STEP_S = 21_600
+
+
+def history(spark, sf_dir) -> DataFrame:
+    """All 22 metrics of three tables, two topics, two clusters and two exporters, every six hours."""
+    ev, msgs = _events(spark, sf_dir), _msgs(spark, sf_dir)
+    listing = FX.table_listing(ev)
+    part = F.when(F.col("path").contains("/dt="), F.pmod(F.conv(F.substring(F.md5("path"), 1, 8), 16, 10).cast("bigint"), F.lit(3))).otherwise(F.lit(0))
+    table = F.concat(F.lit(FX.TABLE_PREFIX + "_"), part.cast("string"))
+    listing = listing.select(table.alias("table"), F.concat(table, F.expr(f"substring(path, {len(FX.TABLE_PREFIX) + 1})")).alias("path"), "size", "mtime")
+    topics = msgs.select(F.concat(F.col("topic"), F.when(F.col("offset") % 3 == 0, ".b").otherwise(".a")).alias("topic"), "partition", "offset", "timestamp")
+    lines = FX.progress_lines(msgs)
+    times = progress_metrics(lines).select("batch_id", "ts")
+    lags = progress_offsets(lines).join(times, "batch_id")
+    status = FX.component_status(ev).withColumn("cluster", F.when(F.hour("ts") % 2 == 0, "c0").otherwise("c1"))
+    scrapes = FX.scrape_log(ev).withColumn("exporter", F.when(F.hour("ts") % 3 == 0, "e0").otherwise("e1"))
+    return (H.table_history(listing, HISTORY_STEP_S).unionByName(H.offset_history(topics, HISTORY_STEP_S))
+            .unionByName(H.lag_history(lags, 60)).unionByName(H.status_history(status, HISTORY_STEP_S))
+            .unionByName(H.scrape_history(scrapes, HISTORY_STEP_S)))
+
+
+def q_metrics_history(spark, sf_dir):
+    return S.with_series(history(spark, sf_dir)).select("metric", "series", "t", "value")
+
+
 def q_ts_increase(spark, sf_dir):
     s = _hourly(spark, sf_dir).filter(F.col("metric") == "produced_total")
     return S.increase(s, 10_800).select("series", "t", "value", "increase")
@@ -274,6 +300,7 @@ QUERIES = {
     "progress_offsets": q_progress_offsets,
     "progress_latest": q_progress_latest,
     "metrics_all": q_metrics_all,
+    "metrics_history": q_metrics_history,
     "ts_increase": q_ts_increase,
     "ts_rate": q_ts_rate,
     "ts_instant": q_ts_instant,
@@ -476,7 +503,70 @@ def _within(window: tuple[str, str]) -> str:
     return f"t BETWEEN epoch(TIMESTAMP '{window[0]}') AND epoch(TIMESTAMP '{window[1]}')"
 
 
+def _each(values: dict[str, str], series: str, source: str) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{A.P}{m}' AS metric, {series} AS series, t, CAST({v} AS DOUBLE) AS value FROM {source}" for m, v in values.items())
+
+
+_S = HISTORY_STEP_S
+METRICS_HISTORY = _w(
+    EV, HOURS, INSTANTS, f"tick(t) AS (SELECT unnest(range(0, 4000000000, {_S})))".replace("0, 4000000000", "1704000000 // 21600 * 21600, 1709000000"),
+    # The listing: one row for each object, with its table, time, size and kind.
+    f"""objects AS (
+  SELECT 0 AS tb, h AS m, 0 AS size, CASE WHEN hour(h) % 7 <> 3 THEN 'deltacommit' ELSE 'pending' END AS kind, NULL AS g, h AS committed FROM hours
+  UNION ALL SELECT 0, h, 0, CASE WHEN day(h) % 3 <> 0 THEN 'commit' ELSE 'pending' END, NULL, h + INTERVAL 30 MINUTE FROM hours WHERE hour(h) % 6 = 0
+  UNION ALL SELECT 0, h, 0, 'clean', NULL, NULL FROM hours WHERE hour(h) % 12 = 5
+  UNION ALL SELECT ('0x' || substr(md5(path), 1, 8))::BIGINT % 3, ts, size, kind, g, NULL FROM (
+    SELECT *, '{FX.TABLE_PREFIX}/dt=' || strftime(ts, '%Y-%m-%d') || '/' || name AS path FROM (
+      SELECT ts, CASE WHEN event_id % 8 IN (0, 4) THEN floor(value * 1000) WHEN event_id % 8 IN (1, 2, 5) THEN floor(value * 100)
+                      WHEN event_id % 8 = 6 THEN 12 ELSE floor(value) END::BIGINT AS size,
+             CASE WHEN event_id % 8 IN (0, 4) THEN 'base' WHEN event_id % 8 = 7 THEN 'other' ELSE 'log' END AS kind,
+             CASE WHEN event_id % 8 = 6 THEN 'checksum' WHEN event_id % 8 <> 7 THEN 'fg' || user_id % 16 || '-0' END AS g,
+             CASE WHEN event_id % 8 IN (0, 4) THEN 'fg' || user_id % 16 || '-0_' || event_id % 5 || '-' || event_id || '-0_' || strftime(date_trunc('hour', ts), '%Y%m%d%H%M%S') || '000.parquet'
+                  WHEN event_id % 8 IN (1, 2, 5) THEN '.fg' || user_id % 16 || '-0_' || strftime(date_trunc('hour', ts), '%Y%m%d%H%M%S') || '000.log.' || event_id || '_' || event_id % 5 || '-' || event_id || '-0'
+                  WHEN event_id % 8 = 6 THEN '.checksum_' || event_id || '.crc' ELSE 'notes-' || event_id || '.txt' END AS name
+      FROM events WHERE event_id % 8 <> 3)))""",
+    f"""seen AS (SELECT tb, ceil(epoch_us(m) / {_S}e6)::BIGINT * {_S} AS k, * EXCLUDE (tb) FROM objects
+      UNION ALL SELECT ('0x' || substr(md5('{FX.TABLE_PREFIX}/dt=' || strftime(ts, '%Y-%m-%d') || '/.hoodie_partition_metadata'), 1, 8))::BIGINT % 3,
+                ceil(epoch_us(ts) / {_S}e6)::BIGINT * {_S}, ts, 0, 'none', NULL, NULL FROM events WHERE event_id % 8 = 3""" + ")",
+    "span AS (SELECT tb, min(k) AS lo, (SELECT max(k) FROM seen) AS hi FROM seen GROUP BY tb)",
+    """tables AS (SELECT tb, t, count(*) FILTER (kind = 'deltacommit') AS dc, count(*) FILTER (kind = 'commit') AS cc, count(*) FILTER (kind = 'clean') AS cl,
+       count(*) FILTER (kind = 'pending') AS inflight, count(*) FILTER (kind IN ('base', 'log', 'other')) AS files, count(*) FILTER (kind = 'log') AS logs,
+       count(*) FILTER (kind = 'base') AS bases, coalesce(sum(size) FILTER (kind IN ('base', 'log', 'other')), 0) AS bytes, count(DISTINCT g) AS groups,
+       coalesce(t - max(epoch(committed)::BIGINT) FILTER (kind IN ('deltacommit', 'commit')), -1) AS age
+     FROM tick JOIN span ON t BETWEEN lo AND hi JOIN seen USING (tb) WHERE k <= t GROUP BY tb, t)""",
+    f"""offs AS (SELECT '{TOPIC}' || CASE WHEN event_id % 3 = 0 THEN '.b' ELSE '.a' END AS topic, user_id % 4 AS part,
+         ceil(epoch_us(ts) / {_S}e6)::BIGINT * {_S} AS k, event_id + 1 AS o FROM events)""",
+    """parts AS (SELECT topic, part, t, max(o) AS o FROM tick JOIN offs ON k <= t WHERE t <= (SELECT max(k) FROM offs) GROUP BY topic, part, t)""",
+    "topics AS (SELECT topic, t, sum(o) AS o, count(*) AS n FROM parts GROUP BY topic, t)",
+    "hw AS (SELECT part, max(event_id) + 1 AS hw FROM ev GROUP BY part)",
+    "bp AS (SELECT b, part, max(event_id) + 1 AS mx FROM ev GROUP BY b, part)",
+    f"""lags AS (SELECT x.b, x.part, {FX.PROGRESS_START} + 60 * x.b AS t, greatest(0, hw - (SELECT max(mx) FROM bp y WHERE y.part = x.part AND y.b <= x.b)) AS lag
+       FROM bp x JOIN hw USING (part))""",
+    "lagt AS (SELECT t, sum(lag) AS lag, max(b) AS b FROM lags GROUP BY t)",
+    f"""states AS (SELECT h, ceil(epoch_us(h) / {_S}e6)::BIGINT * {_S} AS k, CASE WHEN hour(h) % 2 = 0 THEN 'c0' ELSE 'c1' END AS c,
+       CASE WHEN hour(h) % 11 = 4 THEN 0 ELSE 1 END AS conn, CASE WHEN hour(h) % 17 = 9 OR hour(h) % 13 = 2 THEN 0 ELSE 1 END AS task,
+       CASE WHEN hour(h) % 19 = 7 THEN 0 ELSE 1 END AS mysql FROM hours)""",
+    """statt AS (SELECT c, t, arg_max(conn, h) AS conn, arg_max(task, h) AS task, arg_max(mysql, h) AS mysql
+       FROM tick JOIN states ON k <= t WHERE t <= (SELECT max(k) FROM states) GROUP BY c, t)""",
+    f"""scr AS (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1)""",
+    f"""scrk AS (SELECT h, ceil(epoch_us(h) / {_S}e6)::BIGINT * {_S} AS k, CASE WHEN hour(h) % 3 = 0 THEN 'e0' ELSE 'e1' END AS e,
+       (hour(h) % 19 = 7)::INT + (hour(h) % 17 = 9)::INT AS errors, n / 10.0 AS took FROM scr)""",
+    """scrt AS (SELECT e, t, sum(errors) AS errors, epoch(max(h))::BIGINT AS last_s, round(arg_max(took, h), 2) AS took
+       FROM tick JOIN scrk ON k <= t WHERE t <= (SELECT max(k) FROM scrk) GROUP BY e, t)""",
+) + "\nUNION ALL ".join([
+    _each({"hudi_last_commit_age_seconds": "age", "hudi_deltacommit_count": "dc", "hudi_commit_count": "cc", "hudi_clean_count": "cl",
+           "hudi_inflight_operations": "inflight", "hudi_data_files_total": "files", "hudi_log_files_total": "logs", "hudi_base_files_total": "bases",
+           "hudi_table_size_bytes": "bytes", "hudi_file_groups_total": "groups"}, f"'table={FX.TABLE_PREFIX}_' || tb", "tables"),
+    _each({"kafka_topic_latest_offset": "o", "kafka_partition_count": "n"}, "'topic=' || topic", "topics"),
+    _each({"kafka_partition_offset": "o"}, "'partition=' || part || ',topic=' || topic", "parts"),
+    _each({"spark_consumer_lag_total": "lag", "spark_last_batch_written": "b"}, f"'topic={TOPIC}'", "lagt"),
+    _each({"spark_consumer_lag_per_partition": "lag"}, f"'partition=' || part || ',topic={TOPIC}'", "lags"),
+    _each({"debezium_connector_running": "conn", "debezium_task_running": "task", "mysql_reachable": "mysql"}, "'cluster=' || c", "statt"),
+    _each({"exporter_scrape_errors_total": "errors", "exporter_last_scrape_timestamp": "last_s", "exporter_scrape_duration_seconds": "took"}, "'exporter=' || e", "scrt"),
+])
+
 ORACLE = {
+    "metrics_history": METRICS_HISTORY,
     "offsets_latest": _w(EV) + f"SELECT '{TOPIC}' AS topic, part AS partition, max(event_id) + 1 AS latest_offset FROM ev GROUP BY part",
     "offsets_latest_total": _w(EV, LATEST) + f"SELECT '{TOPIC}' AS topic, sum(lo) AS latest_total, count(*) AS partition_count FROM latest",
     "checkpoint_offsets": _w(EV, CONSUMED) + f"SELECT 10 AS batch_id, '{TOPIC}' AS topic, partition, co AS offset FROM consumed",

@@ -70,11 +70,24 @@ def test_job_entry_point(spark):
     root = scratch_dir(spark, "stream-job")
     n = streams.write_message_files(spark, SF, root, list(range(10)))
     job.main(["--table", f"{root}/table", "--checkpoint", f"{root}/ckpt", "--dlq", f"{root}/dlq",
-              "--source", f"{root}/src", "--source-format", "parquet", "--max-per-trigger", str(n),
-              "--available-now"])
+              "--source", f"{root}/src", "--source-format", "parquet", "--max-files-per-trigger", str(n),
+              "--progress", f"{root}/progress", "--available-now"])
     spec = TableSpec(root=f"{root}/table")
     assert tbl.snapshot_view(spark, spec).count() == 383
     assert spark.read.parquet(f"{root}/dlq").count() == 60
+    # The job's own progress records, scraped, feed the batch-overrun rule.
+    from changeflow.operators import alerts, metrics_job
+
+    status = spark.createDataFrame([("2024-01-01 00:00:00", "connector", "FAILED")], "ts string, component string, state string")
+    status = status.withColumn("ts", F.col("ts").cast("timestamp"))
+    scrapes = spark.createDataFrame([("2024-01-01 00:00:00", 2, 0.5)], "ts string, errors long, duration_s double").withColumn("ts", F.col("ts").cast("timestamp"))
+    samples = metrics_job.scrape(spark, f"{root}/table", None, f"{root}/progress", None, status=status, scrapes=scrapes).cache()
+    names = {r["metric"] for r in samples.select("metric").distinct().collect()}
+    assert {"pipeline_debezium_connector_running", "pipeline_exporter_scrape_errors_total", "pipeline_hudi_commit_count"} <= names
+    overrun = next(r for r in alerts.RULES if r.name == "SparkBatchOverrun")
+    series = samples.filter(overrun.term.value.of(F.col("metric")))
+    assert series.count() == 1 and series.first()["value"] > 0
+    assert series.first()["ts"].year >= 2024
 
 
 def test_metrics_job_on_streamed_table(spark):
