@@ -40,7 +40,7 @@ HOST_WEIGHT = 20.0      # pseudo-documents that a host takes from its domain, an
 EVIDENCE_WEIGHT = 1.0   # pseudo-counts in the declared and suffix tables
 UNDETERMINED = "und"
 MIN_CONFIDENCE = 0.5
-MIN_TRIGRAMS = 3
+MIN_TRIGRAMS = 3        # a text with fewer says too little to count in the tables
 
 # ASCII letters lower-cased, other ASCII turned into spaces, the rest left as it is.
 _FOLD = bytes(b if b >= 128 or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
@@ -63,12 +63,13 @@ class TextModel:
     weights: np.ndarray
 
     def score(self, text: str | None) -> list[float]:
-        """Log-likelihoods by language, undetermined, and then the number of trigrams."""
-        got = trigram_buckets((text or "").encode("utf-8", "replace"))
+        """Log-likelihoods by language, undetermined, and then the numbers of trigrams and of letters."""
+        raw = (text or "").encode("utf-8", "replace")
+        got = trigram_buckets(raw)
         total = np.zeros(self.weights.shape[1])
         for at in range(0, len(got), 1 << 18):
             total += self.weights[got[at:at + (1 << 18)]].sum(axis=0, dtype=np.float64)
-        return [*total.tolist(), float(len(got))]
+        return [*total.tolist(), float(len(got)), float(len(raw.translate(_FOLD).replace(b" ", b"")))]
 
 
 def normal_language(c: Column) -> Column:
@@ -200,9 +201,9 @@ def _posterior(df: DataFrame, e: Evidence, out: tuple[str, str, str]) -> DataFra
     lang, confidence, keep = out
     return (df.withColumn("und", F.lit(rarest)).withColumn("log", F.expr(log))
             .withColumn("top", F.array_max("log"))
-            .withColumn(confidence, F.when(F.col("ll")[k + 1] >= MIN_TRIGRAMS,
+            .withColumn(confidence, F.when(F.col("ll")[k + 2] > 0,
                                            1 / F.expr("aggregate(log, 0D, (s, x) -> s + exp(x - top))")).otherwise(F.lit(0.0)))
-            .withColumn(lang, F.when(F.col("ll")[k + 1] >= MIN_TRIGRAMS,
+            .withColumn(lang, F.when(F.col("ll")[k + 2] > 0,
                                      F.array(*[F.lit(x) for x in langs])[F.array_position("log", F.col("top")).cast("int") - 1])
                         .otherwise(F.lit(UNDETERMINED)))
             .withColumn(keep, (F.col(lang) != UNDETERMINED) & (F.col(confidence) >= MIN_CONFIDENCE)))
@@ -221,9 +222,9 @@ def identify(docs: DataFrame, text: str = "text", declared: Column | None = None
              key: Column | None = None, train_rows: int = TRAIN_ROWS, prefix: str = "") -> DataFrame:
     """``docs`` with {prefix}detected, {prefix}confidence and {prefix}accepted.
 
-    One row out for each row in. A text with fewer than ``MIN_TRIGRAMS`` trigrams
-    (null and empty texts too) has no language: "und", confidence 0, not
-    accepted, whatever else speaks for it. Null or unknown evidence counts as
+    One row out for each row in. A text without a letter (null and empty texts
+    too) has no language: "und", confidence 0, not accepted, whatever else
+    speaks for it; of a word or two the other evidence decides. Null or unknown evidence counts as
     none. Equal posteriors go to the first language by name. Nothing declared
     anywhere leaves nothing to learn from: all rows are "und". An empty table
     gives an empty one. Result columns that the table has already get a leading
