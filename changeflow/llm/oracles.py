@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeflow.llm import mixing, secrets
+from changeflow.llm import mixing, pii, secrets
 
 
 def _quoted(s: str) -> str:
@@ -92,3 +92,59 @@ placed AS (
 walked AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) AS upto FROM placed)
 SELECT doc_id, domain, lang, source, tokens, (whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)::BIGINT AS epochs FROM walked
 """
+
+
+def _positions(source: str, column: str, pattern: str, extra: str) -> str:
+    """(extra, s, e, m): matches of a pattern in a text column and where they stand."""
+    p = _quoted(pattern)
+    return f"""SELECT {extra}, list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda m: length(m))), 0) AS s,
+         list_sum(list_transform(gaps[1:i], lambda g: length(g))) + list_sum(list_transform(found[1:i], lambda m: length(m))) AS e, found[i] AS m
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i
+        FROM (SELECT *, regexp_extract_all({column}, {p}) AS found, regexp_split_to_array({column}, {p}) AS gaps FROM {source}))"""
+
+
+_PII = {  # the base patterns as they are, and what makes a match valid
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(m, '.'), lambda x: try_cast(x AS HUGEINT) IS NULL OR try_cast(x AS HUGEINT) > 255)) = 0"),
+    "card": (r"[0-9]([\x20-]?[0-9])+", "length(d) BETWEEN 14 AND 19 AND luhn % 10 = 0"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) BETWEEN 10 AND 15"),
+}
+_LUHN = """list_sum(list_transform(range(1, length(d) + 1), lambda i: CASE WHEN i % 2 = 1 THEN substr(reverse(d), i, 1)::INT
+  WHEN substr(reverse(d), i, 1)::INT > 4 THEN 2 * substr(reverse(d), i, 1)::INT - 9 ELSE 2 * substr(reverse(d), i, 1)::INT END))"""
+_TERM = r"[\p{L}\p{N}]+"
+
+PII = f"""
+WITH texts AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+{', '.join(f"""m_{k} AS ({_positions("texts", "text", p, "text")}),
+e_{k} AS (SELECT text, {i} AS rank, '{k}' AS kind, s::BIGINT AS s, e::BIGINT AS e, m FROM (SELECT *, {_LUHN if k == 'card' else 0} AS luhn FROM (
+  SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS d FROM m_{k})) WHERE {valid})""" for i, (k, (p, valid)) in enumerate(_PII.items()))},
+ents AS ({' UNION ALL '.join(f'SELECT * FROM e_{k}' for k in _PII)}),
+sides AS (
+  SELECT text, kind || ':' || lower(m) AS entity, greatest(s - {pii.WINDOW}, 0) AS off, greatest(s - {pii.WINDOW}, 0) > 0 AS cut_left, false AS cut_right,
+         substr(text, (greatest(s - {pii.WINDOW}, 0) + 1)::BIGINT, (s - greatest(s - {pii.WINDOW}, 0))::BIGINT) AS ctx FROM ents
+  UNION ALL
+  SELECT text, kind || ':' || lower(m), e, false, e + {pii.WINDOW} < length(text), substr(text, e + 1, {pii.WINDOW}) FROM ents),
+words AS ({_positions("sides", "ctx", _TERM, "text, entity, off, cut_left, cut_right, ctx")}),
+contexts AS (
+  SELECT DISTINCT text, entity, (s + off)::BIGINT AS s, (e + off)::BIGINT AS e, lower(m) AS term FROM words w
+  WHERE NOT (cut_left AND s = 0) AND NOT (cut_right AND e = length(ctx)) AND length(m) >= {pii.MIN_TERM}
+    AND NOT EXISTS (SELECT 1 FROM ents x WHERE x.text = w.text AND x.s < w.e + w.off AND x.e > w.s + w.off)),
+pairs AS (SELECT entity, term, count(*) AS n_both FROM contexts GROUP BY ALL HAVING count(DISTINCT text) >= {pii.SUPPORT}),
+vocabulary AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(coalesce(text, '')), '{_TERM}')) AS term FROM documents) GROUP BY term),
+total AS (SELECT greatest(coalesce(sum(n), 0), 1)::DOUBLE AS n FROM vocabulary),
+known AS (SELECT entity, count(DISTINCT text) AS n_of FROM contexts GROUP BY entity),
+told AS (
+  SELECT entity, term FROM (
+    SELECT entity, term, least(n_both / vocabulary.n, 1.0::DOUBLE) AS given, n_of / total.n AS p FROM pairs JOIN vocabulary USING (term) JOIN known USING (entity), total)
+  WHERE least(ln(given / p) / greatest(-ln(p), 1e-9), 1.0) >= {pii.GENERALISE}),
+spans AS (
+  SELECT text, rank, kind, s, e FROM ents
+  UNION ALL SELECT DISTINCT text, {len(_PII)}, 'term', s, e FROM contexts JOIN told USING (entity, term)),
+listed AS (
+  SELECT text, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in _PII)},
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) FILTER (kind <> 'term') AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS every
+  FROM spans GROUP BY text)
+SELECT d.doc_id, {', '.join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in _PII)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM documents d LEFT JOIN listed l ON coalesce(d.text, '') = l.text
+"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changeflow.llm import hamming_index, html_extract, lang_id, licenses, mixing, packing, pii, secrets, simhash, topk
 from changeflow.llm.common import table
-from changeflow.llm.oracles import MIXING, SECRETS, TOP_K
+from changeflow.llm.oracles import MIXING, PII, SECRETS, TOP_K
 
 SHINGLE = 3
 RADIUS = 2
@@ -65,4 +65,4 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_html_extract, op3_lang_id, pages_lang_id, op4_hamming_index, op5_secrets,
                                    op6_mixing, op7_topk, op8_pii, op9_packing, op10_licenses)}
-ORACLE = {"op5_secrets": SECRETS, "op6_mixing": MIXING, "op7_topk": TOP_K}
+ORACLE = {"op5_secrets": SECRETS, "op6_mixing": MIXING, "op7_topk": TOP_K, "op8_pii": PII}

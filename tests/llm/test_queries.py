@@ -55,3 +55,26 @@ def test_entry_without_the_subpackage(tmp_path):
     shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'cdc_parse' in q and 'pipeline' not in q and not [k for k in q if k.startswith('op')]"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+
+
+def test_pii_terms_match_sql(spark):
+    """A table in which terms do give entities away."""
+    import random
+
+    import duckdb
+
+    from changeflow.llm import pii
+    from tests.oracle_compare import canon
+
+    filler = "the meeting is moved to the large room and everyone should bring notes about plans".split()
+    rng = random.Random(5)
+    near = [(i, " ".join(rng.sample(filler, 8)) + " contact Zyrkovia at boss@corp.com " + " ".join(rng.sample(filler, 8))) for i in range(6)]
+    far = [(i, " ".join(rng.choices(filler, k=40)) + f" write to user{i}@mail.org or {i}.2.3.4 today +1 555 123 45{i:02d} 4111 1111 1111 1111") for i in range(6, 60)]
+    df = spark.createDataFrame([*near, *far, (3, "x"), (None, None), (7, "")], "doc_id long, text string")
+    got = pii.digest(pii.find(df))
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    want = con.execute(queries.PII)
+    cols = [d[0] for d in want.description]
+    rows = canon([tuple(r) for r in got.collect()], got.columns)
+    assert rows == canon(want.fetchall(), cols) and sum("term:" in r for r in rows) == 6
