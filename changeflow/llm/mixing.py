@@ -27,6 +27,7 @@ from changeflow.llm.common import staged
 MAX_EPOCHS = 4
 SEED = "mix"
 ORDER_HEX = 13           # hex digits of the order key: below 2 ** 52
+SALTS = 32               # tasks that a leaf's rows are dealt to where the leaf table is too large to broadcast
 PREFIXES = (2, 4)        # digits by which the end of a budget is narrowed down
 DOMAINS = 4
 LEVELS = ("domain", "lang", "source")
@@ -104,7 +105,17 @@ def leaf_budgets(leaves: DataFrame, budget_ratio: float, max_epochs: int, weight
     return leaves.join(above.withColumnRenamed("parent_budget", "budget"), levels)
 
 
-def _ends(placed: DataFrame) -> DataFrame:
+def _beside(rows: DataFrame, leaves: DataFrame) -> DataFrame:
+    """``rows`` (with a salt) joined with a table of one row for each leaf.
+
+    A small table is broadcast. A large one meets the rows by leaf and salt, so
+    that a leaf with a third of all rows is dealt over ``SALTS`` tasks, and
+    what is summed by leaf afterwards is summed there first.
+    """
+    return rows.join(leaves.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*LEVELS, "salt"])
+
+
+def _ends(placed: DataFrame, leaves: DataFrame) -> DataFrame:
     """(domain, lang, source, stop): the first place that no longer fits a leaf's last epoch; leaves that fit whole have no row.
 
     Sums by the place's first digits find the stretch in which the budget ends,
@@ -112,9 +123,9 @@ def _ends(placed: DataFrame) -> DataFrame:
     last step walks the documents of one stretch in 65,536.
     """
     levels = list(LEVELS)
-    edge = placed.select(*levels).distinct().withColumns({"prefix": F.lit(""), "before": F.lit(0).cast("long")})
+    edge = leaves.select(*levels).withColumns({"prefix": F.lit(""), "before": F.lit(0).cast("long")})
     for digits in (*PREFIXES, ORDER_HEX):
-        near = placed.join(edge, levels).filter(F.col("place").startswith(F.col("prefix")))
+        near = _beside(placed, edge).filter(F.col("place").startswith(F.col("prefix")))
         run = Window.partitionBy(*levels).orderBy("bucket")
         sums = (near.groupBy(*levels, "rest", "before", F.substring("place", 1, digits).alias("bucket")).agg(F.sum("tokens").alias("t"))
                 .withColumn("upto", F.col("before") + F.sum("t").over(run)).filter("upto > rest"))
@@ -147,9 +158,10 @@ def budgets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: s
         *levels, F.col("tokens").alias("leaf_tokens"), F.floor("budget").cast("long").alias("budget"))
         .withColumn("whole", F.when(F.col("leaf_tokens") > 0, F.expr("budget div leaf_tokens")).otherwise(F.lit(0)).cast("int"))
         .withColumn("rest", F.col("budget") - F.col("whole") * F.col("leaf_tokens")), "budgets")
-    placed = (rows.join(shared.filter("rest > 0"), levels)
-              .select(*levels, "tokens", "rest", order_key(F.col("whole"), F.col("doc_id"), F.col("hash"), seed).alias("place")))
-    return rows, staged(shared.join(_ends(placed), levels, "left").select(*levels, "whole", "rest", "stop"), "ends")
+    partial = shared.filter("rest > 0")
+    salted = rows.withColumn("salt", F.pmod(F.hash("hash", "doc_id"), F.lit(SALTS)))
+    placed = _beside(salted, partial).select(*levels, "salt", "tokens", "rest", order_key(F.col("whole"), F.col("doc_id"), F.col("hash"), seed).alias("place"))
+    return rows, staged(shared.join(_ends(placed, partial), levels, "left").select(*levels, "whole", "rest", "stop"), "ends")
 
 
 def plan(docs: DataFrame, seed: str = SEED, **options) -> DataFrame:
