@@ -1,7 +1,5 @@
 import pytest
 
-from tests.conftest import spark, tmp_table  # noqa: F401
-
 SF = "/root/testdata/sf0.001"
 LONG = "lorem ipsum dolor " * 20_000
 ODD = [
@@ -23,7 +21,7 @@ ODD = [
 
 
 @pytest.fixture(scope="session")
-def odd(spark):  # noqa: F811
+def odd(spark):
     """Odd documents, with columns whose names clash with what operators make up."""
     schema = ("doc_id long, text string, lang string, source string, n_chars long, fp string, spans int, hash string, nth int, "
               "detected string, row int, length int, doc int")
@@ -37,7 +35,7 @@ def none(odd):
 
 
 @pytest.fixture(scope="session")
-def documents(spark):  # noqa: F811
+def documents(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 

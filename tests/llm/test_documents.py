@@ -191,10 +191,10 @@ def test_licenses(spark, documents, odd, none):
         want = Counter((r["doc_id"], *brute.licenses(r["text"], licenses.BASE)) for r in texts)
         got = licenses.scan(df)
         assert Counter(rows_of(got.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"))) == want
-        by = {(r["doc_id"], len(r["text"] or "")): r["text"] for r in texts}
-        for r in got.join(df.select(F.col("doc_id").alias("d"), F.length("text").alias("n")), F.col("doc_id") == F.col("d")).collect():
+        for r in got.collect():
             assert 0 <= r["score"] <= 1 and set(r["base_labels"].split(",")) - {""} <= set(r["labels"].split(","))
-            assert (r["score"] == 1) == (r["n_base"] > 0 or r["spans"].startswith(tuple("abcdefghijklmnopqrstuvwxyz")) and ":0" in r["spans"]) or r["score"] < 1
+            assert r["score"] == 1 or not r["n_base"]
+            assert (r["score"] > 0) == bool(r["labels"])
     found = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
     assert found[200]["labels"] == "mit" and 0 < found[200]["score"] < 1
     text = cases[1][1]
