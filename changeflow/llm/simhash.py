@@ -177,9 +177,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     """
     first = simhash_groups(docs, doc_id, text, shingle, radius).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("kept"))
-    kept, hashed, nth = fresh(docs, "kept", "hashed", "nth")
-    first = first.select(F.col("kept.doc_id").alias(kept), F.col("kept.text_hash").alias(hashed))
-    same = F.col(doc_id).eqNullSafe(F.col(kept)) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col(hashed))
-    stay = docs.join(first, same, "left_semi")
-    w = Window.partitionBy(F.col(doc_id), F.xxhash64(F.coalesce(F.col(text), F.lit("")))).orderBy(F.col(doc_id))
-    return stay.withColumn(nth, F.row_number().over(w)).filter(F.col(nth) == 1).drop(nth)
+    # Documents meet the kept ones and their own repeats on the same two
+    # columns, so texts are shuffled once.
+    key, hashed, nth = fresh(docs, "key", "hashed", "nth")
+    name = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+    first = first.select(name(F.col("kept.doc_id")).alias(key), F.col("kept.text_hash").alias(hashed))
+    keyed = docs.withColumns({key: name(F.col(doc_id)), hashed: F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    w = Window.partitionBy(key, hashed).orderBy(key)
+    return keyed.join(first, [key, hashed], "left_semi").withColumn(nth, F.row_number().over(w)).filter(F.col(nth) == 1).select(*docs.columns)
