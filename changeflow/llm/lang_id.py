@@ -14,7 +14,10 @@ Posterior of language l for a document, up to its normaliser:
 
 All three tables are grouped aggregations over all documents, of the language
 that the text alone gives; only the text model is fitted on a sample, of
-``TRAIN_ROWS`` rows for each declared language as expected by a hash.
+``TRAIN_ROWS`` rows for each declared language as expected by a hash. A
+declared language with fewer than ``MIN_ROWS`` usable rows has no text model.
+Its documents have one class more, of their declared language, that the text
+speaks neither for nor against: the other evidence decides.
 """
 
 from __future__ import annotations
@@ -33,7 +36,8 @@ from changeflow.llm.common import fresh, staged
 
 BUCKETS = 1 << 15
 TRAIN_ROWS = 20_000     # labelled rows of each language that the text model is fitted on, as expected
-MIN_SHARE = 0.002       # declared languages rarer than this are not modelled (so 500 at most are)
+MIN_ROWS = 5            # usable labelled rows that a text model takes, whatever the corpus's size and mix
+USABLE = r"[A-Za-z]{3}|[^\x00-\x7F]"  # what a text must have to be learnt from
 TEMPER = 1 / 3          # trigrams overlap: each letter stands in three
 SMOOTH = 0.5            # pseudo-counts of a trigram bucket
 HOST_WEIGHT = 20.0      # pseudo-documents that a host takes from its domain, and a domain from the corpus
@@ -61,14 +65,16 @@ class TextModel:
 
     languages: list[str]
     weights: np.ndarray
+    others: bool = False  # whether languages without a model are declared too
 
     def score(self, text: str | None) -> list[float]:
         """Log-likelihoods by language, undetermined, and then the numbers of trigrams and of letters."""
         raw = (text or "").encode("utf-8", "replace")
         got = trigram_buckets(raw)
         total = np.zeros(self.weights.shape[1])
-        for at in range(0, len(got), 1 << 18):
-            total += self.weights[got[at:at + (1 << 18)]].sum(axis=0, dtype=np.float64)
+        step = min(1 << 18, max(1, (1 << 24) // len(total)))
+        for at in range(0, len(got), step):
+            total += self.weights[got[at:at + step]].sum(axis=0, dtype=np.float64)
         return [*total.tolist(), float(len(got)), float(len(raw.translate(_FOLD).replace(b" ", b"")))]
 
 
@@ -81,21 +87,24 @@ def normal_language(c: Column) -> Column:
 def fit_text_model(docs: DataFrame, text: str, declared: Column, key: Column, train_rows: int = TRAIN_ROWS) -> TextModel:
     """Counts trigrams by declared language over a hashed sample; counting itself is a grouped sum."""
     labelled = docs.select(F.col(text).alias("text"), normal_language(declared).alias("lang"), key.alias("key"))
-    named = labelled.filter("lang is not null")
-    least = max(1, MIN_SHARE * named.count())
-    sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).filter(F.col("n") >= least).collect()}
-    languages = sorted(sizes)
+    usable = F.coalesce(F.col("text").rlike(USABLE), F.lit(False))
+    each = labelled.filter("lang is not null").groupBy("lang").agg(F.count_if(usable).alias("n"))
+    # Languages without a model are one row together.
+    rows = each.groupBy(F.when(F.col("n") >= MIN_ROWS, F.col("lang")).alias("lang")).agg(F.sum("n").alias("n")).collect()
+    sizes = {r["lang"]: r["n"] for r in rows if r["lang"] is not None}
+    languages, others = sorted(sizes), len(sizes) < len(rows)
     if not languages:
-        return TextModel([], np.full((BUCKETS, 1), -np.log(BUCKETS)))
+        return TextModel([], np.full((BUCKETS, 1), -np.log(BUCKETS)), others)
     share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, train_rows / n))) for k, n in sizes.items()])
     part = F.pmod(F.xxhash64(F.lit("train"), "key"), F.lit(1_000_000)) / 1_000_000
-    sample = labelled.filter(F.col("lang").isin(languages) & (part < share)).select("lang", "text")
+    sample = labelled.filter(F.col("lang").isin(languages) & usable & (part < share)).select("lang", "text")
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {k: np.zeros(BUCKETS, np.int64) for k in languages}
+        total: dict[str, np.ndarray] = {}
         for t in it:
             for k, x in zip(t.column("lang").to_pylist(), t.column("text").to_pylist(), strict=True):
-                total[k] += np.bincount(trigram_buckets((x or "").encode("utf-8", "replace")), minlength=BUCKETS)
+                got = np.bincount(trigram_buckets((x or "").encode("utf-8", "replace")), minlength=BUCKETS)
+                total[k] = total[k] + got if k in total else got
         for k, n in total.items():
             some = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(some), pa.string()), pa.array(some, pa.int64()), pa.array(n[some], pa.int64())], ["lang", "bucket", "n"])
@@ -106,7 +115,7 @@ def fit_text_model(docs: DataFrame, text: str, declared: Column, key: Column, tr
     for r in counted.toPandas().itertuples(index=False):
         counts[r.bucket, languages.index(r.lang)] += r.n
     logs = np.log(counts / counts.sum(axis=0))
-    return TextModel(languages, np.hstack([logs, np.full((BUCKETS, 1), -np.log(BUCKETS))]).astype(np.float32))
+    return TextModel(languages, np.hstack([logs, np.full((BUCKETS, 1), -np.log(BUCKETS))]).astype(np.float32), others)
 
 
 def _score_column(model: TextModel, text: str) -> Column:
@@ -154,9 +163,14 @@ def _toward(counts: str, prior: str) -> Column:
     return F.expr(f"transform({counts}, (x, i) -> (x + {HOST_WEIGHT}D * {prior}[i]) / ({_sum(counts)} + {HOST_WEIGHT}D))")
 
 
+def _other(model: TextModel) -> Column:
+    """Whether a row declares a language that has no text model."""
+    return F.col("declared").isNotNull() & ~F.col("declared").isin(model.languages) if model.others else F.lit(False)
+
+
 @dataclass
 class Evidence:
-    """Log-evidence tables; each has one row for a value and an array by language."""
+    """Log-evidence tables; each has one row for a value and an array by language, those without a model as the last."""
 
     model: TextModel
     corpus: list[float]
@@ -167,9 +181,11 @@ class Evidence:
 
 def gather(scored: DataFrame, model: TextModel) -> Evidence:
     """The tables, from rows (declared, host, domain, suffix, ll) of all documents."""
-    k = len(model.languages)
-    guess = F.expr(f"array_position(slice(ll, 1, {k + 1}), array_max(slice(ll, 1, {k + 1})))").cast("int") - 1
-    rows = scored.filter(F.col("ll")[k + 1] >= MIN_TRIGRAMS).withColumn("guess", guess).filter(F.col("guess") < k)
+    m = len(model.languages)
+    k = m + model.others
+    first = F.expr(f"array_position(slice(ll, 1, {m + 1}), array_max(slice(ll, 1, {m + 1})))").cast("int") - 1
+    guess = F.when(_other(model), F.lit(m)).when(first < m, first)
+    rows = scored.filter(F.col("ll")[m + 1] >= MIN_TRIGRAMS).withColumn("guess", guess).filter("guess is not null")
     totals = rows.agg(*[F.sum(F.when(F.col("guess") == i, 1.0).otherwise(0.0)).alias(f"n{i}") for i in range(k)]).first() if k else ()
     n = np.array([x or 0.0 for x in totals]) if k else np.zeros(0)
     corpus = ((n + 1) / (n.sum() + k)).tolist() if k else []
@@ -196,15 +212,23 @@ def _posterior(df: DataFrame, e: Evidence, out: tuple[str, str, str]) -> DataFra
     k = len(e.model.languages)
     # The undetermined model takes no other evidence: its prior is what the corpus's rarest language has.
     rest = " + ".join(f"coalesce({t}[i], 0D)" for t in ("declared_log", "suffix_log", "host_log"))
-    log = f"transform(slice(ll, 1, {k + 1}), (x, i) -> x * {TEMPER}D + if(i < {k}, {rest}, und))"
-    rarest = float(np.log(min(e.corpus))) if e.corpus else 0.0
+    rarest = float(np.log(min(e.corpus[:k]))) if k else 0.0
+    texts = f"slice(ll, 1, {k + 1})"
+    log = f"transform({texts}, (x, i) -> x * {TEMPER}D + if(i < {k}, {rest}, und))"
+    und = F.lit(rarest)
+    if e.model.others:
+        # A language without a model takes what the text says at best, and the undetermined model's place.
+        own = f"array_max({texts}) * {TEMPER}D + {rest.replace('[i]', f'[{k}]')}"
+        log = f"if(other, concat({log}, array({own})), {log})"
+        und = F.when(F.col("other"), F.lit(float("-inf"))).otherwise(und)
+    named = F.array(*[F.lit(x) for x in langs], F.col("declared"))
     lang, confidence, keep = out
-    return (df.withColumn("und", F.lit(rarest)).withColumn("log", F.expr(log))
+    return (df.withColumn("other", _other(e.model)).withColumn("und", und).withColumn("log", F.expr(log))
             .withColumn("top", F.array_max("log"))
             .withColumn(confidence, F.when(F.col("ll")[k + 2] > 0,
                                            1 / F.expr("aggregate(log, 0D, (s, x) -> s + exp(x - top))")).otherwise(F.lit(0.0)))
             .withColumn(lang, F.when(F.col("ll")[k + 2] > 0,
-                                     F.array(*[F.lit(x) for x in langs])[F.array_position("log", F.col("top")).cast("int") - 1])
+                                     named[F.array_position("log", F.col("top")).cast("int") - 1])
                         .otherwise(F.lit(UNDETERMINED)))
             .withColumn(keep, (F.col(lang) != UNDETERMINED) & (F.col(confidence) >= MIN_CONFIDENCE)))
 
@@ -226,7 +250,9 @@ def identify(docs: DataFrame, text: str = "text", declared: Column | None = None
     too) has no language: "und", confidence 0, not accepted, whatever else
     speaks for it; of a word or two the other evidence decides. Null or unknown evidence counts as
     none. Equal posteriors go to the first language by name. Nothing declared
-    anywhere leaves nothing to learn from: all rows are "und". An empty table
+    anywhere leaves nothing to learn from: all rows are "und". A language that
+fewer than ``MIN_ROWS`` usable rows declare is found in rows that declare it
+only. An empty table
     gives an empty one. Result columns that the table has already get a leading
     underscore; other columns pass unchanged.
     """

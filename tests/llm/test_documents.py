@@ -278,3 +278,15 @@ def test_language_evidence_decides_when_text_cannot(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, url string")
     got = {r["doc_id"]: r["detected"] for r in lang_id.identify(df, "text", F.col("lang"), F.col("url")).collect() if r["doc_id"] >= 500}
     assert got == {500: "de", 501: "en", 502: "de", 503: "en"}
+
+
+def test_rare_declared_languages_are_modelled(spark):
+    """A language of 0.1 % of the rows is found, declared or not; one with too few rows to model keeps its documents."""
+    en, de, fo = "the dog and the cat are going home because of the rain", "der hund und die katze gehen nach hause weil es regnet", "hundurin og kettan fara heim tí at tað regnar úti"
+    rows = [(i, f"{en} {i}", "en", "http://a.com/x") for i in range(10_000)] + [(10_000 + i, f"{de} {i}", "de", "http://b.de/x") for i in range(9_980)]
+    rows += [(20_000 + i, f"{fo} {i}", "fo" if i else None, "http://c.fo/x") for i in range(20)] + [(30_000, "sjálvandi kundi hann svimja væl", "xo", "http://d.xo/x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, url string")
+    got = lang_id.identify(df, "text", F.col("lang"), F.col("url")).filter("doc_id >= 20000").collect()
+    assert {(r["doc_id"] < 30_000, r["detected"], r["accepted"]) for r in got} == {(True, "fo", True), (False, "xo", True)}
+    few = lang_id.identify(df.filter("doc_id >= 30000"), "text", F.col("lang"), F.col("url")).collect()
+    assert [(r["detected"], r["accepted"]) for r in few] == [("xo", True)]
