@@ -33,6 +33,7 @@ from changeflow.llm.common import staged
 
 CAPACITY = 1024
 END_ID = 2
+LONG_BLANK = re.compile(r"(?<!\s)\s{100000}")  # tiktoken's pattern search runs out of stack at a million blanks in a row
 BUCKETS = 256            # hash buckets in which the pieces of one length are numbered
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"  # the same vocabulary
@@ -51,7 +52,8 @@ class Encoder:
     for the file at ``path``. With ``ranks``, a file of the same vocabulary and
     merges by rank, texts of Western letters (those that code page 1252 has)
     go through the faster tiktoken, which gives the same ids there; all other
-    texts, and those that hold a special token's string, through tokenizers.
+    texts, and those that hold a special token's string or a very long run of
+    white space, through tokenizers.
     """
 
     def __init__(self, path: str, ranks: str | None = None) -> None:
@@ -69,7 +71,7 @@ class Encoder:
             self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        if self.fast is not None and not self.special.search(text):
+        if self.fast is not None and not self.special.search(text) and not LONG_BLANK.search(text):
             try:
                 text.encode("cp1252")
             except UnicodeEncodeError:

@@ -182,6 +182,15 @@ def test_fast_encoder_gives_the_same_ids():
     assert all(plain(x) == fast(x) for x in texts)
 
 
+def test_very_long_blank_runs_are_packed(spark):
+    """A run that ends tiktoken's search goes through tokenizers."""
+    texts = ["x" + " " * 2_000_000 + "a", "x" + "\n" * 2_000_000 + "a"]
+    tokenizer = packing.Encoder(packing.tokenizer_path()).tokenizer
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    want = Counter((i, n, *p) for i, t in enumerate(texts) for n, p in enumerate(brute.cut([*tokenizer.encode(t, add_special_tokens=False).ids, 2], 1024)))
+    assert Counter(r[:5] for r in rows_of(got)) == want
+
+
 def test_licenses(spark, documents, odd, none):
     cases = [(200, "Released under teh MIT licence!"), (201, "x Licensed under the Apach License,\nVersion 2.0. foo"),
              (202, "under the MIT license under the mit license"), (203, "CC-BY-NC, cc by ncc"), (204, "under the limit license plate")]
