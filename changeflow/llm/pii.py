@@ -13,7 +13,7 @@ disclosure reaches ``REMOVE`` is removed near the entity, one that reaches
 ``GENERALISE`` is replaced by what kind of word it is. Only pairs that occur in
 ``SUPPORT`` different texts count, so that a text's chance words don't.
 
-n(t) counts the term's occurrences in all texts. Pairs are counted in windows,
+n(t) counts the term's occurrences in all different texts. Pairs are counted in windows,
 so they grow with the entities' occurrences and not with the square of a text.
 All steps are DataFrame operations.
 """
@@ -124,7 +124,8 @@ def disclosures(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the pairs that reach ``GENERALISE``."""
     pairs = contexts.groupBy("entity", "term").agg(F.count_distinct("hash").alias("texts"), F.count("*").alias("both")).filter(F.col("texts") >= SUPPORT)
     pairs = staged(pairs, "pairs")
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))
+    # As the contexts do, texts that repeat count once.
+    words = docs.select("text").distinct().select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))
     known = staged(words.groupBy("term").agg(F.count("*").alias("n")), "terms")
     total = known.agg(F.sum("n").alias("n")).first()["n"] or 0
     entities = contexts.select("hash", "entity").distinct().groupBy("entity").agg(F.count("*").alias("of"))

@@ -182,6 +182,16 @@ def test_fast_encoder_gives_the_same_ids():
     assert all(plain(x) == fast(x) for x in texts)
 
 
+def test_copies_hide_no_disclosing_term(spark):
+    """One of the texts that give a name away stands a thousand times."""
+    near = [(i, f"note {i}: contact Zyrkovia at boss@corp.com") for i in range(3)]
+    far = [(10 + i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(200)]
+    df = spark.createDataFrame(near + [(1000 + i, near[0][1]) for i in range(1000)] + far, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.find(df)).collect()}
+    at = near[0][1].index("Zyrkovia")
+    assert all(f"term:{at}:{at + 8}" in got[i] for i in (0, 1, 2, 1000, 1999))
+
+
 def test_very_long_blank_runs_are_packed(spark):
     """A run that ends tiktoken's search goes through tokenizers."""
     texts = ["x" + " " * 2_000_000 + "a", "x" + "\n" * 2_000_000 + "a"]
