@@ -112,8 +112,13 @@ class Scanner:
         for i, windows in near.items():
             notice, label = self.notices[i]
             for a, b in _united(windows):
-                for m in self.patterns[i].finditer(joined, a, b):
-                    found.append((m.start(), m.end(), label, sum(m.fuzzy_counts), len(notice)))
+                # The best match of a window comes first wherever it stands: others stand before and behind it.
+                todo = [(a, b)]
+                while todo:
+                    a, b = todo.pop()
+                    if b - a >= len(notice) - self.errors[i] and (m := self.patterns[i].search(joined, a, b)):
+                        found.append((m.start(), m.end(), label, sum(m.fuzzy_counts), len(notice)))
+                        todo += [(a, m.start()), (m.end(), b)]
         return exact, _closest(found)
 
 

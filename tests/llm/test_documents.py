@@ -1,5 +1,6 @@
 """Operators over documents against brute force, and on odd rows."""
 
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -223,6 +224,15 @@ def test_licenses(spark, documents, odd, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_notices_side_by_side_are_all_found():
+    """Notices with different numbers of edits in one window, the best one at any place."""
+    scanner = licenses.Scanner(licenses.BASE, licenses.NOTICES)
+    forms = {"released under the mit license": 0, "releazed under the mit license": 1, "releazed undar the mit license": 2}
+    for order in itertools.product(forms, repeat=4):
+        _, near = scanner(f" {' '.join(order)} ")
+        assert [x[3] for x in sorted(near)] == [forms[x] for x in order]
+
+
 def test_fuzzy_search_misses_nothing(documents):
     """Every notice within its bound is found: pigeonhole seeds against a full edit-distance table."""
     rng = random.Random(7)
