@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeflow.llm import mixing, pii, secrets
+from changeflow.llm import code_books, mixing, pii, secrets, spelling
 
 
 def _quoted(s: str) -> str:
@@ -148,3 +148,77 @@ listed AS (
 SELECT d.doc_id, {', '.join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in _PII)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
 FROM documents d LEFT JOIN listed l ON coalesce(d.text, '') = l.text
 """
+
+
+def _codes_round(r: int) -> str:
+    """Assignment under codebook ``r`` by every distance, and the codebook that follows."""
+    near = f"""
+near{r} AS MATERIALIZED (
+  SELECT rid, p, min({{'far': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': e}}) AS got
+  FROM pieces JOIN book{r} USING (p) GROUP BY rid, p)"""
+    if r == code_books.ROUNDS:
+        return near
+    return near + f""",
+sums{r} AS MATERIALIZED (
+  SELECT p, got.e AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n
+  FROM (SELECT p, got, x, unnest(range(1, len(x) + 1)) AS i FROM pieces JOIN near{r} USING (rid, p)) GROUP BY p, got.e, i),
+book{r + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{r} b
+  LEFT JOIN (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM sums{r} GROUP BY p, e) m ON m.p = b.p AND m.e = b.e)"""
+
+
+# Vectors of one length that the number of parts divides, as in the tables.
+CODES = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: floor({code_books.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+pieces AS MATERIALIZED (
+  SELECT rid, p, v[p * len(v) // {code_books.PARTS} + 1:(p + 1) * len(v) // {code_books.PARTS}] AS x
+  FROM (SELECT *, unnest(range(0, {code_books.PARTS})) AS p FROM kept)),
+book0 AS MATERIALIZED (SELECT p, rid - 1 AS e, x AS c FROM pieces WHERE rid <= {code_books.ENTRIES}),
+{', '.join(_codes_round(r) for r in range(code_books.ROUNDS + 1))},
+final AS (SELECT string_agg(array_to_string(c, ','), ',' ORDER BY p, e) AS every FROM book{code_books.ROUNDS}),
+coded AS (
+  SELECT rid, string_agg(printf('%02x', got.e::INTEGER), '' ORDER BY p) AS code, sum(got.far)::BIGINT AS error FROM near{code_books.ROUNDS} GROUP BY rid)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, sha256(every) AS codebooks_sha256
+FROM coded JOIN kept USING (rid) CROSS JOIN final
+"""
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+# Runs are kept once for a document, with their count; crc32 goes over a run's bytes by a table of the usual polynomial.
+SPELLING = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, list_transform(range(8), lambda k: 0::BIGINT)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_LETTERS.upper()}', '{_LETTERS}'), '[a-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents),
+counted AS MATERIALIZED (
+  SELECT run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h
+  FROM runs WHERE length(run) >= {spelling.SHORTEST} GROUP BY doc_id, run),
+hashed AS MATERIALIZED (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(h) // 2),
+           lambda i: 16 * (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1)),
+         lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) AS h FROM counted CROSS JOIN crc),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % {spelling.DROP} = 0 THEN run[1:(h % length(run))] || run[(h % length(run)) + 2:length(run)] ELSE run END AS word FROM hashed)
+  WHERE length(word) >= {spelling.SHORTEST} GROUP BY word HAVING sum(n) >= {spelling.LEAST}),
+gaps AS MATERIALIZED (
+  SELECT word, i, word[1:i - 1] || word[i + 1:length(word)] AS gap FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other FROM gaps a JOIN gaps b ON a.gap = b.gap AND a.i = b.i AND a.word <> b.word
+  UNION SELECT g.word, w.word FROM gaps g JOIN words w ON w.word = g.gap
+  UNION SELECT w.word, g.word FROM gaps g JOIN words w ON w.word = g.gap),
+best AS (
+  SELECT near.word, count(*) AS n_near, min({{'less': -o.n, 'w': o.word}}) AS b FROM near JOIN words o ON o.word = near.other GROUP BY near.word),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= {spelling.RATIO} * n THEN b.w END AS form,
+         CASE WHEN -b.less >= {spelling.RATIO} * n THEN -b.less END AS form_n FROM words LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, form AS root, 1 AS steps FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT walk.word, f.form, steps + 1 FROM walk JOIN forms f ON f.word = walk.root WHERE f.form IS NOT NULL)
+SELECT word, form, coalesce(r.root, word) AS root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n
+FROM forms LEFT JOIN (SELECT word, arg_max(root, steps) AS root FROM walk GROUP BY word) r USING (word)
+"""

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import hamming_index, html_extract, lang_id, licenses, mixing, packing, pii, secrets, simhash, topk
+from changeflow.llm import (
+    code_books, hamming_index, html_extract, lang_id, licenses, mixing, packing, pii, secrets, simhash, spelling, token_counts, topk,
+)
 from changeflow.llm.common import table
-from changeflow.llm.oracles import MIXING, PII, SECRETS, TOP_K
+from changeflow.llm.oracles import CODES, MIXING, PII, SECRETS, SPELLING, TOP_K
 
 SHINGLE = 3
 RADIUS = 2
@@ -63,6 +65,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_code_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_books.compress(table(spark, sf_dir, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), packing.tokenizer_path(), packing.tokenizer_path(packing.RANKS))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_html_extract, op3_lang_id, pages_lang_id, op4_hamming_index, op5_secrets,
-                                   op6_mixing, op7_topk, op8_pii, op9_packing, op10_licenses)}
-ORACLE = {"op5_secrets": SECRETS, "op6_mixing": MIXING, "op7_topk": TOP_K, "op8_pii": PII}
+                                   op6_mixing, op7_topk, op8_pii, op9_packing, op10_licenses, op11_code_books, op12_token_counts, op13_spelling)}
+ORACLE = {"op5_secrets": SECRETS, "op6_mixing": MIXING, "op7_topk": TOP_K, "op8_pii": PII, "op11_code_books": CODES, "op13_spelling": SPELLING}
