@@ -29,6 +29,15 @@ from changeflow.sources.progress import latest_from_progress, progress_metrics,
 PARQUET_TABLE_IGNORE = r"^(_SUCCESS|\..*\.crc)$"
 
 
+def commits_of(listing: DataFrame, table: str) -> DataFrame:
+    """Timeline names for what the folders of a table show: each batch is a delta commit, each version of the base a commit."""
+    path = F.col("path")
+    batch, version = (F.regexp_extract(path, f"/{part}=([0-9]+)/", 1) for part in ("changes/batch_id", "base/_version"))
+    name = F.when(batch != "", F.concat(batch, F.lit(".deltacommit"))).when(version != "", F.concat(version, F.lit(".commit")))
+    return (listing.select(name.alias("name"), "mtime").filter("name is not null").groupBy("name").agg(F.max("mtime").alias("mtime"))
+            .select(F.concat(F.lit(table.rstrip("/") + "/_timeline/"), "name").alias("path"), F.lit(0).cast("bigint").alias("size"), "mtime"))
+
+
 def scrape(spark: SparkSession, table: str, checkpoint: str | None, progress: str | None,
            topic: str | None, now=None, status: DataFrame | None = None, scrapes: DataFrame | None = None,
            app: str = "app", query: str = "query") -> DataFrame:
@@ -36,6 +45,7 @@ def scrape(spark: SparkSession, table: str, checkpoint: str | None, progress: st
     checkpoint (M-1..6), a status table (ts, component, state) (M-7..9), a scrape log (ts, errors, duration_s) (M-20..22)."""
     now = now if now is not None else F.current_timestamp()
     listing = L.list_files(spark, table)
+    listing = listing.unionByName(commits_of(listing, fs.qualify(spark, table)))
     parts = M.table_metrics(now, listing, fs.qualify(spark, table), "_timeline", PARQUET_TABLE_IGNORE,
                             age_from_mtime=True)
     if progress:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeflow.operators.latest import precombine
 from changeflow.schemas import NUM_BUCKETS, RECORD_KEY, ROW_COLUMNS
 from changeflow.sources.messages import payload_field
 
@@ -83,11 +84,25 @@ def bucket_of(key: Column, n: int = NUM_BUCKETS) -> Column:
 
 
 def point_lookup(view: DataFrame, key_value: str, key: str = RECORD_KEY) -> DataFrame:
-    """FLT-4: rows of one key; adds the bucket predicate for bucket-aware readers."""
-    pred = F.col(key) == F.lit(key_value)
-    if "_bucket" in view.columns:
-        pred = pred & (F.col("_bucket") == bucket_of(F.lit(key_value)))
-    return view.filter(pred)
+    """FLT-4: rows of one key. On a table bucketed by the key, Spark reads that key's bucket only."""
+    return view.filter(F.col(key) == F.lit(key_value))
+
+
+def point_update(view: DataFrame, key_value: str, values: dict, ts_ms: int, partition: int,
+                 offset: int, key: str = "tracking_id") -> DataFrame:
+    """FLT-6: ``UPDATE ... SET values WHERE key = key_value`` as a one-row change batch.
+
+    The new row state is the key's newest row with ``values`` applied, stamped
+    with the update time (which also decides its ``dt``).
+    """
+    cur = view.filter(F.col(key) == F.lit(key_value))
+    newest = precombine(cur, [key], ["ts", "kafka_partition", "kafka_offset"])
+    ts = F.timestamp_millis(F.lit(ts_ms))
+    sets = {c: F.lit(v) for c, v in values.items()} | {
+        "cdc_operation": F.lit("u"), "ts": ts, "dt": F.date_format(ts, "yyyy-MM-dd"),
+        "kafka_partition": F.lit(partition).cast("int"), "kafka_offset": F.lit(offset).cast("bigint"),
+    }
+    return newest.select(*[sets[c].alias(c) if c in sets else F.col(c) for c in newest.columns])
 
 
 def peek(df: DataFrame, n: int = 10, order: tuple[str, ...] = ("partition", "offset")) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from changeflow.operators import table as tbl
 from changeflow.operators.latest import precombine
 from changeflow.operators.routing import (
-    bucket_of, latest_sorted, peek, point_lookup, project_rows, route,
+    bucket_of, latest_sorted, peek, point_lookup, point_update, project_rows, route,
 )
 from changeflow.operators.table import TableSpec
 from changeflow.schemas import NUM_BUCKETS
@@ -84,6 +84,8 @@ def out_cols(df: DataFrame, *extra: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Table builds, folded batch by batch and cached per (session, data, variant).
 
+BUCKETS = 4  # a day of these tables is a few rows; the layout queries take the default
+
 _BUILT: dict[tuple, TableSpec] = {}
 _LOCK = threading.Lock()
 
@@ -98,7 +100,7 @@ def build_table(spark: SparkSession, sf_dir: str, variant: str = "default", batc
     with _LOCK:
         if key in _BUILT:
             return _BUILT[key]
-        spec = TableSpec(root=scratch_dir(spark, f"table-{variant}"), **spec_kw)
+        spec = TableSpec(root=scratch_dir(spark, f"table-{variant}"), **{"num_buckets": BUCKETS, **spec_kw})
         order = list(range(batches)) + ([replay] if replay is not None else [])
         for b in order:
             batch = lake_rows(spark, sf_dir, b).drop("b")
@@ -192,23 +194,6 @@ def q_table_point_lookup(spark, sf_dir):
     return out_cols(point_lookup(tbl.snapshot_view(spark, build_table(spark, sf_dir), internal=True), POINT_KEY))
 
 
-def point_update(view: DataFrame, key_value: str, values: dict, ts_ms: int, partition: int,
-                 offset: int, key: str = "tracking_id") -> DataFrame:
-    """FLT-6: ``UPDATE ... SET values WHERE key = key_value`` as a one-row change batch.
-
-    The new row state is the key's newest row with ``values`` applied, stamped
-    with the update time (which also decides its ``dt``).
-    """
-    cur = view.filter(F.col(key) == F.lit(key_value))
-    newest = precombine(cur, [key], ["ts", "kafka_partition", "kafka_offset"])
-    ts = F.timestamp_millis(F.lit(ts_ms))
-    sets = {c: F.lit(v) for c, v in values.items()} | {
-        "cdc_operation": F.lit("u"), "ts": ts, "dt": F.date_format(ts, "yyyy-MM-dd"),
-        "kafka_partition": F.lit(partition).cast("int"), "kafka_offset": F.lit(offset).cast("bigint"),
-    }
-    return newest.select(*[sets[c].alias(c) if c in sets else F.col(c) for c in newest.columns])
-
-
 # Fixed values of the point-update scenario (README's manual smoke test).
 UPDATE_TS_MS = 1706659200000  # 2024-01-31 00:00:00 UTC, after every event
 UPDATE_VALUES = {"status": "DELIVERED", "current_location": "Delhi"}
@@ -240,14 +225,17 @@ def q_mor_read_optimized(spark, sf_dir):
 
 
 def q_mor_compact(spark, sf_dir):
+    """Rows of each day after each version that rewrote some of its cells: every cell's newest version up to then."""
     spec = build_table(spark, sf_dir)
-    state = tbl.read_state(spark, spec)
-    base = spark.read.schema(tbl._with_partition(state.schema, spec, "v")).parquet(f"{spec.root}/base")
-    return base.groupBy("v", "dt").agg(F.count(F.lit(1)).alias("n_rows")).withColumnRenamed("v", "version")
+    cells = tbl.kept_rows(spark, spec, "base").groupBy("_version", "dt", "_bucket").agg(F.count(F.lit(1)).alias("n"))
+    written = cells.select(F.col("_version").alias("version"), "dt").distinct()
+    seen = written.join(cells, "dt").filter("_version <= version").groupBy("version", "dt", "_bucket").agg(F.max_by("n", "_version").alias("n"))
+    return seen.groupBy("version", "dt").agg(F.sum("n").alias("n_rows"))
 
 
 def q_mor_expire(spark, sf_dir):
-    return tbl.expired_versions(spark, build_table(spark, sf_dir), retain=2).select("kind", "version", "dt")
+    """What two retained versions don't need: cells of the base, and the batches folded in before them."""
+    return tbl.expired_versions(spark, build_table(spark, sf_dir), retain=2).select("kind", "version", "dt", "bucket")
 
 
 def q_mor_schema_reconcile(spark, sf_dir):
@@ -270,8 +258,8 @@ def q_dlq_peek(spark, sf_dir):
 
 
 def q_bucket_assign(spark, sf_dir):
-    view = tbl.snapshot_view(spark, build_table(spark, sf_dir), internal=True)
-    return view.select("tracking_id", "dt", F.col("_bucket").alias("bucket"))
+    view = tbl.snapshot_view(spark, build_table(spark, sf_dir))
+    return view.select("tracking_id", "dt", bucket_of(F.col("tracking_id")).alias("bucket"))
 
 
 def q_catalog_register(spark, sf_dir):
@@ -279,6 +267,36 @@ def q_catalog_register(spark, sf_dir):
     return spark.sql("SELECT tracking_id, dt, status, current_location FROM shipments_mor_rt")
 
 
+def q_catalog_partitions(spark, sf_dir):
+    """What the catalog names after ten batches: one version of each day and bucket."""
+    cells = tbl.read_state(spark, build_table(spark, sf_dir)).cells
+    return spark.createDataFrame(cells, "version bigint, dt string, bucket int")
+
+
+def _wide(spark, sf_dir):
+    """All batches folded in at once, in the default number of buckets."""
+    return build_table(spark, sf_dir, "wide", num_buckets=NUM_BUCKETS, min_deltas=NUM_BATCHES)
+
+
+def q_bucket_lookup(spark, sf_dir):
+    """One key by SQL on the catalog's view: one bucket of the base is read."""
+    tbl.register_table(spark, _wide(spark, sf_dir), "shipments_wide")
+    return out_cols(spark.sql(f"SELECT * FROM shipments_wide_rt WHERE tracking_id = '{POINT_KEY}'"))
+
+
+def q_bucket_layout(spark, sf_dir):
+    """Each row's bucket as the partition names it and as its file's name does."""
+    base = tbl.kept_rows(spark, _wide(spark, sf_dir), "base")
+    in_file = F.regexp_extract(F.input_file_name(), r"_([0-9]{5})\.c[0-9]+\.", 1).cast("int")
+    return base.select("tracking_id", "dt", F.col("_bucket").alias("bucket"), in_file.alias("file_bucket"))
+
+
+def q_key_locations(spark, sf_dir):
+    """Where a global-key table of nine batches holds the keys of the tenth, by its key index."""
+    spec = build_table(spark, sf_dir, "nine", batches=9, min_deltas=3, key_scope="global")
+    return tbl.located(spark, spec, lake_rows(spark, sf_dir, 9)).select("tracking_id", "dt")
+
+
 def q_table_timeline_counts(spark, sf_dir):
     """The table's own commits (10 batches, compaction every 2): partitions that each one wrote."""
     commits = tbl.commit_table(spark, build_table(spark, sf_dir))
@@ -318,6 +336,10 @@ QUERIES = {
     "dlq_peek": q_dlq_peek,
     "bucket_assign": q_bucket_assign,
     "catalog_register": q_catalog_register,
+    "catalog_partitions": q_catalog_partitions,
+    "bucket_lookup": q_bucket_lookup,
+    "bucket_layout": q_bucket_layout,
+    "key_locations": q_key_locations,
     "cdc_latest_sorted": q_flagship,
     "table_timeline_counts": q_table_timeline_counts,
 }
@@ -352,6 +374,38 @@ LAKE = f"""lake AS (
 OUT = ", ".join(LAKE_OUT)
 
 
+def _mod32(x: str) -> str:
+    return f"(({x}) % 4294967296)::BIGINT"
+
+
+def _turned(x: str, bits: int) -> str:
+    """32 bits turned left."""
+    return f"({_mod32(f'({x})::HUGEINT * {1 << bits}')} + (({x}) >> {32 - bits}))"
+
+
+def _times(x: str, by: int) -> str:
+    return _mod32(f"({x})::HUGEINT * {by}")
+
+
+def _bucket_sql(n: int) -> str:
+    """CTE ``slots`` (tracking_id, bucket): Spark's hash of a string (Murmur3, 32 bits, seed 42; the last
+    bytes one by one) modulo n, a power of two. Its constants are fixed values."""
+    k = _times(_turned(_times("w", 3432918353), 15), 461845907)
+    h = _mod32(f"{_turned(f'xor(h, {k})', 13)}::HUGEINT * 5 + 3864292196")
+    byte = "(16 * (strpos('0123456789ABCDEF', x[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', x[2 * i + 2]) - 1)"
+    return f"""texts AS (SELECT DISTINCT tracking_id, hex(encode(tracking_id)) AS x FROM lake),
+raw AS (SELECT tracking_id, list_transform(range(0, length(x) // 2), lambda i: {byte}::BIGINT) AS b FROM texts),
+mixed AS (
+  SELECT tracking_id, len(b) AS n, list_reduce([42::BIGINT] || list_transform(range(0, len(b) // 4),
+           lambda i: b[4 * i + 1] + 256 * b[4 * i + 2] + 65536 * b[4 * i + 3] + 16777216 * b[4 * i + 4])
+         || list_transform(b[len(b) // 4 * 4 + 1:len(b)], lambda c: CASE WHEN c < 128 THEN c ELSE c + 4294967040 END),
+         lambda h, w: {h}) AS h FROM raw),
+m1 AS (SELECT tracking_id, xor(h, n) AS h FROM mixed),
+m2 AS (SELECT tracking_id, {_times('xor(h, h >> 16)', 2246822507)} AS h FROM m1),
+m3 AS (SELECT tracking_id, {_times('xor(h, h >> 13)', 3266489909)} AS h FROM m2),
+slots AS MATERIALIZED (SELECT tracking_id, (xor(h, h >> 16) % {n})::INTEGER AS bucket FROM m3)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -362,6 +416,10 @@ def _latest(where: str, keys: str, order: str = "ts_ms, kafka_partition, kafka_o
   FROM lake WHERE {where}) WHERE rn = 1"""
 
 
+# Cells that each compaction of two batches rewrites.
+TOUCHED = """touched AS (SELECT DISTINCT CAST(b // 2 * 2 + 1 AS BIGINT) AS version, dt, bucket FROM lake JOIN slots USING (tracking_id)
+            WHERE cls = 'good')"""
+
 ORACLE = {
     "cdc_roundtrip": _with(EV) + f"""SELECT event_id AS offset, event_id AS id,
        CASE WHEN cls = 'nokey' THEN NULL ELSE k END AS tracking_id,
@@ -421,15 +479,13 @@ touched AS (SELECT DISTINCT v.version, dt FROM v JOIN lake ON lake.b IN (v.versi
 SELECT t.version, t.dt, (SELECT count(DISTINCT tracking_id) FROM lake
                          WHERE cls = 'good' AND lake.dt = t.dt AND lake.b <= t.version) AS n_rows
 FROM touched t""",
-    "mor_expire": _with(EV, LAKE) + """, v AS (SELECT * FROM (VALUES (1), (3), (5), (7), (9)) t(version)),
-touched AS (SELECT DISTINCT v.version, dt FROM v JOIN lake ON lake.b IN (v.version - 1, v.version)
-            WHERE cls = 'good'),
-kept AS (SELECT dt, max(version) AS version FROM touched WHERE version <= 7 GROUP BY dt
-         UNION SELECT dt, max(version) FROM touched WHERE version <= 9 GROUP BY dt)
-SELECT 'base' AS kind, CAST(version AS BIGINT) AS version, dt FROM touched t
-WHERE NOT EXISTS (SELECT 1 FROM kept WHERE kept.dt = t.dt AND kept.version = t.version)
+    "mor_expire": _with(EV, LAKE, _bucket_sql(BUCKETS), TOUCHED) + """, kept AS (
+  SELECT dt, bucket, max(version) AS version FROM touched WHERE version <= 7 GROUP BY ALL
+  UNION SELECT dt, bucket, max(version) FROM touched GROUP BY ALL)
+SELECT 'base' AS kind, version, dt, bucket FROM touched t
+WHERE NOT EXISTS (SELECT 1 FROM kept WHERE kept.dt = t.dt AND kept.bucket = t.bucket AND kept.version = t.version)
 UNION ALL
-SELECT DISTINCT 'delta', CAST(b AS BIGINT), dt FROM lake WHERE cls = 'good' AND b <= 7""",
+SELECT DISTINCT 'delta', CAST(b AS BIGINT), NULL, NULL FROM lake WHERE cls = 'good' AND b <= 7""",
     "mor_schema_reconcile": _with(EV, LAKE) + f"""SELECT {OUT}, CASE WHEN b >= 5 THEN e.props END AS props FROM (
   SELECT *, row_number() OVER (PARTITION BY dt, tracking_id
                                ORDER BY ts_ms DESC, kafka_partition DESC, kafka_offset DESC) AS rn
@@ -441,6 +497,12 @@ FROM ({_latest("cls = 'good'", 'dt, tracking_id')}) ORDER BY tracking_id, dt""",
 WHERE cls IN ('tombstone', 'malformed', 'nokey') ORDER BY part, event_id LIMIT 10""",
     "catalog_register": _with(EV, LAKE) + f"""SELECT tracking_id, dt, status, current_location
 FROM ({_latest("cls = 'good'", 'dt, tracking_id')})""",
+    "catalog_partitions": _with(EV, LAKE, _bucket_sql(BUCKETS), TOUCHED) + "SELECT max(version) AS version, dt, bucket FROM touched GROUP BY dt, bucket",
+    "bucket_lookup": _with(EV, LAKE) + f"SELECT * FROM ({_latest('cls = ' + chr(39) + 'good' + chr(39), 'dt, tracking_id')}) WHERE tracking_id = '{POINT_KEY}'",
+    "bucket_layout": _with(EV, LAKE, _bucket_sql(NUM_BUCKETS)) + """SELECT DISTINCT tracking_id, dt, bucket, bucket AS file_bucket
+FROM lake JOIN slots USING (tracking_id) WHERE cls = 'good'""",
+    "key_locations": _with(EV, LAKE) + f"""SELECT tracking_id, dt FROM ({_latest("cls = 'good' AND b <= 8", 'tracking_id')})
+WHERE tracking_id IN (SELECT tracking_id FROM lake WHERE cls = 'good' AND b = 9)""",
     "table_timeline_counts": _with(EV, LAKE) + """SELECT 'delta' AS kind, CAST(b AS BIGINT) AS version, count(DISTINCT dt) AS n_partitions
 FROM lake WHERE cls = 'good' GROUP BY b
 UNION ALL SELECT 'base', CAST(b // 2 * 2 + 1 AS BIGINT), count(DISTINCT dt) FROM lake WHERE cls = 'good' GROUP BY b // 2""",

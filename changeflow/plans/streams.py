@@ -81,9 +81,7 @@ def q_stream_dlq_sink(spark, sf_dir):
 
 def q_stream_rate_limited(spark, sf_dir):
     _, spec = streamed(spark, sf_dir, "rate")
-    state = tbl.read_state(spark, spec)
-    d = tbl.read_deltas(spark, spec, state, state.deltas)
-    return d.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return tbl.kept_rows(spark, spec, "changes").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_stream_restart(spark, sf_dir):

@@ -40,6 +40,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the session settings the operators need (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # Folders of a table's partitions are listed by so many tasks, not by one task each.
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "64")
     return spark
 
 

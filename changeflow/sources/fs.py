@@ -1,14 +1,7 @@
-"""Table metadata I/O through the Hadoop FileSystem of the session.
-
-Only small metadata goes through the driver here: directory listings of
-commit markers and their one-line JSON bodies. Row data never does.
-"""
+"""Listings, moves and deletes through the Hadoop FileSystem of the session; row data never goes through here."""
 
 from __future__ import annotations
 
-import json
-
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -46,49 +39,6 @@ def list_files_recursive(spark: SparkSession, path: str) -> list[tuple[str, int,
     return out
 
 
-def write_json(spark: SparkSession, path: str, body: dict) -> None:
-    """Write a small JSON document: to a temp file, then renamed over ``path``; raises if the rename fails."""
-    fs, p = _fs(spark, path)
-    jvm = _jvm(spark)
-    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), "." + p.getName() + ".tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(json.dumps(body, sort_keys=True).encode("utf-8")))
-    finally:
-        out.close()
-    kind = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(kind, 1)
-    options[0] = kind.OVERWRITE
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri(), conf).rename(
-        fs.makeQualified(tmp), fs.makeQualified(p), options)
-
-
-class Missing(FileNotFoundError):
-    """A metadata file that is gone."""
-
-
-def read_json(spark: SparkSession, path: str) -> dict:
-    """A small JSON document; raises ``Missing`` if there is none."""
-    fs, p = _fs(spark, path)
-    try:
-        stream = fs.open(p)
-    except Py4JJavaError as e:
-        if "FileNotFoundException" in str(e.java_exception.getClass().getName()):
-            raise Missing(path) from None
-        raise
-    try:
-        reader = _jvm(spark).java.io.BufferedReader(_jvm(spark).java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-    finally:
-        stream.close()
-    return json.loads("\n".join(lines))
-
-
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))

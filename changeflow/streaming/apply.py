@@ -57,8 +57,8 @@ class Compactor:
 
     Async mode mirrors an asynchronous compactor: a compaction (then a clean,
     if configured) starts when enough batches are pending and none is running;
-    the stream keeps writing deltas meanwhile (new batch ids are always above
-    the version being compacted, so they stay pending). ``drain`` waits and
+    the stream keeps writing batches meanwhile (a compaction drops those that
+    it read, so new ones stay pending). ``drain`` waits and
     then compacts whatever is still pending, so the final state does not
     depend on timing.
     """
@@ -70,9 +70,8 @@ class Compactor:
         self._lock = threading.Lock()
 
     def _maintain(self, spark) -> None:
-        state = read_state(spark, self.spec)
-        if len([b for b in state.deltas if b > state.version]) >= self.spec.min_deltas:
-            compact(spark, self.spec, state)
+        if len(read_state(spark, self.spec).pending) >= self.spec.min_deltas:
+            compact(spark, self.spec)
             if self.outputs.retain_commits:
                 clean(spark, self.spec, self.outputs.retain_commits, dry_run=False)
 
