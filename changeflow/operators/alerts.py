@@ -175,7 +175,7 @@ def evaluate(samples: DataFrame, rules: Sequence[Rule] = tuple(RULES), step_s: i
     if start is None:
         out = _states(samples if end is None else read_window(samples, None, F.lit(end).cast("timestamp")), rules, step_s, lookback_s, chunk_s)
         return out if end is None else out.filter(F.col("ts") <= F.lit(end).cast("timestamp"))
-    reach = max(t.value.reach(lookback_s) for r in rules for t in (r.term, r.also) if t is not None)
+    reach = longest_reach(rules, lookback_s)
     back = max(r.hold_s for r in rules) + 2 * step_s
     spark = samples.sparkSession
     first = spark.sql(f"SELECT unix_seconds(TIMESTAMP '{start}') AS t").first()["t"]
@@ -195,7 +195,38 @@ def _states(samples: DataFrame, rules: Sequence[Rule], step_s: int, lookback_s:
     active = conditions(samples, rules, step_s, lookback_s, chunk_s)
     if begin is not None:  # values before it may lack samples
         active = active.filter(F.col("t") >= begin)
-    states = S.firing(active, 0, step_s, chunk_s, keys=["alert", "metric", "series"])
+    return _described(S.firing(active, 0, step_s, chunk_s, keys=["alert", "metric", "series"]), rules)
+
+
+def longest_reach(rules: Sequence[Rule], lookback_s: int = LOOKBACK_S) -> int:
+    """Seconds that a sample can matter to an evaluation after it."""
+    return max(t.value.reach(lookback_s) for r in rules for t in (r.term, r.also) if t is not None)
+
+
+def evaluate_next(window: DataFrame, running: DataFrame, begin: int | None, until: int, rules: Sequence[Rule] = tuple(RULES),
+                  step_s: int = EVAL_STEP_S, lookback_s: int = LOOKBACK_S, chunk_s: int = S.DEFAULT_CHUNK_S) -> DataFrame:
+    """The rows that ``evaluate`` has for evaluations after ``begin`` up to ``until``, from what came since.
+
+    ``window`` holds the samples of the last ``longest_reach`` seconds up to
+    ``begin`` and all since; ``running`` (alert, metric, series, active_since)
+    the runs that were active at ``begin``, an evaluation time (null at first).
+    Nothing older is read, however long a run has lasted.
+    """
+    active = conditions(window, rules, step_s, lookback_s, chunk_s).filter(F.col("t") <= until)
+    keys = ["alert", "metric", "series"]
+    if begin is not None:
+        # A run that goes on has a row at ``begin``; its start is known.
+        went_on = running.select(*keys, F.lit(begin).cast("bigint").alias("t"), F.lit(None).cast("double").alias("value"), F.lit(True).alias("active"))
+        active = active.filter(F.col("t") > begin).unionByName(went_on)
+    states = S.firing(active, 0, step_s, chunk_s, keys=keys)
+    if begin is not None:
+        known = running.select(*keys, F.col("active_since").alias("_since"))
+        states = states.filter(F.col("t") > begin).join(known, keys, "left").withColumn(
+            "active_since", F.when(F.col("active_since") == begin, F.col("_since")).otherwise(F.col("active_since"))).drop("_since")
+    return _described(states, rules)
+
+
+def _described(states: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     spec = F.create_map(*[x for r in rules for x in (F.lit(r.name), F.struct(F.lit(r.severity).alias("severity"), F.lit(r.component).alias("component"),
                                                                             F.lit(r.hold_s).alias("hold_s")))])
     states = states.withColumn("_r", spec[F.col("alert")])

@@ -11,10 +11,12 @@ from changeflow.operators import history as H
 from changeflow.operators import metrics as M
 from changeflow.operators import panels as PN
 from changeflow.plans.cdc import EV, _events, messages
+from changeflow.session import scratch_dir
 from changeflow.sources import fixtures as FX
 from changeflow.sources import listing as L
 from changeflow.sources import offsets as O
 from changeflow.sources.progress import latest_from_progress, progress_metrics, progress_offsets, progress_samples
+from changeflow.streaming.alerting import AlertEvaluator
 
 NOW = "2024-02-01 00:00:00"
 NOW_SQL = f"TIMESTAMP '{NOW}'"
@@ -234,7 +236,11 @@ def _history(spark, sf_dir):
 
 def q_alerts_all(spark, sf_dir):
     """All 13 rules end to end, as one row per run of a condition."""
-    return A.evaluate(_history(spark, sf_dir)).groupBy("alert", "severity", "component", "metric", "series", "active_since").agg(
+    return _runs(A.evaluate(_history(spark, sf_dir)))
+
+
+def _runs(states: DataFrame) -> DataFrame:
+    return states.groupBy("alert", "severity", "component", "metric", "series", "active_since").agg(
         F.max("t").alias("last_t"), F.count(F.lit(1)).alias("n"), F.sum((F.col("state") == "firing").cast("bigint")).alias("n_firing"),
         F.max("value").alias("max_value"))
 
@@ -265,6 +271,21 @@ def q_alert_window(spark, sf_dir):
         "alert", "metric", "series", "t", "value", "active_since", "state")
 
 
+SLICE_DAYS = 8
+
+
+def q_alert_incremental(spark, sf_dir):
+    """All rules, evaluated batch by batch as samples come, as one row per run of a condition."""
+    history = _history(spark, sf_dir)
+    evaluator = AlertEvaluator(scratch_dir(spark, "alerts"))
+    day = F.unix_date(F.to_date("ts"))
+    first, last, newest = history.agg(F.min(day), F.max(day), F.max(F.unix_seconds("ts"))).first()
+    for n, at in enumerate(range(first, last + 1, SLICE_DAYS)):
+        until = newest + A.longest_reach(A.RULES) if at + SLICE_DAYS > last else None
+        evaluator(history.filter((day >= at) & (day < at + SLICE_DAYS)), n, until)
+    return _runs(evaluator.alerts(spark))
+
+
 def q_panel_lag(spark, sf_dir):
     """Panel 22 end to end: lag on a 15 s grid with its threshold colours."""
     return PN.panel(_history(spark, sf_dir), 22).select("panel", "t", "metric", "series", "value", "status")
@@ -315,6 +336,7 @@ QUERIES = {
     "alert_rule_and": q_alert_rule_and,
     "alerts_all": q_alerts_all,
     "alert_window": q_alert_window,
+    "alert_incremental": q_alert_incremental,
     "panel_lag": q_panel_lag,
     "panels_all": q_panels_all,
     "panel_window": q_panel_window,
@@ -625,6 +647,8 @@ WHERE rp.rate IS NOT NULL AND ra.rate IS NOT NULL""",
     "alert_rule_and": _one_rule_sql("DebeziumTaskFailed"),
     "alerts_all": alerts_sql(A.RULES) + """SELECT alert, severity, component, metric, series, active_since, max(t) AS last_t, count(*) AS n,
        count(*) FILTER (state = 'firing') AS n_firing, max(value) AS max_value FROM states GROUP BY ALL""",
+    "alert_incremental": alerts_sql(A.RULES) + """SELECT alert, severity, component, metric, series, active_since, max(t) AS last_t, count(*) AS n,
+       count(*) FILTER (state = 'firing') AS n_firing, max(value) AS max_value FROM states GROUP BY ALL""",
     "alert_window": alerts_sql(A.RULES) + f"SELECT alert, metric, series, t, value, active_since, state FROM states WHERE {_within(WINDOW)}",
     "panel_lag": panels_sql([p for p in PN.PANELS if p.pid == 22]) + "SELECT panel, t, metric, series, value, status FROM shown",
     "panels_all": panels_sql(PN.PANELS) + """SELECT panel, metric, series, status, text, t // 3600 AS hour, count(*) AS n,

@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow.operators.routing import dead_letters, project_rows, route
 from changeflow.operators.table import TableSpec, apply_changes, change_batch, clean, compact, read_state
 from changeflow.sources.messages import parse_messages
+from changeflow.streaming.progress_log import ProgressLog
 
 
 @dataclass(frozen=True)
@@ -125,16 +126,18 @@ def batch_writer(spec: TableSpec, outputs: Outputs, compactor: Compactor | None
     return write
 
 
-_COMPACTORS: dict[str, Compactor] = {}
+_RUNNING: dict[str, tuple[Compactor, ProgressLog | None]] = {}
 
 
 def start_apply(stream: DataFrame, spec: TableSpec, checkpoint: str, outputs: Outputs,
                 trigger: str | None = "30 seconds", available_now: bool = False,
-                name: str | None = None) -> StreamingQuery:
+                name: str | None = None, progress: str | None = None) -> StreamingQuery:
     """Start the change-apply query (append mode, own checkpoint).
 
-    Call ``finish_apply(query)`` after the query ends to wait for background
-    maintenance (async compaction)."""
+    With ``progress``, a listener appends the query's progress records (SRC-12)
+    to that folder as they come. Call ``finish_apply(query)`` after the query
+    ends to wait for background maintenance (async compaction) and the records."""
+    log = ProgressLog(stream.sparkSession, progress) if progress else None
     compactor = Compactor(spec, outputs, stream.sparkSession)
     writer = (stream.writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
@@ -146,37 +149,24 @@ def start_apply(stream: DataFrame, spec: TableSpec, checkpoint: str, outputs: Ou
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
     query = writer.start()
-    _COMPACTORS[query.id] = compactor
+    if log is not None:
+        log.watch(query.id)
+    _RUNNING[query.id] = compactor, log
     return query
 
 
-def finish_apply(query: StreamingQuery, timeout_s: float | None = None, progress: str | None = None,
-                 poll_s: float = 30.0) -> None:
-    """Wait for the query to end (or for ``timeout_s``), then drain its table maintenance.
-
-    With ``progress``, the query's progress records (SRC-12) are appended there
-    as JSON lines while it runs; ``sources.progress`` reads them.
-    """
-    waited, seen = 0.0, -1
-    while query.isActive and (timeout_s is None or waited < timeout_s):
-        step = poll_s if timeout_s is None else min(poll_s, timeout_s - waited)
-        query.awaitTermination(step)
-        waited += step
-        seen = _append_progress(query, progress, seen)
-    _append_progress(query, progress, seen)
-    compactor = _COMPACTORS.pop(query.id, None)
-    if compactor is not None and not query.isActive:
+def finish_apply(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for the query to end (or for ``timeout_s``), then for its progress records and table maintenance."""
+    if timeout_s is None:
+        query.awaitTermination()
+    else:
+        query.awaitTermination(timeout_s)
+    if query.isActive:
+        return
+    compactor, log = _RUNNING.pop(query.id, (None, None))
+    if log is not None:
+        log.close()
+    if compactor is not None:
         if query.exception() is not None:
             raise query.exception()
         compactor.drain()
-
-
-def _append_progress(query: StreamingQuery, folder: str | None, seen: int) -> int:
-    """Append the records of batches after ``seen``; at most the last hundred that the query keeps."""
-    if folder is None:
-        return seen
-    new = [p for p in query.recentProgress if p.batchId > seen and p.numInputRows]
-    if new:
-        spark = _COMPACTORS[query.id].spark
-        spark.createDataFrame([(p.json,) for p in new], "value string").coalesce(1).write.mode("append").text(folder)
-    return max([seen, *(p.batchId for p in new)])

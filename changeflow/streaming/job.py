@@ -58,8 +58,8 @@ def main(argv: list[str] | None = None) -> None:
                       bootstrap_servers=a.bootstrap_servers, tombstones=a.tombstones,
                       retain_commits=a.retain_commits, compaction=a.compaction)
     query = start_apply(read_messages(spark, source), spec, a.checkpoint, outputs,
-                        trigger=a.trigger, available_now=a.available_now, name="changeflow-apply")
-    finish_apply(query, progress=a.progress)
+                        trigger=a.trigger, available_now=a.available_now, name="changeflow-apply", progress=a.progress)
+    finish_apply(query)
 
 
 if __name__ == "__main__":
