@@ -119,27 +119,23 @@ WITH texts AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
 e_{k} AS (SELECT text, {i} AS rank, '{k}' AS kind, s::BIGINT AS s, e::BIGINT AS e, m FROM (SELECT *, {_LUHN if k == 'card' else 0} AS luhn FROM (
   SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS d FROM m_{k})) WHERE {valid})""" for i, (k, (p, valid)) in enumerate(_PII.items()))},
 ents AS ({' UNION ALL '.join(f'SELECT * FROM e_{k}' for k in _PII)}),
-sides AS (
-  SELECT text, kind || ':' || lower(m) AS entity, greatest(s - {pii.WINDOW}, 0) AS off, greatest(s - {pii.WINDOW}, 0) > 0 AS cut_left, false AS cut_right,
-         substr(text, (greatest(s - {pii.WINDOW}, 0) + 1)::BIGINT, (s - greatest(s - {pii.WINDOW}, 0))::BIGINT) AS ctx FROM ents
-  UNION ALL
-  SELECT text, kind || ':' || lower(m), e, false, e + {pii.WINDOW} < length(text), substr(text, e + 1, {pii.WINDOW}) FROM ents),
-words AS ({_positions("sides", "ctx", _TERM, "text, entity, off, cut_left, cut_right, ctx")}),
-contexts AS (
-  SELECT DISTINCT text, entity, (s + off)::BIGINT AS s, (e + off)::BIGINT AS e, lower(m) AS term FROM words w
-  WHERE NOT (cut_left AND s = 0) AND NOT (cut_right AND e = length(ctx)) AND length(m) >= {pii.MIN_TERM}
-    AND NOT EXISTS (SELECT 1 FROM ents x WHERE x.text = w.text AND x.s < w.e + w.off AND x.e > w.s + w.off)),
-pairs AS (SELECT entity, term, count(*) AS n_both FROM contexts GROUP BY ALL HAVING count(DISTINCT text) >= {pii.SUPPORT}),
-vocabulary AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(coalesce(text, '')), '{_TERM}')) AS term FROM documents) GROUP BY term),
-total AS (SELECT greatest(coalesce(sum(n), 0), 1)::DOUBLE AS n FROM vocabulary),
-known AS (SELECT entity, count(DISTINCT text) AS n_of FROM contexts GROUP BY entity),
+held AS (SELECT DISTINCT text, kind || ':' || lower(m) AS entity FROM ents),
+words AS ({_positions("texts", "text", _TERM, "text")}),
+places AS (
+  SELECT text, s::BIGINT AS s, e::BIGINT AS e, lower(m) AS term FROM words w
+  WHERE length(m) >= {pii.MIN_TERM} AND text IN (SELECT text FROM ents)
+    AND NOT EXISTS (SELECT 1 FROM ents x WHERE x.text = w.text AND x.s < w.e AND x.e > w.s)),
+pairs AS (SELECT entity, term, count(*) AS n_both FROM held JOIN (SELECT DISTINCT text, term FROM places) USING (text) GROUP BY ALL HAVING count(*) >= {pii.SUPPORT}),
+vocabulary AS (SELECT term, count(*) AS n FROM (SELECT DISTINCT text, lower(m) AS term FROM words) GROUP BY term),
+total AS (SELECT count(*)::DOUBLE AS n FROM texts),
+known AS (SELECT entity, count(*) AS n_of FROM held GROUP BY entity),
 told AS (
   SELECT entity, term FROM (
     SELECT entity, term, least(n_both / vocabulary.n, 1.0::DOUBLE) AS given, n_of / total.n AS p FROM pairs JOIN vocabulary USING (term) JOIN known USING (entity), total)
   WHERE least(ln(given / p) / greatest(-ln(p), 1e-9), 1.0) >= {pii.GENERALISE}),
 spans AS (
   SELECT text, rank, kind, s, e FROM ents
-  UNION ALL SELECT DISTINCT text, {len(_PII)}, 'term', s, e FROM contexts JOIN told USING (entity, term)),
+  UNION ALL SELECT DISTINCT text, {len(_PII)}, 'term', s, e FROM places JOIN held USING (text) JOIN told USING (entity, term)),
 listed AS (
   SELECT text, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in _PII)},
          string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) FILTER (kind <> 'term') AS base,

@@ -1,21 +1,28 @@
 """Personal data by patterns, and what gives it away by information theory.
 
 Patterns find addresses, numbers and the like: the protected entities. Words
-that stand near an entity can reveal it even when it is masked itself. How much
-a term t tells about an entity e is estimated from the corpus: their pointwise
-mutual information in contexts of ``WINDOW`` characters around e,
+that stand in the same text can reveal an entity even when it is masked itself.
+How much a term t tells about an entity e is estimated from the corpus, over
+its different texts: their pointwise mutual information,
 
-    PMI(e; t) = log( p(e | t) / p(e) ),   p(e | t) = n(e, t) / n(t),
+    PMI(e; t) = log( p(e | t) / p(e) ),   p(e | t) = n(e, t) / n(t),   p(e) = n(e) / N,
 
 against all the information that e holds, IC(e) = -log p(e). The disclosure is
 PMI / IC: 1 says that t occurs with e alone and gives it away. A term whose
-disclosure reaches ``REMOVE`` is removed near the entity, one that reaches
+disclosure reaches ``REMOVE`` is removed where e stands too, one that reaches
 ``GENERALISE`` is replaced by what kind of word it is. Only pairs that occur in
 ``SUPPORT`` different texts count, so that a text's chance words don't.
 
-n(t) counts the term's occurrences in all different texts. Pairs are counted in windows,
-so they grow with the entities' occurrences and not with the square of a text.
-All steps are DataFrame operations.
+Nothing is lost by what isn't counted: an entity or a term of fewer than
+``SUPPORT`` texts has no such pair, and a term of more than
+
+    n(e) ^ GENERALISE * N ^ (1 - GENERALISE)
+
+texts cannot reach the threshold, for n(e, t) <= n(e). Entities that stand in
+the same texts tell the same and are counted as one, and so are terms: pairs
+are made of such classes, by salt, and pre-aggregated, never of all entities
+and words of a text. Texts are read where they lie. All steps are DataFrame
+operations.
 """
 
 from __future__ import annotations
@@ -24,9 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import fresh, staged
-from changeflow.llm.spans import found, listed, merged, number_of, replaced
+from changeflow.llm.spans import behind, found, listed, matches_in, merged, number_of, replaced, walked
 
-WINDOW = 64          # characters on either side of an entity
 SUPPORT = 3          # different texts in which a pair must occur
 GENERALISE = 0.7
 REMOVE = 0.9
@@ -41,6 +47,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # What the rest of the card pattern's digits look like at the least: no scan of shorter runs is walked through.
 CARD_GATE = r"[0-9](?:[\x20-]?[0-9]){13}"
 TERM = r"[\p{L}\p{N}]++"
+SALTS = 16           # parts into which the pairs of one text are dealt
+PIECE = "struct<at:int,text:string,left:boolean,right:boolean>"
 
 
 def _luhn(digits: Column) -> Column:
@@ -88,52 +96,88 @@ def _base(rows: DataFrame) -> DataFrame:
     return got.withColumn("entities", F.concat(*each)).drop(*names)
 
 
-def _words(context: Column, offset: Column, cut_left: Column, cut_right: Column) -> Column:
-    """Terms of a context with their places in the text, without those that its edge may cut."""
-    every = F.regexp_extract_all(context, F.lit(TERM), F.lit(0))
-    zipped = F.arrays_zip(every.alias("match"), F.slice(F.split(context, TERM, -1), F.lit(1), F.size(every)).alias("gap"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        one = F.struct((start + offset).alias("start"), (end + offset).alias("end"), F.lower(x["match"]).alias("term"),
-                       ((cut_left & (start == 0)) | (cut_right & (end == F.length(context)))).alias("cut"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    empty = F.array().cast("array<struct<start:int,end:int,term:string,cut:boolean>>")
-    walked = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
-    return F.filter(walked, lambda x: ~x["cut"] & (F.length(x["term"]) >= MIN_TERM))
-
-
-def _contexts(based: DataFrame) -> DataFrame:
-    """(hash, entity, start, end, term): each term occurrence near an entity's, texts that repeat counted once."""
-    one = based.filter(F.size("entities") > 0).select(F.md5("text").alias("hash"), "text", "entities", F.explode("entities").alias("e"))
-    begin = F.greatest(F.col("e.start") - WINDOW, F.lit(0))
-    end = F.least(F.col("e.end") + WINDOW, F.length("text"))
-    left = _words(F.col("before"), begin, begin > 0, F.lit(False))
-    right = _words(F.col("after"), F.col("e.end"), F.lit(False), end < F.length("text"))
-    near = (one.withColumn("before", F.substr("text", begin + 1, F.col("e.start") - begin))
-            .withColumn("after", F.substr("text", F.col("e.end") + 1, end - F.col("e.end")))
-            .select("hash", "entities", F.concat_ws(":", "e.kind", F.lower("e.match")).alias("entity"),
-                    F.explode(F.concat(left, right)).alias("w")))
-    apart = ~F.exists("entities", lambda x: (x["start"] < F.col("w.end")) & (x["end"] > F.col("w.start")))
-    return near.filter(apart).select("hash", "entity", "w.start", "w.end", "w.term").distinct()
-
-
-def disclosures(docs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the pairs that reach ``GENERALISE``."""
-    pairs = contexts.groupBy("entity", "term").agg(F.count_distinct("hash").alias("texts"), F.count("*").alias("both")).filter(F.col("texts") >= SUPPORT)
-    pairs = staged(pairs, "pairs")
-    # As the contexts do, texts that repeat count once.
-    words = docs.select("text").distinct().select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))
-    known = staged(words.groupBy("term").agg(F.count("*").alias("n")), "terms")
-    total = known.agg(F.sum("n").alias("n")).first()["n"] or 0
-    entities = contexts.select("hash", "entity").distinct().groupBy("entity").agg(F.count("*").alias("of"))
-    p = F.col("of") / F.lit(float(max(total, 1)))
-    told = F.least(F.col("both") / F.col("n"), F.lit(1.0))
-    return (pairs.join(known, "term").join(entities, "entity")
-            .withColumn("disclosure", F.least(F.log(told / p) / F.greatest(-F.log(p), F.lit(1e-9)), F.lit(1.0)))
-            .filter(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure"))
+def _sorted(spans: Column) -> Column:
+    return F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+
+
+def _apart(text: str, entities: str) -> Column:
+    """What lies between the entities of a text, as pieces (at, text, left, right): whether an entity lies on that side."""
+    spans = _sorted(F.col(entities))
+    piece = lambda at, x, right: F.struct(at.alias("at"), x.alias("text"), (at > 0).alias("left"), right.alias("right"))
+    between = walked(F.col(text), spans, lambda x, at, gap: piece(at, gap, F.lit(True)), PIECE)
+    return F.concat(between, F.array(piece(*behind(F.col(text), spans), F.lit(False))))
+
+
+def _whole(piece: Column, start: Column, end: Column) -> Column:
+    """Whether a word of a piece touches no entity."""
+    return ~(piece["left"] & (start == 0)) & ~(piece["right"] & (end == F.length(piece["text"])))
+
+
+def _places(pieces: Column) -> Column:
+    """(start, end, term) of the words that lie apart from entities."""
+    def words(p: Column) -> Column:
+        kept = F.filter(matches_in(p["text"], TERM), lambda m: _whole(p, m["start"], m["end"]) & (F.length(m["match"]) >= MIN_TERM))
+        return F.transform(kept, lambda m: F.struct((m["start"] + p["at"]).alias("start"), (m["end"] + p["at"]).alias("end"), F.lower(m["match"]).alias("term")))
+
+    return F.flatten(F.transform(pieces, words))
+
+
+def _terms(pieces: Column) -> Column:
+    """The different terms that lie apart from entities."""
+    def words(p: Column) -> Column:
+        left = F.when(p["left"], F.regexp_replace(p["text"], r"^[\p{L}\p{N}]++", "")).otherwise(p["text"])
+        # The word at the end, if an entity follows: the last gap between words is empty.
+        every = F.regexp_extract_all(left, F.lit(TERM), F.lit(0))
+        cut = p["right"] & left.rlike(r"[\p{L}\p{N}]\z")
+        return F.when(cut, F.slice(every, F.lit(1), F.greatest(F.size(every) - 1, F.lit(0)))).otherwise(every)
+
+    every = F.transform(F.flatten(F.transform(pieces, words)), F.lower)
+    return F.filter(F.array_distinct(every), lambda w: F.length(w) >= MIN_TERM)
+
+
+def _classes(pairs: DataFrame, name: str) -> DataFrame:
+    """(name, n, one, two): in how many texts it stands, and a digest of which; those that agree are one class."""
+    return pairs.groupBy(name).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("hash")).alias("one"),
+                                   F.bit_xor(F.xxhash64(F.lit("two"), "hash")).alias("two")).filter(F.col("n") >= SUPPORT)
+
+
+def disclosures(texts: DataFrame) -> DataFrame | None:
+    """(hash, term, disclosure): the terms that give an entity of their text away, None if there are none.
+
+    ``texts`` has text, its entities and its hash; rows that repeat a text count once.
+    """
+    held = texts.filter(F.size("entities") > 0)
+    names = F.array_distinct(F.transform("entities", lambda x: F.concat_ws(":", x["kind"], F.lower(x["match"]))))
+    entities = staged(held.select("hash", F.explode(names).alias("entity")).distinct(), "pii-entities")
+    shared = staged(_classes(entities, "entity"), "pii-shared")
+    if shared.isEmpty():
+        return None
+    known = ("n", "one", "two")
+    asked = staged(entities.join(shared, "entity").select("hash", F.struct(*known).alias("e")).distinct(), "pii-asked")
+    near = held.join(asked.select("hash").distinct(), "hash", "left_semi")
+    terms = staged(near.select("hash", F.explode(_terms(_apart("text", "entities"))).alias("term")).distinct(), "pii-terms")
+    often = staged(_classes(terms, "term"), "pii-often")
+    if often.isEmpty():
+        return None
+    words = texts.select("hash", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    count = words.join(often.select("term"), "term").distinct().groupBy("term").agg(F.count("*").alias("of"))
+    often = staged(often.join(count, "term").select("term", F.struct(*known, "of").alias("t")), "pii-counts")
+    total = texts.select("hash").distinct().count()
+    told = F.least(F.col("both") / F.col("t.of"), F.lit(1.0))
+    p = F.col("e.n") / F.lit(float(total))
+    most = F.pow(F.col("e.n").cast("double"), F.lit(GENERALISE)) * total ** (1 - GENERALISE)
+    salt = F.pmod(F.xxhash64("t"), F.lit(SALTS)).cast("int")
+    left = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    right = staged(terms.join(often, "term").select("hash", "t").distinct().withColumn("salt", salt), "pii-classes")
+    together = left.join(right, ["hash", "salt"]).filter(F.col("t.of") <= most * (1 + 1e-9))
+    pairs = (together.groupBy("e", "t").agg(F.count("*").alias("both")).filter(F.col("both") >= SUPPORT)
+             .withColumn("disclosure", F.least(F.log(told / p) / F.greatest(-F.log(p), F.lit(1e-9)), F.lit(1.0)))
+             .filter(F.col("disclosure") >= GENERALISE).select("e", "t", "disclosure"))
+    pairs = staged(pairs, "pii-told")
+    if pairs.isEmpty():
+        return None
+    by_text = together.join(pairs, ["e", "t"]).groupBy("hash", "t").agg(F.max("disclosure").alias("disclosure"))
+    return by_text.join(terms.join(often, "term"), ["hash", "t"]).select("hash", "term", "disclosure")
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -146,16 +190,20 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     empty table gives an empty one. Other columns are not read.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    based = _base(own)
-    contexts = staged(_contexts(based), "contexts")
-    told = contexts.join(disclosures(own, contexts), ["entity", "term"])
-    terms = (told.groupBy("hash", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-             .groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms")))
-    # Texts without entities can have no terms: their own id spreads them over the join's tasks.
-    any_ = F.size("entities") > 0
-    rows = based.select("doc_id", "entities", F.when(any_, F.md5("text")).otherwise(F.concat(F.lit("-"), F.xxhash64("doc_id").cast("string"))).alias("hash"))
+    texts = _base(own).withColumn("hash", F.md5("text"))
+    told = disclosures(texts)
     none = F.array().cast("array<struct<start:int,end:int,disclosure:double>>")
-    return rows.join(terms, "hash", "left").select("doc_id", "entities", F.coalesce("terms", none).alias("terms"))
+    if told is None:
+        return texts.select("doc_id", "entities", none.alias("terms"))
+    told = staged(told.groupBy("hash").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told")), "pii-by-text")
+    places = F.filter(_places(_apart("text", "entities")), lambda w: F.map_contains_key("told", w["term"]))
+    terms = F.array_sort(F.transform(places, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"),
+                                                               F.element_at("told", w["term"]).alias("disclosure"))))
+    found_ = texts.filter(F.size("entities") > 0).join(told, "hash").select("hash", terms.alias("terms")).dropDuplicates(["hash"])
+    # Texts without entities can have no terms: their own id spreads them over the join's tasks.
+    key = F.when(F.size("entities") > 0, F.col("hash")).otherwise(F.concat(F.lit("-"), F.xxhash64("doc_id").cast("string")))
+    rows = texts.select("doc_id", "entities", key.alias("hash"))
+    return rows.join(staged(found_, "pii-spans"), "hash", "left").select("doc_id", "entities", F.coalesce("terms", none).alias("terms"))
 
 
 def digest(got: DataFrame) -> DataFrame:

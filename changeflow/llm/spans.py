@@ -13,24 +13,52 @@ ended (``\\G``), which are the only places where a leftmost match can begin.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPAN = "array<struct<start:int,end:int,rank:int,kind:string>>"
+BLOCK = 256  # spans of a text that are walked together
 FOUND = "array<struct<start:int,end:int,match:string,part:string>>"
 
 
-def found(text: str, pattern: str, group: int | None = None, gate: Column | None = None) -> Column:
-    """Leftmost non-overlapping matches with their places, as ``FOUND``; ``part`` is a group's text.
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    ``gate`` is a cheap test that every matching text passes.
-    """
-    c, p = F.col(text), F.lit(pattern)
-    every = F.regexp_extract_all(c, p, F.lit(0))
-    part = F.regexp_extract_all(c, p, F.lit(group)) if group else every
-    empty = F.array().cast(FOUND)
+
+def in_blocks(items: Column) -> Column:
+    """An array as an array of arrays of ``BLOCK`` items, so that running sums copy a block and not all items."""
+    def cut(these: Column) -> Column:
+        last = F.floor((F.size(these) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda b: F.slice(these, b * BLOCK + 1, F.lit(BLOCK)))
+
+    return F.filter(once(items, cut), lambda x: F.size(x) > 0)
+
+
+def running(blocks: Column, start: Column, of: Callable[[Column], Column], join: Callable[[Column, Column], Column]) -> Column:
+    """``blocks`` as structs (at, block): ``at`` is what ``join`` makes of ``start`` and ``of`` all blocks before."""
+    def step(acc: Column, x: Column) -> Column:
+        return F.struct(join(acc["at"], of(x)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    def zipped(these: Column) -> Column:
+        ats = F.aggregate(these, F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")), step, lambda a: a["out"])
+        return F.arrays_zip(ats.alias("at"), these.alias("block"))
+
+    return once(blocks, zipped)
+
+
+def matches_in(c: Column, pattern: str, group: int | None = None) -> Column:
+    """Leftmost non-overlapping matches of a pattern in a text expression with their places, as ``FOUND``."""
+    p = F.lit(pattern)
     gaps = F.split(c, pattern, -1)
-    zipped = F.arrays_zip(every.alias("match"), part.alias("part"), F.slice(gaps, F.lit(1), F.size(every)).alias("gap"))
+
+    def zipped_with(every: Column) -> Column:
+        part = F.regexp_extract_all(c, p, F.lit(group)) if group else every
+        return F.arrays_zip(every.alias("match"), part.alias("part"), F.slice(gaps, F.lit(1), F.size(every)).alias("gap"))
+
+    zipped = once(F.regexp_extract_all(c, p, F.lit(0)), zipped_with)
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
@@ -38,9 +66,45 @@ def found(text: str, pattern: str, group: int | None = None, gate: Column | None
         one = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), x["part"].alias("part"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    walked = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
+    def length(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda n, x: n + F.length(x["gap"]) + F.length(x["match"]))
+
+    empty = F.array().cast(FOUND)
+    blocks = running(in_blocks(zipped), F.lit(0), length, lambda at, n: at + n)
+    return F.flatten(F.transform(blocks, lambda z: F.aggregate(z["block"], F.struct(z["at"].alias("at"), empty.alias("out")), step, lambda a: a["out"])))
+
+
+def found(text: str, pattern: str, group: int | None = None, gate: Column | None = None) -> Column:
+    """``matches_in`` of a column; ``gate`` is a cheap test that every matching text passes."""
+    c = F.col(text)
     test = c.rlike(pattern) if gate is None else gate & c.rlike(pattern)
-    return F.when(test, walked).otherwise(empty)
+    return F.when(test, matches_in(c, pattern, group)).otherwise(F.array().cast(FOUND))
+
+
+def walked(text: Column, sorted_spans: Column, make: Callable[[Column, Column, Column], Column], kind: str) -> Column:
+    """``make(span, at, gap)`` for every span, as an array of ``kind``: ``gap`` is the text from ``at``, where the spans
+    before end, to the span (empty where they overlap)."""
+    def end(block: Column) -> Column:
+        return F.array_max(F.transform(block, lambda x: x["end"]))
+
+    def one(z: Column) -> Column:
+        here = F.substr(text, z["at"] + 1, F.greatest(end(z["block"]) - z["at"], F.lit(0)))
+
+        def step(acc: Column, x: Column) -> Column:
+            gap = F.substr(acc["here"], acc["at"] - z["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
+            return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["here"].alias("here"),
+                            F.concat(acc["out"], F.array(make(x, acc["at"], gap))).alias("out"))
+
+        return F.aggregate(z["block"], F.struct(z["at"].alias("at"), here.alias("here"), F.array().cast(f"array<{kind}>").alias("out")), step, lambda a: a["out"])
+
+    blocks = running(in_blocks(sorted_spans), F.lit(0), end, lambda a, b: F.greatest(a, b))
+    return F.flatten(F.transform(blocks, one))
+
+
+def behind(text: Column, spans: Column) -> tuple[Column, Column]:
+    """(where the last span ends, the text from there)."""
+    at = F.coalesce(F.array_max(F.transform(spans, lambda x: x["end"])), F.lit(0))
+    return at, F.substr(text, at + 1, F.length(text))
 
 
 def as_spans(matches: Column, kind: str, rank: int, valid=None) -> Column:
@@ -66,16 +130,8 @@ def number_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
 
 
-def replaced(text: Column, sorted_spans: Column, by) -> Column:
+def replaced(text: Column, sorted_spans: Column, by: Callable[[Column], Column]) -> Column:
     """The text with every span replaced by ``by(span)``; where spans overlap, the first to begin is replaced up to its end,
     and a later one only beyond that."""
-
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substr(text, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
-        fresh = x["end"] > acc["at"]
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], gap, F.when(x["start"] >= acc["at"], by(x)).otherwise(F.lit(""))))
-                        .otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(sorted_spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                       lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.length(text))))
+    pieces = walked(text, sorted_spans, lambda x, at, gap: F.concat(gap, F.when(x["start"] >= at, by(x)).otherwise(F.lit(""))), "string")
+    return F.concat(F.array_join(pieces, ""), behind(text, sorted_spans)[1])

@@ -70,6 +70,9 @@ def test_pii_terms_match_sql(spark):
     rng = random.Random(5)
     near = [(i, " ".join(rng.sample(filler, 8)) + " contact Zyrkovia at boss@corp.com " + " ".join(rng.sample(filler, 8))) for i in range(6)]
     far = [(i, " ".join(rng.choices(filler, k=40)) + f" write to user{i}@mail.org or {i}.2.3.4 today +1 555 123 45{i:02d} 4111 1111 1111 1111") for i in range(6, 60)]
+    # A name in a heading, far from the address; copies of one text by the hundred; a text's words that touch an entity.
+    far += [(100 + i, "Wolkenstein reports " + " ".join(rng.choices(filler, k=30)) + " x1.2.3.4y far@away.net ok") for i in range(4)]
+    far += [(200 + i, near[0][1]) for i in range(300)] + [(600 + i, f"{w} lone@some.org") for i, w in enumerate(filler[:3])]
     df = spark.createDataFrame([*near, *far, (3, "x"), (None, None), (7, "")], "doc_id long, text string")
     got = pii.digest(pii.find(df))
     con = duckdb.connect()
@@ -77,4 +80,18 @@ def test_pii_terms_match_sql(spark):
     want = con.execute(queries.PII)
     cols = [d[0] for d in want.description]
     rows = canon([tuple(r) for r in got.collect()], got.columns)
-    assert rows == canon(want.fetchall(), cols) and sum("term:" in r for r in rows) == 6
+    assert rows == canon(want.fetchall(), cols)
+    told = {r["doc_id"]: [x for x in r["spans"].split(",") if x.startswith("term:")] for r in got.collect()}
+    assert all(told[i] for i in (0, 1, 2, 4, 5)) and all(told[200 + i] == told[0] for i in range(300)) and not told[20]
+    assert all("term:0:11" in told[100 + i] for i in range(4)) and not any(told[600 + i] for i in range(3))
+
+
+def test_a_text_of_fifty_thousand_addresses(spark):
+    from changeflow.llm import pii
+
+    text = "".join(f"10.{i // 62500}.{i // 250 % 250}.{i % 250} " for i in range(50_000)) + "Wolkenstein"
+    df = spark.createDataFrame([(i, f"{text} {i}") for i in range(3)] + [(9, "x"), (10, "y")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.digest(pii.find(df)).collect()}
+    assert [got[i]["n_ip"] for i in (0, 1, 2, 9)] == [50_000] * 3 + [0]
+    at = len(text) - 11
+    assert all(f"term:{at}:{at + 11}" in got[i]["spans"] for i in range(3))
