@@ -13,6 +13,7 @@ breaks, punctuation and mark-up between words make no difference.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -51,6 +52,7 @@ NOTICES = {
 }
 CHARS_PER_ERROR = 10    # one error for so many characters of a notice
 MAX_ERRORS = 4
+REMEMBERED = 20_000  # windows whose matches a task remembers
 
 # Words are ASCII letters and digits and everything beyond ASCII.
 _WORDS = {c: " " for c in range(128) if not (chr(c).isascii() and chr(c).isalnum())}
@@ -96,6 +98,7 @@ class Scanner:
                 self.seeds.add_word(padded, (len(padded), []))
         self.seeds.make_automaton()
         self.phrases = {f" {p} ": label for p, label in base.items()}
+        self.searched: dict[tuple[int, str], tuple[tuple[int, int, int], ...]] = {}
 
     def __call__(self, joined: str) -> tuple[list[tuple[int, str]], list[tuple[int, int, str, int, int]]]:
         """Of words joined and padded by single spaces: (place, label) of base phrases, and (start, end, label, edits, length) of notices."""
@@ -111,33 +114,75 @@ class Scanner:
         found = []
         for i, windows in near.items():
             notice, label = self.notices[i]
-            for a, b in _united(windows):
-                # The best match of a window comes first wherever it stands: others stand before and behind it.
-                todo = [(a, b)]
-                while todo:
-                    a, b = todo.pop()
-                    if b - a >= len(notice) - self.errors[i] and (m := self.patterns[i].search(joined, a, b)):
-                        found.append((m.start(), m.end(), label, sum(m.fuzzy_counts), len(notice)))
-                        todo += [(a, m.start()), (m.end(), b)]
+            exactly = _exactly(joined, notice)
+            found += [(a, b, label, 0, len(notice)) for a, b in exactly]
+            found += [(a + x, a + y, label, edits, len(notice)) for a, b in _bounded(windows, exactly, 2 * self.errors[i])
+                      for x, y, edits in self._within(i, joined[a:b])]
         return exact, _closest(found)
 
+    def _within(self, i: int, window: str) -> tuple[tuple[int, int, int], ...]:
+        """(start, end, edits) of notice i in a window; what repeats word for word is searched once."""
+        if (got := self.searched.get((i, window))) is None:
+            if len(self.searched) >= REMEMBERED:
+                self.searched.clear()
+            got, todo, least = [], [(0, len(window))], len(self.notices[i][0]) - self.errors[i]
+            # The best match of a window comes first wherever it stands: others stand before and behind it.
+            while todo:
+                a, b = todo.pop()
+                if b - a >= least and (m := self.patterns[i].search(window, a, b)):
+                    got.append((m.start(), m.end(), sum(m.fuzzy_counts)))
+                    todo += [(a, m.start()), (m.end(), b)]
+            self.searched[i, window] = got = tuple(got)
+        return got
+
+
+def _exactly(joined: str, notice: str) -> list[tuple[int, int]]:
+    """Where a notice stands without an edit, from left to right."""
+    out, at = [], joined.find(notice)
+    while at >= 0:
+        out.append((at, at + len(notice)))
+        at = joined.find(notice, at + len(notice))
+    return out
+
+
+def _bounded(windows: list[tuple[int, int]], exactly: list[tuple[int, int]], apart: int) -> Iterator[tuple[int, int]]:
+    """Windows to search, without what stands there exactly.
 
-def _united(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Windows that touch, as one: their matches may not be cut in two."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(windows):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
+    Windows that begin within ``apart`` characters are one place's, seen from
+    several seeds, and become one; others stay windows of their own, so that
+    each is about as long as a notice however many notices follow each other.
+    What several windows find is weighed by ``_closest``.
+    """
+    begins = [a for a, _ in exactly]
+    united: list[tuple[int, int]] = []
+    first = None
+    for a, b in sorted(set(windows)):
+        if first is not None and a - first <= apart:
+            united[-1] = (united[-1][0], max(b, united[-1][1]))
         else:
-            out.append((a, b))
-    return out
+            united.append((a, b))
+            first = a
+    for a, b in united:
+        # Cut by the exact places that it touches, which are few: they don't overlap each other.
+        i = max(bisect.bisect_right(begins, a) - 1, 0)
+        while i < len(exactly) and exactly[i][0] < b:
+            if exactly[i][1] > a:
+                if exactly[i][0] > a:
+                    yield a, exactly[i][0]
+                a = exactly[i][1]
+            i += 1
+        if a < b:
+            yield a, b
 
 
 def _closest(found: list[tuple[int, int, str, int, int]]) -> list[tuple[int, int, str, int, int]]:
     """Of notices that overlap in the text, the one with the fewest edits for its length, then the longest, then the first."""
     out: list[tuple[int, int, str, int, int]] = []
-    for x in sorted(found, key=lambda x: (x[3] / x[4], -x[4], x[0], x[2])):
-        if all(x[1] <= y[0] or y[1] <= x[0] for y in out):
+    kept: list[tuple[int, int]] = []  # their spans in order
+    for x in sorted(set(found), key=lambda x: (x[3] / x[4], -x[4], x[0], x[2], x[1])):
+        i = bisect.bisect_left(kept, (x[0], x[1]))
+        if (i == 0 or kept[i - 1][1] <= x[0]) and (i == len(kept) or x[1] <= kept[i][0]):
+            kept.insert(i, (x[0], x[1]))
             out.append(x)
     return out
 
