@@ -1,12 +1,15 @@
 """Main text of web pages by tree scoring.
 
 Every paragraph earns points for its length and commas. Its points pass to its
-ancestors, in full to the parent and in falling shares further up, discounted
-by the share of the paragraph's text that stands in links. The container with
-the most points is the article; siblings that score well beside it, or read
-like prose, are kept with it. What a page marks as furniture (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, reader comments)
-neither scores nor is kept.
+ancestors, in full to the parent, by half to the next and by a third of that to
+each further one, discounted by the share of the paragraph's text that stands in
+links. The container with the most points is the article; siblings that score
+well beside it, or read like prose, are kept with it. What a page marks as
+furniture (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+styles, reader comments) neither scores nor is kept. Marks in class names and
+ids can mislead: where nothing is left without them, they are not heeded.
+
+Pages are parsed and scored in one sweep each, whatever their depth.
 """
 
 from __future__ import annotations
@@ -39,6 +42,9 @@ FURNITURE = re.compile(
     r"footer|header|masthead|comments?|disqus|respond|replies|cookies?|consent|notices?|alert|popup|modal|overlay|"
     r"subscribe|subscription|newsletter|sign-?up|login|share|sharing|social|related|recommend\w*|widget|pagination|"
     r"pager|toolbar|skip|legal|copyright|disclaimer|gdpr|paywall|toc)(?=$|[\s_-])", re.I)
+# Class names that say what a page or article has, lacks or is about, or what wraps it.
+ABOUT = re.compile(r"^(?:has|no|not|with|without|is|hide|hidden|category|cat|tag|topic|type|format|layout|theme|lang)[_-]|"
+                   r"[_-](?:wrap|wrapper|container|layout|enabled|disabled|open|closed|active|on|off)$", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 TAG_END = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
@@ -50,16 +56,23 @@ LINKED = 0.5          # blocks with a larger share of link text earn nothing
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "points", "chars", "linked", "gone", "whole")
+    __slots__ = ("tag", "parent", "block", "kids", "near", "far", "chars", "linked", "gone", "whole", "inside")
 
     def __init__(self, tag: str, parent: Node | None, gone: bool, whole: bool) -> None:
         self.tag, self.parent, self.gone, self.whole = tag, parent, gone, whole
+        # The nearest block around it, and whether it lies in a marked article.
+        self.block: Node | None = None if parent is None else parent if parent.tag in BLOCK or parent.parent is None else parent.block
+        self.inside = parent is not None and (parent.whole or parent.inside)
         self.kids: list[Node | str] = []
-        self.points, self.chars, self.linked = 0.0, 0, 0
+        self.near, self.far, self.chars, self.linked = 0.0, 0.0, 0, 0
+
+    @property
+    def points(self) -> float:
+        return self.near + self.far
 
 
-def _furniture(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is furniture, and whether it is marked as the whole article."""
+def _furniture(tag: str, attributes: str, names: bool) -> tuple[bool, bool]:
+    """Whether an element is furniture (by class and id too, with ``names``), and whether it is marked as the whole article."""
     if tag in DROPPED:
         return True, False
     if not attributes:
@@ -71,16 +84,28 @@ def _furniture(tag: str, attributes: str) -> tuple[bool, bool]:
         return True, False
     if re.search(r"display\s*:\s*none", got.get("style", ""), re.I):
         return True, False
-    if tag in ("html", "body", "main") or tag in HEADINGS:
+    if not names or whole or tag in ("html", "body") or tag in HEADINGS:
         return False, whole
-    named = f"{got.get('class', '')} {got.get('id', '')}"
-    return bool(FURNITURE.search(named)), whole
+    named = f"{got.get('class', '')} {got.get('id', '')}".split()
+    return any(FURNITURE.search(n) and not ABOUT.search(n) for n in named), whole
 
 
-def _parse(page: str) -> Node:
+def _parse(page: str, names: bool = True) -> Node:
     root = Node("#root", None, False, False)
     at, here, end = 0, root, len(page)
     lower = None
+    # Open elements by tag: what isn't open is not looked for.
+    opened: dict[str, int] = {}
+
+    def shut_to(node: Node) -> Node:
+        """Close all elements from ``here`` up to ``node``; its parent."""
+        up = here
+        while True:
+            opened[up.tag] -= 1
+            if up is node:
+                return node.parent
+            up = up.parent
+
     while at < end:
         lt = page.find("<", at)
         if lt < 0:
@@ -114,27 +139,27 @@ def _parse(page: str) -> Node:
             break  # a tag that the page's end cuts off
         attributes, at = page[name.end():shut - 1], shut
         if closing:
-            node = here
-            while node.parent is not None and node.tag != tag:
-                node = node.parent
-            if node.parent is not None:
-                here = node.parent
+            if opened.get(tag):
+                node = here
+                while node.tag != tag:
+                    node = node.parent
+                here = shut_to(node)
             continue
-        if tag in BLOCK and tag not in ("html", "head", "body"):
+        if tag in BLOCK and tag not in ("html", "head", "body") and opened.get("p"):
             node = here
             while node.parent is not None and node.tag not in SCOPE and node.tag != "p":
                 node = node.parent
             if node.tag == "p":
-                here = node.parent
-        if tag in CLOSES:
+                here = shut_to(node)
+        if tag in CLOSES and any(opened.get(x) for x in CLOSES[tag]):
             node = here
             while node.parent is not None and node.tag not in CLOSES[tag] and node.tag not in SCOPE:
                 node = node.parent
             if node.tag in CLOSES[tag]:
-                here = node.parent
+                here = shut_to(node)
                 if tag == "tr" and here.tag == "tr":
-                    here = here.parent
-        gone, whole = _furniture(tag, attributes)
+                    here = shut_to(here)
+        gone, whole = _furniture(tag, attributes, names)
         node = Node(tag, here, gone, whole)
         here.kids.append(node)
         if tag in RAW:
@@ -145,6 +170,7 @@ def _parse(page: str) -> Node:
             at = page.find(">", stop) + 1 or end
         elif tag not in VOID and not attributes.endswith("/"):
             here = node
+            opened[tag] = opened.get(tag, 0) + 1
     return root
 
 
@@ -158,7 +184,7 @@ def _score(root: Node) -> list[Node]:
         for k in reversed(node.kids):
             if isinstance(k, Node) and not k.gone:
                 if k.tag == "header":  # an article's own header keeps its headings, a page's header nothing
-                    k.gone = not _within_whole(k)
+                    k.gone = not k.inside
                     if k.gone:
                         continue
                 todo.append(k)
@@ -176,34 +202,19 @@ def _score(root: Node) -> list[Node]:
                     commas[id(node)] = commas.get(id(node), 0) + commas.get(id(k), 0)
         if node.tag == "a":
             node.linked = node.chars
-    for node in order:
-        own = node.tag in PARAGRAPH or (node.tag in BLOCK and any(isinstance(k, str) and not k.isspace() for k in node.kids))
-        if not own or not node.chars or node.parent is None or node.tag in HEADINGS:
-            continue
-        links = node.linked / node.chars
-        if links > LINKED:
-            continue
-        worth = (min(node.chars, 25) / 25 + commas.get(id(node), 0) + min(node.chars / 100, 3)) * (1 - links)
-        up = node if node.tag not in PARAGRAPH else node.parent
-        share, depth = 1.0, 0
-        while up is not None and up.parent is not None:
-            if up.tag in BLOCK:
-                up.points += worth * share
-                depth += 1
-                share = 1 / 2 if depth == 1 else 1 / (3 * depth)
-            up = up.parent
+    for node in reversed(order):  # a node's own points are complete when it passes them on
+        own = node.tag in PARAGRAPH or ((node.tag in BLOCK or node.parent is None) and any(isinstance(k, str) and not k.isspace() for k in node.kids))
+        if own and node.chars and node.tag not in HEADINGS and (links := node.linked / node.chars) <= LINKED:
+            worth = (min(node.chars, 25) / 25 + commas.get(id(node), 0) + min(node.chars / 100, 3)) * (1 - links)
+            to = node.block if node.tag in PARAGRAPH else node
+            if to is not None:
+                to.near += worth
+    for node in reversed(order):
+        if (node.tag in BLOCK) and node.block is not None:
+            node.block.far += node.near / 2 + node.far / 3
     return order
 
 
-def _within_whole(node: Node) -> bool:
-    up = node.parent
-    while up is not None:
-        if up.whole:
-            return True
-        up = up.parent
-    return False
-
-
 def _kept(order: list[Node]) -> list[Node]:
     """The roots of what stays, in page order."""
     rated = [n for n in order if n.points > 0 and n.tag not in PARAGRAPH and n.tag in BLOCK]
@@ -213,10 +224,11 @@ def _kept(order: list[Node]) -> list[Node]:
         return [n for n in order if n.whole][:1]
     best = max(rated, key=lambda n: n.points * (1 - n.linked / max(n.chars, 1)))
     up: Node | None = best
-    while up is not None:
-        if up.whole:
-            return [up]
+    while up is not None and not up.whole:
         up = up.parent
+    if up is not None:
+        # The marked article, and others that score well beside it.
+        return [k for k in up.parent.kids if k is up or (isinstance(k, Node) and k.whole and not k.gone and k.points >= MIN_SHARE * up.points)]
     if best.parent is None or best.tag == "body":
         return [best]
     out = []
@@ -247,8 +259,8 @@ def _blocks(top: Node) -> Iterator[str]:
             if k.tag in ("br", "wbr", "img"):
                 held.append(" " if k.tag == "br" else "")
                 continue
-            if k.tag in ("ul", "ol", "table", "dl") and k.chars and k.linked / k.chars > 0.8:
-                continue  # a list of links is a menu
+            if not top.whole and k.tag in ("ul", "ol", "table", "dl") and k.chars and k.linked / k.chars > 0.8:
+                continue  # a list of links is a menu, but for an article's own
             if k.tag in BLOCK:
                 todo.append(None)
             kids = k.kids
@@ -272,7 +284,10 @@ def main_text(page: str | None) -> str:
     """The article of one page: its blocks joined by a line feed; an empty string where there is none."""
     if not page:
         return ""
-    return "\n".join(b for top in _kept(_score(_parse(page))) for b in _blocks(top))
+    for names in (True, False):  # without regard to class names, if they leave nothing
+        if text := "\n".join(b for top in _kept(_score(_parse(page, names))) for b in _blocks(top)):
+            return text
+    return ""
 
 
 @F.pandas_udf(T.StringType())
