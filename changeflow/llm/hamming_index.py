@@ -113,6 +113,20 @@ class Index:
         return found[np.bitwise_count(self.packed[found] ^ query).sum(axis=1) <= radius]
 
 
+def _scored(rows: np.ndarray, found: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that can be among the k best, and their inner products: sums in one order, so that equal vectors score alike.
+
+    A matrix product rounds by position; it only tells which rows are far from the k best.
+    """
+    some = rows[found]
+    if len(found) > k:
+        rough = some @ query
+        slack = 1e-9 * np.linalg.norm(query) * float(np.sqrt((some * some).sum(1).max()))
+        keep = rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - slack
+        found, some = found[keep], some[keep]
+    return found, (some * query).sum(axis=1)
+
+
 def _answer(codes: Codes, k: int):
     def answer(ids, rows, asks, asked):
         index = Index(codes.of(rows, False))
@@ -126,7 +140,7 @@ def _answer(codes: Codes, k: int):
                 if len(found) >= k or radius >= codes.rotation.shape[1]:
                     break
                 radius += SUBSTRING_BITS
-            score = rows[found] @ asked[i]
+            found, score = _scored(rows, found, asked[i], k)
             best = best_of(score, k)
             out.append((np.full(len(best), i), found[best], score[best]))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))

@@ -46,6 +46,18 @@ def test_nearest_on_odd_rows(spark):
     assert hamming_index.nearest(df.limit(0)).count() == 0
 
 
+def test_equal_vectors_rank_by_id(spark):
+    """Repeated vectors score alike to the last bit, wherever they stand."""
+    rng = np.random.default_rng(7)
+    many = rng.standard_normal((40, 64)).astype(np.float32)
+    twin = rng.standard_normal(64).astype(np.float32)
+    rows = [(i, many[i].tolist()) for i in range(1, 40)] + [(i, twin.tolist()) for i in range(100, 145)] + [(0, (twin + many[0] / 8).tolist())]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<float>")
+    got = found(hamming_index.nearest(df, k=20))[0]
+    assert len({s for s, _ in got}) == 1 and [v for _, v in got] == list(range(100, 120))
+
+
 def test_pigeonhole_probing_is_complete():
     rng = np.random.default_rng(0)
     bits = rng.random((2000, 64)) > 0.5
