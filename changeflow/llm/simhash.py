@@ -74,9 +74,7 @@ def _offsets(radius: int) -> list[int]:
 
 
 def _forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what (i, j) connect, at most one for each of n nodes."""
-    if len(i) < n:
-        return i, j
+    """Links that connect what (i, j) connect: chains through each component's nodes in order, so no node has more than two."""
     root = np.arange(n)
     while True:
         low = np.minimum(root[i], root[j])
@@ -87,8 +85,9 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarra
         if (new == root).all():
             break
         root = new
-    members = np.flatnonzero(root != np.arange(n))
-    return members, root[members]
+    chain = np.argsort(root, kind="stable")
+    same = root[chain[1:]] == root[chain[:-1]]
+    return chain[:-1][same], chain[1:][same]
 
 
 def _compare(radius: int):
@@ -173,15 +172,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     """``docs`` with one row of each group: the smallest doc_id (then text hash); columns unchanged.
 
     A null doc_id is kept only where its group has no other. Of repeated rows
-    (same doc_id and text) one stays.
+    (same doc_id and text) one stays, the first by a hash of all columns.
     """
     first = simhash_groups(docs, doc_id, text, shingle, radius).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("kept"))
     # Documents meet the kept ones and their own repeats on the same two
     # columns, so texts are shuffled once.
-    key, hashed, nth = fresh(docs, "key", "hashed", "nth")
+    key, hashed, nth, whole = fresh(docs, "key", "hashed", "nth", "whole")
     name = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
     first = first.select(name(F.col("kept.doc_id")).alias(key), F.col("kept.text_hash").alias(hashed))
-    keyed = docs.withColumns({key: name(F.col(doc_id)), hashed: F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    w = Window.partitionBy(key, hashed).orderBy(key)
+    others = [c for c in docs.columns if c != text and not isinstance(docs.schema[c].dataType, T.MapType)]
+    keyed = docs.withColumns({key: name(F.col(doc_id)), hashed: F.xxhash64(F.coalesce(F.col(text), F.lit(""))), whole: F.xxhash64(*others)})
+    w = Window.partitionBy(key, hashed).orderBy(whole)
     return keyed.join(first, [key, hashed], "left_semi").withColumn(nth, F.row_number().over(w)).filter(F.col(nth) == 1).select(*docs.columns)
