@@ -15,7 +15,8 @@ Posterior of language l for a document, up to its normaliser:
 All three tables are grouped aggregations over all documents, of the language
 that the text alone gives; only the text model is fitted on a sample, of
 ``TRAIN_ROWS`` rows for each declared language as expected by a hash. A
-declared language with fewer than ``MIN_ROWS`` usable rows has no text model.
+declared language with fewer than ``MIN_ROWS`` usable rows, or whose code is no
+two-letter code of ISO 639 (``CODES``), has no text model.
 Its documents have one class more, of their declared language, that the text
 speaks neither for nor against: the other evidence decides.
 """
@@ -59,6 +60,15 @@ def trigram_buckets(text: bytes) -> np.ndarray:
     return ((codes * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int64)
 
 
+# The two-letter language codes of ISO 639. Only these can have a text model, so that its size is bounded.
+CODES = frozenset("""
+aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu fa ff fi fj fo fr fy
+ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj kk kl km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv
+mg mh mi mk ml mn mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si sk sl sm sn so sq sr ss
+st su sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu
+""".split())
+
+
 @dataclass
 class TextModel:
     """Log-likelihood of each bucket under each language; the last column is the undetermined one."""
@@ -90,7 +100,7 @@ def fit_text_model(docs: DataFrame, text: str, declared: Column, key: Column, tr
     usable = F.coalesce(F.col("text").rlike(USABLE), F.lit(False))
     each = labelled.filter("lang is not null").groupBy("lang").agg(F.count_if(usable).alias("n"))
     # Languages without a model are one row together.
-    rows = each.groupBy(F.when(F.col("n") >= MIN_ROWS, F.col("lang")).alias("lang")).agg(F.sum("n").alias("n")).collect()
+    rows = each.groupBy(F.when((F.col("n") >= MIN_ROWS) & F.col("lang").isin(sorted(CODES)), F.col("lang")).alias("lang")).agg(F.sum("n").alias("n")).collect()
     sizes = {r["lang"]: r["n"] for r in rows if r["lang"] is not None}
     languages, others = sorted(sizes), len(sizes) < len(rows)
     if not languages:
@@ -250,10 +260,10 @@ def identify(docs: DataFrame, text: str = "text", declared: Column | None = None
     too) has no language: "und", confidence 0, not accepted, whatever else
     speaks for it; of a word or two the other evidence decides. Null or unknown evidence counts as
     none. Equal posteriors go to the first language by name. Nothing declared
-    anywhere leaves nothing to learn from: all rows are "und". A language that
-fewer than ``MIN_ROWS`` usable rows declare is found in rows that declare it
-only. An empty table
-    gives an empty one. Result columns that the table has already get a leading
+    anywhere leaves nothing to learn from: all rows are "und". A language
+    without a text model (declared by fewer than ``MIN_ROWS`` usable rows, or not
+    in ``CODES``) is found in rows that declare it only. An empty table gives an
+    empty one. Result columns that the table has already get a leading
     underscore; other columns pass unchanged.
     """
     key = F.col(text) if key is None else key

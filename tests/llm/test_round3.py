@@ -203,3 +203,25 @@ def test_variants_of_close_words_and_split_halves(spark):
     assert any(w[1] and w[1] != w[2] for w in want)
     assert listed(spelling.variants(df)) == want
     assert listed(spelling.variants(df, tile=5)) == want
+
+
+# ---- language ID
+
+def test_junk_languages_have_no_model_and_pages_are_identified(spark):
+    from changeflow.llm import lang_id, queries
+
+    rows = [(i, "the cat sat on the mat and looked at the dog in the garden", "en", "a.com") for i in range(30)]
+    rows += [(100 + i, "der Hund und die Katze sind im Garten und sehen sich an", "de", "b.de") for i in range(30)]
+    rows += [(200 + i, f"zzqx vvkp wwrj number {i}", f"junk{chr(97 + i % 20)}x", "c.org") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = lang_id.fit_text_model(df, "text", df["lang"], df["text"])
+    assert model.languages == ["de", "en"] and model.others
+    got = {r["doc_id"]: r["detected"] for r in lang_id.identify(df, "text", df["lang"], df["source"]).collect()}
+    assert got[0] == "en" and got[100] == "de" and len(got) == 260
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    found = queries.pages_lang_id(spark, SF).collect()
+    assert len(found) == pages.count()
+    declared = {r["page_id"]: r["html"] for r in pages.collect()}
+    import re
+    named = [(r["detected"], m[1]) for r in found if (m := re.search(r'<html[^>]*lang="([a-z]+)', declared[r["page_id"]])) and r["accepted"]]
+    assert not named or sum(a == b for a, b in named) >= 0.9 * len(named)
