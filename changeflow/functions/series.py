@@ -71,20 +71,22 @@ def increase(samples: DataFrame, range_s: int, kind: str = "counter", chunk_s: i
     ``kind="counter"`` corrects counter resets (a drop counts as a restart
     from zero); ``kind="gauge"`` takes plain differences. ``rate`` = increase /
     seconds covered by the samples in range; both are null with fewer than two
-    samples in range. Adds columns ``increase``, ``rate``, ``n_in_range``.
+    samples in range, and so is the rate of samples in one second. Samples of
+    one second are taken by value. Adds columns ``increase``, ``rate``,
+    ``n_in_range``.
     """
     df = with_series(samples)
     keys = _keys(df)
     ch = _chunked(df, chunk_s, range_s)
     part = Window.partitionBy(*keys, "chunk").orderBy("t")
-    prev = F.lag("value").over(part)
+    prev = F.lag("value").over(Window.partitionBy(*keys, "chunk").orderBy("t", "value"))
     if kind == "counter":
         d = F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") >= prev, F.col("value") - prev).otherwise(F.col("value"))
     else:
         d = F.coalesce(F.col("value") - prev, F.lit(0.0))
     ch = ch.withColumn("_d", d)
     frame = part.rangeBetween(-(range_s - 1), 0)
-    inc = F.sum("_d").over(frame) - F.first("_d").over(frame)
+    inc = F.sum("_d").over(frame) - F.min(F.struct("t", "value", "_d")).over(frame)["_d"]
     first_t = F.first("t").over(frame)
     n = F.count(F.lit(1)).over(frame)
     out = ch.select("*", inc.alias("_inc"), first_t.alias("_t0"), n.alias("n_in_range")).filter("own")
@@ -92,7 +94,7 @@ def increase(samples: DataFrame, range_s: int, kind: str = "counter", chunk_s: i
     return out.select(
         *[c for c in df.columns],
         F.when(F.col("n_in_range") >= 2, F.col("_inc")).alias("increase"),
-        F.when(F.col("n_in_range") >= 2, F.col("_inc") / covered).alias("rate"),
+        F.when(F.col("n_in_range") >= 2, F.try_divide(F.col("_inc"), covered)).alias("rate"),
         "n_in_range",
     )
 
@@ -115,7 +117,7 @@ def range_at_grid(samples: DataFrame, range_s: int, step_s: int, kind: str = "co
     rows = df.select(*keys, "t", "value", F.lit(False).alias("is_grid")).unionByName(
         grid.select(*keys, "t", F.lit(None).cast("double").alias("value"), F.lit(True).alias("is_grid")))
     ch = _chunked(rows, chunk_s, range_s)
-    part = Window.partitionBy(*keys, "chunk").orderBy("t", "is_grid")
+    part = Window.partitionBy(*keys, "chunk").orderBy("t", "is_grid", "value")
     prev = F.last("value", ignorenulls=True).over(part.rowsBetween(Window.unboundedPreceding, -1))
     if kind == "counter":
         d = F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") >= prev, F.col("value") - prev).otherwise(F.col("value"))
@@ -125,12 +127,12 @@ def range_at_grid(samples: DataFrame, range_s: int, step_s: int, kind: str = "co
     frame = Window.partitionBy(*keys, "chunk").orderBy("t").rangeBetween(-(range_s - 1), 0)
     st = F.when(~F.col("is_grid"), F.col("t"))
     out = ch.select(*keys, "t", "own", "is_grid",
-                    (F.sum("_d").over(frame) - F.first("_d", ignorenulls=True).over(frame)).alias("_inc"),
+                    (F.sum("_d").over(frame) - F.min(F.when(~F.col("is_grid"), F.struct("t", "value", "_d"))).over(frame)["_d"]).alias("_inc"),
                     F.count("_d").over(frame).alias("_n"),
                     (F.last(st, ignorenulls=True).over(frame) - F.first(st, ignorenulls=True).over(frame)).alias("_cov"))
     out = out.filter(F.col("own") & F.col("is_grid") & (F.col("_n") >= 2))
     return out.select(*keys, "t", F.timestamp_seconds("t").alias("ts"), F.col("_inc").alias("increase"),
-                      (F.col("_inc") / F.col("_cov")).alias("rate"))
+                      (F.try_divide(F.col("_inc"), F.col("_cov"))).alias("rate"))
 
 
 def _grid(bounds: DataFrame, keys: list[str], step_s: int, chunk_s: int) -> DataFrame:

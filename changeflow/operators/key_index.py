@@ -39,7 +39,8 @@ def build_index(rows: DataFrame, key: str, cell: Sequence[str]) -> DataFrame:
             .groupBy(*cell, "lanes", "lane").agg(F.bitmap_construct_agg("bit").alias("bits")))
 
 
-def _bit(bits: Column, at: Column) -> Column:
+def bit_at(bits: Column, at: Column) -> Column:
+    """Whether a bitmap has a bit set."""
     byte = F.conv(F.hex(F.substring(bits, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
     return F.getbit(byte, (at % 8).cast("int")) == 1
 
@@ -56,5 +57,5 @@ def probe_index(index: DataFrame, keys: DataFrame, key: str, cell: Sequence[str]
     asked = keys.select(within, key).filter(F.col(key).isNotNull()).distinct().join(shapes, within).select(
         within, "lanes", F.pmod(h, F.col("lanes")).cast("int").alias("lane"), F.struct(first.alias("a"), second.alias("b")).alias("at"))
     asked = asked.groupBy(within, "lanes", "lane").agg(F.collect_set("at").alias("asked"))
-    hit = F.exists("asked", lambda x: _bit(F.col("bits"), x["a"]) & _bit(F.col("bits"), x["b"]))
+    hit = F.exists("asked", lambda x: bit_at(F.col("bits"), x["a"]) & bit_at(F.col("bits"), x["b"]))
     return index.join(asked, [within, "lanes", "lane"]).filter(hit).select(*cell).distinct()

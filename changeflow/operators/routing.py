@@ -10,6 +10,8 @@ One ``route`` column splits the input into three disjoint branches:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,11 +48,12 @@ def route(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("route", route_column()).withColumn("reason", reason_column())
 
 
-def project_rows(good: DataFrame, keep_position: bool = True) -> DataFrame:
+def project_rows(good: DataFrame, keep_position: bool = True, extra: Sequence[str] = ()) -> DataFrame:
     """PRJ-3..6: the 13 lake columns (+ broker position for tie-breaks).
 
     ``ts`` = ``__source_ts_ms`` as a timestamp (millisecond precision), ``dt`` =
-    its UTC date as ``yyyy-MM-dd``; ``__op`` becomes ``cdc_operation``.
+    its UTC date as ``yyyy-MM-dd``; ``__op`` becomes ``cdc_operation``. ``extra``
+    names columns of ``good`` that pass (``sources.unknown``).
     """
     ts = F.timestamp_millis(payload_field("__source_ts_ms"))
     cols = [payload_field(c).alias(c) for c in ROW_COLUMNS] + [
@@ -60,6 +63,7 @@ def project_rows(good: DataFrame, keep_position: bool = True) -> DataFrame:
     ]
     if keep_position:
         cols += [F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset")]
+    cols += [F.col(c) for c in extra]
     return good.select(*cols)
 
 

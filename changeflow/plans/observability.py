@@ -10,6 +10,7 @@ from changeflow.operators import alerts as A
 from changeflow.operators import history as H
 from changeflow.operators import metrics as M
 from changeflow.operators import panels as PN
+from changeflow.operators import sketches as SK
 from changeflow.plans.cdc import EV, _events, messages
 from changeflow.session import scratch_dir
 from changeflow.sources import fixtures as FX
@@ -107,6 +108,19 @@ def q_file_inventory(spark, sf_dir):
     return L.file_inventory(_files(spark, sf_dir))
 
 
+def q_file_groups_over_time(spark, sf_dir):
+    """Distinct file groups of each day and of the seven days up to it, merged from one sketch an hour."""
+    files = _files(spark, sf_dir).filter(F.col("kind").isin("base", "log"))
+    mtime = FX.table_listing(_events(spark, sf_dir)).select("path", "mtime")
+    hour = F.floor(F.unix_seconds("mtime") / 3600)
+    hourly = SK.sketches(files.join(mtime, "path").withColumn("hour", hour), ["hour"], F.col("file_group"))
+    day_end = (F.floor(F.col("hour") / 24) + 1) * 24 - 1  # its last hour
+    ends = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda d: day_end + 24 * d)
+    week = SK.distinct_in_windows(hourly, "hour", ends, 7 * 24, name="week")
+    day = SK.distinct_in_windows(hourly, "hour", F.array(day_end), 24, name="day")
+    return day.join(week, "end").select(F.col("end").cast("bigint").alias("last_hour"), "day", "week")
+
+
 def q_file_groups(spark, sf_dir):
     return L.file_groups(_files(spark, sf_dir))
 
@@ -316,6 +330,7 @@ QUERIES = {
     "commit_age": q_commit_age,
     "file_inventory": q_file_inventory,
     "file_groups": q_file_groups,
+    "file_groups_over_time": q_file_groups_over_time,
     "progress_metrics": q_progress_metrics,
     "progress_samples": q_progress_samples,
     "progress_offsets": q_progress_offsets,
@@ -604,6 +619,12 @@ UNION ALL SELECT '{FX.OTHER_TOPIC}', '0', 10, (SELECT lo + 100 - 42 FROM latest
     "commit_age": _w(HOURS, INSTANTS) + COMMIT_AGE,
     "file_inventory": _w(FILES) + FILE_INV,
     "file_groups": _w(FILES) + FILE_GROUPS,
+    "file_groups_over_time": """WITH g AS (
+  SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) // 86400 AS d,
+         CASE WHEN event_id % 8 = 6 THEN 'checksum' ELSE 'fg' || (user_id % 16) END AS fg FROM events WHERE event_id % 8 IN (0, 1, 2, 4, 5, 6)),
+days AS (SELECT DISTINCT d FROM g)
+SELECT days.d * 24 + 23 AS last_hour, count(DISTINCT fg) FILTER (g.d = days.d) AS day, count(DISTINCT fg) AS week
+FROM days JOIN g ON g.d BETWEEN days.d - 6 AND days.d GROUP BY days.d""",
     "progress_metrics": """SELECT event_id % 10 AS batch_id, count(*) * 7 AS trigger_ms, count(*) / 30.0 AS input_rows_per_second
 FROM events GROUP BY 1""",
     "progress_samples": _w("p AS (SELECT event_id % 10 AS b, count(*) AS n FROM events GROUP BY 1)") + """

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from changeflow.operators import table as tbl
 from changeflow.operators.latest import precombine
 from changeflow.operators.quality import apply_defaults, violations
+from changeflow.operators.routing import project_rows, route
 from changeflow.operators.table import TableSpec
-from changeflow.plans.cdc import _BUILT, _LOCK, EV, LAKE, _latest, _with, lake_rows, messages, out_cols
+from changeflow.plans.cdc import _BUILT, _LOCK, BUCKETS, EV, LAKE, _latest, _with, lake_rows, messages, out_cols
 from changeflow.schemas import STATUS_VALUES
 from changeflow.session import scratch_dir
 from changeflow.sources import fs
-from changeflow.sources.diff import snapshot_diff
+from changeflow.sources.diff import snapshot_diff, snapshot_diff_by_digest
 from changeflow.sources.fixtures import NUM_BATCHES, read_table
-from changeflow.sources.messages import MessageSource, read_messages
+from changeflow.sources.messages import MessageSource, parse_messages, read_messages
+from changeflow.sources.unknown import unknown_fields, with_unknown
 from changeflow.streaming.apply import Outputs, finish_apply, start_apply
 
 FILES_PER_BATCH = 4  # replay files of one batch
@@ -113,6 +115,37 @@ def q_snapshot_diff_counts(spark, sf_dir):
     return snapshot_diff(before, after, "o_orderkey").groupBy("op").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_snapshot_diff_digest(spark, sf_dir):
+    """A handful of changed orders, found by comparing digests of key ranges first."""
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    after = o.filter(k % 701 != 0).withColumn("o_orderstatus", F.when(k % 503 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")))
+    d = snapshot_diff_by_digest(o, after, "o_orderkey")
+    return d.select("o_orderkey", "op", "o_orderstatus_before", "o_orderstatus_after")
+
+
+def q_cdc_unknown_columns(spark, sf_dir):
+    """From the fifth batch on messages carry two more fields; the table has them as columns."""
+    key = (spark.sparkContext.applicationId, sf_dir, "unknown")
+    with _LOCK:
+        spec = _BUILT.get(key)
+    if spec is None:
+        spec = TableSpec(root=scratch_dir(spark, "table-unknown"), num_buckets=BUCKETS, min_deltas=4)
+        n = F.col("offset")
+        more = F.concat(F.lit('"payload":{"carrier":"C-'), (n % 7).cast("string"), F.lit('","pieces":'), (n % 50).cast("string"), F.lit(","))
+        for b in range(NUM_BATCHES):
+            msgs = messages(spark, sf_dir).filter(F.col("b") == b)
+            if b >= 5:
+                msgs = msgs.withColumn("value", F.replace(F.col("value").cast("string"), F.lit('"payload":{'), more).cast("binary"))
+            parsed = parse_messages(msgs)
+            found = [tuple(r) for r in unknown_fields(parsed).collect()]  # names and types of columns
+            good = with_unknown(route(parsed).filter(F.col("route") == "good"), found)
+            tbl.apply_changes(spark, spec, tbl.change_batch(project_rows(good, extra=[f for f, _ in found])), b)
+        with _LOCK:
+            _BUILT[key] = spec
+    return out_cols(tbl.snapshot_view(spark, spec), "carrier", "pieces")
+
+
 def q_dq_constraints(spark, sf_dir):
     rows = lake_rows(spark, sf_dir).drop("b")
     snap = precombine(rows, ["dt", "tracking_id"], ["ts", "kafka_partition", "kafka_offset"])
@@ -152,6 +185,8 @@ QUERIES = {
     "stream_restart": q_stream_restart,
     "snapshot_diff": q_snapshot_diff,
     "snapshot_diff_counts": q_snapshot_diff_counts,
+    "snapshot_diff_digest": q_snapshot_diff_digest,
+    "cdc_unknown_columns": q_cdc_unknown_columns,
     "dq_constraints": q_dq_constraints,
     "cdc_seed": q_cdc_seed,
 }
@@ -178,6 +213,10 @@ FROM ev WHERE cls IN ('delete', 'unflagged')""",
 FROM lake WHERE cls = 'good' GROUP BY b // 2""",
     "snapshot_diff": "WITH " + DIFF + "\nSELECT * FROM d WHERE op IS NOT NULL",
     "snapshot_diff_counts": "WITH " + DIFF + "\nSELECT op, count(*) AS n FROM d WHERE op IS NOT NULL GROUP BY op",
+    "snapshot_diff_digest": """SELECT o_orderkey, CASE WHEN o_orderkey % 701 = 0 THEN 'd' ELSE 'u' END AS op, o_orderstatus AS o_orderstatus_before,
+       CASE WHEN o_orderkey % 701 <> 0 THEN 'X' END AS o_orderstatus_after FROM orders WHERE o_orderkey % 701 = 0 OR o_orderkey % 503 = 0""",
+    "cdc_unknown_columns": _with(EV, LAKE) + f"""SELECT * EXCLUDE (b, kafka_offset), CASE WHEN b >= 5 THEN 'C-' || (kafka_offset % 7) END AS carrier,
+       CASE WHEN b >= 5 THEN kafka_offset % 50 END AS pieces FROM ({_latest("cls = 'good'", 'dt, tracking_id').replace('SELECT ', 'SELECT b, kafka_offset, ', 1)})""",
     "dq_constraints": _with(EV, LAKE, f"latest AS ({_latest("cls = 'good'", 'dt, tracking_id')})") + f"""
 SELECT 'not_null' AS rule, 'customer_city' AS column, count(*) AS n_violations FROM latest WHERE id % 17 = 0
 UNION ALL SELECT 'max_length', 'shipper_name', count(*) FROM latest WHERE id % 19 = 0
