@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.common import fresh, staged
 from changeflow.llm.spans import behind, found, listed, matches_in, merged, number_of, replaced, walked
+from changeflow.operators.key_index import LANE_BITS, bit_at
 
 SUPPORT = 3          # different texts in which a pair must occur
 GENERALISE = 0.7
@@ -47,6 +48,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # What the rest of the card pattern's digits look like at the least: no scan of shorter runs is walked through.
 CARD_GATE = r"[0-9](?:[\x20-]?[0-9]){13}"
 TERM = r"[\p{L}\p{N}]++"
+LANES = 256          # of the bitmap that tells repeated texts
 SALTS = 16           # parts into which the pairs of one text are dealt
 PIECE = "struct<at:int,text:string,left:boolean,right:boolean>"
 
@@ -141,6 +143,32 @@ def _classes(pairs: DataFrame, name: str) -> DataFrame:
                                    F.bit_xor(F.xxhash64(F.lit("two"), "hash")).alias("two")).filter(F.col("n") >= SUPPORT)
 
 
+def _repeated(texts: DataFrame) -> tuple[DataFrame, Column]:
+    """``texts`` and a test that holds for all rows whose text is there more than once, and for few others.
+
+    The test is a bitmap of ``LANES`` rows of 4 KB whatever the corpus, and so
+    is broadcast; were very many texts repeated, it would hold for more others.
+    """
+    lane, bit = F.pmod(F.xxhash64("hash"), F.lit(LANES)), F.pmod(F.xxhash64(F.lit("bit"), "hash"), F.lit(LANE_BITS))
+    twice = texts.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
+    lanes = twice.groupBy(lane.alias("lane")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    both = texts.withColumn("lane", lane).join(F.broadcast(lanes), "lane", "left")
+    return both, F.coalesce(bit_at(F.col("bits"), bit), F.lit(False))
+
+
+def _texts_with(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, of): different texts that hold each term.
+
+    A text that is there once counts where it lies, so tasks hand on one number
+    for a term; only of repeated texts do (term, hash) pairs travel, to count once.
+    """
+    rows, twice = _repeated(texts)
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
+    seen = rows.select(F.when(twice, F.col("hash")).alias("copied"), F.explode(words).alias("term")).join(terms, "term")
+    each = seen.groupBy("term", "copied").agg(F.count("*").alias("n"))
+    return each.groupBy("term").agg(F.sum(F.when(F.col("copied").isNull(), F.col("n")).otherwise(F.lit(1))).alias("of"))
+
+
 def disclosures(texts: DataFrame) -> DataFrame | None:
     """(hash, term, disclosure): the terms that give an entity of their text away, None if there are none.
 
@@ -159,9 +187,7 @@ def disclosures(texts: DataFrame) -> DataFrame | None:
     often = staged(_classes(terms, "term"), "pii-often")
     if often.isEmpty():
         return None
-    words = texts.select("hash", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    count = words.join(often.select("term"), "term").distinct().groupBy("term").agg(F.count("*").alias("of"))
-    often = staged(often.join(count, "term").select("term", F.struct(*known, "of").alias("t")), "pii-counts")
+    often = staged(often.join(_texts_with(texts, often.select("term")), "term").select("term", F.struct(*known, "of").alias("t")), "pii-counts")
     total = texts.select("hash").distinct().count()
     told = F.least(F.col("both") / F.col("t.of"), F.lit(1.0))
     p = F.col("e.n") / F.lit(float(total))
