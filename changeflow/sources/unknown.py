@@ -32,11 +32,12 @@ def unknown_fields(parsed: DataFrame, text: str = "json_str", known: Sequence[st
 
     ``parsed`` has the message text. Messages that aren't JSON have no fields. A
     task merges its messages' types before the shuffle. Fields of nulls only
-    have no type yet and are left out until they have.
+    have no type yet and are left out until they have; so are names with both
+    kinds of quotes, which no variant path can hold.
     """
     fields = parsed.select(_payload(text).alias("p")).filter("p is not null and schema_of_variant(p) like 'OBJECT%'").lateralJoin(
         parsed.sparkSession.tvf.variant_explode(F.col("p").outer()))
-    found = fields.filter(~F.col("key").isin(list(known))).groupBy(F.col("key").alias("field")).agg(F.schema_of_variant_agg("value").alias("type"))
+    found = fields.filter(~F.col("key").isin(list(known)) & ~(F.col("key").contains("'") & F.col("key").contains('"'))).groupBy(F.col("key").alias("field")).agg(F.schema_of_variant_agg("value").alias("type"))
     # Decimals would change their type with every longer number.
     kind = (F.when(F.col("type").startswith("DECIMAL"), F.lit("DOUBLE")).when(F.col("type").isin(*SCALARS), F.col("type")).otherwise(F.lit("STRING")))
     return found.filter(F.col("type") != "VOID").select("field", kind.alias("type"))
@@ -44,4 +45,8 @@ def unknown_fields(parsed: DataFrame, text: str = "json_str", known: Sequence[st
 
 def with_unknown(parsed: DataFrame, fields: Sequence[tuple[str, str]], text: str = "json_str") -> DataFrame:
     """``parsed`` with a column for each (field, type); null where a message lacks the field or holds another type."""
-    return parsed.withColumns({f: F.try_variant_get(_payload(text), "$['" + f.replace("\\", "\\\\").replace("'", "\\'") + "']", t.lower()) for f, t in fields})
+    def path(field: str) -> str:
+        mark = "'" if '"' in field else '"'
+        return f"$[{mark}{field}{mark}]"
+
+    return parsed.withColumns({f: F.try_variant_get(_payload(text), path(f), t.lower()) for f, t in fields})
