@@ -56,7 +56,7 @@ def streamed(spark: SparkSession, sf_dir: str, variant: str) -> tuple[str, Table
         if key in _BUILT:
             return _BUILT[key]
     root = scratch_dir(spark, f"stream-{variant}")
-    spec = TableSpec(root=f"{root}/table")
+    spec = TableSpec(root=f"{root}/table", num_buckets=BUCKETS)
     if variant == "restart":
         n = write_message_files(spark, sf_dir, root, list(range(5)))
         run_stream(spark, root, spec, n)
