@@ -86,6 +86,29 @@ def q_stream_rate_limited(spark, sf_dir):
     return tbl.kept_rows(spark, spec, "changes").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+OFFSETS_PER_TRIGGER = 3_000
+
+
+def q_stream_offset_ranges(spark, sf_dir):
+    """The change log as a table of messages, read by offset ranges of a limited length."""
+    key = (spark.sparkContext.applicationId, sf_dir, "stream", "offsets")
+    with _LOCK:
+        spec = _BUILT.get(key)
+    if spec is None:
+        root = scratch_dir(spark, "stream-offsets")
+        spec = TableSpec(root=f"{root}/table", num_buckets=BUCKETS)
+        messages(spark, sf_dir).drop("b", "cls").repartition("topic", "partition").write.partitionBy("topic", "partition").parquet(f"{root}/messages")
+        limit = max(OFFSETS_PER_TRIGGER, messages(spark, sf_dir).count() // 4)
+        source = MessageSource(f"{root}/messages", format="message_table", max_per_trigger=limit, checkpoint=f"{root}/checkpoint")
+        q = start_apply(read_messages(spark, source), spec, f"{root}/checkpoint", Outputs(f"{root}/dlq", retain_commits=None), trigger="0 seconds")
+        q.processAllAvailable()
+        q.stop()
+        finish_apply(q)
+        with _LOCK:
+            _BUILT[key] = spec
+    return out_cols(tbl.snapshot_view(spark, spec))
+
+
 def q_stream_restart(spark, sf_dir):
     _, spec = streamed(spark, sf_dir, "restart")
     return out_cols(tbl.snapshot_view(spark, spec))
@@ -183,6 +206,7 @@ QUERIES = {
     "stream_dropped_sink": q_stream_dropped,
     "stream_rate_limited": q_stream_rate_limited,
     "stream_restart": q_stream_restart,
+    "stream_offset_ranges": q_stream_offset_ranges,
     "snapshot_diff": q_snapshot_diff,
     "snapshot_diff_counts": q_snapshot_diff_counts,
     "snapshot_diff_digest": q_snapshot_diff_digest,
@@ -205,6 +229,7 @@ d AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
 
 ORACLE = {
     "stream_good_sink": _with(EV, LAKE) + _latest("cls = 'good'", "dt, tracking_id"),
+    "stream_offset_ranges": _with(EV, LAKE) + _latest("cls = 'good'", "dt, tracking_id"),
     "stream_restart": _with(EV, LAKE) + _latest("cls = 'good'", "dt, tracking_id"),
     "stream_dlq_sink": _with(EV) + "SELECT k AS key, cls = 'tombstone' AS value_null FROM ev WHERE cls IN ('tombstone', 'malformed', 'nokey')",
     "stream_dropped_sink": _with(EV) + """SELECT part AS partition, event_id AS offset, k AS tracking_id, cls AS reason

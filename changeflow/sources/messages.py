@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.schemas import ENVELOPE_SCHEMA, MESSAGE_SCHEMA
+from changeflow.sources.message_table import message_table
 
 
 @dataclass(frozen=True)
 class MessageSource:
     """Where change messages come from.
 
-    ``format="kafka"`` needs the broker connector on the classpath; any file
+    ``format="kafka"`` needs the broker connector on the classpath;
+    ``"message_table"`` reads a Parquet table of messages by offset ranges
+    (``sources.message_table``; give ``checkpoint`` for it to keep the limit
+    across restarts); any file
     format (``parquet`` by default) reads directories of files that carry the
     six message columns, which is how tests replay a change log.
     """
@@ -27,6 +31,7 @@ class MessageSource:
     fail_on_data_loss: bool = False
     max_per_trigger: int | None = 2_000_000  # offsets, for a broker
     max_files_per_trigger: int | None = None  # files, for a file source
+    checkpoint: str | None = None  # the query's, for a message table
 
 
 def read_messages(spark: SparkSession, source: MessageSource) -> DataFrame:
@@ -42,6 +47,11 @@ def read_messages(spark: SparkSession, source: MessageSource) -> DataFrame:
         if source.max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(source.max_per_trigger))
         return reader.load()
+    if source.format == "message_table":
+        spark.dataSource.register(message_table())
+        options = {"path": source.path_or_topic, "failOnDataLoss": str(source.fail_on_data_loss).lower(),
+                   "maxOffsetsPerTrigger": str(source.max_per_trigger or 0), "checkpoint": source.checkpoint or ""}
+        return reader.options(**options).load()
     reader = reader.schema(MESSAGE_SCHEMA)
     if source.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(source.max_files_per_trigger))
