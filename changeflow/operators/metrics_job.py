@@ -40,11 +40,11 @@ def commits_of(listing: DataFrame, table: str) -> DataFrame:
 
 def scrape(spark: SparkSession, table: str, checkpoint: str | None, progress: str | None,
            topic: str | None, now=None, status: DataFrame | None = None, scrapes: DataFrame | None = None,
-           app: str = "app", query: str = "query") -> DataFrame:
+           app: str = "app", query: str = "query", list_by_tasks: bool = False) -> DataFrame:
     """One sample of each metric whose input is given: the table's folder (M-10..19), progress records and
     checkpoint (M-1..6), a status table (ts, component, state) (M-7..9), a scrape log (ts, errors, duration_s) (M-20..22)."""
     now = now if now is not None else F.current_timestamp()
-    listing = L.list_files(spark, table)
+    listing = L.list_files_by_tasks(spark, table) if list_by_tasks else L.list_files(spark, table)
     listing = listing.unionByName(commits_of(listing, fs.qualify(spark, table)))
     parts = M.table_metrics(now, listing, fs.qualify(spark, table), "_timeline", PARQUET_TABLE_IGNORE,
                             age_from_mtime=True)
@@ -71,12 +71,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--checkpoint", default=None)
     p.add_argument("--progress", default=None, help="folder of progress JSON lines")
     p.add_argument("--topic", default=None)
+    p.add_argument("--list-by-tasks", action="store_true", help="list a large table's folders in tasks")
     p.add_argument("--status", default=None, help="parquet folder of observed component states")
     p.add_argument("--scrapes", default=None, help="parquet folder of the scrape log")
     a = p.parse_args(argv)
     spark = prepare(SparkSession.builder.appName("changeflow-metrics").getOrCreate())
     samples = scrape(spark, a.table, a.checkpoint, a.progress, a.topic,
-                     status=spark.read.parquet(a.status) if a.status else None, scrapes=spark.read.parquet(a.scrapes) if a.scrapes else None)
+                     status=spark.read.parquet(a.status) if a.status else None, scrapes=spark.read.parquet(a.scrapes) if a.scrapes else None,
+                     list_by_tasks=a.list_by_tasks)
     samples.withColumn("date", F.to_date("ts")).write.mode("append").partitionBy("date").parquet(a.samples)
 
 

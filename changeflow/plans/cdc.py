@@ -22,6 +22,7 @@ from changeflow.operators.table import TableSpec
 from changeflow.schemas import NUM_BUCKETS
 from changeflow.session import prepare, scratch_dir
 from changeflow.sources.fixtures import NUM_BATCHES, cdc_messages, read_table
+from changeflow.sources.listing import list_files_by_tasks
 from changeflow.sources.messages import parse_messages
 
 LAKE_OUT = [
@@ -273,6 +274,13 @@ def q_catalog_partitions(spark, sf_dir):
     return spark.createDataFrame(cells, "version bigint, dt string, bucket int")
 
 
+def q_table_files(spark, sf_dir):
+    """Data files of each version and day of the base, from a listing made by tasks."""
+    files = list_files_by_tasks(spark, f"{build_table(spark, sf_dir).root}/base").filter(F.col("path").rlike(r"/part-[^/]*\.parquet$"))
+    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
+    return files.groupBy(part("_version").cast("bigint").alias("version"), part("dt").alias("dt")).agg(F.count("*").alias("n_files"))
+
+
 def _wide(spark, sf_dir):
     """All batches folded in at once, in the default number of buckets."""
     return build_table(spark, sf_dir, "wide", num_buckets=NUM_BUCKETS, min_deltas=NUM_BATCHES)
@@ -337,6 +345,7 @@ QUERIES = {
     "bucket_assign": q_bucket_assign,
     "catalog_register": q_catalog_register,
     "catalog_partitions": q_catalog_partitions,
+    "table_files": q_table_files,
     "bucket_lookup": q_bucket_lookup,
     "bucket_layout": q_bucket_layout,
     "key_locations": q_key_locations,
@@ -498,6 +507,7 @@ WHERE cls IN ('tombstone', 'malformed', 'nokey') ORDER BY part, event_id LIMIT 1
     "catalog_register": _with(EV, LAKE) + f"""SELECT tracking_id, dt, status, current_location
 FROM ({_latest("cls = 'good'", 'dt, tracking_id')})""",
     "catalog_partitions": _with(EV, LAKE, _bucket_sql(BUCKETS), TOUCHED) + "SELECT max(version) AS version, dt, bucket FROM touched GROUP BY dt, bucket",
+    "table_files": _with(EV, LAKE, _bucket_sql(BUCKETS), TOUCHED) + "SELECT version, dt, count(*) AS n_files FROM touched GROUP BY version, dt",
     "bucket_lookup": _with(EV, LAKE) + f"SELECT * FROM ({_latest('cls = ' + chr(39) + 'good' + chr(39), 'dt, tracking_id')}) WHERE tracking_id = '{POINT_KEY}'",
     "bucket_layout": _with(EV, LAKE, _bucket_sql(NUM_BUCKETS)) + """SELECT DISTINCT tracking_id, dt, bucket, bucket AS file_bucket
 FROM lake JOIN slots USING (tracking_id) WHERE cls = 'good'""",

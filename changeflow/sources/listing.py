@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.schemas import LISTING_SCHEMA
+from changeflow.session import scratch_dir
 from changeflow.sources import fs
 
 # Completed action suffixes of the table timeline.
@@ -27,6 +28,47 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
+def _listed(root: str):
+    """For ``mapInArrow``: the entries of each folder (``at``, a path below ``root``). Made here so that it travels by value."""
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs as pfs
+
+        scheme, rest = root.split(":", 1) if ":" in root.split("/", 1)[0] else ("file", root)
+        uri = f"{scheme.replace('s3a', 's3')}://{rest if rest.startswith('/') and not rest.startswith('//') else rest.lstrip('/')}"
+        system, top = pfs.FileSystem.from_uri(uri)
+        for b in batches:
+            for at in b.column("at").to_pylist():
+                infos = system.get_file_info(pfs.FileSelector(top + at, allow_not_found=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f"{at}/{i.base_name}" for i in infos], pa.string()), pa.array([i.size or 0 for i in infos], pa.int64()),
+                     pa.array([i.mtime for i in infos], pa.timestamp("us", "UTC")), pa.array([i.type == pfs.FileType.Directory for i in infos], pa.bool_())],
+                    ["at", "size", "mtime", "is_dir"])
+
+    return run
+
+
+def list_files_by_tasks(spark: SparkSession, root: str, folders_per_task: int = 16) -> DataFrame:
+    """``list_files`` of a large tree: tasks list folders, level by level, and no path goes through the driver.
+
+    A level's entries are written to the shared scratch folder, so that later
+    steps see one listing and a lost executor costs one level. Hidden names are
+    listed like any other, a local file system's checksum files too. A folder
+    that is gone when its turn comes is empty.
+    """
+    top = fs.qualify(spark, root).rstrip("/")
+    scratch = scratch_dir(spark, "listing")
+    schema = "at string, size bigint, mtime timestamp, is_dir boolean"
+    folders, level, waiting = spark.createDataFrame([("",)], "at string"), 0, 1
+    while waiting:
+        tasks = max(1, min(waiting // folders_per_task, 4096))
+        folders.repartition(tasks).mapInArrow(_listed(top), schema).write.parquet(f"{scratch}/level={level}")
+        folders = spark.read.schema(schema).parquet(f"{scratch}/level={level}").filter("is_dir").select("at")
+        waiting, level = folders.count(), level + 1
+    found = spark.read.schema(schema).parquet(*[f"{scratch}/level={i}" for i in range(level)])
+    return found.filter("not is_dir").select(F.concat(F.lit(top), "at").alias("path"), "size", "mtime")
+
+
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

@@ -81,3 +81,16 @@ def test_two_samples_in_one_second(spark):
     assert [x for x in got if x[0] == 20] == [(20, 7.0, 0.7)] and [x[1] for x in got if x[0] == 10] == [8.0, 8.0]
     alone = spark.createDataFrame([(at(1, 1), "m", {}, 1.0), (at(1, 2), "m", {}, 2.0)], "ts timestamp, metric string, labels map<string,string>, value double")
     assert {(r["increase"], r["rate"]) for r in S.increase(alone, 15).collect()} == {(1.0, None)}
+
+
+def test_listing_by_tasks_equals_the_listing(spark):
+    from changeflow.session import scratch_dir
+    from changeflow.sources import listing as L
+
+    root = scratch_dir(spark, "tree")
+    spark.range(40).select("id", (F.col("id") % 5).alias("a"), (F.col("id") % 3).alias("b c")).write.partitionBy("a", "b c").parquet(f"{root}/t")
+    want = sorted(map(tuple, L.list_files(spark, root).select("path", "size", F.unix_seconds("mtime")).collect()))
+    got = sorted(map(tuple, L.list_files_by_tasks(spark, root, folders_per_task=2).select("path", "size", F.unix_seconds("mtime")).collect()))
+    # Spark's local file system keeps its checksum files to itself; as files with hidden names they are listed here.
+    assert [r for r in got if not r[0].endswith(".crc")] == want and any("/." in p for p, _, _ in got) and any(p.endswith("_SUCCESS") for p, _, _ in got)
+    assert L.list_files_by_tasks(spark, f"{root}/missing").count() == 0
