@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.llm.common import fresh, staged
-from changeflow.llm.graph import connected_components
+from changeflow.llm.graph import connected_components, join_unique
 
 BITS = 64
 SEGMENTS = 4          # parts with a population count of their own; counts of 0..16 each
@@ -156,15 +156,18 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = staged(own.select("doc_id", fingerprint_column("text", shingle).alias("fp"),
                              F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")), "prints")
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = connected_components(near_links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
-    linked = distinct.join(roots, "fp")
-    least = linked.groupBy("root").agg(F.min("least").alias("group_least"))
-    group = linked.join(least, "root").select("fp", "group_least", "root")
-    named = staged(distinct.join(group, "fp", "left")
-                   .select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("group_least", "least").alias("component_id")),
+    # A node is a fingerprint with its least doc_id in front (null last), so a
+    # group's root names its component and nothing is grouped by root again.
+    distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    node = distinct.select("fp", F.struct(F.col("least").isNull().alias("none"), "least", "fp").alias("node"))
+    links = near_links(distinct.select("fp"), radius)
+    for end in ("a", "b"):
+        links = links.join(node.select(F.col("fp").alias(end), F.col("node").alias(f"node_{end}")), end)
+    roots = connected_components(links, "node_a", "node_b").select("node.fp", "root")
+    named = staged(distinct.join(roots, "fp", "left")
+                   .select("fp", F.coalesce("root.fp", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("root.least")).alias("component_id")),
                    "groups")
-    return rows.join(named, "fp").select(
+    return join_unique(rows, named, "fp").select(
         "doc_id", "fp", "text_hash", "root", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

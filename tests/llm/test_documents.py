@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from changeflow.llm import lang_id, licenses, mixing, packing, pii, secrets, simhash
+from changeflow.llm import graph, lang_id, licenses, mixing, packing, pii, secrets, simhash
 from tests.llm import brute
 from tests.llm.conftest import ODD, rows_of
 
@@ -46,6 +46,28 @@ def test_tiles_find_every_near_pair(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, roots.values()))
 
 
+def test_hot_keys_join_where_they_lie(spark):
+    """Half of the rows share a key, and 1,500 keys are rare: the same rows as a plain join; the rows shuffled lack the hot key."""
+    rows = spark.range(6000).selectExpr("if(id < 3000, -1, id % 1500) as k", "id", "'x' as n")
+    known = spark.range(-1, 1500).selectExpr("id as k", "id * 2 as twice")
+    got = graph.join_unique(rows, known, "k")
+    assert got.columns == ["k", "id", "n", "twice"]
+    assert Counter(rows_of(got)) == Counter(rows_of(rows.join(known, "k")))
+    assert graph.join_unique(rows.limit(0), known, "k").count() == 0
+
+
+def test_components_of_chains_and_stars(spark):
+    """A long chain, a star and loose pairs, by structs with null parts."""
+    links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(3000 + 2 * i, 3001 + 2 * i) for i in range(50)] + [(7, 7)]
+    df = spark.createDataFrame(links, "x long, y long").select(
+        *[F.struct(F.when(F.col(c) % 3 > 0, F.col(c) % 2).alias("p"), F.col(c).alias("q")).alias(c) for c in ("x", "y")])
+    got = {r["node"]["q"]: tuple(r["root"]) for r in graph.connected_components(df, "x", "y").collect()}
+    groups = [range(301), range(1000, 1200), *[(3000 + 2 * i, 3001 + 2 * i) for i in range(50)]]
+    order = lambda q: (q % 3 > 0, q % 2 if q % 3 else 0, q)  # noqa: E731 - null parts come first
+    want = {q: min(g, key=order) for g in groups for q in g}
+    assert {q: r[1] for q, r in got.items()} == want
+
+
 def test_keep_one_of_each_group(odd):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
