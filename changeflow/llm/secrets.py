@@ -227,9 +227,9 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars:
 
     Rows and columns stay; a null text stays null.
     """
-    got = secret_spans(docs, doc_id, text, rules)
     doc, hashed, spans = fresh(docs, "doc", "hash", "spans")
-    got = got.toDF(doc, hashed, spans)
+    # Written, so that Spark knows their size before the join: while it is small, no text travels.
+    got = staged(secret_spans(docs, doc_id, text, rules).toDF(doc, hashed, spans), "secret-spans")
     here = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     both = docs.join(got, docs[doc_id].eqNullSafe(got[doc]) & (here == got[hashed]), "left")
     new = F.when(F.col(spans).isNotNull(), replaced(F.col(text), F.col(spans), lambda x: F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))).otherwise(F.col(text))
