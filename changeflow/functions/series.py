@@ -16,7 +16,7 @@ a condition has held) is carried across chunks through a per-chunk summary.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -185,7 +185,7 @@ def rate_name(range_s: int, kind: str) -> str:
 
 
 def grid_points(samples: DataFrame, step_s: int, lookback_s: int, ranges: Sequence[tuple[int, str]] = (),
-                reach: Column | None = None, chunk_s: int = DEFAULT_CHUNK_S) -> DataFrame:
+                reach: Column | None = None, chunk_s: int = DEFAULT_CHUNK_S, asked: Mapping[int, Column] | None = None) -> DataFrame:
     """WIN-1, WIN-2 and WIN-4 for all series in one pass over the samples.
 
     One row per (metric, series, grid time t) that some sample reaches:
@@ -194,11 +194,14 @@ def grid_points(samples: DataFrame, step_s: int, lookback_s: int, ranges: Sequen
     ``increase_*`` and the ``rate_*`` over ``(t - range, t]`` (null with fewer
     than two samples in range). ``reach`` limits, per metric, how many seconds
     after a sample its grid points go on; by default the longest of all.
+    ``asked`` names, by range, the metrics that have it; others get null there.
 
     A sample makes the grid points up to the next sample or the end of its
     reach, so sparse series cost what their samples cost and not their time
     span. A range needs the samples' running sum at its newest and its oldest
-    sample only.
+    sample only. The oldest is carried forward: at the grid time when a sample
+    leaves a range a mark names the next one, so a grid point costs the same
+    however many samples its ranges hold.
     """
     df = with_series(samples)
     longest = max([lookback_s, *(r - 1 for r, _ in ranges)])
@@ -212,24 +215,45 @@ def grid_points(samples: DataFrame, step_s: int, lookback_s: int, ranges: Sequen
         "gauge": F.coalesce(F.col("value") - prev, F.lit(0.0)),
     }
     kinds = sorted({k for _, k in ranges})
+    sums = [f"_sum_{k}" for k in kinds]
     ch = ch.select("*", F.lead("t").over(by_time).alias("_next"), F.row_number().over(by_time).alias("_i"),
                    *[deltas[k].alias(f"_d_{k}") for k in kinds])
     run = by_time.rowsBetween(Window.unboundedPreceding, 0)
     ch = ch.select("*", *[F.sum(f"_d_{k}").over(run).alias(f"_sum_{k}") for k in kinds])
-    lo = F.ceil(F.greatest(F.col("t"), F.col("chunk") * chunk_s) / F.lit(step_s)) * step_s
+    ch = ch.select("*", *[F.lead(n).over(by_time).alias(f"_next{n}") for n in sums])
+
+    def up(t: Column) -> Column:
+        return (F.ceil(t / F.lit(step_s)) * step_s).cast("bigint")
+
+    lo = up(F.greatest(F.col("t"), F.col("chunk") * chunk_s))
     hi = F.least(F.coalesce(F.col("_next") - 1, F.col("t") + F.col("_reach")), F.col("t") + F.col("_reach"), (F.col("chunk") + 1) * chunk_s - 1)
-    lo, hi = lo.cast("bigint"), hi.cast("bigint")
-    grid = F.when(lo <= hi, F.sequence(lo, hi, F.lit(step_s).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
-    at = F.concat(F.array(F.struct(F.lit(False).alias("grid"), F.col("t").alias("at"))),
-                  F.transform(grid, lambda x: F.struct(F.lit(True).alias("grid"), x.alias("at"))))
-    rows = ch.select("*", F.explode(at).alias("_p"))
-    rows = rows.select("metric", "series", "chunk", "value", "_i", F.col("t").alias("_t"), *[f"_sum_{k}" for k in kinds],
-                       F.col("_p.grid").alias("_grid"), F.col("_p.at").alias("t"))
-    first = F.struct("_i", "_t", *[f"_sum_{k}" for k in kinds])
-    for r in sorted({r for r, _ in ranges}):
-        frame = part.orderBy("t").rangeBetween(-(r - 1), 0)
-        rows = rows.withColumn(f"_first_{r}", F.min(F.when(~F.col("_grid"), first)).over(frame))
-    out = rows.filter("_grid")
+    hi = hi.cast("bigint")
+    none = F.array().cast("array<bigint>")
+    grid = F.when(lo <= hi, F.sequence(lo, hi, F.lit(step_s).cast("bigint"))).otherwise(none)
+
+    def point(mark: int, at: Column, i: Column, t: Column, totals: list[Column]) -> Column:
+        return F.struct(F.lit(mark).alias("mark"), at.alias("at"), i.alias("i"), t.alias("t"), *[x.alias(n) for n, x in zip(sums, totals, strict=True)])
+
+    def marks(r: int) -> Column:
+        """The sample that is a range's oldest from a grid time on: the first one, and the one after each that leaves."""
+        own = point(r, up(F.col("t")), F.col("_i"), F.col("t"), [F.col(n) for n in sums])
+        after = point(r, up(F.col("t") + r), F.col("_i") + 1, F.col("_next"), [F.col(f"_next{n}") for n in sums])
+        # Of samples that leave between two grid times the last one counts.
+        last = F.col("_next").isNull() | (up(F.col("_next") + r) > up(F.col("t") + r))
+        wanted = F.lit(True) if asked is None else asked[r]
+        return F.array(F.when(wanted & (F.col("_i") == 1), own), F.when(wanted & last, after))
+
+    every = sorted({r for r, _ in ranges})
+    at = F.transform(grid, lambda x: point(0, x, F.col("_i"), F.col("t"), [F.col(n) for n in sums]))
+    if every:
+        at = F.concat(at, F.array_compact(F.concat(*[marks(r) for r in every])))
+    rows = ch.select("metric", "series", "chunk", "value", F.explode(at).alias("_p"))
+    rows = rows.select("metric", "series", "chunk", "value", F.col("_p.mark").alias("_mark"), F.col("_p.at").alias("t"),
+                       F.col("_p.i").alias("_i"), F.col("_p.t").alias("_t"), *[F.col(f"_p.{n}").alias(n) for n in sums])
+    if every:
+        so_far = part.orderBy("t").rangeBetween(Window.unboundedPreceding, 0)
+        rows = rows.select("*", *[F.max(F.when(F.col("_mark") == r, F.struct("_i", "_t", *sums))).over(so_far).alias(f"_first_{r}") for r in every])
+    out = rows.filter("_mark = 0")
     cols = [F.when(F.col("t") - F.col("_t") <= lookback_s, F.col("value")).alias("value")]
     for r, k in ranges:
         two = F.col(f"_first_{r}._i") < F.col("_i")

@@ -11,15 +11,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.functions import series as S
+from changeflow.session import staged
 
 EVAL_STEP_S = 30
 LOOKBACK_S = 300
 P = "pipeline_"
+RUN = ["alert", "metric", "series"]  # what a run of a condition belongs to
 
 
 @dataclass(frozen=True)
@@ -103,7 +107,8 @@ def points(samples: DataFrame, values: Sequence[Value], step_s: int, lookback_s:
         wanted = wanted | v.of(name)
         reach = F.greatest(reach, F.when(v.of(name), F.lit(v.reach(lookback_s))).otherwise(F.lit(0)))
     ranges = sorted({(v.range_s, v.kind) for v in values if v.fn != "instant"})
-    return S.grid_points(samples.filter(wanted), step_s, lookback_s, ranges, reach, chunk_s)
+    asked = {r: reduce(or_, [v.of(name) for v in values if v.fn != "instant" and v.range_s == r]) for r, _ in ranges}
+    return S.grid_points(samples.filter(wanted), step_s, lookback_s, ranges, reach, chunk_s, asked)
 
 
 def beside(grid: DataFrame, values: Sequence[Value]) -> tuple[DataFrame, dict[Value, Column]]:
@@ -117,8 +122,6 @@ def beside(grid: DataFrame, values: Sequence[Value]) -> tuple[DataFrame, dict[Va
 def conditions(samples: DataFrame, rules: Sequence[Rule], step_s: int = EVAL_STEP_S, lookback_s: int = LOOKBACK_S,
                chunk_s: int = S.DEFAULT_CHUNK_S) -> DataFrame:
     """(alert, metric, series, t, value, active) where a rule's condition holds."""
-    terms = [t for r in rules for t in (r.term, r.also) if t is not None]
-    grid = points(samples, [t.value for t in terms], step_s, lookback_s, chunk_s)
     single, double = [r for r in rules if r.also is None], [r for r in rules if r.also is not None]
     parts = []
 
@@ -129,11 +132,14 @@ def conditions(samples: DataFrame, rules: Sequence[Rule], step_s: int = EVAL_STE
     def hit(rule: Rule, metric: Column, value: Column, when: Column) -> Column:
         return F.when(when, F.struct(F.lit(rule.name).alias("alert"), metric.alias("metric"), value.alias("value")))
 
+    # Each part computes the grid of its own metrics.
     if single:
+        grid = points(samples, [r.term.value for r in single], step_s, lookback_s, chunk_s)
         parts.append(exploded(grid, [hit(r, F.col("metric"), r.term.value.column(),
                                          r.term.value.of(F.col("metric")) & r.term.holds(r.term.value.column())) for r in single]))
     if double:
-        rows, col = beside(grid, [t.value for r in double for t in (r.term, r.also)])
+        values = [t.value for r in double for t in (r.term, r.also)]
+        rows, col = beside(points(samples, values, step_s, lookback_s, chunk_s), values)
         anywhere = {r: f"_any{i}" for i, r in enumerate(double) if r.on_time}
         rows = rows.select("*", *[F.max(r.also.holds(col[r.also.value])).over(Window.partitionBy("t")).alias(n) for r, n in anywhere.items()])
         parts.append(exploded(rows, [hit(r, F.lit(r.term.value.metric), col[r.term.value], r.term.holds(col[r.term.value])
@@ -167,35 +173,74 @@ def evaluate(samples: DataFrame, rules: Sequence[Rule] = tuple(RULES), step_s: i
     With ``start``/``end`` ('yyyy-MM-dd HH:mm:ss', session time zone) the rows
     in between are those of a full evaluation, ``active_since`` included:
     samples are read from before ``start`` by the longest reach of any term
-    (the filter reaches the scan), and if a run is already active at the first
-    evaluation, from further back, four times as far each time, until its
-    start is found or the samples begin. Samples after ``end`` aren't read and
-    no row lies after it.
+    (the filter reaches the scan), and for runs that are already active at the
+    first evaluation, from further back until their start is found: the time
+    before it, then the time before that, four times as long each time, and the
+    metrics of their rules only. Samples after ``end`` aren't read and no row
+    lies after it.
     """
     if start is None:
-        out = _states(samples if end is None else read_window(samples, None, F.lit(end).cast("timestamp")), rules, step_s, lookback_s, chunk_s)
-        return out if end is None else out.filter(F.col("ts") <= F.lit(end).cast("timestamp"))
-    reach = longest_reach(rules, lookback_s)
+        return _described(_runs(samples, rules, step_s, lookback_s, chunk_s, None, None if end is None else F.lit(end).cast("timestamp")), rules)
     back = max(r.hold_s for r in rules) + 2 * step_s
     spark = samples.sparkSession
     first = spark.sql(f"SELECT unix_seconds(TIMESTAMP '{start}') AS t").first()["t"]
+    begin = -(-(first - back) // step_s) * step_s  # the first evaluation
     until = None if end is None else F.lit(end).cast("timestamp")
-    while True:
-        begin = -(-(first - back) // step_s) * step_s  # the first evaluation
-        mine = read_window(samples, F.timestamp_seconds(F.lit(begin - reach)), until)
-        out = _states(mine, rules, step_s, lookback_s, chunk_s, begin).filter(F.col("t") >= first)
-        out = out if until is None else out.filter(F.col("ts") <= until)
-        cut = out.filter(F.col("active_since") == begin).limit(1).count()
-        if not cut or not samples.filter(F.col("ts") < F.timestamp_seconds(F.lit(begin - reach))).limit(1).count():
-            return out
-        back *= 4
+    mine = staged(_runs(samples, rules, step_s, lookback_s, chunk_s, begin, until), "alert-window")
+    out = mine.filter(F.col("t") >= first)
+    out = out if until is None else out.filter(F.timestamp_seconds("t") <= until)
+    begun = _begun(samples, out.filter(F.col("active_since") == begin).select(*RUN).distinct(), begin, back, rules, step_s, lookback_s, chunk_s)
+    if begun is not None:
+        out = _beside_runs(out, begun, "left").withColumn(
+            "active_since", F.when(F.col("active_since") == begin, F.col("_since")).otherwise(F.col("active_since")))
+    return _described(out, rules)
+
+
+def _beside_runs(rows: DataFrame, runs: DataFrame, how: str) -> DataFrame:
+    """``rows`` with the other columns of ``runs``, by alert, metric and series, nulls included."""
+    same = reduce(and_, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in RUN])
+    more = [] if how == "left_semi" else [f"b.{c}" for c in runs.columns if c not in RUN]
+    return rows.alias("a").join(runs.alias("b"), same, how).select("a.*", *more)
 
 
-def _states(samples: DataFrame, rules: Sequence[Rule], step_s: int, lookback_s: int, chunk_s: int, begin: int | None = None) -> DataFrame:
-    active = conditions(samples, rules, step_s, lookback_s, chunk_s)
+def _begun(samples: DataFrame, cut: DataFrame, begin: int, back: int, rules: Sequence[Rule], step_s: int, lookback_s: int,
+           chunk_s: int) -> DataFrame | None:
+    """(alert, metric, series, _since) of the ``cut`` runs, which are active at ``begin``; None if there are none.
+
+    The time before is read in windows beside one another, each four times as
+    long, for the rules and series of runs only whose start is still open.
+    """
+    found = None
+    cut = staged(cut, "alert-cut")
+    while names := [r[0] for r in cut.select("alert").distinct().collect()]:  # rules
+        some = [r for r in rules if r.name in names]
+        early = begin - -(-3 * back // step_s) * step_s
+        back *= 4
+        runs = _runs(samples, some, step_s, lookback_s, chunk_s, early, F.timestamp_seconds(F.lit(begin - step_s)), cut)
+        # A run that isn't active one step before has begun there and then.
+        since = F.coalesce("active_since", F.lit(begin).cast("bigint")).alias("_since")
+        before = runs.filter(F.col("t") == begin - step_s).select(*RUN, "active_since")
+        got = staged(_beside_runs(cut, before, "left").select(*RUN, since), "alert-begun")
+        known = got.filter(F.col("_since") > early)
+        found = known if found is None else found.unionByName(known)
+        cut, begin = got.filter(F.col("_since") == early).select(*RUN), early
+    return found
+
+
+def _runs(samples: DataFrame, rules: Sequence[Rule], step_s: int, lookback_s: int, chunk_s: int, begin: int | None = None,
+          until: Column | None = None, keys: DataFrame | None = None) -> DataFrame:
+    """Active evaluations from ``begin`` to ``until`` with ``active_since`` as far as they go back; of ``keys`` only, if given."""
+    reach = longest_reach(rules, lookback_s)
+    low = None if begin is None else F.timestamp_seconds(F.lit(begin - reach))
+    active = conditions(read_window(samples, low, until), rules, step_s, lookback_s, chunk_s)
     if begin is not None:  # values before it may lack samples
         active = active.filter(F.col("t") >= begin)
-    return _described(S.firing(active, 0, step_s, chunk_s, keys=["alert", "metric", "series"]), rules)
+    if until is not None:
+        active = active.filter(F.timestamp_seconds("t") <= until)
+    if keys is not None:
+        active = _beside_runs(active, keys, "left_semi")
+    # The states read them twice.
+    return S.firing(staged(active, "alert-active"), 0, step_s, chunk_s, keys=RUN)
 
 
 def longest_reach(rules: Sequence[Rule], lookback_s: int = LOOKBACK_S) -> int:
@@ -213,15 +258,14 @@ def evaluate_next(window: DataFrame, running: DataFrame, begin: int | None, unti
     Nothing older is read, however long a run has lasted.
     """
     active = conditions(window, rules, step_s, lookback_s, chunk_s).filter(F.col("t") <= until)
-    keys = ["alert", "metric", "series"]
     if begin is not None:
         # A run that goes on has a row at ``begin``; its start is known.
-        went_on = running.select(*keys, F.lit(begin).cast("bigint").alias("t"), F.lit(None).cast("double").alias("value"), F.lit(True).alias("active"))
+        went_on = running.select(*RUN, F.lit(begin).cast("bigint").alias("t"), F.lit(None).cast("double").alias("value"), F.lit(True).alias("active"))
         active = active.filter(F.col("t") > begin).unionByName(went_on)
-    states = S.firing(active, 0, step_s, chunk_s, keys=keys)
+    states = S.firing(staged(active, "alert-active"), 0, step_s, chunk_s, keys=RUN)
     if begin is not None:
-        known = running.select(*keys, F.col("active_since").alias("_since"))
-        states = states.filter(F.col("t") > begin).join(known, keys, "left").withColumn(
+        known = running.select(*RUN, F.col("active_since").alias("_since"))
+        states = states.filter(F.col("t") > begin).join(known, RUN, "left").withColumn(
             "active_since", F.when(F.col("active_since") == begin, F.col("_since")).otherwise(F.col("active_since"))).drop("_since")
     return _described(states, rules)
 

@@ -117,7 +117,6 @@ def panels(samples: DataFrame, specs: Sequence[Panel] = tuple(PANELS), step_s: i
     if end is not None:
         last = F.lit(end).cast("timestamp")
         samples = read_window(samples, None, last)
-    grid = points(samples, every, step_s, lookback_s, chunk_s)
 
     def shown(p: Panel, metric: Column, value: Column, when: Column) -> Column:
         status = threshold_status(value, p.base, p.steps) if p.base else F.lit(None).cast("string")
@@ -132,12 +131,15 @@ def panels(samples: DataFrame, specs: Sequence[Panel] = tuple(PANELS), step_s: i
     plain = [(p, line) for p in specs for line in p.lines if line.of is None]
     made = [(p, line) for p in specs for line in p.lines if line.of is not None]
     parts = []
+    # Each part computes the grid of its own metrics.
     if plain:
         name = F.col("metric")
+        grid = points(samples, [line.values[0] for _, line in plain], step_s, lookback_s, chunk_s)
         parts.append(exploded(grid, [shown(p, F.lit(line.legend) if line.legend else name, line.values[0].column(), line.values[0].of(name))
                                      for p, line in plain]))
     if made:
-        rows, col = beside(grid, [v for _, line in made for v in line.values])
+        values = [v for _, line in made for v in line.values]
+        rows, col = beside(points(samples, values, step_s, lookback_s, chunk_s), values)
         parts.append(exploded(rows, [shown(p, F.lit(line.legend), line.of(*[col[v] for v in line.values]), F.lit(True)) for p, line in made]))
     out = parts[0]
     for x in parts[1:]:
