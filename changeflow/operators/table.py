@@ -221,7 +221,7 @@ def apply_changes(spark: SparkSession, spec: TableSpec, batch: DataFrame, batch_
         names = [f.name for f in _data_fields(spark, spec)]
         pre = precombine(batch, spec.merge_keys, spec.order)
         missing = {f.name: F.lit(None).cast(f.dataType) for f in _data_fields(spark, spec) if f.name not in pre.columns}
-        pre = pre.withColumns({**missing, BUCKET: spec.bucket}).repartition(spec.num_buckets, spec.key)
+        pre = pre.withColumns({**missing, BUCKET: spec.bucket})  # as many tasks as the batch takes, each with a file of each bucket
         fs.delete(spark, f"{spec.root}/changes/batch_id={batch_id}")  # what an attempt left that wasn't published
         stored = [c for c in spark.table(spec.table("changes")).columns if c != "batch_id"]
         assert set(stored) == {*names, BUCKET}
@@ -280,7 +280,11 @@ def compact(spark: SparkSession, spec: TableSpec) -> TableState:
     old = [(v, p, b) for v, p, b in state.cells if (p, b) in touched]
     if touched:
         base = spark.table(spec.table("base")).filter(_in_cells(spec, {(p, b) for _, p, b in old}))
-        merged = precombine(_both(spark, spec, base, changes), spec.merge_keys, spec.order)
+        rows, keys = _both(spark, spec, base, changes), spec.merge_keys
+        if spec.key_scope == "partition":
+            # Dealt by cell, not by bucket: there are days times as many, and a cell is still written by one task.
+            rows, keys = rows.repartition(spec.partition, BUCKET), [spec.partition, BUCKET, spec.key]
+        merged = precombine(rows, keys, spec.order)
         names = [f.name for f in _data_fields(spark, spec)]
         fs.delete(spark, f"{spec.root}/base/{VERSION}={version}")  # of an attempt that never reached the catalog
         _insert(merged, spec.table("base"), f"{VERSION} = {version}, `{spec.partition}`, {BUCKET}", [*names, BUCKET])
