@@ -14,6 +14,7 @@ workers by value and needs no package there.
 from __future__ import annotations
 
 ROWS_PER_TASK = 200_000  # offsets of one task's range
+ROWS_AT_ONCE = 4_096  # messages that a task holds
 
 
 def message_table() -> type:
@@ -28,7 +29,7 @@ def message_table() -> type:
 
     from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-    rows_per_task = ROWS_PER_TASK
+    rows_per_task, rows_at_once = ROWS_PER_TASK, ROWS_AT_ONCE
 
     def ordered(offsets: dict) -> dict:
         """In one order: Spark compares offsets by their text."""
@@ -119,18 +120,29 @@ def message_table() -> type:
             import pyarrow as pa
             import pyarrow.compute as pc
             import pyarrow.dataset as ds
+            import pyarrow.parquet as pq
 
             if partition.partition < 0:
                 return
-            mine = ((ds.field("topic") == partition.topic) & (ds.field("partition") == partition.partition)
-                    & (ds.field("offset") >= partition.start) & (ds.field("offset") < partition.end))
-            for b in self._dataset().to_batches(columns=["key", "value", "topic", "partition", "offset", "timestamp"], filter=mine):
-                if b.num_rows:
-                    when = pc.cast(b.column("timestamp"), pa.timestamp("us", "UTC"))
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("key").cast(pa.binary()), b.column("value").cast(pa.binary()), b.column("topic").cast(pa.string()),
-                         b.column("partition").cast(pa.int32()), b.column("offset").cast(pa.int64()), when],
-                        ["key", "value", "topic", "partition", "offset", "timestamp"])
+            data = self._dataset()
+            for f in data.get_fragments((ds.field("topic") == partition.topic) & (ds.field("partition") == partition.partition)):
+                groups = [g.id for g in f.row_groups if g.num_rows and g.statistics["offset"]["max"] >= partition.start
+                          and g.statistics["offset"]["min"] < partition.end]
+                if not groups:
+                    continue
+                # A page of each column and a batch of rows at a time; a dataset's scan reads row groups ahead.
+                with f.filesystem.open_input_file(f.path) as file:
+                    source = pq.ParquetFile(file, buffer_size=1 << 16, pre_buffer=False)
+                    for b in source.iter_batches(rows_at_once, groups, columns=["key", "value", "offset", "timestamp"], use_threads=False):
+                        offset = b.column("offset")
+                        b = b.filter(pc.and_(pc.greater_equal(offset, partition.start), pc.less(offset, partition.end)))
+                        if b.num_rows:
+                            when = pc.cast(b.column("timestamp"), pa.timestamp("us", "UTC"))
+                            yield pa.RecordBatch.from_arrays(
+                                [b.column("key").cast(pa.binary()), b.column("value").cast(pa.binary()),
+                                 pa.array([partition.topic] * b.num_rows, pa.string()), pa.array([partition.partition] * b.num_rows, pa.int32()),
+                                 b.column("offset").cast(pa.int64()), when],
+                                ["key", "value", "topic", "partition", "offset", "timestamp"])
 
         def commit(self, end: dict) -> None:
             pass
