@@ -20,7 +20,13 @@ from changeflow.sources.messages import MessageSource, parse_messages, read_mess
 from changeflow.sources.unknown import unknown_fields, with_unknown
 from changeflow.streaming.apply import Outputs, finish_apply, start_apply
 
-FILES_PER_BATCH = 4  # replay files of one batch
+FILES_PER_BATCH = 4  # replay files of one batch, at least
+MESSAGES_PER_FILE = 20_000
+
+
+def files_per_batch(n_messages: int) -> int:
+    """So many replay files that a trigger has tasks for its messages."""
+    return max(FILES_PER_BATCH, -(-n_messages // NUM_BATCHES // MESSAGES_PER_FILE))
 
 
 def write_message_files(spark: SparkSession, sf_dir: str, root: str, batches: list[int],
@@ -57,13 +63,14 @@ def streamed(spark: SparkSession, sf_dir: str, variant: str) -> tuple[str, Table
             return _BUILT[key]
     root = scratch_dir(spark, f"stream-{variant}")
     spec = TableSpec(root=f"{root}/table", num_buckets=BUCKETS)
+    n = files_per_batch(messages(spark, sf_dir).count())
     if variant == "restart":
-        n = write_message_files(spark, sf_dir, root, list(range(5)))
+        write_message_files(spark, sf_dir, root, list(range(5)), n)
         run_stream(spark, root, spec, n)
         write_message_files(spark, sf_dir, root, list(range(5, NUM_BATCHES)), n)
         run_stream(spark, root, spec, n)
     else:
-        n = write_message_files(spark, sf_dir, root, list(range(NUM_BATCHES)))
+        write_message_files(spark, sf_dir, root, list(range(NUM_BATCHES)), n)
         run_stream(spark, root, spec, 2 * n if variant == "rate" else n)
     with _LOCK:
         _BUILT[key] = (root, spec)
@@ -97,7 +104,10 @@ def q_stream_offset_ranges(spark, sf_dir):
     if spec is None:
         root = scratch_dir(spark, "stream-offsets")
         spec = TableSpec(root=f"{root}/table", num_buckets=BUCKETS)
-        messages(spark, sf_dir).drop("b", "cls").repartition("topic", "partition").write.partitionBy("topic", "partition").parquet(f"{root}/messages")
+        # In the order of the offsets, so that a range of them is a few row groups of a few files.
+        place = ["topic", "partition", "offset"]
+        (messages(spark, sf_dir).drop("b", "cls").repartitionByRange(*place).sortWithinPartitions(*place)
+         .write.partitionBy("topic", "partition").parquet(f"{root}/messages"))
         limit = max(OFFSETS_PER_TRIGGER, messages(spark, sf_dir).count() // 4)
         source = MessageSource(f"{root}/messages", format="message_table", max_per_trigger=limit, checkpoint=f"{root}/checkpoint")
         q = start_apply(read_messages(spark, source), spec, f"{root}/checkpoint", Outputs(f"{root}/dlq", retain_commits=None), trigger="0 seconds")

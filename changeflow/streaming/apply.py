@@ -40,6 +40,8 @@ class Outputs:
 def routed_branches(batch: DataFrame, spec: TableSpec, tombstones: str = "dead_letter"):
     """(changes, dead, dropped) of one batch of raw messages."""
     routed = route(parse_messages(batch))
+    # Only dead letters need their text again: what is kept of the others is what was parsed.
+    routed = routed.withColumn("json_str", F.when(F.col("route") == "dead", F.col("json_str")))
     good = project_rows(routed.filter(F.col("route") == "good"))
     deletes = None
     if spec.deletes == "apply":
