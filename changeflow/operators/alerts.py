@@ -186,10 +186,12 @@ def evaluate(samples: DataFrame, rules: Sequence[Rule] = tuple(RULES), step_s: i
     first = spark.sql(f"SELECT unix_seconds(TIMESTAMP '{start}') AS t").first()["t"]
     begin = -(-(first - back) // step_s) * step_s  # the first evaluation
     until = None if end is None else F.lit(end).cast("timestamp")
-    mine = staged(_runs(samples, rules, step_s, lookback_s, chunk_s, begin, until), "alert-window")
-    out = mine.filter(F.col("t") >= first)
-    out = out if until is None else out.filter(F.timestamp_seconds("t") <= until)
-    begun = _begun(samples, out.filter(F.col("active_since") == begin).select(*RUN).distinct(), begin, back, rules, step_s, lookback_s, chunk_s)
+    out = _runs(samples, rules, step_s, lookback_s, chunk_s, begin, until, kept=False).filter(F.col("t") >= first)
+    # Runs that go on from the first evaluation into the window, from the few evaluations between.
+    into = -(-first // step_s) * step_s
+    lead = _runs(samples, rules, step_s, lookback_s, chunk_s, begin, F.timestamp_seconds(F.lit(into)))
+    cut = lead.filter((F.col("t") == into) & (F.col("active_since") == begin)).select(*RUN)
+    begun = _begun(samples, cut, begin, back, rules, step_s, lookback_s, chunk_s)
     if begun is not None:
         out = _beside_runs(out, begun, "left").withColumn(
             "active_since", F.when(F.col("active_since") == begin, F.col("_since")).otherwise(F.col("active_since")))
@@ -228,7 +230,7 @@ def _begun(samples: DataFrame, cut: DataFrame, begin: int, back: int, rules: Seq
 
 
 def _runs(samples: DataFrame, rules: Sequence[Rule], step_s: int, lookback_s: int, chunk_s: int, begin: int | None = None,
-          until: Column | None = None, keys: DataFrame | None = None) -> DataFrame:
+          until: Column | None = None, keys: DataFrame | None = None, kept: bool = True) -> DataFrame:
     """Active evaluations from ``begin`` to ``until`` with ``active_since`` as far as they go back; of ``keys`` only, if given."""
     reach = longest_reach(rules, lookback_s)
     low = None if begin is None else F.timestamp_seconds(F.lit(begin - reach))
@@ -239,8 +241,8 @@ def _runs(samples: DataFrame, rules: Sequence[Rule], step_s: int, lookback_s: in
         active = active.filter(F.timestamp_seconds("t") <= until)
     if keys is not None:
         active = _beside_runs(active, keys, "left_semi")
-    # The states read them twice.
-    return S.firing(staged(active, "alert-active"), 0, step_s, chunk_s, keys=RUN)
+    # The states read them twice: ``kept`` writes them first.
+    return S.firing(staged(active, "alert-active") if kept else active, 0, step_s, chunk_s, keys=RUN)
 
 
 def longest_reach(rules: Sequence[Rule], lookback_s: int = LOOKBACK_S) -> int:
