@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,11 +130,11 @@ def fit_text_model(docs: DataFrame, text: str, declared: Column, key: Column, tr
 def _score_column(model: TextModel, text: str) -> Column:
     shared = model
 
-    def scores(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scores(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in it:
-            yield pd.Series([shared.score(x) for x in texts], dtype=object)
+            yield pa.array([shared.score(x.as_py()) for x in texts], pa.list_(pa.float64()))
 
-    return F.pandas_udf(scores, T.ArrayType(T.DoubleType()))(F.col(text))
+    return F.arrow_udf(scores, T.ArrayType(T.DoubleType()))(F.col(text))
 
 
 def host_of(address: Column) -> Column:
@@ -161,7 +160,12 @@ def html_language(html: Column) -> Column:
 def _mix(rows: DataFrame, by: str, n: int) -> DataFrame:
     """Documents by language that the text alone gives, for each value of ``by``, as an array."""
     return rows.filter(F.col(by).isNotNull()).groupBy(by).agg(
-        F.array(*[F.sum(F.when(F.col("guess") == i, 1.0).otherwise(0.0)) for i in range(n)]).cast("array<double>").alias("n"))
+        F.array(*[_docs(i) for i in range(n)]).cast("array<double>").alias("n"))
+
+
+def _docs(i: int) -> Column:
+    """Documents whose text is in the i-th language."""
+    return F.sum(F.when(F.col("guess") == i, F.col("docs")).otherwise(0.0))
 
 
 def _sum(a: str) -> str:
@@ -195,8 +199,10 @@ def gather(scored: DataFrame, model: TextModel) -> Evidence:
     k = m + model.others
     first = F.expr(f"array_position(slice(ll, 1, {m + 1}), array_max(slice(ll, 1, {m + 1})))").cast("int") - 1
     guess = F.when(_other(model), F.lit(m)).when(first < m, first)
+    # The scores are read once; all tables are made of these counts.
     rows = scored.filter(F.col("ll")[m + 1] >= MIN_TRIGRAMS).withColumn("guess", guess).filter("guess is not null")
-    totals = rows.agg(*[F.sum(F.when(F.col("guess") == i, 1.0).otherwise(0.0)).alias(f"n{i}") for i in range(k)]).first() if k else ()
+    rows = staged(rows.groupBy("declared", "host", "domain", "suffix", "guess").agg(F.count(F.lit(1)).cast("double").alias("docs")), "counts")
+    totals = rows.agg(*[_docs(i).alias(f"n{i}") for i in range(k)]).first() if k else ()
     n = np.array([x or 0.0 for x in totals]) if k else np.zeros(0)
     corpus = ((n + 1) / (n.sum() + k)).tolist() if k else []
     whole = F.array(*[F.lit(x) for x in corpus]).cast("array<double>")

@@ -116,3 +116,21 @@ def test_a_range_is_read_in_small_batches(tmp_path):
     assert max(b.num_rows for b in got) <= 4_096
     assert [x for b in got for x in b.column("offset").to_pylist()] == list(range(20_000))
     assert got[0].column("topic")[0].as_py() == "t" and got[0].column("partition")[0].as_py() == 1
+
+
+def test_language_scores_are_read_once(spark, monkeypatch):
+    """op3_lang_id: the evidence tables are made of counts, not of the scores again and again."""
+    from changeflow.llm import lang_id
+
+    kept, plain = {}, lang_id.staged
+
+    def seen(df, name):
+        kept[name] = plain(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(lang_id, "staged", seen)
+    docs = spark.createDataFrame([("the cat sat on the mat and slept", "en", "a.example.com")] * 8 + [("der Hund und die Katze schlafen hier", "de", "b.example.de")] * 8,
+                                 "text string, lang string, source string")
+    got = lang_id.identify(docs, "text", F.col("lang"), F.col("source"))
+    assert {(r["lang"], r["detected"]) for r in got.collect()} == {("en", "en"), ("de", "de")}
+    assert sorted((r["host"], r["docs"]) for r in kept["counts"].collect()) == [("a.example.com", 8.0), ("b.example.de", 8.0)]
